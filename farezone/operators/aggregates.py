@@ -101,32 +101,48 @@ def with_company(od: DataFrame, industry: str) -> DataFrame:
     return od.withColumn("company", F.lit(industry))
 
 
-def industry_od(spark_trips: dict, bases: DataFrame, params: Params) -> DataFrame:
-    """All five OD tables, each with its company, stacked (one table for C1).
-
-    ``spark_trips`` maps ``yellow``, ``green``, ``fhv``, ``hvfhv`` to trip tables.
-    hv and shared counts come from one scan when their bounds agree.
+def _trip_rows(trips: DataFrame, industry: Industry, start: int, end: int, company) -> DataFrame:
+    """Filtered trips as ``(year_month, pulocationid, dolocationid, company, n)``."""
+    t = filtered_trips(trips, industry, start, end)
+    return t.select(month_key("datetimeid").alias("year_month"), "pulocationid", "dolocationid",
+                    company.alias("company"),
+                    F.col("datetimeid").isNotNull().cast("long").alias("count"))
+
+
+def industry_od(trips: dict, bases: DataFrame, params: Params) -> DataFrame:
+    """All five OD tables, each with its company, as one table ``(year_month,
+    pulocationid, dolocationid, company, count)``, unique per key.
+
+    Plan: the filtered trip scans are unioned and summed by **one** aggregation
+    (partial aggregation in every scan task, one shuffle). The hv table is read
+    once: each ride is emitted under its company and, if it has a route id, under
+    ``shared`` as well (when the hv and shared bounds agree). fhv rides are
+    pre-aggregated per base before the base join (:func:`od_with_base`).
     """
     ind = params.industry
-    y, g = ind("yellow"), ind("green")
+    y, g, hv, sh = ind("yellow"), ind("green"), ind("hvfhv"), ind("shared")
+    end = params.trips_end
     parts = [
-        with_company(od_counts(filtered_trips(spark_trips["yellow"], y, y.trips_start, params.trips_end)), "yellow"),
-        with_company(od_counts(filtered_trips(spark_trips["green"], g, g.trips_start, params.trips_end)), "green"),
-        with_company(od_counts_traditional(spark_trips["fhv"], bases, ind("no_hv").trips_start,
-                                           params.trips_end), C.TRADITIONAL_TAG),
+        _trip_rows(trips["yellow"], y, y.trips_start, end, F.lit("yellow")),
+        _trip_rows(trips["green"], g, g.trips_start, end, F.lit("green")),
     ]
-    hv, sh = ind("hvfhv"), ind("shared")
-    if hv.trips_start == sh.trips_start:
-        comb = od_counts_hv_and_shared(spark_trips["hvfhv"], hv.trips_start, params.trips_end, hv)
-        parts.append(with_company(comb.drop("shared_count"), "hvfhv"))
-        parts.append(with_company(shared_from_combined(comb), "shared"))
+    # per-base counts of traditional companies; the union's aggregation sums them
+    trad = company_not_in(od_with_base(trips["fhv"], bases, ind(C.TRADITIONAL_TAG).trips_start, end),
+                          C.HV_COMPANIES)
+    parts.append(trad.select(*OD_KEYS, F.lit(C.TRADITIONAL_TAG).alias("company"), "count"))
+    hv_company = license_to_company("hvfhs_license_num")
+    if hv.trips_start == sh.trips_start and hv.has_measures == sh.has_measures:
+        labels = F.array(hv_company, F.when(F.col("route_id").isNotNull(), F.lit("shared")))
+        both = _trip_rows(trips["hvfhv"], hv, hv.trips_start, end, F.explode(labels))
+        parts.append(both.filter(F.col("company").isNotNull()))
     else:
-        parts.append(with_company(od_counts_by_license(spark_trips["hvfhv"], hv.trips_start, params.trips_end, hv), "hvfhv"))
-        parts.append(with_company(od_counts(filtered_trips(spark_trips["hvfhv"], sh, sh.trips_start, params.trips_end)), "shared"))
-    out = parts[0]
+        parts.append(_trip_rows(trips["hvfhv"], hv, hv.trips_start, end, hv_company))
+        parts.append(_trip_rows(trips["hvfhv"], sh, sh.trips_start, end, F.lit("shared")))
+    union = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        union = union.unionByName(p)
+    return (union.groupBy(*OD_KEYS, "company").agg(F.sum("count").alias("count"))
+                 .filter(F.col("count") > 0))
 
 
 def pickups(od: DataFrame, keys=("company",)) -> DataFrame:

@@ -30,7 +30,7 @@ HV_FARE_PARTS = ("base_passenger_fare", "tolls", "bcf", "sales_tax",
                  "congestion_surcharge", "airport_fee", "tips")
 
 
-def _fare_expr(industry: Industry) -> Column:
+def fare_expr(industry: Industry) -> Column:
     if industry.company_col is not None or industry.shared_only:
         return rider_total(HV_FARE_PARTS)
     return F.col(industry.fare)
@@ -53,7 +53,7 @@ def zone_financials(df: DataFrame, industry: Industry) -> DataFrame:
     (P8). The average fare is the average of the per-trip sum. NULL pickups
     form their own group here (dropped later by the zone expansion).
     """
-    fare = _fare_expr(industry)
+    fare = fare_expr(industry)
     return (df.groupBy(month_key("datetimeid").alias("year_month"), "pulocationid")
               .agg(exact_avg(fare).alias("avg_total_fare"),
                    exact_sum(zero_if_null(fare)).alias("sum_total_fare"),

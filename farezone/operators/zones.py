@@ -32,22 +32,47 @@ def expand_zones(df: DataFrame, members: DataFrame, key: str = "id",
     return df.join(m, key, "inner")
 
 
-def _inbound_rows(od: DataFrame, members: DataFrame) -> DataFrame:
-    """OD rows per zone whose drop-off is inside and pickup outside the zone.
-
-    The anti join matches on ``(zone, pickup)``, so a NULL pickup (unknown start)
-    counts as outside, and a trip is inbound to every zone it enters.
+def zone_sides(od: DataFrame, members: DataFrame) -> DataFrame:
+    """Each OD row once as a pickup and once as a drop-off, per service zone of
+    that end, flagged with whether the *pickup* lies inside that zone.
+
+    Columns: the OD columns, ``id`` (the pickup or drop-off id), ``zone``,
+    ``_pick`` (True for the pickup side), ``_pu_in`` (True, or NULL when the
+    pickup is outside the zone -- a NULL pickup counts as outside). Both joins
+    are broadcast hash joins in the scan's stage: the OD table is read once.
     """
     m = bounded_dimension(members.select("id", "zone"))
-    inside = od.join(m.withColumnRenamed("id", "dolocationid"), "dolocationid", "inner")
-    return inside.join(m.withColumnRenamed("id", "pulocationid"), ["zone", "pulocationid"], "left_anti")
+    pu_in = bounded_dimension(members.select(F.col("id").alias("pulocationid"), "zone",
+                                             F.lit(True).alias("_pu_in")))
+    side = F.explode(F.array(
+        F.struct(F.col("pulocationid").alias("id"), F.lit(True).alias("_pick")),
+        F.struct(F.col("dolocationid").alias("id"), F.lit(False).alias("_pick")))).alias("_side")
+    sides = od.select("*", side).select(*od.columns, "_side.id", "_side._pick")
+    return sides.join(m, "id", "inner").join(pu_in, ["zone", "pulocationid"], "left")
+
+
+def zone_metrics(od: DataFrame, members: DataFrame, keys=("company",)) -> DataFrame:
+    """Per month, taxi zone, company and service zone, in one aggregation:
+
+    * ``pickups``  -- trips starting at the id (A5 expanded over zones),
+    * ``dropoffs`` -- trips ending at the id,
+    * ``inbound``  -- trips ending at the id whose pickup is outside the zone (A6).
+
+    A measure is NULL where no trip contributes to it.
+    """
+    keys = list(keys)
+    r = zone_sides(od, members)
+    pick, c = F.col("_pick"), F.col("count")
+    return (r.groupBy("year_month", "id", *keys, "zone")
+             .agg(F.sum(F.when(pick, c)).alias("pickups"),
+                  F.sum(F.when(~pick, c)).alias("dropoffs"),
+                  F.sum(F.when(~pick & F.col("_pu_in").isNull(), c)).alias("inbound")))
 
 
 def inbound(od: DataFrame, members: DataFrame, keys=("company",)) -> DataFrame:
     """Drop-offs inside a zone from pickups outside it, per month, id, zone."""
-    return (_inbound_rows(od, members)
-            .groupBy("year_month", F.col("dolocationid").alias("id"), *keys, "zone")
-            .agg(F.sum("count").alias("count1")))
+    return (zone_metrics(od, members, keys).filter(F.col("inbound").isNotNull())
+            .select("year_month", "id", *keys, "zone", F.col("inbound").alias("count1")))
 
 
 def zone_volume(od: DataFrame, members: DataFrame, keys=("company",)) -> DataFrame:
@@ -58,22 +83,12 @@ def zone_volume(od: DataFrame, members: DataFrame, keys=("company",)) -> DataFra
     from outside, ``volume = count + count1``. A key with inbound drop-offs but no
     pickup that month yields no row (the reference's left join from pickups).
 
-    Plan: both contributions are tagged rows of one union and summed by a single
-    aggregation (partial aggregation map-side, one shuffle) instead of two
-    aggregations and a join; ``count`` is NULL for keys without a pickup row,
-    which removes them.
+    Plan: a projection of :func:`zone_metrics` -- one read of the OD table, two
+    broadcast joins, one aggregation -- instead of two aggregations and a join.
     """
     keys = list(keys)
-    m = bounded_dimension(members.select("id", "zone"))
-    out_cols = ["year_month", "id", *keys, "zone"]
-    picks = (od.join(m.withColumnRenamed("id", "pulocationid"), "pulocationid", "inner")
-               .select("year_month", F.col("pulocationid").alias("id"), *keys, "zone",
-                       F.col("count").alias("pcount"), F.lit(None).cast("long").alias("icount")))
-    inb = (_inbound_rows(od, members)
-           .select("year_month", F.col("dolocationid").alias("id"), *keys, "zone",
-                   F.lit(None).cast("long").alias("pcount"), F.col("count").alias("icount")))
-    agg = (picks.unionByName(inb)
-           .groupBy(*out_cols)
-           .agg(F.sum("pcount").alias("count"), F.coalesce(F.sum("icount"), F.lit(0)).cast("long").alias("count1"))
-           .filter(F.col("count").isNotNull()))
-    return agg.withColumn("volume", F.col("count") + F.col("count1"))
+    return (zone_metrics(od, members, keys).filter(F.col("pickups").isNotNull())
+            .select("year_month", "id", *keys, "zone",
+                    F.col("pickups").alias("count"),
+                    F.coalesce(F.col("inbound"), F.lit(0)).cast("long").alias("count1"))
+            .withColumn("volume", F.col("count") + F.col("count1")))

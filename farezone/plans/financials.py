@@ -9,7 +9,9 @@ from farezone import config as C
 from farezone.config import Params
 from farezone.functions.labels import upper_strip
 from farezone.functions.timekeys import month_date
-from farezone.operators.fares import financial_trips, zone_financials
+from farezone.functions.money import exact_avg, exact_sum, to_minutes, zero_if_null
+from farezone.functions.timekeys import month_key
+from farezone.operators.fares import fare_expr, financial_trips
 from farezone.operators.filters import before_month
 from farezone.operators.joins import with_zone_name
 from farezone.operators.reshape import stack, to_long
@@ -21,16 +23,43 @@ from farezone.sources.readers import zone_names
 FINANCIAL_SOURCES = (("yellow", "yellow"), ("green", "green"), ("hvfhv", "hvfhv"), ("shared", "hvfhv"))
 
 
+def _measure_rows(t: DataFrame, ind, company) -> DataFrame:
+    return t.select(month_key("datetimeid").alias("year_month"), "pulocationid",
+                    fare_expr(ind).alias("_fare"), F.col(ind.seconds).alias("_secs"),
+                    F.col(ind.distance).alias("_dist"), company.alias("company"))
+
+
 def industry_financials(inputs: TripInputs, params: Params) -> DataFrame:
-    """A7 for each industry, tagged with the industry as company, stacked."""
-    parts = []
+    """A7 for each industry, tagged with the industry as company, stacked.
+
+    Plan: per-trip (fare, seconds, distance) rows of all industries are unioned
+    and summed by one aggregation; the hv table is read once, each shared ride
+    emitted under ``hvfhv`` and ``shared`` (when their bounds agree).
+    """
     trips = inputs.trips()
-    for name, source in FINANCIAL_SOURCES:
-        ind = params.industry(name)
-        t = financial_trips(trips[source], ind, ind.financials_start, ind.financials_end,
-                            params.fare_cap, params.distance_cap, params.time_cap_secs)
-        parts.append(zone_financials(t, ind).withColumn("company", F.lit(name)))
-    return stack(*parts)
+    ind = params.industry
+
+    def filtered(name, source):
+        i = ind(name)
+        return financial_trips(trips[source], i, i.financials_start, i.financials_end,
+                               params.fare_cap, params.distance_cap, params.time_cap_secs)
+
+    parts = [_measure_rows(filtered(n, n), ind(n), F.lit(n)) for n in ("yellow", "green")]
+    hv, sh = ind("hvfhv"), ind("shared")
+    if (hv.financials_start, hv.financials_end) == (sh.financials_start, sh.financials_end):
+        labels = F.explode(F.array(F.lit("hvfhv"), F.when(F.col("route_id").isNotNull(), F.lit("shared"))))
+        parts.append(_measure_rows(filtered("hvfhv", "hvfhv"), hv, labels)
+                     .filter(F.col("company").isNotNull()))
+    else:
+        parts += [_measure_rows(filtered("hvfhv", "hvfhv"), hv, F.lit("hvfhv")),
+                  _measure_rows(filtered("shared", "hvfhv"), sh, F.lit("shared"))]
+    rows = stack(*parts)
+    fare = F.col("_fare")
+    return (rows.groupBy("year_month", "pulocationid", "company")
+                .agg(exact_avg(fare).alias("avg_total_fare"),
+                     exact_sum(zero_if_null(fare)).alias("sum_total_fare"),
+                     to_minutes(exact_avg("_secs")).alias("avg_trip_time"),
+                     exact_avg("_dist").alias("avg_trip_distance")))
 
 
 def financials_wide(fin: DataFrame, matrix: DataFrame, names: DataFrame, params: Params) -> DataFrame:

@@ -1,14 +1,14 @@
 """Pipeline A: the trips mart.
 
-Plan shape (one Spark job graph, nothing collected):
-
-  trip scans --filter/partial agg--> OD (one shuffle per industry; hv+shared share one)
-     OD --broadcast zone joins--> zone volume (one shuffle)
-     OD --> pickups / drop-offs (one shuffle each) --broadcast zone joins-->
-  union --explode(own label, ALL)--> final sum (one shuffle) --broadcast names--> mart
-
-The OD table feeds five consumers; Spark reuses its shuffle output
-(``ReusedExchange``) within the plan instead of rescanning the trips.
+Plan shape (nothing collected; three shuffles in all):
+
+  trip scans (each read once) --union, partial agg--> OD        [shuffle 1]
+     --> interim Parquet in the shared checkpoint folder (S7)
+  OD --explode(pickup side, drop-off side), broadcast zone joins-->
+     zone metrics: pickups, drop-offs, inbound per zone         [shuffle 2]
+     --explode(Trips, PickUps, DropOffs)--explode(own label, ALL)-->
+  final sum                                                     [shuffle 3]
+     --broadcast zone names--> mart
 """
 
 from __future__ import annotations
@@ -23,9 +23,10 @@ from farezone.functions.timekeys import month_date, run_bounds
 from farezone.operators.aggregates import dropoffs, industry_od, pickups
 from farezone.operators.joins import bounded_dimension, in_zone, with_zone_name
 from farezone.operators.reshape import stack
-from farezone.operators.zones import expand_zones, zone_members, zone_volume
+from farezone.operators.zones import expand_zones, zone_members, zone_metrics, zone_volume
 from farezone.plans.inputs import TripInputs
 from farezone.sources.readers import zone_names
+from farezone.sources.sinks import write_interim
 
 
 def trips_by_industry(od: DataFrame, matrix: DataFrame):
@@ -61,19 +62,22 @@ def citywide_trips(pu: DataFrame, matrix: DataFrame) -> DataFrame:
 def combined_metrics(od: DataFrame, matrix: DataFrame) -> DataFrame:
     """Trips, PickUps and DropOffs rows per month, id, company label, service zone.
 
-    Zone names are not attached yet: the mart joins them after its final sum.
+    One :func:`zone_metrics` aggregation over every zone gives all three: PickUps
+    and DropOffs directly; Trips = pickups + inbound (zone volume, J2) for every
+    zone but Citywide, and the pickups alone for Citywide (C3). Zone names are
+    attached after the mart's final sum.
     """
-    vol, pu, do = trips_by_industry(od, matrix)
-    members = zone_members(matrix)
-    trips = vol.select("year_month", "id", "company", F.col("zone").alias("Z"),
-                       F.col("volume").alias("count"), F.lit(C.METRIC_TRIPS).alias("metric"))
-    city = citywide_trips(pu, matrix).select("year_month", "id", "company", "Z", "count", "metric")
-
-    def expanded(m: DataFrame, metric: str) -> DataFrame:
-        return (expand_zones(m, members, zone_col="Z")
-                .select("year_month", "id", "company", "Z", "count", F.lit(metric).alias("metric")))
-
-    return _label(stack(trips, city, expanded(pu, C.METRIC_PICKUPS), expanded(do, C.METRIC_DROPOFFS)))
+    zm = zone_metrics(od, zone_members(matrix))
+    pu, dr, inb = F.col("pickups"), F.col("dropoffs"), F.col("inbound")
+    trips = F.when(F.col("zone") == C.CITYWIDE, pu).otherwise(pu + F.coalesce(inb, F.lit(0)))
+    metrics = F.explode(F.array(
+        F.struct(F.lit(C.METRIC_TRIPS).alias("metric"), trips.alias("count")),
+        F.struct(F.lit(C.METRIC_PICKUPS).alias("metric"), pu.alias("count")),
+        F.struct(F.lit(C.METRIC_DROPOFFS).alias("metric"), dr.alias("count")))).alias("_m")
+    rows = (zm.select("year_month", "id", "company", F.col("zone").alias("Z"), metrics)
+              .select("year_month", "id", "company", "Z", "_m.count", "_m.metric")
+              .filter(F.col("count").isNotNull()))
+    return _label(rows)
 
 
 def finish_mart(combined: DataFrame, names: DataFrame, params: Params) -> DataFrame:
@@ -102,8 +106,15 @@ def finish_mart(combined: DataFrame, names: DataFrame, params: Params) -> DataFr
                   .select("year_month", "id", "company", "Z", "Zone", "metric", "count"))
 
 
-def trips_mart(inputs: TripInputs, params: Params) -> DataFrame:
-    """C4: the published trips mart ``(year_month, id, company, Z, Zone, metric, count)``."""
+def trips_mart(inputs: TripInputs, params: Params, interim: bool = True) -> DataFrame:
+    """C4: the published trips mart ``(year_month, id, company, Z, Zone, metric, count)``.
+
+    With ``interim`` the OD table is written once to the shared checkpoint folder
+    (S7) and its five consumers read it there: the trip scans run once, and a lost
+    executor re-reads the table instead of rescanning the trips.
+    """
     od = industry_od(inputs.trips(), inputs.bases, params)
+    if interim:
+        od = write_interim(od, "od")
     names = zone_names(inputs.zone_lookup)
     return finish_mart(combined_metrics(od, inputs.zone_matrix), names, params)
