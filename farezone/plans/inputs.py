@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import threading
 import uuid
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,24 +23,38 @@ def materialized_trip_views(spark: SparkSession, sf_dir: str) -> dict:
     with _LOCK:
         if key not in _MATERIALIZED:
             root = f"{shared_dir(spark)}/fixtures/{uuid.uuid4().hex}"
-            paths = {}
+            readers = {}
             for name, build in fixtures.TRIP_VIEWS.items():
-                paths[name] = f"{root}/{name}"
-                build(spark, sf_dir).write.mode("overwrite").parquet(paths[name])
-            _MATERIALIZED[key] = paths
-    return {n: spark.read.parquet(p) for n, p in _MATERIALIZED[key].items()}
+                path = f"{root}/{name}"
+                build(spark, sf_dir).write.mode("overwrite").parquet(path)
+                readers[name] = spark.read.parquet(path)
+            _MATERIALIZED[key] = readers
+    return _MATERIALIZED[key]
 
 
-@dataclass
 class TripInputs:
-    yellow: DataFrame
-    green: DataFrame
-    fhv: DataFrame
-    hvfhv: DataFrame
-    bases: DataFrame
-    zone_matrix: DataFrame
-    zone_lookup: DataFrame
-    daily: DataFrame | None = None
+    """Trip tables and dimensions of a run.
+
+    Each input is a DataFrame or a zero-argument builder; builders run on first
+    access, so a query opens only the tables it uses.
+    """
+
+    FIELDS = ("yellow", "green", "fhv", "hvfhv", "bases", "zone_matrix", "zone_lookup", "daily")
+
+    def __init__(self, **sources):
+        unknown = set(sources) - set(self.FIELDS)
+        if unknown:
+            raise TypeError(f"unknown inputs: {sorted(unknown)}")
+        self._sources = sources
+        self._built: dict = {}
+
+    def __getattr__(self, name: str):
+        if name not in TripInputs.FIELDS:
+            raise AttributeError(name)
+        if name not in self._built:
+            src = self._sources.get(name)
+            self._built[name] = src() if callable(src) else src
+        return self._built[name]
 
     def trips(self) -> dict:
         return {"yellow": self.yellow, "green": self.green, "fhv": self.fhv, "hvfhv": self.hvfhv}
@@ -51,19 +64,20 @@ class TripInputs:
         """Inputs derived from the tables in ``sf_dir``. With ``materialize`` the
         trip views are written once per session (see :func:`materialized_trip_views`);
         otherwise they stay lazy joins over the base tables."""
-        if materialize:
-            t = materialized_trip_views(spark, sf_dir)
-        else:
-            t = {n: build(spark, sf_dir) for n, build in fixtures.TRIP_VIEWS.items()}
+        def trip(name):
+            if materialize:
+                return lambda: materialized_trip_views(spark, sf_dir)[name]
+            return lambda: fixtures.TRIP_VIEWS[name](spark, sf_dir)
+
         return cls(
-            yellow=t["yellow"],
-            green=t["green"],
-            fhv=t["fhv"],
-            hvfhv=t["hvfhv"],
-            bases=fixtures.bases(spark, sf_dir),
-            zone_matrix=fixtures.zone_matrix(spark, sf_dir),
-            zone_lookup=fixtures.zone_lookup(spark, sf_dir),
-            daily=fixtures.daily_indicators(spark, sf_dir),
+            yellow=trip("yellow"),
+            green=trip("green"),
+            fhv=trip("fhv"),
+            hvfhv=trip("hvfhv"),
+            bases=lambda: fixtures.bases(spark, sf_dir),
+            zone_matrix=lambda: fixtures.zone_matrix(spark, sf_dir),
+            zone_lookup=lambda: fixtures.zone_lookup(spark, sf_dir),
+            daily=lambda: fixtures.daily_indicators(spark, sf_dir),
         )
 
     @classmethod

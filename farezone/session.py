@@ -37,12 +37,18 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The session's shared checkpoint folder, if any (``spark.checkpoint.dir``
+    or one set on the SparkContext)."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
-    """Use the session's ``spark.checkpoint.dir``; set one only where it is unset
+    """Use the session's checkpoint folder; set one only where it is unset
     (local tests), in a fresh scratch folder."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = checkpoint_dir(spark)
     if not d:
         d = default or tempfile.mkdtemp(prefix="farezone-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
+        d = spark.sparkContext.getCheckpointDir() or d
     return d

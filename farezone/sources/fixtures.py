@@ -27,8 +27,16 @@ MONEY = "decimal(12,2)"
 FEE = "decimal(4,2)"
 
 
+_READERS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A base table, its reader memoized per session (the inputs are read-only,
+    so the file listing and footer read happen once)."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(key[1])
+    return _READERS[key]
 
 
 def _trip_base(spark: SparkSession, sf_dir: str, priorities) -> DataFrame:

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
-    return d.rstrip("/")
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``); set a
+    scratch one only where the session has none (local runs and tests)."""
+    from farezone.session import ensure_checkpoint_dir
+
+    return ensure_checkpoint_dir(spark).rstrip("/")
 
 
 def write_interim(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
