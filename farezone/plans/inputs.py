@@ -23,12 +23,12 @@ def materialized_trip_views(spark: SparkSession, sf_dir: str) -> dict:
     with _LOCK:
         if key not in _MATERIALIZED:
             root = f"{shared_dir(spark)}/fixtures/{uuid.uuid4().hex}"
-            readers = {}
+            views = {}
             for name, build in fixtures.TRIP_VIEWS.items():
                 path = f"{root}/{name}"
                 build(spark, sf_dir).write.mode("overwrite").parquet(path)
-                readers[name] = spark.read.parquet(path)
-            _MATERIALIZED[key] = readers
+                views[name] = readers.read_trips(spark, path, name)
+            _MATERIALIZED[key] = views
     return _MATERIALIZED[key]
 
 

@@ -23,6 +23,7 @@ from farezone.functions.timekeys import month_date, run_bounds
 from farezone.operators.aggregates import dropoffs, industry_od, pickups
 from farezone.operators.joins import bounded_dimension, in_zone, with_zone_name
 from farezone.operators.reshape import stack
+from farezone.operators.rollups import final_sum
 from farezone.operators.zones import expand_zones, zone_members, zone_metrics, zone_volume
 from farezone.plans.inputs import TripInputs
 from farezone.sources.readers import zone_names
@@ -98,9 +99,8 @@ def finish_mart(combined: DataFrame, names: DataFrame, params: Params) -> DataFr
                     .filter(F.col("id").isNotNull() & F.col("Z").isNotNull())
                     .select("year_month", "id", "Z", "metric", "count", F.explode(labels).alias("company"))
                     .filter(F.col("company").isNotNull()))
-    summed = (rows.groupBy("year_month", "id", "company", "Z", "metric")
-                  .agg(F.sum("count").alias("count"))
-                  .filter(~F.col("company").isin(*C.MART_EXCLUDED)))
+    summed = (final_sum(rows, keys=("year_month", "id", "company", "Z", "metric"))
+              .filter(~F.col("company").isin(*C.MART_EXCLUDED)))
     n = bounded_dimension(names.withColumnRenamed("zone", "Zone"))
     return (summed.join(n, "id", "inner")
                   .select("year_month", "id", "company", "Z", "Zone", "metric", "count"))

@@ -106,7 +106,9 @@ def read_daily_indicators(spark: SparkSession, url: str, table: str, end: int,
 def read_mart(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Re-read the published mart with its declared schema."""
     r = spark.read.schema(MART_SCHEMA)
-    return r.parquet(path) if fmt == "parquet" else r.option("header", True).csv(path)
+    df = r.parquet(path) if fmt == "parquet" else r.option("header", True).csv(path)
+    # a mart written partitioned by metric returns that column last; restore the order
+    return df.select(*MART_SCHEMA.fieldNames())
 
 
 def zone_names(lookup: DataFrame) -> DataFrame:

@@ -77,3 +77,21 @@ def splice_history(hist: DataFrame, new: DataFrame, cutoff, col: str = "year_mon
     c = F.lit(cutoff)
     return hist.filter(F.col(col) < c).unionByName(new.filter(F.col(col) >= c),
                                                    allowMissingColumns=True)
+
+
+def relayout_by_month(trips: DataFrame, path: str, max_records_per_file: int = 20_000_000) -> None:
+    """One-off relayout of a trip table into ``year_month=YYYYMM`` folders.
+
+    A filter on ``year_month`` then prunes whole folders (``PartitionFilters``),
+    and row groups inside a month stay sorted by the hour key for min/max
+    skipping. No shuffle: each task sorts its own rows by month and writes one
+    file per month it holds (source files are monthly, so usually one).
+    """
+    from farezone.functions.timekeys import month_key
+
+    (trips.withColumn("year_month", month_key("datetimeid"))
+          .sortWithinPartitions("year_month", "datetimeid")
+          .write.mode("overwrite")
+          .option("maxRecordsPerFile", max_records_per_file)
+          .partitionBy("year_month")
+          .parquet(path))
