@@ -6,6 +6,7 @@ tables in ``sf_dir``. Names match the DuckDB oracle in ``oracle/duckdb_sql.py``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,9 @@ from pyspark.sql import functions as F
 
 from farezone import config as C
 from farezone.config import fixture_params
-from farezone.functions.timekeys import month_date
 from farezone.operators import aggregates as A
 from farezone.operators.fares import financial_trips, zone_financials
+from farezone.operators.filters import in_period
 from farezone.operators.joins import trips_with_base
 from farezone.operators.rollups import all_companies
 from farezone.operators.zones import inbound, zone_members, zone_volume
@@ -76,7 +77,6 @@ def od_counts_shared(spark, sf_dir):
 def fhv_with_base(spark, sf_dir):
     """Fhv trips in the period with their base's company."""
     inp, ind = _trip_od(spark, sf_dir, "no_hv")
-    from farezone.operators.filters import in_period
     return trips_with_base(in_period(inp.fhv, ind.trips_start, P.trips_end), inp.bases)
 
 
@@ -87,6 +87,12 @@ def _od(spark, sf_dir):
 
 # -- A5, A6, J2, R3: marginals and zones ------------------------------------
 
+def od_all_industries(spark, sf_dir):
+    """C1 input: the OD table of all five industries with their company, one aggregation."""
+    _, od = _od(spark, sf_dir)
+    return od
+
+
 def pickups_all(spark, sf_dir):
     _, od = _od(spark, sf_dir)
     return A.pickups(od)
@@ -142,7 +148,6 @@ def trips_mart(spark, sf_dir):
 
 
 def mart_slice_q(spark, sf_dir):
-    import datetime as dt
     mart = T.trips_mart(_inputs(spark, sf_dir), P)
     return mart_slice(mart, C.METRIC_TRIPS, zones=["Core", "Midtown"], companies=["YELLOW", "HVFHV", "ALL"],
                       start=dt.date(1999, 1, 1), end=dt.date(2000, 7, 1))
@@ -191,6 +196,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "od_counts_by_license": od_counts_by_license,
     "od_counts_shared": od_counts_shared,
     "fhv_with_base": fhv_with_base,
+    "od_all_industries": od_all_industries,
     "pickups_all": pickups_all,
     "dropoffs_all": dropoffs_all,
     "zone_members": zone_members_q,
@@ -215,5 +221,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fares_yellow_long": _fares("yellow", long=True),
     "fares_green_long": _fares("green", long=True),
     "fares_hvfhv_long": _fares("hvfhv", long=True),
+    "fares_shared_long": _fares("shared", long=True),
     "fhv_totals": fhv_totals,
 }

@@ -359,6 +359,7 @@ ORACLE = {
     "od_counts_shared": _with("od_shared") + "SELECT * FROM od_shared",
     "fhv_with_base": _with("fhv", "bases") + f"""
   SELECT t.*, b.company FROM fhv t JOIN bases b ON t.dispatching_base_num = b.lic_no WHERE {_PERIOD}""",
+    "od_all_industries": _with("od") + "SELECT * FROM od",
     "pickups_all": _with("pu") + "SELECT * FROM pu",
     "dropoffs_all": _with("do_") + "SELECT * FROM do_",
     "zone_members": _with("members") + "SELECT * FROM members",
@@ -398,6 +399,7 @@ ORACLE = {
     "fares_yellow_long": _fares_long("fares_yellow"),
     "fares_green_long": _fares_long("fares_green"),
     "fares_hvfhv_long": _fares_long("fares_hvfhv"),
+    "fares_shared_long": _fares_long("fares_shared"),
     "fhv_totals": _with("daily") + f"""
   SELECT CAST(date_trunc('month', metric_day) AS DATE) AS year_month, 999 AS id,
          CAST(SUM(count_trips) AS BIGINT) AS count, industry
