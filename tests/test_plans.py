@@ -9,7 +9,7 @@ from farezone.config import fixture_params
 from farezone.operators.aggregates import industry_od
 from farezone.plans import trips as TP
 from farezone.plans.fares import fares_wide
-from farezone.plans.financials import industry_financials
+from farezone.plans.financials import industry_financials, zone_financials_mart
 from farezone.plans.inputs import TripInputs
 
 from conftest import SF_SMALL
@@ -52,3 +52,38 @@ def test_fares_prune_columns(inputs):
     p = plan(fares_wide(inputs, P, "yellow"))
     scan = [s for s in re.findall(r"FileScan parquet [^\n]*", p) if "datetimeid" in s][0]
     assert "improvement_surcharge" in scan and "dolocationid" not in scan
+
+
+def _exchanges_over_aggregates(p: str) -> list[tuple[str, str]]:
+    """(exchange line, its child line) for every hash exchange in a plan string."""
+    lines = p.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            out.append((line.strip(), lines[i + 1].strip() if i + 1 < len(lines) else ""))
+    return out
+
+
+@pytest.mark.parametrize("build", [
+    lambda inp: industry_od(inp.trips(), inp.bases, P),
+    lambda inp: industry_financials(inp, P),
+    lambda inp: fares_wide(inp, P, "yellow"),
+    lambda inp: fares_wide(inp, P, "hvfhv"),
+    lambda inp: TP.trips_mart(inp, P),
+    lambda inp: zone_financials_mart(inp, P),
+], ids=["od", "financials", "fares_yellow", "fares_hvfhv", "trips_mart", "financials_mart"])
+def test_no_raw_trip_rows_are_shuffled(inputs, build):
+    """Every shuffle sits on a partial (or merge) aggregation: a hot key -- one
+    zone, base, driver or month holding a third of all trips -- reaches the
+    exchange as one row per task, never as its raw trips."""
+    pairs = _exchanges_over_aggregates(plan(build(inputs)))
+    assert pairs
+    for ex, child in pairs:
+        assert "HashAggregate" in child and ("partial_" in child or "merge_" in child), (ex, child)
+
+
+def test_fhv_totals_one_shuffle_over_partial_aggregate(spark, inputs):
+    from farezone.plans.fhv import traditional_fhv_totals
+
+    pairs = _exchanges_over_aggregates(plan(traditional_fhv_totals(inputs.daily, P)))
+    assert len(pairs) == 1 and "partial_sum" in pairs[0][1]
