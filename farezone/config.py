@@ -140,6 +140,18 @@ class Params:
     def industry(self, name: str) -> Industry:
         return self.industries[name]
 
+    def with_period(self, start: int, end: int) -> "Params":
+        """Every industry reads hour keys in ``[start, end)`` (trips, zone
+        financials; fares from ``start`` up to the run bound) -- for backfills."""
+        industries = {
+            n: replace(i, trips_start=start,
+                       financials_start=start if i.has_measures else 0,
+                       financials_end=end if i.has_measures else 0,
+                       fares_start=start if i.has_measures else 0)
+            for n, i in self.industries.items()
+        }
+        return replace(self, trips_end=end, industries=industries)
+
 
 def fixture_params() -> Params:
     """Parameters for the derived test views (see FIXTURES.md).
@@ -149,20 +161,12 @@ def fixture_params() -> Params:
     2001-01-15, so published months end before 2000-12-01.
     """
     start, end = 1996010100, 2001010100
-    industries = {
-        n: replace(i, trips_start=start, financials_start=start if i.has_measures else 0,
-                   financials_end=end if i.has_measures else 0,
-                   fares_start=start if i.has_measures else 0)
-        for n, i in INDUSTRIES.items()
-    }
     return Params(
         asof=_dt.date(2001, 1, 15),
-        trips_end=end,
         all_since=_dt.date(1998, 6, 1),
         fare_cap=100000,
         distance_cap=45,
         time_cap_secs=7200,
         old_hv_start=1998060100,
         old_hv_end=end,
-        industries=industries,
-    )
+    ).with_period(start, end)
