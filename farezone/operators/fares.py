@@ -130,13 +130,28 @@ def _hv_measures() -> list[tuple[str, Column]]:
     return m
 
 
+_MEASURES: dict = {}
+
+
 def fare_measures(industry: Industry) -> list[tuple[str, Column]]:
-    """The measure list of A8 (yellow), A9 (green) or A10/A11 (hv, shared)."""
-    if industry.name == "yellow":
-        return _metered_measures(airport_fee=True, extra_payers_only=False)
-    if industry.name == "green":
-        return _metered_measures(airport_fee=False, extra_payers_only=True)
-    return _hv_measures()
+    """The measure list of A8 (yellow), A9 (green) or A10/A11 (hv, shared).
+
+    The column expressions depend only on the industry, so they are built once
+    per Spark application (each ``F.*`` call is a round trip to the JVM).
+    """
+    from pyspark.sql import SparkSession
+
+    active = SparkSession.getActiveSession()
+    key = (active.sparkContext.applicationId if active else None, industry.name)
+    if key not in _MEASURES:
+        if industry.name == "yellow":
+            m = _metered_measures(airport_fee=True, extra_payers_only=False)
+        elif industry.name == "green":
+            m = _metered_measures(airport_fee=False, extra_payers_only=True)
+        else:
+            m = _hv_measures()
+        _MEASURES[key] = m
+    return _MEASURES[key]
 
 
 def monthly_fares(df: DataFrame, industry: Industry) -> DataFrame:

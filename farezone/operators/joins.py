@@ -59,12 +59,15 @@ def with_zone_name(df: DataFrame, names: DataFrame, key: str = "id") -> DataFram
 
 
 def in_zone(df: DataFrame, members: DataFrame, key: str = "id") -> DataFrame:
-    """J5 / F7 for one zone: keep rows whose ``key`` is a member (semi join)."""
-    m = bounded_dimension(members.select(F.col("id").alias(key)).distinct())
+    """J5 / F7 for one zone: keep rows whose ``key`` is a member (semi join).
+
+    Semi and anti joins never duplicate left rows, so the membership side needs
+    no ``distinct`` (which would add a shuffle under the broadcast)."""
+    m = bounded_dimension(members.select(F.col("id").alias(key)))
     return df.join(m, key, "left_semi")
 
 
 def not_in_zone(df: DataFrame, members: DataFrame, key: str = "id") -> DataFrame:
     """Keep rows whose ``key`` is not a member; a NULL key counts as outside."""
-    m = bounded_dimension(members.select(F.col("id").alias(key)).distinct())
+    m = bounded_dimension(members.select(F.col("id").alias(key)))
     return df.join(m, key, "left_anti")
