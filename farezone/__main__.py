@@ -2,7 +2,7 @@
 
     python -m farezone --yellow 'root/yellow/*.parquet' --green ... --fhv ... --hvfhv ... \
         --bases 'root/bases/*.parquet' --zone-matrix idall.csv --zone-lookup lookup.parquet \
-        --out root/datahub [--asof 2022-06-25] [--daily-jdbc-url URL --daily-table T]
+        --out root/published [--asof 2022-06-25] [--daily-jdbc-url URL --daily-table T]
 
 On a cluster, submit with spark-submit; the session's settings (shuffle
 partitions, ``spark.checkpoint.dir`` on shared storage) are used as given.

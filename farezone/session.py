@@ -48,6 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> st
     (local tests), in a fresh scratch folder."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is not visible to other executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         d = default or tempfile.mkdtemp(prefix="farezone-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d

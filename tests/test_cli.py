@@ -25,7 +25,7 @@ def test_cli_monthly_run_on_files(spark):
     fixtures.bases(spark, SF_SMALL).write.parquet(f"{root}/bases")
     fixtures.zone_lookup(spark, SF_SMALL).write.parquet(f"{root}/lookup")
     fixtures.zone_matrix(spark, SF_SMALL).coalesce(1).write.option("header", True).csv(f"{root}/idall")
-    out = f"{root}/datahub"
+    out = f"{root}/published"
     asof = dt.date(2001, 1, 15)
     main(["--yellow", f"{root}/yellow", "--green", f"{root}/green", "--fhv", f"{root}/fhv",
           "--hvfhv", f"{root}/hvfhv", "--bases", f"{root}/bases", "--zone-matrix", f"{root}/idall",
