@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from farezone import config as C
 from farezone.config import Params
 from farezone.functions.labels import upper_strip
-from farezone.functions.timekeys import month_date
 from farezone.functions.money import exact_avg, exact_sum, to_minutes, zero_if_null
-from farezone.functions.timekeys import month_key
+from farezone.functions.timekeys import month_date, month_key, run_bounds
 from farezone.operators.fares import fare_expr, financial_trips
 from farezone.operators.filters import before_month
 from farezone.operators.joins import with_zone_name
@@ -38,15 +37,17 @@ def industry_financials(inputs: TripInputs, params: Params) -> DataFrame:
     """
     trips = inputs.trips()
     ind = params.industry
+    # months from the cutoff on are not published (F10): do not read them
+    _, cutoff = run_bounds(params.asof)
 
     def filtered(name, source):
         i = ind(name)
-        return financial_trips(trips[source], i, i.financials_start, i.financials_end,
+        return financial_trips(trips[source], i, i.financials_start, min(i.financials_end, cutoff),
                                params.fare_cap, params.distance_cap, params.time_cap_secs)
 
     parts = [_measure_rows(filtered(n, n), ind(n), F.lit(n)) for n in ("yellow", "green")]
     hv, sh = ind("hvfhv"), ind("shared")
-    if (hv.financials_start, hv.financials_end) == (sh.financials_start, sh.financials_end):
+    if (hv.financials_start, min(hv.financials_end, cutoff)) == (sh.financials_start, min(sh.financials_end, cutoff)):
         labels = F.explode(F.array(F.lit("hvfhv"), F.when(F.col("route_id").isNotNull(), F.lit("shared"))))
         parts.append(_measure_rows(filtered("hvfhv", "hvfhv"), hv, labels)
                      .filter(F.col("company").isNotNull()))

@@ -13,6 +13,8 @@ Plan shape (nothing collected; three shuffles in all):
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,6 +108,14 @@ def finish_mart(combined: DataFrame, names: DataFrame, params: Params) -> DataFr
                   .select("year_month", "id", "company", "Z", "Zone", "metric", "count"))
 
 
+def published_period(params: Params) -> Params:
+    """Move the publication cutoff (F10) into the scan: every mart row belongs to
+    one month, so trips of months that will not be published are never read.
+    The bound is on the raw hour key, so Parquet skips them (``PushedFilters``)."""
+    _, end = run_bounds(params.asof)
+    return replace(params, trips_end=min(params.trips_end, end))
+
+
 def trips_mart(inputs: TripInputs, params: Params, interim: bool = True) -> DataFrame:
     """C4: the published trips mart ``(year_month, id, company, Z, Zone, metric, count)``.
 
@@ -113,7 +123,7 @@ def trips_mart(inputs: TripInputs, params: Params, interim: bool = True) -> Data
     (S7) and its five consumers read it there: the trip scans run once, and a lost
     executor re-reads the table instead of rescanning the trips.
     """
-    od = industry_od(inputs.trips(), inputs.bases, params)
+    od = industry_od(inputs.trips(), inputs.bases, published_period(params))
     if interim:
         od = write_interim(od, "od")
     names = zone_names(inputs.zone_lookup)

@@ -30,7 +30,7 @@ def write_interim(df: DataFrame, name: str, path: str | None = None) -> DataFram
     spark = df.sparkSession
     out = path or f"{shared_dir(spark)}/interim/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+    return spark.read.schema(df.schema).parquet(out)
 
 
 def write_csv(df: DataFrame, path: str, order_by: list | None = None) -> None:
