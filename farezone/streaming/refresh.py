@@ -35,6 +35,16 @@ def default_od(industry: Industry, start: int, end: int) -> Callable[[DataFrame]
     return build
 
 
+def traditional_od(bases: DataFrame, start: int, end: int) -> Callable[[DataFrame], DataFrame]:
+    """A2 on a batch of fhv trips, joined to the (static) base list."""
+    from farezone.operators.aggregates import od_counts_traditional
+
+    def build(batch: DataFrame) -> DataFrame:
+        return od_counts_traditional(batch, bases, start, end)
+
+    return build
+
+
 def start_od_refresh(spark: SparkSession, trips_path: str, table: str, industry: Industry,
                      start: int, end: int, out_root: str, checkpoint: str,
                      od: Callable[[DataFrame], DataFrame] | None = None,

@@ -47,3 +47,21 @@ def test_relayout_prunes_month_folders(spark):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*year_month", p)
     assert df.count() == fixtures.yellow(spark, SF_SMALL).filter(F.expr("datetimeid div 10000 = 199903")).count()
+
+
+def test_refresh_traditional_fhv_with_bases(spark):
+    from farezone.operators.aggregates import od_counts_traditional
+    from farezone.streaming.refresh import traditional_od
+
+    ind = P.industry("no_hv")
+    src = tempfile.mkdtemp(prefix="fhv-")
+    fhv = fixtures.fhv(spark, SF_SMALL)
+    fhv.write.mode("overwrite").parquet(src)
+    bases = fixtures.bases(spark, SF_SMALL)
+    out, ckpt = tempfile.mkdtemp(prefix="od-"), tempfile.mkdtemp(prefix="ckpt-")
+    q = start_od_refresh(spark, src, "fhv", ind, ind.trips_start, P.trips_end, out, ckpt,
+                         od=traditional_od(bases, ind.trips_start, P.trips_end))
+    q.awaitTermination(300)
+    got = {tuple(r) for r in read_od(spark, out).collect()}
+    want = {tuple(r) for r in od_counts_traditional(fhv, bases, ind.trips_start, P.trips_end).collect()}
+    assert len(want) > 10 and got == want
