@@ -92,15 +92,6 @@ def shared_from_combined(combined: DataFrame) -> DataFrame:
                     .filter(F.col("count") > 0))
 
 
-def with_company(od: DataFrame, industry: str) -> DataFrame:
-    """The company column of an OD table -- the industry tag, or the
-    company name of an hv licence code."""
-    if "hvfhs_license_num" in od.columns:
-        return (od.withColumn("company", license_to_company("hvfhs_license_num"))
-                  .drop("hvfhs_license_num"))
-    return od.withColumn("company", F.lit(industry))
-
-
 def _trip_rows(trips: DataFrame, industry: Industry, start: int, end: int, company) -> DataFrame:
     """Filtered trips as ``(year_month, pulocationid, dolocationid, company, n)``."""
     t = filtered_trips(trips, industry, start, end)
