@@ -32,6 +32,8 @@ def main(argv=None) -> None:
     ap.add_argument("--zone-lookup", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--asof", type=dt.date.fromisoformat, default=dt.date.today())
+    ap.add_argument("--since", type=dt.date.fromisoformat,
+                    help="incremental: recompute and replace only months from this date on")
     ap.add_argument("--start", type=int, help="first hour key (YYYYMMDDHH) for every industry")
     ap.add_argument("--end", type=int, help="hour key after the last trip counted")
     ap.add_argument("--all-since", type=dt.date.fromisoformat, help="first month of the ALL rollup")
@@ -57,7 +59,7 @@ def main(argv=None) -> None:
     inputs = TripInputs.from_paths(
         spark, {"yellow": a.yellow, "green": a.green, "fhv": a.fhv, "hvfhv": a.hvfhv},
         a.bases, a.zone_matrix, a.zone_lookup, daily=daily)
-    print(json.dumps(run_monthly(inputs, params, a.out)))
+    print(json.dumps(run_monthly(inputs, params, a.out, since=a.since)))
 
 
 if __name__ == "__main__":

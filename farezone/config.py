@@ -153,6 +153,23 @@ class Params:
         return replace(self, trips_end=end, industries=industries)
 
 
+def _hour_key(d: _dt.date) -> int:
+    return int(d.strftime("%Y%m%d")) * 100
+
+
+def since(params: Params, first_month: _dt.date) -> Params:
+    """Only months from ``first_month`` on: every industry's start is raised to
+    it (an incremental run; earlier months stay as published)."""
+    hk = _hour_key(first_month.replace(day=1))
+    industries = {
+        n: replace(i, trips_start=max(i.trips_start, hk),
+                   financials_start=max(i.financials_start, hk) if i.has_measures else 0,
+                   fares_start=max(i.fares_start, hk) if i.has_measures else 0)
+        for n, i in params.industries.items()
+    }
+    return replace(params, industries=industries)
+
+
 def fixture_params() -> Params:
     """Parameters for the derived test views (see FIXTURES.md).
 

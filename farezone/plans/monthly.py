@@ -1,48 +1,67 @@
-"""The monthly run: every published table of the reference job, written once.
+"""The monthly run: every published table of the reference job.
 
-``run_monthly`` builds the four outputs and writes them through the sinks:
+``run_monthly`` builds the outputs and writes them through the sinks:
 
-* ``trips_updated/`` -- the trips mart plus the zone financials, one mart
-  partitioned by ``metric`` (S9: dynamic partition overwrite, so a rerun
-  replaces exactly its metrics; the reference appended to one CSV);
+* ``trips_updated/`` -- the trips mart plus the zone financials, one Parquet mart
+  partitioned by ``metric`` and ``year_month`` (S9: dynamic partition overwrite,
+  so a rerun replaces exactly its metrics and months; the reference appended to
+  one CSV);
 * ``{industry}_fare/`` and ``{industry}_fare_melt/`` -- wide and long fare
-  tables as CSV, newest month first (S8, O1);
+  tables as CSV, newest month first (S8, O1), exported from a small Parquet
+  store partitioned by month (``_store/``);
 * ``fhv3/`` -- traditional FHV monthly totals as CSV, newest month first.
 
-Nothing is collected to the driver; each output is one Spark job.
+Every published number is per month, so ``since`` turns the run incremental:
+the trip scans read only months from ``since`` on (pushed-down hour-key bound)
+and only those month partitions are replaced -- a monthly refresh reads one
+month of trips instead of the whole history (the reference's commented-out
+history splice, S10, done with partition overwrite instead of read-and-rewrite).
+
+Nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import functions as F
 
-from farezone.config import Params
-from farezone.operators.ordering import sort_desc, sort_keys
-from farezone.plans.fares import monthly_fares_tables
+from farezone.config import Params, since as since_params
+from farezone.operators.ordering import sort_desc
+from farezone.plans.fares import fares_long, fares_wide
 from farezone.plans.fhv import traditional_fhv_totals
 from farezone.plans.financials import zone_financials_mart
 from farezone.plans.inputs import TripInputs
 from farezone.plans.trips import trips_mart
-from farezone.sources.sinks import extend_mart, write_csv
+from farezone.sources.sinks import extend_mart, write_csv, write_partitions
 
 FARE_INDUSTRIES = ("yellow", "green", "hvfhv")
 
 
-def run_monthly(inputs: TripInputs, params: Params, out_dir: str, fmt: str = "parquet") -> dict:
-    """Write every output under ``out_dir``; returns the paths written."""
+def run_monthly(inputs: TripInputs, params: Params, out_dir: str, fmt: str = "parquet",
+                since: _dt.date | None = None) -> dict:
+    """Write every output under ``out_dir``; returns the paths written.
+
+    With ``since``, only months from ``since`` on are recomputed and replaced.
+    """
+    p = params if since is None else since_params(params, since)
+    spark = inputs.yellow.sparkSession
     out = {}
     mart_path = f"{out_dir}/trips_updated"
-    mart = trips_mart(inputs, params).withColumn("count", F.col("count").cast("double"))
-    extend_mart(sort_keys(mart, "year_month", "id", "company", "Z", "Zone"), mart_path, fmt=fmt)
-    extend_mart(zone_financials_mart(inputs, params), mart_path, fmt=fmt)
+    mart = trips_mart(inputs, p).withColumn("count", F.col("count").cast("double"))
+    extend_mart(mart, mart_path, fmt=fmt)
+    extend_mart(zone_financials_mart(inputs, p), mart_path, fmt=fmt)
     out["trips_updated"] = mart_path
     for ind in FARE_INDUSTRIES:
-        wide, long = monthly_fares_tables(inputs, params, ind)
-        write_csv(sort_desc(wide, "year_month"), f"{out_dir}/{ind}_fare")
-        write_csv(sort_desc(long, "year_month"), f"{out_dir}/{ind}_fare_melt")
+        wide = fares_wide(inputs, p, ind)
+        store = f"{out_dir}/_store/{ind}_fare"
+        write_partitions(wide, store, "year_month")
+        published = spark.read.parquet(store).select(*wide.columns)
+        write_csv(sort_desc(published, "year_month"), f"{out_dir}/{ind}_fare")
+        write_csv(sort_desc(fares_long(published), "year_month"), f"{out_dir}/{ind}_fare_melt")
         out[f"{ind}_fare"] = f"{out_dir}/{ind}_fare"
         out[f"{ind}_fare_melt"] = f"{out_dir}/{ind}_fare_melt"
     if inputs.daily is not None:
-        write_csv(sort_desc(traditional_fhv_totals(inputs.daily, params), "year_month"), f"{out_dir}/fhv3")
+        write_csv(sort_desc(traditional_fhv_totals(inputs.daily, p), "year_month"), f"{out_dir}/fhv3")
         out["fhv3"] = f"{out_dir}/fhv3"
     return out

@@ -47,28 +47,41 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
-def extend_mart(df: DataFrame, mart_path: str, partition_col: str = "metric",
-                fmt: str = "parquet") -> None:
-    """Add or replace the metrics in ``df`` inside the published mart.
-
-    The mart is partitioned by ``metric``; dynamic partition overwrite replaces
-    exactly the partitions present in ``df`` and leaves the others, so running
-    the extension twice gives the same files (the reference re-read and
-    rewrote one CSV, appending the metrics again on every run).
-    """
+def write_partitions(df: DataFrame, path: str, partition_by, fmt: str = "parquet",
+                     sort_within=None) -> None:
+    """Replace exactly the partitions present in ``df`` (dynamic partition
+    overwrite) and leave the others: reruns are idempotent, and a run that
+    computes only new months rewrites only those months."""
     spark = df.sparkSession
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        w = df.write.mode("overwrite").partitionBy(partition_col)
+        # published tables are aggregates: one writing task (one file) per partition
+        data = df.repartition(*cols)
+        if sort_within:
+            data = data.sortWithinPartitions(*sort_within)
+        w = data.write.mode("overwrite").partitionBy(*cols)
         if fmt == "parquet":
-            w.parquet(mart_path)
+            w.parquet(path)
         else:
-            w.option("header", True).csv(mart_path)
+            w.option("header", True).csv(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def extend_mart(df: DataFrame, mart_path: str, partition_by=("metric", "year_month"),
+                fmt: str = "parquet", sort_within=("id", "company", "Z")) -> None:
+    """Add or replace the metrics (and months) in ``df`` inside the published mart.
+
+    The mart is partitioned by ``metric`` and ``year_month``; only the partitions
+    present in ``df`` are replaced, so running the extension twice gives the same
+    files (the reference re-read and rewrote one CSV, appending the metrics again
+    on every run), and an incremental run replaces only its months.
+    """
+    write_partitions(df, mart_path, partition_by, fmt, sort_within)
+
+
 def splice_history(hist: DataFrame, new: DataFrame, cutoff, col: str = "year_month") -> DataFrame:
     """Cached history before ``cutoff`` plus newly computed months from it on.
 

@@ -1,27 +1,50 @@
-"""The monthly run writes every output, and a rerun leaves the same mart."""
+"""The monthly run writes every output; a rerun leaves the same tables; an
+incremental run (only months from a date on) leaves the same tables too, and its
+trip scans start at that month."""
 
+import datetime as dt
+import re
 import tempfile
 
-from farezone.config import fixture_params
+from farezone.config import fixture_params, since
 from farezone.plans.inputs import TripInputs
 from farezone.plans.monthly import run_monthly
+from farezone.plans.trips import trips_mart
 from farezone.sources.readers import read_mart
 
 from conftest import SF_SMALL
 
 
-def test_monthly_run_is_idempotent(spark):
+def test_monthly_run_and_incremental_rerun(spark):
     out = tempfile.mkdtemp(prefix="monthly-")
+    params = fixture_params()
     inputs = TripInputs.from_fixtures(spark, SF_SMALL)
-    paths = run_monthly(inputs, fixture_params(), out)
+    paths = run_monthly(inputs, params, out)
     assert set(paths) == {"trips_updated", "yellow_fare", "yellow_fare_melt", "green_fare",
                           "green_fare_melt", "hvfhv_fare", "hvfhv_fare_melt", "fhv3"}
-    mart = read_mart(spark, paths["trips_updated"])
-    first = sorted(tuple(r) for r in mart.collect())
-    metrics = {r[5] for r in first}
-    assert metrics == {"Trips", "PickUps", "DropOffs", "Average Fare", "Total Fare",
-                       "Average Trip Time", "Average Trip Distance"}
-    run_monthly(inputs, fixture_params(), out)
-    assert sorted(tuple(r) for r in read_mart(spark, paths["trips_updated"]).collect()) == first
-    fares = spark.read.option("header", True).csv(paths["yellow_fare"])
-    assert "count_drivers" in fares.columns and fares.count() > 0
+
+    def snapshot():
+        mart = sorted(tuple(r) for r in read_mart(spark, paths["trips_updated"]).collect())
+        fares = {t: sorted(tuple(r) for r in spark.read.option("header", True).csv(paths[t]).collect())
+                 for t in ("yellow_fare", "green_fare_melt", "hvfhv_fare")}
+        return mart, fares
+
+    first = snapshot()
+    assert {r[5] for r in first[0]} == {"Trips", "PickUps", "DropOffs", "Average Fare", "Total Fare",
+                                        "Average Trip Time", "Average Trip Distance"}
+    assert len(first[1]["yellow_fare"]) > 0
+
+    # incremental rerun over the published tables: replaces months from 2000-06 on,
+    # leaves the earlier ones; the tables are the same (S9 idempotency: test_sinks)
+    run_monthly(inputs, params, out, since=dt.date(2000, 6, 1))
+    assert snapshot() == first
+
+
+def test_incremental_scans_start_at_since(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    inputs = TripInputs.from_fixtures(spark, SF_SMALL)
+    mart = trips_mart(inputs, since(fixture_params(), dt.date(2000, 6, 1)), interim=False)
+    p = mart._jdf.queryExecution().executedPlan().toString()
+    scans = [s for s in re.findall(r"FileScan parquet [^\n]*", p) if "datetimeid" in s]
+    assert len(scans) == 4
+    assert all(re.search(r"datetimeid#\d+L >= 2000060100", s) for s in scans)
