@@ -9,6 +9,7 @@ import tempfile
 from farezone.config import fixture_params, since
 from farezone.plans.inputs import TripInputs
 from farezone.plans.monthly import run_monthly
+from farezone.plans.slice import mart_slice
 from farezone.plans.trips import trips_mart
 from farezone.sources.readers import read_mart
 
@@ -30,6 +31,17 @@ def test_monthly_run_and_incremental_rerun(spark):
         return mart, fares
 
     first = snapshot()
+
+    # C8 on the published mart: metric and month filters prune partition folders
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    sl = mart_slice(read_mart(spark, paths["trips_updated"]), "Trips", zones=["Core"],
+                    start=dt.date(1999, 1, 1), end=dt.date(2000, 1, 1))
+    plan = sl._jdf.queryExecution().executedPlan().toString()
+    pf = re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)
+    assert "metric" in pf and "year_month" in pf
+    got = sl.collect()
+    assert got and all(r.metric == "Trips" and r.Z == "Core" and dt.date(1999, 1, 1) <= r.year_month
+                       < dt.date(2000, 1, 1) for r in got)
     assert {r[5] for r in first[0]} == {"Trips", "PickUps", "DropOffs", "Average Fare", "Total Fare",
                                         "Average Trip Time", "Average Trip Distance"}
     assert len(first[1]["yellow_fare"]) > 0
