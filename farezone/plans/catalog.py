@@ -131,7 +131,7 @@ def dropoffs_by_zone(spark, sf_dir):
 
 def citywide_trips(spark, sf_dir):
     inp, od = _od(spark, sf_dir)
-    return T._label(T.citywide_trips(A.pickups(od), inp.zone_matrix))
+    return T.label_rows(T.citywide_trips(A.pickups(od), inp.zone_matrix))
 
 
 def all_companies_q(spark, sf_dir):

@@ -1,8 +1,10 @@
 """Pipeline A: the trips mart.
 
-Plan shape (nothing collected; three shuffles in all):
+Plan shape (nothing collected; four shuffles in all, each over a partial aggregate):
 
-  trip scans (each read once) --union, partial agg--> OD        [shuffle 1]
+  trip scans (each read once; period and publication cutoff pushed to Parquet)
+     fhv: per-base partial agg --broadcast base list-->          [shuffle 0]
+     --union, partial agg--> OD                                  [shuffle 1]
      --> interim Parquet in the shared checkpoint folder (S7)
   OD --explode(pickup side, drop-off side), broadcast zone joins-->
      zone metrics: pickups, drop-offs, inbound per zone         [shuffle 2]
@@ -38,7 +40,7 @@ def trips_by_industry(od: DataFrame, matrix: DataFrame):
     return zone_volume(od, members), pickups(od), dropoffs(od)
 
 
-def _label(df: DataFrame) -> DataFrame:
+def label_rows(df: DataFrame) -> DataFrame:
     """Month key -> date; ``no_hv`` -> ``FHV``; upper-case (spaces stripped later)."""
     c = F.col("company")
     return (df.withColumn("year_month", month_date("year_month"))
@@ -48,7 +50,7 @@ def _label(df: DataFrame) -> DataFrame:
 
 def by_zone(marginal: DataFrame, matrix: DataFrame, names: DataFrame, metric: str) -> DataFrame:
     """Labelled pickups (or drop-offs) -> zone name -> every service zone."""
-    d = with_zone_name(_label(marginal), names)
+    d = with_zone_name(label_rows(marginal), names)
     return (expand_zones(d, zone_members(matrix), zone_col="Z")
             .withColumnRenamed("zone", "Zone")
             .withColumn("metric", F.lit(metric)))
@@ -80,7 +82,7 @@ def combined_metrics(od: DataFrame, matrix: DataFrame) -> DataFrame:
     rows = (zm.select("year_month", "id", "company", F.col("zone").alias("Z"), metrics)
               .select("year_month", "id", "company", "Z", "_m.count", "_m.metric")
               .filter(F.col("count").isNotNull()))
-    return _label(rows)
+    return label_rows(rows)
 
 
 def finish_mart(combined: DataFrame, names: DataFrame, params: Params) -> DataFrame:
@@ -119,9 +121,10 @@ def published_period(params: Params) -> Params:
 def trips_mart(inputs: TripInputs, params: Params, interim: bool = True) -> DataFrame:
     """C4: the published trips mart ``(year_month, id, company, Z, Zone, metric, count)``.
 
-    With ``interim`` the OD table is written once to the shared checkpoint folder
-    (S7) and its five consumers read it there: the trip scans run once, and a lost
-    executor re-reads the table instead of rescanning the trips.
+    With ``interim`` the OD table is written to the shared checkpoint folder (S7)
+    and the mart reads it from there: the lineage is cut after the trip scans, so
+    a lost executor (or a rerun of the downstream stages) re-reads a small table
+    instead of rescanning the trips.
     """
     od = industry_od(inputs.trips(), inputs.bases, published_period(params))
     if interim:
