@@ -93,7 +93,8 @@ def shared_from_combined(combined: DataFrame) -> DataFrame:
 
 
 def _trip_rows(trips: DataFrame, industry: Industry, start: int, end: int, company) -> DataFrame:
-    """Filtered trips as ``(year_month, pulocationid, dolocationid, company, n)``."""
+    """Filtered trips as ``(year_month, pulocationid, dolocationid, company, count)``,
+    ``count`` being 1 per trip with an hour key (``count(datetimeid)``)."""
     t = filtered_trips(trips, industry, start, end)
     return t.select(month_key("datetimeid").alias("year_month"), "pulocationid", "dolocationid",
                     company.alias("company"),
