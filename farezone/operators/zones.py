@@ -44,10 +44,9 @@ def zone_sides(od: DataFrame, members: DataFrame) -> DataFrame:
     m = bounded_dimension(members.select("id", "zone"))
     pu_in = bounded_dimension(members.select(F.col("id").alias("pulocationid"), "zone",
                                              F.lit(True).alias("_pu_in")))
-    side = F.explode(F.array(
+    sides = od.select(*od.columns, F.inline(F.array(
         F.struct(F.col("pulocationid").alias("id"), F.lit(True).alias("_pick")),
-        F.struct(F.col("dolocationid").alias("id"), F.lit(False).alias("_pick")))).alias("_side")
-    sides = od.select("*", side).select(*od.columns, "_side.id", "_side._pick")
+        F.struct(F.col("dolocationid").alias("id"), F.lit(False).alias("_pick")))))
     return sides.join(m, "id", "inner").join(pu_in, ["zone", "pulocationid"], "left")
 
 

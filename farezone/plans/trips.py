@@ -43,9 +43,8 @@ def trips_by_industry(od: DataFrame, matrix: DataFrame):
 def label_rows(df: DataFrame) -> DataFrame:
     """Month key -> date; ``no_hv`` -> ``FHV``; upper-case (spaces stripped later)."""
     c = F.col("company")
-    return (df.withColumn("year_month", month_date("year_month"))
-              .withColumn("company", F.upper(F.when(c == C.TRADITIONAL_TAG, F.lit(C.TRADITIONAL_LABEL))
-                                              .otherwise(c))))
+    label = F.upper(F.when(c == C.TRADITIONAL_TAG, F.lit(C.TRADITIONAL_LABEL)).otherwise(c))
+    return df.withColumns({"year_month": month_date("year_month"), "company": label})
 
 
 def by_zone(marginal: DataFrame, matrix: DataFrame, names: DataFrame, metric: str) -> DataFrame:
@@ -75,12 +74,11 @@ def combined_metrics(od: DataFrame, matrix: DataFrame) -> DataFrame:
     zm = zone_metrics(od, zone_members(matrix))
     pu, dr, inb = F.col("pickups"), F.col("dropoffs"), F.col("inbound")
     trips = F.when(F.col("zone") == C.CITYWIDE, pu).otherwise(pu + F.coalesce(inb, F.lit(0)))
-    metrics = F.explode(F.array(
+    metrics = F.inline(F.array(
         F.struct(F.lit(C.METRIC_TRIPS).alias("metric"), trips.alias("count")),
         F.struct(F.lit(C.METRIC_PICKUPS).alias("metric"), pu.alias("count")),
-        F.struct(F.lit(C.METRIC_DROPOFFS).alias("metric"), dr.alias("count")))).alias("_m")
+        F.struct(F.lit(C.METRIC_DROPOFFS).alias("metric"), dr.alias("count"))))
     rows = (zm.select("year_month", "id", "company", F.col("zone").alias("Z"), metrics)
-              .select("year_month", "id", "company", "Z", "_m.count", "_m.metric")
               .filter(F.col("count").isNotNull()))
     return label_rows(rows)
 
@@ -99,8 +97,8 @@ def finish_mart(combined: DataFrame, names: DataFrame, params: Params) -> DataFr
               & (F.col("year_month") >= F.lit(params.all_since)))
     own = to_sector(F.replace(comp, F.lit(" "), F.lit("")))
     labels = F.array(own, F.when(all_ok, F.lit(C.ALL_LABEL)))
-    rows = (combined.filter(F.col("year_month") < F.lit(last_month))
-                    .filter(F.col("id").isNotNull() & F.col("Z").isNotNull())
+    rows = (combined.filter((F.col("year_month") < F.lit(last_month))
+                            & F.col("id").isNotNull() & F.col("Z").isNotNull())
                     .select("year_month", "id", "Z", "metric", "count", F.explode(labels).alias("company"))
                     .filter(F.col("company").isNotNull()))
     summed = (final_sum(rows, keys=("year_month", "id", "company", "Z", "metric"))
