@@ -26,7 +26,6 @@ from farezone.functions.labels import to_sector
 from farezone.functions.timekeys import month_date, run_bounds
 from farezone.operators.aggregates import dropoffs, industry_od, pickups
 from farezone.operators.joins import bounded_dimension, in_zone, with_zone_name
-from farezone.operators.reshape import stack
 from farezone.operators.rollups import final_sum
 from farezone.operators.zones import expand_zones, zone_members, zone_metrics, zone_volume
 from farezone.plans.inputs import TripInputs

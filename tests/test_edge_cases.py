@@ -6,7 +6,6 @@ period and cutoff boundaries, duplicate base licence."""
 import datetime as dt
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

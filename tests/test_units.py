@@ -3,7 +3,6 @@
 import datetime as dt
 import tempfile
 
-from pyspark.sql import functions as F
 
 from farezone.functions.labels import label_company, license_to_company, to_sector
 from farezone.functions.timekeys import hour_key, month_date, month_key, run_bounds
