@@ -20,15 +20,27 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+_BOUND_CHECKS: dict = {}
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only if ``df`` has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows (a limited count), so it costs
     little even when the side is large; beyond the bound the plain DataFrame is
-    returned and the join shuffles.
+    returned and the join shuffles. For file sources the outcome is remembered
+    per application, keyed by the plan and its exact input file list (new or
+    different files mean a new check); other sources are checked every time.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    files = tuple(sorted(df.inputFiles()))
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, max_rows) if files else None
+    if key is not None and key in _BOUND_CHECKS:
+        small = _BOUND_CHECKS[key]
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _BOUND_CHECKS[key] = small
+    return F.broadcast(df) if small else df
 
 
 def bounded_dimension(df: DataFrame) -> DataFrame:
