@@ -7,6 +7,7 @@ import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farezone.sources import fixtures, readers
 from farezone.sources.sinks import shared_dir
@@ -24,12 +25,15 @@ def materialized_trip_views(spark: SparkSession, sf_dir: str) -> dict:
         if key not in _MATERIALIZED:
             root = f"{shared_dir(spark)}/fixtures/{uuid.uuid4().hex}"
             views = {}
+            # the join behind all views runs once; each view is a projection of its part
+            fixtures.joined_base(spark, sf_dir).write.partitionBy("view").parquet(f"{root}/_base")
+            base = spark.read.parquet(f"{root}/_base")
             # time-ordered files, like a folder of monthly trip files: scans run in
             # parallel and hour-key filters skip whole files by their min/max
             n = spark.sparkContext.defaultParallelism
-            for name, build in fixtures.TRIP_VIEWS.items():
+            for name, (_, shape) in fixtures.VIEW_RULES.items():
                 path = f"{root}/{name}"
-                (build(spark, sf_dir).repartitionByRange(n, "datetimeid")
+                (shape(base.filter(F.col("view") == name)).repartitionByRange(n, "datetimeid")
                  .sortWithinPartitions("datetimeid").write.mode("overwrite").parquet(path))
                 views[name] = readers.read_trips(spark, path, name)
             _MATERIALIZED[key] = views

@@ -44,13 +44,13 @@ def _trip_base(spark: SparkSession, sf_dir: str, priorities) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     o = (table(spark, sf_dir, "orders")
          .filter(F.col("o_orderpriority").isin(*priorities))
-         .select("o_orderkey", "o_custkey"))
+         .select("o_orderkey", "o_custkey", "o_orderpriority"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
               .join(c, F.col("o_custkey") == F.col("c_custkey"))
               .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
-              .select(hour_key("l_shipdate").alias("datetimeid"),
+              .select("o_orderpriority", hour_key("l_shipdate").alias("datetimeid"),
                       F.nullif(F.col("c_nationkey"), F.lit(7)).alias("pulocationid"),
                       F.nullif(F.col("s_nationkey"), F.lit(11)).alias("dolocationid"),
                       "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -87,13 +87,21 @@ def green(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fhv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _trip_base(spark, sf_dir, PRIORITY_FHV).select(
+    return _fhv_shape(_trip_base(spark, sf_dir, PRIORITY_FHV))
+
+
+def _fhv_shape(base: DataFrame) -> DataFrame:
+    return base.select(
         "datetimeid", "pulocationid", "dolocationid",
         F.concat(F.lit("B"), F.col("l_suppkey").cast("string")).alias("dispatching_base_num"))
 
 
 def hvfhv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _trip_base(spark, sf_dir, PRIORITY_HVFHV).select(
+    return _hv_shape(_trip_base(spark, sf_dir, PRIORITY_HVFHV))
+
+
+def _hv_shape(base: DataFrame) -> DataFrame:
+    return base.select(
         "datetimeid", "pulocationid", "dolocationid",
         F.concat(F.lit("HV000"), (F.lit(2) + F.pmod(F.col("l_linenumber"), F.lit(5))).cast("string"))
          .alias("hvfhs_license_num"),
@@ -166,3 +174,21 @@ def daily_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TRIP_VIEWS = {"yellow": yellow, "green": green, "fhv": fhv, "hvfhv": hvfhv}
+
+# view -> (order priorities, shape of the view over the joined base)
+VIEW_RULES = {
+    "yellow": (PRIORITY_YELLOW, lambda b: _metered(b, with_airport_fee=True)),
+    "green": (PRIORITY_GREEN, lambda b: _metered(b, with_airport_fee=False)),
+    "fhv": (PRIORITY_FHV, _fhv_shape),
+    "hvfhv": (PRIORITY_HVFHV, _hv_shape),
+}
+
+
+def joined_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join behind every trip view, once for all of them, tagged with its view."""
+    view = None
+    for name, (prios, _) in VIEW_RULES.items():
+        cond = F.col("o_orderpriority").isin(*prios)
+        view = F.when(cond, F.lit(name)) if view is None else view.when(cond, F.lit(name))
+    prios = [p for ps, _ in VIEW_RULES.values() for p in ps]
+    return _trip_base(spark, sf_dir, prios).withColumn("view", view)
