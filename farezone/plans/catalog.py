@@ -17,7 +17,7 @@ from farezone.config import fixture_params
 from farezone.operators import aggregates as A
 from farezone.operators.fares import financial_trips, zone_financials
 from farezone.operators.filters import in_period
-from farezone.operators.joins import trips_with_base
+from farezone.operators.joins import bounded_dimension, trips_with_base
 from farezone.operators.rollups import all_companies
 from farezone.operators.zones import inbound, zone_members, zone_volume
 from farezone.plans import trips as T
@@ -139,7 +139,7 @@ def all_companies_q(spark, sf_dir):
     inp, od = _od(spark, sf_dir)
     comb = T.combined_metrics(od, inp.zone_matrix)
     names = zone_names(inp.zone_lookup).withColumnRenamed("zone", "Zone")
-    comb = comb.join(F.broadcast(names), "id", "left")
+    comb = comb.join(bounded_dimension(names), "id", "left")
     return all_companies(comb, P.all_since)
 
 
