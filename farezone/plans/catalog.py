@@ -1,7 +1,7 @@
 """Registered queries: one per operator or plan, over the derived test views.
 
 Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole
-tables in ``sf_dir``. Names match the DuckDB oracle in ``oracle/duckdb_sql.py``.
+tables in ``sf_dir``. Names match the DuckDB oracle in ``farezone_oracle/duckdb_sql.py``.
 """
 
 from __future__ import annotations

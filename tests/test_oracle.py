@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from oracle.compare import compare, duck
+from farezone_oracle.compare import compare, duck
 
 from conftest import SF_SMALL
 
