@@ -87,3 +87,29 @@ def test_fhv_totals_one_shuffle_over_partial_aggregate(spark, inputs):
 
     pairs = _exchanges_over_aggregates(plan(traditional_fhv_totals(inputs.daily, P)))
     assert len(pairs) == 1 and "partial_sum" in pairs[0][1]
+
+
+def test_base_join_beyond_the_bound_shuffles_and_agrees(spark, inputs):
+    """Past the size bound the base list is not broadcast: the join shuffles
+    (sort-merge, with AQE's own broadcast switched off here), and the counts are
+    the same as with the broadcast."""
+    from farezone.operators.aggregates import od_counts_traditional
+
+    ind = P.industry("no_hv")
+    small = od_counts_traditional(inputs.fhv, inputs.bases, ind.trips_start, P.trips_end)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    prev_aqe = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = od_counts_traditional(inputs.fhv, inputs.bases, ind.trips_start, P.trips_end, max_base_rows=5)
+        p = plan(big)
+        assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+        from collections import Counter
+        assert Counter(tuple(r) for r in big.collect()) == Counter(tuple(r) for r in small.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        if prev_aqe is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", prev_aqe)
