@@ -71,27 +71,6 @@ def od_counts_by_license(hv: DataFrame, start: int, end: int, industry: Industry
     return od_counts(filtered_trips(hv, industry, start, end), "hvfhs_license_num")
 
 
-def od_counts_hv_and_shared(hv: DataFrame, start: int, end: int,
-                            industry: Industry = C.HVFHV) -> DataFrame:
-    """A3 and the shared-ride counts from **one** scan of the hv table.
-
-    Returns OD rows by licence with ``count`` (all rides) and ``shared_count``
-    (rides with a route id). :func:`shared_from_combined` derives the shared OD.
-    """
-    df = filtered_trips(hv, industry, start, end)
-    is_shared = F.col("route_id").isNotNull() & F.col("datetimeid").isNotNull()
-    return (df.groupBy(month_key("datetimeid").alias("year_month"), "pulocationid",
-                       "dolocationid", "hvfhs_license_num")
-              .agg(F.count("datetimeid").alias("count"),
-                   F.count_if(is_shared).alias("shared_count")))
-
-
-def shared_from_combined(combined: DataFrame) -> DataFrame:
-    """Shared-ride OD counts from :func:`od_counts_hv_and_shared` (zero rows dropped)."""
-    return (combined.groupBy(*OD_KEYS).agg(F.sum("shared_count").alias("count"))
-                    .filter(F.col("count") > 0))
-
-
 def _trip_rows(trips: DataFrame, industry: Industry, start: int, end: int, company) -> DataFrame:
     """Filtered trips as ``(year_month, pulocationid, dolocationid, company, count)``,
     ``count`` being 1 per trip with an hour key (``count(datetimeid)``)."""

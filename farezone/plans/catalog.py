@@ -69,9 +69,10 @@ def od_counts_by_license(spark, sf_dir):
 
 
 def od_counts_shared(spark, sf_dir):
-    """Shared-ride OD counts derived from the single hv scan."""
-    inp, ind = _trip_od(spark, sf_dir, "hvfhv")
-    return A.shared_from_combined(A.od_counts_hv_and_shared(inp.hvfhv, ind.trips_start, P.trips_end, ind))
+    """A1 + F4: shared-ride OD counts (in the trips mart the same rides come from
+    the single hv scan of ``industry_od``, see ``od_all_industries``)."""
+    inp, ind = _trip_od(spark, sf_dir, "shared")
+    return A.od_counts(A.filtered_trips(inp.hvfhv, ind, ind.trips_start, P.trips_end))
 
 
 def fhv_with_base(spark, sf_dir):
