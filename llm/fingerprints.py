@@ -38,15 +38,26 @@ def kmer_codes(text: Column) -> Column:
 def numbered(kmers: Column) -> Column:
     """Occurrence-numbered k-mers: register (6 bits), order value (31 bits) and place (26 bits).
 
-    Codes with their places are sorted, so equal k-mers stand together in text order and the
-    index inside the run is the occurrence number."""
+    Codes with their places are sorted, so equal k-mers stand together in text order. The first
+    of each run has number 0; the others, few in most texts, are numbered inside their runs."""
+    def same(s, i):
+        return F.shiftright(F.get(s, i), PLACE_BITS) == F.shiftright(F.get(s, i - 1), PLACE_BITS)
+
+    def element(v, n):
+        g = F.xxhash64(F.shiftright(v, PLACE_BITS), n)
+        return _bits(F.shiftrightunsigned(g, 1), ~_PLACE).bitwiseOR(_bits(v, _PLACE))
+
+    def repeats(s):
+        return let(F.filter(s, lambda v, i: F.coalesce(same(s, i), F.lit(False))), lambda d: F.when(
+            F.size(d) == 0, F.array().cast("array<bigint>")).otherwise(let(_run_starts(d, PLACE_BITS), lambda starts: F.flatten(
+                F.transform(starts, lambda start, r: F.transform(
+                    F.slice(d, start + 1, F.coalesce(F.get(starts, r + 1), F.size(d)) - start),
+                    lambda v, n: element(v, n + 1)))))))
+
     placed = F.sort_array(F.transform(kmers, lambda h, i: _bits(h, ~_PLACE).bitwiseOR(i.cast("long"))))
-    return let(placed, lambda s: let(_run_starts(s, PLACE_BITS), lambda starts: F.sort_array(F.flatten(F.transform(
-        starts, lambda start, r: F.transform(
-            F.slice(s, start + 1, F.coalesce(F.get(starts, r + 1), F.size(s)) - start),
-            lambda v, n: let(F.xxhash64(F.shiftright(v, PLACE_BITS), n), lambda g: F.shiftleft(
-                F.shiftleft(_bits(g, REGISTERS - 1), 31).bitwiseOR(F.shiftrightunsigned(g, 33)), PLACE_BITS)
-                .bitwiseOR(_bits(v, _PLACE)))))))))
+    return let(placed, lambda s: F.sort_array(F.concat(
+        F.transform(F.filter(s, lambda v, i: ~F.coalesce(same(s, i), F.lit(False))), lambda v: element(v, F.lit(0))),
+        repeats(s))))
 
 
 def _sparse(elements: Column, register: Column) -> Column:

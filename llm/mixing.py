@@ -118,18 +118,19 @@ def take_words(docs: DataFrame, **options) -> DataFrame:
     documents of which nothing is taken go. Columns as in the input.
 
     Rows equal in doc_id, text and source count as one document with their words together.
-    A source ends inside one document at most, so partial rows are as few as sources.
+    A source ends inside one document at most, so partial rows are as few as sources. The
+    texts are shuffled once, by document.
     """
-    key = ["doc_id", "source", "text_crc32"]
-    taken = (mix_sources(docs, **options).groupBy(*key).agg(F.max("size").alias("_size"), F.sum("taken").alias("_taken"))
-             .where("_taken > 0").select(*[F.col(c).alias(f"_{c}") for c in key], "_size", "_taken"))
-    crc = F.crc32(text_or_empty().cast("binary"))
-    once = docs.withColumn("_crc", crc).dropDuplicates(["doc_id", "source", "_crc"])
-    same = (F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source"))
-            & (F.col("_crc") == F.col("_text_crc32")))
-    both = once.join(taken, same)
-    whole = both.withColumn("_n", F.expr("cast(_taken div _size as int)")).where("_n > 0")
-    whole = whole.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
-    part = both.withColumn("_n", F.expr("cast(_taken % _size as int)")).where("_n > 0")
-    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_n")), " ")
-    return whole.unionByName(part.withColumn("text", first).select(*docs.columns))
+    d, k = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.coalesce(F.concat(F.lit("0"), "source"), F.lit("1"))
+    key = ["_d", "_k", "_crc"]
+    taken = (mix_sources(docs, **options).select(d.alias("_d"), k.alias("_k"), F.col("text_crc32").alias("_crc"), "size", "taken")
+             .groupBy(*key).agg(F.max("size").alias("_size"), F.sum("taken").alias("_taken")).where("_taken > 0"))
+    rows = docs.withColumns({"_d": d, "_k": k, "_crc": F.crc32(text_or_empty().cast("binary"))})
+    one = Window.partitionBy(*key).orderBy(*key)
+    both = rows.join(taken, key).withColumn("_nth", F.row_number().over(one)).where("_nth = 1")
+    copies = F.expr("sequence(1, cast((_taken + _size - 1) div _size as int))")
+    both = both.withColumn("_copy", F.explode(copies))
+    left = (F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
+    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), left), " ")
+    text = F.when(left >= F.col("_size"), F.col("text")).otherwise(first)
+    return both.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
