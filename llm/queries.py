@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from llm.common import table
+from llm.fingerprints import document_fingerprints
 from llm.line_dedup import MIN_SITES, MIN_WORDS, remove_shared_lines
 from llm.mixing import mix_sources
 from llm.near_dedup import near_duplicates
+from llm.nearest import nearest_vectors
 from llm.packing import pack_documents
 from llm.quality import score_documents
 from llm.sharding import byte_shards
+from llm.surrogates import replace_entities
 from llm.url_filters import RULES, rules_frame, url_verdicts
 
 
+#: Key of the registered surrogate query; a real run has its own secret.
+SURROGATE_KEY = "surrogates-of-the-registered-query"
+
+
+def op1_order_minhash(spark, sf_dir):
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op2_collision_counting(spark, sf_dir):
+    return nearest_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,6 +35,11 @@ def op4_byte_shards(spark, sf_dir):
     return byte_shards(table(spark, sf_dir, "documents"), 24)
 
 
+def op5_pii_surrogates(spark, sf_dir):
+    return (replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+            .select("doc_id", "text", "n_entities"))
+
+
 def op6_source_mixing(spark, sf_dir):
     return (mix_sources(table(spark, sf_dir, "documents"))
             .select("doc_id", "size", "source_size", "target", "taken"))
@@ -52,8 +70,11 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_order_minhash": op1_order_minhash,
+    "op2_collision_counting": op2_collision_counting,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_byte_shards": op4_byte_shards,
+    "op5_pii_surrogates": op5_pii_surrogates,
     "op6_source_mixing": op6_source_mixing,
     "op7_packing": op7_packing,
     "op8_url_filters": op8_url_filters,
