@@ -1,0 +1,303 @@
+"""Each operator on awkward rows and empty tables, and against plain versions."""
+
+import collections
+import hashlib
+import itertools
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from llm.fingerprints import DIGITS, REGISTERS, document_fingerprints, fingerprint
+from llm.line_dedup import remove_shared_lines
+from llm.mixing import mix_sources, shard_quotas, source_targets, take_words
+from llm.near_dedup import document_shingles, keep_one_of_each, near_duplicates, prob_minhash, probability_jaccard, shingle_weight
+from llm.packing import difference, pack_documents, pack_sizes
+from llm.sharding import byte_shards
+
+from llm_cases import SF_SMALL, awkward, empty, make_docs  # noqa: F401  fixtures
+
+
+# -- fingerprints ---------------------------------------------------------------
+
+def test_fingerprints_awkward(awkward):
+    out = {(r.doc_id, r.n_chars): r for r in document_fingerprints(awkward).collect()}
+    rows = document_fingerprints(awkward).collect()
+    assert len(rows) == awkward.count()
+    assert out[(4, 0)].fingerprint == "0" * (REGISTERS * DIGITS) == out[(5, 0)].fingerprint
+    same = {r.fingerprint for r in rows if r.doc_id in (1, 2)}
+    assert len(same) == 1
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
+
+
+def test_fingerprints_empty_and_single(empty, make_docs):
+    assert document_fingerprints(empty).count() == 0
+    only = document_fingerprints(make_docs([(1, "a b c d e f g", "en", "s", 1)])).first()
+    assert only.near_next == 1.0  # its own next document
+    assert only.edited_sha256 == hashlib.sha256(b"a b c d ea b ").hexdigest()
+
+
+def test_edited_texts_follow_descending_ids(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    got = {r.doc_id: r.edited_sha256 for r in document_fingerprints(docs).collect()}
+    ordered = sorted(docs.select("doc_id", "text").collect(), reverse=True, key=lambda r: r.doc_id)
+    for i, r in enumerate(ordered):
+        cut = len(r.text) // 3
+        edited = r.text[:len(r.text) - cut] + ordered[(i + 1) % len(ordered)].text[:cut]
+        assert got[r.doc_id] == hashlib.sha256(edited.encode()).hexdigest()
+
+
+def test_fingerprints_see_order_and_edits(spark):
+    words = [f"w{i}" for i in range(400)]
+    r = random.Random(3)
+    swapped = words[200:] + words[:200]
+    shuffled = words[:]
+    r.shuffle(shuffled)
+    some = words[:380] + [f"n{i}" for i in range(20)]
+    texts = [" ".join(x) for x in (words, some, swapped, shuffled)]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+           .orderBy("i").select(fingerprint(F.col("t"))).collect()]
+
+    def like(a, b):
+        return np.mean([a[i:i + DIGITS] == b[i:i + DIGITS] for i in range(0, len(a), DIGITS)])
+
+    near, moved, none = (like(got[0], g) for g in got[1:])
+    assert near > 0.7 and none < 0.1
+    # swapping the halves keeps every k-mer but turns the order of about half the pairs
+    assert 0.25 < moved < 0.75
+
+
+def test_repeats_are_numbered(spark):
+    a, b = "x y z " * 5, "x y z " * 60
+    fp = [r[0] for r in spark.createDataFrame([(a,), (b,)], "t string").select(fingerprint(F.col("t"))).collect()]
+    assert fp[0] != fp[1]
+
+
+# -- near duplicates --------------------------------------------------------------
+
+def plain_groups(docs, threshold=0.8):
+    """Union-find over all pairs, by the definition."""
+    def weights(text):
+        w = [x for x in re.split("[\x20\x09-\x0d]+", text or "") if x]
+        c = collections.Counter(" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else {}
+        return {k: 1 + math.log(v) for k, v in c.items()}
+
+    def similarity(a, b):
+        return sum(1 / sum(max(a.get(y, 0) / a[x], b.get(y, 0) / b[x]) for y in a.keys() | b.keys()) for x in a.keys() & b.keys())
+
+    ids = sorted({d for d, _ in docs})
+    texts = {d: t or "" for d, t in docs}
+    ws = {d: weights(texts[d]) for d in ids}
+    up = {d: d for d in ids}
+
+    def find(d):
+        while up[d] != d:
+            d = up[d]
+        return d
+
+    for a, b in itertools.combinations(ids, 2):
+        if texts[a] == texts[b] or (ws[a] and ws[b] and similarity(ws[a], ws[b]) >= threshold):
+            x, y = sorted((find(a), find(b)))
+            up[y] = x
+    return {d: find(d) for d in ids}
+
+
+def test_near_duplicates_equal_the_plain_version(make_docs):
+    r = random.Random(5)
+    docs = []
+    for g in range(6):
+        base = [f"g{g}w{r.randrange(300)}" for _ in range(120)]
+        for _ in range(9):
+            copy = base[:]
+            for _ in range(r.randrange(0, 7)):
+                copy[r.randrange(len(copy))] = f"e{r.randrange(10**6)}"
+            docs.append((len(docs), " ".join(copy)))
+        docs.append((len(docs), " ".join(base)))
+        docs.append((len(docs), " ".join(base)))
+    got = {r.doc_id: r.group_id for r in near_duplicates(make_docs([(d, t, "en", "s", 1) for d, t in docs])).collect()}
+    assert got == plain_groups(docs)
+
+
+def test_near_duplicates_awkward(awkward, empty):
+    rows = near_duplicates(awkward).collect()
+    assert len(rows) == awkward.count()
+    group = {r.doc_id: r.group_id for r in rows}
+    assert group[1] == group[2] == group[3] == 1 and group[4] == group[5] == 4 and group[6] == 6
+    assert all(r.kept and r.group_id is None for r in rows if r.doc_id is None)
+    kept = keep_one_of_each(awkward).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted({g for d, g in group.items() if d is not None})
+    assert kept[0]["label"] == "clash"
+    assert near_duplicates(empty).count() == 0 and keep_one_of_each(empty).count() == 0
+
+
+def test_signature_agreement_estimates_probability_jaccard():
+    texts = pa.array([" ".join(f"w{i}" for i in range(300)) + " a b c d e" * 4, " ".join(f"w{i}" for i in range(40, 340)) + " a b c d e" * 9])
+    (first, n, codes, doc, count), = list(document_shingles(texts))
+    w = shingle_weight(count)
+    sig = prob_minhash(codes, doc, w, 2, 4096)
+    exact = probability_jaccard(codes[doc == 0], w[doc == 0], codes[doc == 1], w[doc == 1])[0]
+    assert abs(float((sig[0] == sig[1]).mean()) - exact) < 0.03
+
+
+# -- shards -----------------------------------------------------------------------
+
+def test_shards(awkward, empty, spark):
+    rows = byte_shards(awkward, 3).collect()
+    assert len(rows) == awkward.count()
+    for s, g in itertools.groupby(sorted(rows, key=lambda r: (r.shard, r.slot)), key=lambda r: r.shard):
+        assert [r.slot for r in g] == list(range(sum(r.shard == s for r in rows)))
+    by = {r.doc_id: r for r in rows}
+    assert by[4].size == 8 and by[4].text_crc32 == 0
+    assert by[9].size == 8 + len("Üß 你好 мир 😀 é".encode()) and by[9].text_crc32 == zlib.crc32("Üß 你好 мир 😀 é".encode())
+    assert byte_shards(empty).count() == 0
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    sizes = collections.Counter()
+    for r in byte_shards(docs, 8).collect():
+        sizes[r.shard] += r.size
+    biggest = docs.select(F.max(F.octet_length("text"))).first()[0] + 8
+    assert max(sizes.values()) - min(sizes.values()) <= 2 * biggest
+    order = [r.shard for r in byte_shards(docs, 8).orderBy("doc_id").collect()]
+    assert order == sorted(order)  # contiguous
+
+
+# -- mixing -----------------------------------------------------------------------
+
+def plain_targets(sizes, weights=(1, 2, 3), limit=3):
+    keys = sorted(sizes, key=lambda k: (k is None, (k or "").encode()))
+    w = {k: weights[i % 3] for i, k in enumerate(keys)}
+    total, out, open_ = float(sum(sizes.values())), {}, set(keys)
+    while open_:
+        level = (total - sum(out.values())) / sum(w[k] for k in open_)
+        over = {k for k in open_ if w[k] * level >= limit * sizes[k]}
+        if not over:
+            return {**out, **{k: w[k] * level for k in open_}}
+        out.update({k: float(limit * sizes[k]) for k in over})
+        open_ -= over
+    return out
+
+
+def test_mix(spark, make_docs):
+    r = random.Random(1)
+    rows = [(i, " ".join("w" * r.randrange(1, 9) for _ in range(r.randrange(0, 400))), "en", r.choice(["a", "b", "b", "b", "c", None, "é", "Z"]), 1)
+            for i in range(300)] + [(999, "tiny source", "en", "t", 1)]
+    docs = make_docs(rows)
+    got = mix_sources(docs).collect()
+    sizes = collections.Counter()
+    for row in rows:
+        sizes[row[3]] += len(row[1].split())
+    want = plain_targets(sizes)
+    taken = collections.Counter()
+    for g in got:
+        assert g.source_size == sizes[g.source] and g.target == pytest.approx(want[g.source])
+        assert 0 <= g.taken <= 3 * g.size
+        taken[g.source] += g.taken
+    assert all(abs(taken[k] - want[k]) <= 2 * 64 for k in want)
+    again = {(g.doc_id, g.taken) for g in mix_sources(docs).collect()}
+    assert again == {(g.doc_id, g.taken) for g in got}
+    words = sum(len((x.text or "").split()) for x in take_words(docs).collect())
+    assert words == sum(g.taken for g in got)
+
+
+def test_sainte_lague_quotas(spark):
+    sizes = {"a": 5000, "b": 900, "c": 333, "d": 41, "e": 7000}
+    t = source_targets(spark.createDataFrame([("0" + k, v) for k, v in sizes.items()], "_k string, _s long"), max_repeat=10**6)
+    target = {r["_k"]: r.target for r in t.collect()}
+    blocks = round(sum(target.values()) / 64)
+    won = collections.Counter()
+    for _ in range(blocks):  # highest quotient first, ties to the earlier source
+        won[max(sorted(target), key=lambda k: target[k] / (2 * won[k] + 1))] += 1
+    quotas = shard_quotas(t, 64, 8).collect()
+    assert {k: sum(q.quota for q in quotas if q["_k"] == k) for k in target} == {k: won[k] for k in target}
+    assert all(q.quota >= 0 for q in quotas)
+    per_shard = [sum(q.quota for q in quotas if q.mix_shard == s) for s in range(1, 9)]
+    assert sum(per_shard) == blocks and max(per_shard) - min(per_shard) <= 1
+
+
+def test_mix_awkward(awkward, empty):
+    rows = mix_sources(awkward).collect()
+    assert len(rows) == awkward.count()
+    assert all(r.size == 0 and r.taken == 0 for r in rows if r.doc_id in (4, 5, 6))
+    assert mix_sources(empty).count() == 0 and take_words(empty).count() == 0
+    assert take_words(awkward).columns == awkward.columns
+
+
+# -- packing ----------------------------------------------------------------------
+
+def check_packed(rows, window=2048):
+    for _, g in itertools.groupby(sorted(rows, key=lambda r: (r.sequence_id, r.offset)), key=lambda r: r.sequence_id):
+        at = 0
+        for r in g:
+            assert r.offset == at
+            at += r.length
+        assert at <= window
+
+
+def test_packing_round_trip(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = pack_documents(docs).collect()
+    check_packed(rows)
+    tok = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    tok.encode_special_tokens = True
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r.doc_id].append(r)
+    for d in docs.collect():
+        ids = tok.encode(d.text, add_special_tokens=False).ids + [1]
+        pieces = sorted(by[d.doc_id], key=lambda r: r.start)
+        assert [p.start for p in pieces] == list(np.cumsum([0] + [p.length for p in pieces])[:-1])
+        assert sum(p.length for p in pieces) == len(ids) == pieces[0].doc_tokens
+        for p in pieces:
+            assert p.ids_crc32 == zlib.crc32(np.array(ids[p.start:p.start + p.length], "<u4").tobytes())
+    used = sum(r.length for r in rows)
+    assert used / (2048 * len({r.sequence_id for r in rows})) > 0.95
+
+
+def test_packing_awkward(awkward, empty):
+    rows = pack_documents(awkward).collect()
+    check_packed(rows)
+    assert sum(r.doc_id is None for r in rows) == 2 and sum(r.doc_id == 3 for r in rows) == 2
+    assert [r.length for r in rows if r.doc_id in (4, 5)] == [1, 1]
+    assert pack_documents(empty).count() == 0
+
+
+def test_differencing():
+    parts = difference([8, 7, 6, 5, 4], 2)
+    assert sorted(sum([8, 7, 6, 5, 4][i] for i in p) for p in parts) == [14, 16]
+    r = random.Random(2)
+    sizes = [r.randrange(1, 513) for _ in range(400)]
+    packed = pack_sizes(sizes, 2048)
+    assert sorted(i for p in packed for i in p) == list(range(400))
+    sums = [sum(sizes[i] for i in p) for p in packed]
+    assert max(sums) <= 2048 and max(sums) - min(sums) < 64
+    assert len(pack_sizes([1500, 1500, 1500], 2048)) == 3  # two windows would do by size alone
+
+
+# -- lines ------------------------------------------------------------------------
+
+def test_lines(make_docs, awkward, empty):
+    rows = [(i, f"shared line number one\nown line of {i} here\nshared  \nshared line number one\nlast line with site {i % 4}", "en", f"s{i % 6}", 1)
+            for i in range(12)]
+    out = {r.doc_id: r for r in remove_shared_lines(make_docs(rows)).collect()}
+    assert out[0].text.split("\n").count("shared line number one") == 1 and out[0].removed_lines == 1
+    assert out[5].text == f"own line of 5 here\nshared  \nlast line with site {5 % 4}" and out[5].n_lines == 5
+    rows = remove_shared_lines(awkward, min_sites=2).collect()
+    assert len(rows) == awkward.count()
+    by = {r.doc_id: r for r in rows}
+    assert by[4].text is None and by[4].n_lines == 0 and by[5].text == "" and by[5].n_lines == 1
+    assert by[2].text == "" and by[2].removed_lines == 1  # kept once, with the null doc_id
+    assert by[11].text == "other words here"
+    assert remove_shared_lines(empty).count() == 0
+
+
+def test_exact_counts_near_the_threshold(make_docs):
+    for sites, gone in ((4, 0), (5, 4), (6, 5)):
+        rows = [(i, "a line on some sites", "en", f"s{i}", 1) for i in range(sites)]
+        assert sum(r.removed_lines for r in remove_shared_lines(make_docs(rows), min_sites=5).collect()) == gone
