@@ -39,8 +39,11 @@ def main(argv=None) -> None:
     ap.add_argument("--all-since", type=dt.date.fromisoformat, help="first month of the ALL rollup")
     ap.add_argument("--fare-cap", type=float)
     ap.add_argument("--distance-cap", type=float)
+    ap.add_argument("--fmt", choices=("parquet", "csv"), default="parquet", help="format of the published mart")
     ap.add_argument("--daily-jdbc-url")
     ap.add_argument("--daily-table")
+    ap.add_argument("--daily-option", action="append", default=[], metavar="KEY=VALUE",
+                    help="JDBC option of the daily table (user, password, driver, partitionColumn, ...); repeatable")
     a = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -48,18 +51,18 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName("farezone-monthly").getOrCreate()
     ensure_checkpoint_dir(spark)
     params = Params(asof=a.asof)
-    if a.start is not None and a.end is not None:
-        params = params.with_period(a.start, a.end)
+    params = params.with_period(a.start, a.end)  # each bound by itself
     overrides = {k: v for k, v in (("all_since", a.all_since), ("fare_cap", a.fare_cap),
                                    ("distance_cap", a.distance_cap)) if v is not None}
     params = replace(params, **overrides)
     daily = None
     if a.daily_jdbc_url and a.daily_table:
-        daily = read_daily_indicators(spark, a.daily_jdbc_url, a.daily_table, run_bounds(a.asof)[1])
+        daily = read_daily_indicators(spark, a.daily_jdbc_url, a.daily_table, run_bounds(a.asof)[1],
+                                      dict(o.split("=", 1) for o in a.daily_option))
     inputs = TripInputs.from_paths(
         spark, {"yellow": a.yellow, "green": a.green, "fhv": a.fhv, "hvfhv": a.hvfhv},
         a.bases, a.zone_matrix, a.zone_lookup, daily=daily)
-    print(json.dumps(run_monthly(inputs, params, a.out, since=a.since)))
+    print(json.dumps(run_monthly(inputs, params, a.out, fmt=a.fmt, since=a.since)))
 
 
 if __name__ == "__main__":

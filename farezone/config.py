@@ -10,6 +10,8 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field, replace
 
+from farezone.functions.timekeys import run_bounds
+
 # ---------------------------------------------------------------------------
 # Fixed values. These must equal the published dashboard's labels and rules,
 # so they are stated as plain text, in their natural order.
@@ -69,7 +71,7 @@ IMPROVEMENT_SURCHARGE = 0.30
 DEFAULT_FARE_CAP = 250
 DEFAULT_DISTANCE_CAP = 100
 DEFAULT_TIME_CAP_SECS = 7200
-DEFAULT_TRIPS_END = 2022060100
+PUBLISHED_TRIPS_END = 2022060100
 DEFAULT_ALL_SINCE = _dt.date(2017, 6, 1)
 
 
@@ -95,23 +97,25 @@ class Industry:
     # history start per use (hour key)
     trips_start: int = 0
     financials_start: int = 0
+    # 0: up to the run's publication bound
     financials_end: int = 0
     fares_start: int = 0
 
 
+# The first month of each industry's published history.
 METERED = dict(distance="trip_distance", fare="total_amount", seconds="trip_time_in_secs")
 HIGH_VOLUME = dict(distance="trip_miles", fare="base_passenger_fare", seconds="trip_time")
 
 YELLOW = Industry("yellow", **METERED, trips_start=2011010100,
-                  financials_start=2011010100, financials_end=2011020100, fares_start=2011010100)
+                  financials_start=2011010100, fares_start=2011010100)
 GREEN = Industry("green", **METERED, trips_start=2014010100,
-                 financials_start=2014010100, financials_end=2014020100, fares_start=2014010100)
+                 financials_start=2014010100, fares_start=2014010100)
 FHV = Industry("no_hv", distance="", fare="", seconds="", has_measures=False,
                trips_start=2015010100)
 HVFHV = Industry("hvfhv", **HIGH_VOLUME, company_col="hvfhs_license_num", trips_start=2019020100,
-                 financials_start=2019020100, financials_end=2019030100, fares_start=2019020100)
+                 financials_start=2019020100, fares_start=2019020100)
 SHARED = Industry("shared", **HIGH_VOLUME, shared_only=True, trips_start=2019020100,
-                  financials_start=2019020100, financials_end=2019030100, fares_start=2019020100)
+                  financials_start=2019020100, fares_start=2019020100)
 
 INDUSTRIES = {i.name: i for i in (YELLOW, GREEN, FHV, HVFHV, SHARED)}
 
@@ -123,10 +127,15 @@ INDUSTRIES = {i.name: i for i in (YELLOW, GREEN, FHV, HVFHV, SHARED)}
 
 @dataclass(frozen=True)
 class Params:
-    """Everything a run depends on. ``asof`` replaces "today" so runs repeat."""
+    """Everything a run depends on. ``asof`` replaces "today" so runs repeat.
+
+    Ends that aren't given follow from ``asof``: trips and financials are read up to the
+    last month it publishes, so a later run takes in later months by itself
+    (``PUBLISHED_TRIPS_END`` is the fixed end that the first published history had).
+    """
 
     asof: _dt.date
-    trips_end: int = DEFAULT_TRIPS_END
+    trips_end: int = 0
     all_since: _dt.date = DEFAULT_ALL_SINCE
     fare_cap: float = DEFAULT_FARE_CAP
     distance_cap: float = DEFAULT_DISTANCE_CAP
@@ -137,20 +146,25 @@ class Params:
     # per-industry overrides of the history bounds: name -> Industry
     industries: dict = field(default_factory=lambda: dict(INDUSTRIES))
 
+    def __post_init__(self):
+        if not self.trips_end:
+            object.__setattr__(self, "trips_end", run_bounds(self.asof)[1])
+
     def industry(self, name: str) -> Industry:
         return self.industries[name]
 
-    def with_period(self, start: int, end: int) -> "Params":
+    def with_period(self, start: int | None = None, end: int | None = None) -> "Params":
         """Every industry reads hour keys in ``[start, end)`` (trips, zone
-        financials; fares from ``start`` up to the run bound) -- for backfills."""
-        industries = {
-            n: replace(i, trips_start=start,
-                       financials_start=start if i.has_measures else 0,
-                       financials_end=end if i.has_measures else 0,
-                       fares_start=start if i.has_measures else 0)
-            for n, i in self.industries.items()
-        }
-        return replace(self, trips_end=end, industries=industries)
+        financials; fares from ``start`` up to the run bound) -- for backfills.
+        A bound that isn't given stays as it is."""
+        def bounded(i: Industry) -> Industry:
+            if start is not None:
+                i = replace(i, trips_start=start, financials_start=start if i.has_measures else 0,
+                            fares_start=start if i.has_measures else 0)
+            return i if end is None else replace(i, financials_end=end if i.has_measures else 0)
+
+        industries = {n: bounded(i) for n, i in self.industries.items()}
+        return replace(self, trips_end=self.trips_end if end is None else end, industries=industries)
 
 
 def _hour_key(d: _dt.date) -> int:

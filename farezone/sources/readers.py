@@ -1,7 +1,8 @@
 """Readers (S1-S6): trip tables, base list, zone matrix and names, daily indicators.
 
-Every reader declares its schema (no inference pass over 100 TB), so Parquet
-column pruning and predicate pushdown apply from the first scan.
+Trip files keep their own physical types: ids and money are cast to the declared types
+after the scan (a value that doesn't fit fails the read, it never becomes NULL), so the hour
+key's filter and column pruning still reach Parquet. The other readers declare their schema.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _MONEY = T.DecimalType(12, 2)
-_FEE = T.DecimalType(4, 2)
+_FEE = _MONEY
 
 
 def _f(name, t, nullable=True):
@@ -56,9 +57,35 @@ def read_trips(spark: SparkSession, path: str, industry: str) -> DataFrame:
     """Every monthly Parquet file of one industry (``path`` may be a glob).
 
     ``industry`` is one of ``yellow``, ``green``, ``fhv``, ``hvfhv`` (the shared
-    rides live in the hvfhv files). Files lacking a declared column read it as NULL.
+    rides live in the hvfhv files). The files' footers give the physical types (one
+    footer is read); a declared column that they lack is NULL, others are ignored.
+    Money is rounded to cents.
     """
-    return spark.read.schema(TRIP_SCHEMAS[industry]).parquet(path)
+    files = spark.read.parquet(path)
+    return files.select(*[checked_cast(files, f) for f in TRIP_SCHEMAS[industry].fields])
+
+
+# integer types from narrow to wide: a cast to a wider one can't fail, and Spark
+# unwraps it in a comparison, so that filters are still pushed down
+_INTEGERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+
+
+def checked_cast(df: DataFrame, field: T.StructField):
+    """``field`` of ``df`` in its declared type: NULL where ``df`` lacks it, an error for a
+    value that the type can't hold (also where ANSI mode is off)."""
+    if field.name not in df.columns:
+        return F.lit(None).cast(field.dataType).alias(field.name)
+    col, have = F.col(field.name), df.schema[field.name].dataType
+    if have == field.dataType:
+        return col
+    if have in _INTEGERS and field.dataType in _INTEGERS and _INTEGERS.index(have) < _INTEGERS.index(field.dataType):
+        return col.cast(field.dataType).alias(field.name)
+    cast = col.try_cast(field.dataType)
+    lost = col.isNotNull() & cast.isNull()
+    if isinstance(field.dataType, T.IntegralType):  # a fraction would be cut off
+        lost = lost | (cast != col)
+    message = F.concat(F.lit(f"{field.name} doesn't fit {field.dataType.simpleString()}: "), col.cast("string"))
+    return F.when(lost, F.raise_error(message).cast(field.dataType)).otherwise(cast).alias(field.name)
 
 
 def read_bases(spark: SparkSession, path: str) -> DataFrame:
