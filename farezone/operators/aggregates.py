@@ -16,7 +16,6 @@ from farezone.config import Industry, Params
 from farezone.functions.labels import license_to_company
 from farezone.functions.timekeys import month_key
 from farezone.operators.filters import company_in, company_not_in, in_period, shared_only, valid_trip
-from farezone.operators.joins import broadcast_if_bounded, MAX_BROADCAST_ROWS
 
 OD_KEYS = ("year_month", "pulocationid", "dolocationid")
 
@@ -38,31 +37,31 @@ def filtered_trips(trips: DataFrame, industry: Industry, start: int, end: int) -
     return shared_only(df) if industry.shared_only else df
 
 
-def od_with_base(fhv: DataFrame, bases: DataFrame, start: int, end: int,
-                 max_base_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """fhv OD counts per dispatching base, joined to the base list.
+def fhv_rows(fhv: DataFrame, bases: DataFrame, start: int, end: int) -> DataFrame:
+    """fhv trips in the period with their base's company (J1), as rows ``(year_month,
+    pulocationid, dolocationid, company, count)``.
 
-    Trips are aggregated per (month, pickup, drop-off, base) before the join, so
-    the join sees one row per key instead of one per trip (Catalyst does not push
-    aggregation below a join by itself); duplicate ``lic_no`` rows still multiply
-    the counts exactly as a join of the raw trips would.
+    The base list is reduced to ``(lic_no, company, n)`` first, so a duplicate licence
+    multiplies its trips (``count`` is n) without multiplying rows. The join is map-side for
+    any list that Spark broadcasts; aggregating per base before it would shuffle nearly every
+    trip (a base, month and zone pair rarely recur), so nothing is aggregated before the join.
     """
-    per_base = od_counts(in_period(fhv, start, end), "dispatching_base_num")
-    b = broadcast_if_bounded(bases.select("lic_no", "company"), max_base_rows)
-    return per_base.join(b, per_base["dispatching_base_num"] == b["lic_no"], "inner")
+    b = bases.groupBy("lic_no", "company").agg(F.count(F.lit(1)).alias("_n"))
+    t = in_period(fhv, start, end)
+    return (t.join(b, t["dispatching_base_num"] == b["lic_no"], "inner")
+             .select(month_key("datetimeid").alias("year_month"), "pulocationid", "dolocationid", "company",
+                     F.when(F.col("datetimeid").isNotNull(), F.col("_n")).otherwise(F.lit(0)).alias("count")))
 
 
-def od_counts_traditional(fhv: DataFrame, bases: DataFrame, start: int, end: int,
-                          max_base_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def od_counts_traditional(fhv: DataFrame, bases: DataFrame, start: int, end: int) -> DataFrame:
     """A2: fhv OD counts for companies outside the high-volume four (NULL dropped)."""
-    j = company_not_in(od_with_base(fhv, bases, start, end, max_base_rows), C.HV_COMPANIES)
+    j = company_not_in(fhv_rows(fhv, bases, start, end), C.HV_COMPANIES)
     return j.groupBy(*OD_KEYS).agg(F.sum("count").alias("count"))
 
 
-def od_counts_old_hv(fhv: DataFrame, bases: DataFrame, start: int, end: int,
-                     max_base_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def od_counts_old_hv(fhv: DataFrame, bases: DataFrame, start: int, end: int) -> DataFrame:
     """A4: fhv OD counts by company for the high-volume four (before the hv table)."""
-    j = company_in(od_with_base(fhv, bases, start, end, max_base_rows), C.HV_COMPANIES)
+    j = company_in(fhv_rows(fhv, bases, start, end), C.HV_COMPANIES)
     return j.groupBy(*OD_KEYS, "company").agg(F.sum("count").alias("count"))
 
 
@@ -71,49 +70,71 @@ def od_counts_by_license(hv: DataFrame, start: int, end: int, industry: Industry
     return od_counts(filtered_trips(hv, industry, start, end), "hvfhs_license_num")
 
 
-def _trip_rows(trips: DataFrame, industry: Industry, start: int, end: int, company) -> DataFrame:
-    """Filtered trips as ``(year_month, pulocationid, dolocationid, company, count)``,
-    ``count`` being 1 per trip with an hour key (``count(datetimeid)``)."""
+def _trip_rows(trips: DataFrame, industry: Industry, start: int, end: int, company, shared=None) -> DataFrame:
+    """Filtered trips as ``(year_month, pulocationid, dolocationid, company, count, shared)``:
+    ``count`` is 1 for a trip with an hour key (``count(datetimeid)``), and so is ``shared`` if
+    the trip also counts as a shared ride."""
     t = filtered_trips(trips, industry, start, end)
+    one = F.col("datetimeid").isNotNull()
     return t.select(month_key("datetimeid").alias("year_month"), "pulocationid", "dolocationid",
-                    company.alias("company"),
-                    F.col("datetimeid").isNotNull().cast("long").alias("count"))
+                    company.alias("company"), one.cast("long").alias("count"),
+                    (one & (F.lit(False) if shared is None else shared)).cast("long").alias("shared"))
 
 
-def industry_od(trips: dict, bases: DataFrame, params: Params) -> DataFrame:
-    """All five OD tables, each with its company, as one table ``(year_month,
-    pulocationid, dolocationid, company, count)``, unique per key.
+def industry_rows(trips: dict, bases: DataFrame, params: Params) -> DataFrame:
+    """The trips of all industries as rows, one for each trip (see :func:`_trip_rows`), unioned.
 
-    Plan: the filtered trip scans are unioned and summed by **one** aggregation
-    (partial aggregation in every scan task, one shuffle). The hv table is read
-    once: each ride is emitted under its company and, if it has a route id, under
-    ``shared`` as well (when the hv and shared bounds agree). fhv rides are
-    pre-aggregated per base before the base join (:func:`od_with_base`).
-    """
+    The hv table is read once: a ride with a route id is flagged ``shared`` (when the hv and
+    shared bounds agree), and becomes a second row only after it has been summed."""
     ind = params.industry
     y, g, hv, sh = ind("yellow"), ind("green"), ind("hvfhv"), ind("shared")
     end = params.trips_end
+    trad = company_not_in(fhv_rows(trips["fhv"], bases, ind(C.TRADITIONAL_TAG).trips_start, end), C.HV_COMPANIES)
+    hv_company = license_to_company("hvfhs_license_num")
     parts = [
         _trip_rows(trips["yellow"], y, y.trips_start, end, F.lit("yellow")),
         _trip_rows(trips["green"], g, g.trips_start, end, F.lit("green")),
+        trad.select(*OD_KEYS, F.lit(C.TRADITIONAL_TAG).alias("company"), "count", F.lit(0).cast("long").alias("shared")),
     ]
-    # per-base counts of traditional companies; the union's aggregation sums them
-    trad = company_not_in(od_with_base(trips["fhv"], bases, ind(C.TRADITIONAL_TAG).trips_start, end),
-                          C.HV_COMPANIES)
-    parts.append(trad.select(*OD_KEYS, F.lit(C.TRADITIONAL_TAG).alias("company"), "count"))
-    hv_company = license_to_company("hvfhs_license_num")
     if hv.trips_start == sh.trips_start and hv.has_measures == sh.has_measures:
-        labels = F.array(hv_company, F.when(F.col("route_id").isNotNull(), F.lit("shared")))
-        both = _trip_rows(trips["hvfhv"], hv, hv.trips_start, end, F.explode(labels))
-        parts.append(both.filter(F.col("company").isNotNull()))
+        parts.append(_trip_rows(trips["hvfhv"], hv, hv.trips_start, end, hv_company, F.col("route_id").isNotNull()))
     else:
         parts.append(_trip_rows(trips["hvfhv"], hv, hv.trips_start, end, hv_company))
         parts.append(_trip_rows(trips["hvfhv"], sh, sh.trips_start, end, F.lit("shared")))
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    return (union.groupBy(*OD_KEYS, "company").agg(F.sum("count").alias("count"))
-                 .filter(F.col("count") > 0))
+    return union
+
+
+def _counted(rows: DataFrame, *keys: str) -> DataFrame:
+    """Counts by the keys and company; shared rides as rows of their own, made from the sums.
+
+    A licence with shared rides gives one ``shared`` row each, so those are summed once more,
+    over aggregates only, by whoever needs them unique."""
+    per = rows.groupBy(*keys, "company").agg(F.sum("count").alias("_count"), F.sum("shared").alias("_shared"))
+    both = F.array(F.struct(F.col("company").alias("company"), F.col("_count").alias("count")),
+                   F.struct(F.lit("shared").alias("company"), F.col("_shared").alias("count")))
+    return per.select(*keys, F.inline(both)).filter(F.col("count") > 0)
+
+
+def industry_od(trips: dict, bases: DataFrame, params: Params) -> DataFrame:
+    """All five OD tables, each with its company, as one table ``(year_month,
+    pulocationid, dolocationid, company, count)``, unique per key.
+
+    Plan: one aggregation over the union of the filtered scans (partial aggregation in every
+    scan task), then the shared rides' sums become rows and are summed over the licences.
+    """
+    return (_counted(industry_rows(trips, bases, params), *OD_KEYS)
+            .groupBy(*OD_KEYS, "company").agg(F.sum("count").alias("count")))
+
+
+def industry_marginal(trips: dict, bases: DataFrame, params: Params, side: str) -> DataFrame:
+    """A5 straight from the trips: counts per month, company and the id in column ``side``
+    (pickup or drop-off), without the OD table in between; NULL ids dropped."""
+    rows = (industry_rows(trips, bases, params).filter(F.col(side).isNotNull())
+            .select("year_month", F.col(side).alias("id"), "company", "count", "shared"))
+    return _counted(rows, "year_month", "id").groupBy("year_month", "id", "company").agg(F.sum("count").alias("count"))
 
 
 def pickups(od: DataFrame, keys=("company",)) -> DataFrame:

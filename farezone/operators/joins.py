@@ -1,12 +1,10 @@
-"""Joins (J1, J3, J5, J6) and the broadcast policy.
+"""Joins (J1, J3, J5, J6).
 
-Broadcast policy: a side is broadcast only after a bounded row check proves it
-small (at most ``MAX_BROADCAST_ROWS``); beyond the bound the join stays a
-shuffle join and AQE re-plans it at runtime (broadcast if the materialised side
-turns out small, skew-split if a key is hot). Zone dimensions (membership,
-names) hold one row per taxi zone and service zone, a bound that does not grow
-with the trips, so in practice they always pass and the trip side is never
-shuffled to meet them; the base list is checked the same way.
+Which side is broadcast is Spark's own choice, by bytes: ``autoBroadcastJoinThreshold`` when the
+plan is made and AQE's threshold once a side's size is known. Zone dimensions (membership,
+names: a row for each taxi zone and service zone) and the base list are far below it in
+practice, so trips aren't shuffled to meet them; a larger side becomes a shuffle join that AQE
+splits where a key is hot. No job runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -14,49 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side, in rows, that `broadcast_if_bounded` will broadcast. At ~100
-# bytes a row this stays far below executor memory.
-MAX_BROADCAST_ROWS = 1_000_000
 
-
-_BOUND_CHECKS: dict = {}
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a limited count), so it costs
-    little even when the side is large; beyond the bound the plain DataFrame is
-    returned and the join shuffles. For file sources the outcome is remembered
-    per application, keyed by the plan and its exact input file list (new or
-    different files mean a new check); other sources are checked every time.
-    """
-    files = tuple(sorted(df.inputFiles()))
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, max_rows) if files else None
-    if key is not None and key in _BOUND_CHECKS:
-        small = _BOUND_CHECKS[key]
-    else:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None:
-            _BOUND_CHECKS[key] = small
-    return F.broadcast(df) if small else df
-
-
-def bounded_dimension(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """A zone dimension for a broadcast join: one row per taxi zone (and service
-    zone), a few hundred rows in practice. The bound is still checked, like any
-    broadcast side; past it the join stays a shuffle join."""
-    return broadcast_if_bounded(df, max_rows)
-
-
-def trips_with_base(trips: DataFrame, bases: DataFrame,
-                    max_base_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def trips_with_base(trips: DataFrame, bases: DataFrame) -> DataFrame:
     """Inner join ``dispatching_base_num = lic_no`` attaching the company.
 
     Duplicate ``lic_no`` rows multiply trips, as a plain SQL join does
     (see :func:`duplicate_keys`).
     """
-    b = broadcast_if_bounded(bases.select("lic_no", "company"), max_base_rows)
+    b = bases.select("lic_no", "company")
     return trips.join(b, trips["dispatching_base_num"] == b["lic_no"], "inner").drop("lic_no")
 
 
@@ -67,7 +30,7 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 def with_zone_name(df: DataFrame, names: DataFrame, key: str = "id") -> DataFrame:
     """Left join of the id to its zone name; an unknown id gets NULL."""
-    n = bounded_dimension(names.withColumnRenamed("id", key))
+    n = names.withColumnRenamed("id", key)
     return df.join(n, key, "left")
 
 
@@ -76,11 +39,11 @@ def in_zone(df: DataFrame, members: DataFrame, key: str = "id") -> DataFrame:
 
     Semi and anti joins never duplicate left rows, so the membership side needs
     no ``distinct`` (which would add a shuffle under the broadcast)."""
-    m = bounded_dimension(members.select(F.col("id").alias(key)))
+    m = members.select(F.col("id").alias(key))
     return df.join(m, key, "left_semi")
 
 
 def not_in_zone(df: DataFrame, members: DataFrame, key: str = "id") -> DataFrame:
     """Keep rows whose ``key`` is not a member; a NULL key counts as outside."""
-    m = bounded_dimension(members.select(F.col("id").alias(key)))
+    m = members.select(F.col("id").alias(key))
     return df.join(m, key, "left_anti")

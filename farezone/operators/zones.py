@@ -2,8 +2,8 @@
 
 Service zones overlap (Midtown lies inside Core), so one taxi zone maps to
 several service zones. Membership is a small ``(id, zone)`` table: one row per
-taxi zone and service zone it belongs to. It is broadcast, so every zone
-operator is a map-side join on the trip side -- one pass for all zones.
+taxi zone and service zone it belongs to. Spark broadcasts it by its size, so every
+zone operator is a map-side join on the trip side -- one pass for all zones.
 """
 
 from __future__ import annotations
@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farezone.operators.joins import bounded_dimension
-
 
 def zone_members(matrix: DataFrame, exclude=(), id_col: str = "ID") -> DataFrame:
     """Wide Yes/No matrix -> ``(id, zone)`` rows where the flag is ``Yes``.
@@ -28,7 +26,7 @@ def zone_members(matrix: DataFrame, exclude=(), id_col: str = "ID") -> DataFrame
 def expand_zones(df: DataFrame, members: DataFrame, key: str = "id",
                  zone_col: str = "zone") -> DataFrame:
     """One copy of each row per service zone its ``key`` belongs to."""
-    m = bounded_dimension(members.select(F.col("id").alias(key), F.col("zone").alias(zone_col)))
+    m = members.select(F.col("id").alias(key), F.col("zone").alias(zone_col))
     return df.join(m, key, "inner")
 
 
@@ -41,9 +39,8 @@ def zone_sides(od: DataFrame, members: DataFrame) -> DataFrame:
     pickup is outside the zone -- a NULL pickup counts as outside). Both joins
     are broadcast hash joins in the scan's stage: the OD table is read once.
     """
-    m = bounded_dimension(members.select("id", "zone"))
-    pu_in = bounded_dimension(members.select(F.col("id").alias("pulocationid"), "zone",
-                                             F.lit(True).alias("_pu_in")))
+    m = members.select("id", "zone")
+    pu_in = members.select(F.col("id").alias("pulocationid"), "zone", F.lit(True).alias("_pu_in"))
     sides = od.select(*od.columns, F.inline(F.array(
         F.struct(F.col("pulocationid").alias("id"), F.lit(True).alias("_pick")),
         F.struct(F.col("dolocationid").alias("id"), F.lit(False).alias("_pick")))))

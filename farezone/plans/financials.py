@@ -42,12 +42,12 @@ def industry_financials(inputs: TripInputs, params: Params) -> DataFrame:
 
     def filtered(name, source):
         i = ind(name)
-        return financial_trips(trips[source], i, i.financials_start, min(i.financials_end, cutoff),
+        return financial_trips(trips[source], i, i.financials_start, min(i.financials_end or cutoff, cutoff),
                                params.fare_cap, params.distance_cap, params.time_cap_secs)
 
     parts = [_measure_rows(filtered(n, n), ind(n), F.lit(n)) for n in ("yellow", "green")]
     hv, sh = ind("hvfhv"), ind("shared")
-    if (hv.financials_start, min(hv.financials_end, cutoff)) == (sh.financials_start, min(sh.financials_end, cutoff)):
+    if (hv.financials_start, hv.financials_end) == (sh.financials_start, sh.financials_end):
         labels = F.explode(F.array(F.lit("hvfhv"), F.when(F.col("route_id").isNotNull(), F.lit("shared"))))
         parts.append(_measure_rows(filtered("hvfhv", "hvfhv"), hv, labels)
                      .filter(F.col("company").isNotNull()))

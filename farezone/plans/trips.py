@@ -3,8 +3,9 @@
 Plan shape (nothing collected; four shuffles in all, each over a partial aggregate):
 
   trip scans (each read once; period and publication cutoff pushed to Parquet)
-     fhv: per-base partial agg --broadcast base list-->          [shuffle 0]
-     --union, partial agg--> OD                                  [shuffle 1]
+     fhv: joined with the base list (map-side, broadcast by size)
+     --union, partial agg--> OD per licence                      [shuffle 0]
+     --shared rides as rows, partial agg--> OD                    [shuffle 1]
      --> interim Parquet in the shared checkpoint folder (S7)
   OD --explode(pickup side, drop-off side), broadcast zone joins-->
      zone metrics: pickups, drop-offs, inbound per zone         [shuffle 2]
@@ -25,7 +26,7 @@ from farezone.config import Params
 from farezone.functions.labels import to_sector
 from farezone.functions.timekeys import month_date, run_bounds
 from farezone.operators.aggregates import dropoffs, industry_od, pickups
-from farezone.operators.joins import bounded_dimension, in_zone, with_zone_name
+from farezone.operators.joins import in_zone, with_zone_name
 from farezone.operators.rollups import final_sum
 from farezone.operators.zones import expand_zones, zone_members, zone_metrics, zone_volume
 from farezone.plans.inputs import TripInputs
@@ -87,8 +88,10 @@ def finish_mart(combined: DataFrame, names: DataFrame, params: Params) -> DataFr
 
     Each row is emitted under its own (sector) label and, when it qualifies for
     the ALL rollup (not SHARED, month since ``all_since``), once more as ``ALL``
-    -- so the rollup and the final sum are one aggregation, one shuffle. Ids
-    without a zone name drop out via the inner join to the names afterwards.
+    -- so the rollup and the final sum are one aggregation, one shuffle. Names are
+    joined afterwards, as ``(id, Zone, n)``: ids without a name, or with a NULL one,
+    drop out, and an id that the lookup holds n times under one name counts n times,
+    in one row (A16 sums by ``Zone``, which the lookup repeats).
     """
     last_month, _ = run_bounds(params.asof)
     comp = F.col("company")
@@ -102,8 +105,9 @@ def finish_mart(combined: DataFrame, names: DataFrame, params: Params) -> DataFr
                     .filter(F.col("company").isNotNull()))
     summed = (final_sum(rows, keys=("year_month", "id", "company", "Z", "metric"))
               .filter(~F.col("company").isin(*C.MART_EXCLUDED)))
-    n = bounded_dimension(names.withColumnRenamed("zone", "Zone"))
-    return (summed.join(n, "id", "inner")
+    n = (names.filter(F.col("zone").isNotNull()).groupBy("id", F.col("zone").alias("Zone"))
+         .agg(F.count(F.lit(1)).alias("_n")))
+    return (summed.join(n, "id", "inner").withColumn("count", F.col("count") * F.col("_n"))
                   .select("year_month", "id", "company", "Z", "Zone", "metric", "count"))
 
 
