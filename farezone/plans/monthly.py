@@ -2,20 +2,18 @@
 
 ``run_monthly`` builds the outputs and writes them through the sinks:
 
-* ``trips_updated/`` -- the trips mart plus the zone financials, one Parquet mart
-  partitioned by ``metric`` and ``year_month`` (S9: dynamic partition overwrite,
-  so a rerun replaces exactly its metrics and months; the reference appended to
-  one CSV);
+* ``trips_updated/`` -- the trips mart plus the zone financials, one mart (Parquet
+  or CSV) partitioned by ``metric`` and ``year_month``, each file sorted by its keys
+  (O3), financials by month, company and zone descending (O2);
 * ``{industry}_fare/`` and ``{industry}_fare_melt/`` -- wide and long fare
   tables as CSV, newest month first (S8, O1), exported from a small Parquet
   store partitioned by month (``_store/``);
 * ``fhv3/`` -- traditional FHV monthly totals as CSV, newest month first.
 
 Every published number is per month, so ``since`` turns the run incremental:
-the trip scans read only months from ``since`` on (pushed-down hour-key bound)
-and only those month partitions are replaced -- a monthly refresh reads one
-month of trips instead of the whole history (the reference's commented-out
-history splice, S10, done with partition overwrite instead of read-and-rewrite).
+the trip scans read only months from ``since`` on (pushed-down hour-key bound), and the
+published months before it are kept (S10). Either way the months published are
+exactly the run's: none that an earlier run had, and this one hasn't, stays.
 
 Nothing is collected to the driver.
 """
@@ -26,6 +24,7 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
+from farezone import config as C
 from farezone.config import Params, since as since_params
 from farezone.operators.ordering import sort_desc
 from farezone.plans.fares import fares_long, fares_wide
@@ -33,7 +32,8 @@ from farezone.plans.fhv import traditional_fhv_totals
 from farezone.plans.financials import zone_financials_mart
 from farezone.plans.inputs import TripInputs
 from farezone.plans.trips import trips_mart
-from farezone.sources.sinks import extend_mart, write_csv, write_partitions
+from farezone.sources.readers import read_mart
+from farezone.sources.sinks import existing, publish, write_csv
 
 FARE_INDUSTRIES = ("yellow", "green", "hvfhv")
 
@@ -49,13 +49,20 @@ def run_monthly(inputs: TripInputs, params: Params, out_dir: str, fmt: str = "pa
     out = {}
     mart_path = f"{out_dir}/trips_updated"
     mart = trips_mart(inputs, p).withColumn("count", F.col("count").cast("double"))
-    extend_mart(mart, mart_path, fmt=fmt)
-    extend_mart(zone_financials_mart(inputs, p), mart_path, fmt=fmt)
+    financials = zone_financials_mart(inputs, p)
+    since_month = None if since is None else since.replace(day=1)
+    published = None if since is None else existing(lambda: read_mart(spark, mart_path, fmt))
+    # O3 for trip metrics (ascending keys); O2 for financials (company, then zone, descending)
+    trip_metric = F.col("metric").isin(C.METRIC_TRIPS, C.METRIC_PICKUPS, C.METRIC_DROPOFFS)
+    order = [F.when(trip_metric, F.col(c)) for c in ("id", "company", "Z")] + [F.desc("company"), F.desc("Z"), "id"]
+    publish(mart.unionByName(financials.select(*mart.columns)), mart_path, ("metric", "year_month"), fmt,
+            order, since_month, published)
     out["trips_updated"] = mart_path
     for ind in FARE_INDUSTRIES:
         wide = fares_wide(inputs, p, ind)
         store = f"{out_dir}/_store/{ind}_fare"
-        write_partitions(wide, store, "year_month")
+        publish(wide, store, "year_month", since=since_month,
+                published=None if since is None else existing(lambda: spark.read.parquet(store).select(*wide.columns)))
         published = spark.read.parquet(store).select(*wide.columns)
         write_csv(sort_desc(published, "year_month"), f"{out_dir}/{ind}_fare")
         write_csv(sort_desc(fares_long(published), "year_month"), f"{out_dir}/{ind}_fare_melt")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,34 +41,34 @@ def write_csv(df: DataFrame, path: str, order_by: list | None = None) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def write_partitions(df: DataFrame, path: str, partition_by, fmt: str = "parquet",
-                     sort_within=None) -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic partition
-    overwrite) and leave the others: reruns are idempotent, and a run that
-    computes only new months rewrites only those months."""
-    spark = df.sparkSession
+                     sort_within=None, mode: str = "dynamic") -> None:
+    """Write ``df`` partitioned. ``dynamic`` replaces exactly the partitions present in ``df``
+    and leaves the others; ``static`` replaces the whole table. The mode is an option of
+    this write, so writes in one session don't disturb each other."""
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # published tables are aggregates: one writing task (one file) per partition
-        data = df.repartition(*cols)
-        if sort_within:
-            data = data.sortWithinPartitions(*sort_within)
-        w = data.write.mode("overwrite").partitionBy(*cols)
-        if fmt == "parquet":
-            w.parquet(path)
-        else:
-            w.option("header", True).csv(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # published tables are aggregates: one writing task (one file) per partition
+    data = df.repartition(*cols)
+    if sort_within:
+        data = data.sortWithinPartitions(*sort_within)
+    w = data.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*cols)
+    if fmt == "parquet":
+        w.parquet(path)
+    else:
+        w.option("header", True).csv(path)
+
+
+def publish(df: DataFrame, path: str, partition_by, fmt: str = "parquet", sort_within=None,
+            since=None, published: DataFrame | None = None, col: str = "year_month") -> None:
+    """Replace a published table so that no partition of an earlier run stays behind.
+
+    A full run replaces the table. With ``since``, ``published`` (the table as it is, None
+    if there is none) gives the months before it (S10), kept through an interim table, and
+    all months from it on are those of ``df``, also if there are fewer than before."""
+    if since is not None and published is not None:
+        kept = write_interim(published.filter(F.col(col) < F.lit(since)), "published")
+        df = splice_history(kept, df, since, col)
+    write_partitions(df, path, partition_by, fmt, sort_within, mode="static")
 
 
 def extend_mart(df: DataFrame, mart_path: str, partition_by=("metric", "year_month"),
@@ -82,6 +83,16 @@ def extend_mart(df: DataFrame, mart_path: str, partition_by=("metric", "year_mon
     write_partitions(df, mart_path, partition_by, fmt, sort_within)
 
 
+def existing(read) -> DataFrame | None:
+    """The table that ``read()`` opens, None if there is none yet."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def splice_history(hist: DataFrame, new: DataFrame, cutoff, col: str = "year_month") -> DataFrame:
     """Cached history before ``cutoff`` plus newly computed months from it on.
 
