@@ -17,7 +17,7 @@ from farezone.config import fixture_params
 from farezone.operators import aggregates as A
 from farezone.operators.fares import financial_trips, zone_financials
 from farezone.operators.filters import in_period
-from farezone.operators.joins import bounded_dimension, trips_with_base
+from farezone.operators.joins import trips_with_base
 from farezone.operators.rollups import all_companies
 from farezone.operators.zones import inbound, zone_members, zone_volume
 from farezone.plans import trips as T
@@ -32,7 +32,8 @@ P = fixture_params()
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> TripInputs:
-    return TripInputs.from_fixtures(spark, sf_dir)
+    # lazy views over the given tables: nothing runs before the returned DataFrame does
+    return TripInputs.from_fixtures(spark, sf_dir, materialize=False)
 
 
 def _trip_od(spark, sf_dir, name):
@@ -94,14 +95,17 @@ def od_all_industries(spark, sf_dir):
     return od
 
 
+def _marginal(spark, sf_dir, side):
+    inp = _inputs(spark, sf_dir)
+    return inp, A.industry_marginal(inp.trips(), inp.bases, P, side)
+
+
 def pickups_all(spark, sf_dir):
-    _, od = _od(spark, sf_dir)
-    return A.pickups(od)
+    return _marginal(spark, sf_dir, "pulocationid")[1]
 
 
 def dropoffs_all(spark, sf_dir):
-    _, od = _od(spark, sf_dir)
-    return A.dropoffs(od)
+    return _marginal(spark, sf_dir, "dolocationid")[1]
 
 
 def zone_members_q(spark, sf_dir):
@@ -121,18 +125,18 @@ def zone_volume_all(spark, sf_dir):
 # -- C2, C3, A15, C4, C8: trips mart ------------------------------------------
 
 def pickups_by_zone(spark, sf_dir):
-    inp, od = _od(spark, sf_dir)
-    return T.by_zone(A.pickups(od), inp.zone_matrix, zone_names(inp.zone_lookup), C.METRIC_PICKUPS)
+    inp, pu = _marginal(spark, sf_dir, "pulocationid")
+    return T.by_zone(pu, inp.zone_matrix, zone_names(inp.zone_lookup), C.METRIC_PICKUPS)
 
 
 def dropoffs_by_zone(spark, sf_dir):
-    inp, od = _od(spark, sf_dir)
-    return T.by_zone(A.dropoffs(od), inp.zone_matrix, zone_names(inp.zone_lookup), C.METRIC_DROPOFFS)
+    inp, do = _marginal(spark, sf_dir, "dolocationid")
+    return T.by_zone(do, inp.zone_matrix, zone_names(inp.zone_lookup), C.METRIC_DROPOFFS)
 
 
 def citywide_trips(spark, sf_dir):
-    inp, od = _od(spark, sf_dir)
-    return T.label_rows(T.citywide_trips(A.pickups(od), inp.zone_matrix))
+    inp, pu = _marginal(spark, sf_dir, "pulocationid")
+    return T.label_rows(T.citywide_trips(pu, inp.zone_matrix))
 
 
 def all_companies_q(spark, sf_dir):
@@ -140,7 +144,7 @@ def all_companies_q(spark, sf_dir):
     inp, od = _od(spark, sf_dir)
     comb = T.combined_metrics(od, inp.zone_matrix)
     names = zone_names(inp.zone_lookup).withColumnRenamed("zone", "Zone")
-    comb = comb.join(bounded_dimension(names), "id", "left")
+    comb = comb.join(names, "id", "left")
     return all_companies(comb, P.all_since)
 
 

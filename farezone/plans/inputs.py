@@ -70,8 +70,9 @@ class TripInputs:
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, materialize: bool = True) -> "TripInputs":
         """Inputs derived from the tables in ``sf_dir``. With ``materialize`` the
-        trip views are written once per session (see :func:`materialized_trip_views`);
-        otherwise they stay lazy joins over the base tables."""
+        trip views are written once per session (see :func:`materialized_trip_views`),
+        like production's trip files (for tests of scans and for runs on files); otherwise,
+        as in every registered query, they stay lazy joins over the base tables."""
         def trip(name):
             if materialize:
                 return lambda: materialized_trip_views(spark, sf_dir)[name]

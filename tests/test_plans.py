@@ -90,9 +90,8 @@ def test_fhv_totals_one_shuffle_over_partial_aggregate(spark, inputs):
 
 
 def test_base_join_beyond_the_bound_shuffles_and_agrees(spark, inputs):
-    """Past the size bound the base list is not broadcast: the join shuffles
-    (sort-merge, with AQE's own broadcast switched off here), and the counts are
-    the same as with the broadcast."""
+    """Past Spark's byte threshold (0 here) the base list is not broadcast: the join
+    shuffles, and the counts are the same as with the broadcast."""
     from farezone.operators.aggregates import od_counts_traditional
 
     ind = P.industry("no_hv")
@@ -102,7 +101,7 @@ def test_base_join_beyond_the_bound_shuffles_and_agrees(spark, inputs):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        big = od_counts_traditional(inputs.fhv, inputs.bases, ind.trips_start, P.trips_end, max_base_rows=5)
+        big = od_counts_traditional(inputs.fhv, inputs.bases, ind.trips_start, P.trips_end)
         p = plan(big)
         assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
         from collections import Counter

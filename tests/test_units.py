@@ -6,7 +6,7 @@ import tempfile
 
 from farezone.functions.labels import label_company, license_to_company, to_sector
 from farezone.functions.timekeys import hour_key, month_date, month_key, run_bounds
-from farezone.operators.joins import broadcast_if_bounded, not_in_zone
+from farezone.operators.joins import not_in_zone
 from farezone.sources.readers import read_bases, read_zone_names, zone_names
 
 
@@ -40,15 +40,6 @@ def test_not_in_zone_keeps_null_keys(spark):
     assert got == [(False, 2), (True, None)]
 
 
-def test_broadcast_if_bounded_respects_bound(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "ResolvedHint" in small.join(broadcast_if_bounded(small, 10), "id")._jdf.queryExecution().analyzed().toString() \
-        or "broadcast" in small.join(broadcast_if_bounded(small, 10), "id")._jdf.queryExecution().analyzed().toString().lower()
-    plan = big.join(broadcast_if_bounded(big, 10), "id")._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in plan
-
-
 def test_bases_and_zone_names_readers(spark):
     d = tempfile.mkdtemp(prefix="dims-")
     spark.createDataFrame([("B1", "UBER")], "lic_no string, company string").write.parquet(f"{d}/bases")
