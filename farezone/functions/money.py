@@ -48,6 +48,21 @@ def exact_sum(c) -> Column:
     return F.sum(_col(c)).cast("double")
 
 
+def total(c) -> Column:
+    """Sum with NULL as 0 (P6): the plain sum's buffer, 0 where no value is there."""
+    return F.coalesce(F.sum(_col(c)), F.lit(0))
+
+
+def payer_avg(c) -> Column:
+    """Average over non-zero values (P7): zeros don't change the sum, only the count."""
+    return ratio(F.sum(_col(c)), F.count(null_if_zero(c)))
+
+
+def filled_avg(c) -> Column:
+    """Average with NULL as 0 (P6), over all rows."""
+    return ratio(total(c), F.count(F.lit(1)))
+
+
 def to_minutes(avg_seconds: Column) -> Column:
     """Average seconds -> minutes."""
     return avg_seconds / F.lit(60.0)

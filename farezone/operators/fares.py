@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from farezone import config as C
 from farezone.config import Industry
-from farezone.functions.money import exact_avg, exact_sum, null_if_zero, ratio, rider_total, to_minutes, zero_if_null
+from farezone.functions.money import exact_avg, filled_avg, payer_avg, ratio, rider_total, to_minutes, total
 from farezone.functions.timekeys import month_key
 from farezone.operators.filters import in_period, shared_only, valid_trip, within_caps
 
@@ -56,7 +56,7 @@ def zone_financials(df: DataFrame, industry: Industry) -> DataFrame:
     fare = fare_expr(industry)
     return (df.groupBy(month_key("datetimeid").alias("year_month"), "pulocationid")
               .agg(exact_avg(fare).alias("avg_total_fare"),
-                   exact_sum(zero_if_null(fare)).alias("sum_total_fare"),
+                   total(fare).cast("double").alias("sum_total_fare"),
                    to_minutes(exact_avg(industry.seconds)).alias("avg_trip_time"),
                    exact_avg(industry.distance).alias("avg_trip_distance")))
 
@@ -72,9 +72,10 @@ def fare_trips(df: DataFrame, industry: Industry, start: int, end: int,
 
 
 def _metered_measures(airport_fee: bool, extra_payers_only: bool) -> list[tuple[str, Column]]:
-    s = lambda c: F.sum(zero_if_null(c))  # noqa: E731  exact decimal sum
+    # one exact sum for each column, whatever the measures made of it
+    s = total
     drivers = F.count_distinct(F.col("hack_number"))
-    extra_avg = exact_avg(null_if_zero("extra")) if extra_payers_only else exact_avg(zero_if_null("extra"))
+    extra_avg = payer_avg("extra") if extra_payers_only else filled_avg("extra")
     m = [
         ("avg_total_fare", exact_avg("total_amount")),
         ("sum_total_fare", s("total_amount").cast("double")),
@@ -84,22 +85,22 @@ def _metered_measures(airport_fee: bool, extra_payers_only: bool) -> list[tuple[
         ("sum_extra", s("extra").cast("double")),
         ("mta_tax", F.lit(C.MTA_TAX).cast("double")),
         ("total_mta_tax", s("mta_tax").cast("double")),
-        ("avg_tip_amount", exact_avg(null_if_zero("tip_amount"))),
+        ("avg_tip_amount", payer_avg("tip_amount")),
         ("sum_tip_amount", s("tip_amount").cast("double")),
-        ("avg_tolls_amount", exact_avg(null_if_zero("tolls_amount"))),
+        ("avg_tolls_amount", payer_avg("tolls_amount")),
         ("sum_tolls_amount", s("tolls_amount").cast("double")),
         ("improvement_surcharge", F.lit(C.IMPROVEMENT_SURCHARGE).cast("double")),
         ("sum_improvement_surcharge", s("improvement_surcharge").cast("double")),
-        ("avg_congestion_surcharge", exact_avg(null_if_zero("congestion_surcharge"))),
+        ("avg_congestion_surcharge", payer_avg("congestion_surcharge")),
         ("sum_congestion_surcharge", s("congestion_surcharge").cast("double")),
     ]
     if airport_fee:
-        m += [("avg_airport_fee", exact_avg(null_if_zero("airport_fee"))),
+        m += [("avg_airport_fee", payer_avg("airport_fee")),
               ("sum_airport_fee", s("airport_fee").cast("double"))]
     m += [
         ("avg_distance", exact_avg("trip_distance")),
         ("count_drivers", drivers),
-        ("driver_pay", exact_avg("fare_amount") + exact_avg(zero_if_null("extra"))),
+        ("driver_pay", exact_avg("fare_amount") + filled_avg("extra")),
         ("total_driver_pay", (s("fare_amount") + s("extra")).cast("double")),
         ("pay_per_driver", ratio(s("fare_amount") + s("extra"), drivers)),
         ("tips_per_driver", ratio(s("tip_amount"), drivers)),
@@ -110,7 +111,7 @@ def _metered_measures(airport_fee: bool, extra_payers_only: bool) -> list[tuple[
 
 
 def _hv_measures() -> list[tuple[str, Column]]:
-    s = lambda c: F.sum(zero_if_null(c))
+    s = total
     drivers = F.count_distinct(F.col("tlc_driver_license_num"))
     m = []
     for p in ("base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge",

@@ -1,19 +1,21 @@
 """Registered queries: one per operator or plan, over the derived test views.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole
-tables in ``sf_dir``. Names match the DuckDB oracle in ``farezone_oracle/duckdb_sql.py``.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables in
+``sf_dir``. It is lazy but where writing a table is the feature (the OD interim of the
+mart, published tables that are read back). Names match the DuckDB oracle in ``farezone_oracle/duckdb_sql.py``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farezone import config as C
-from farezone.config import fixture_params
+from farezone.config import fixture_params, since
 from farezone.operators import aggregates as A
 from farezone.operators.fares import financial_trips, zone_financials
 from farezone.operators.filters import in_period
@@ -26,7 +28,9 @@ from farezone.plans.fhv import traditional_fhv_totals
 from farezone.plans.financials import zone_financials_mart
 from farezone.plans.inputs import TripInputs
 from farezone.plans.slice import mart_slice
-from farezone.sources.readers import zone_names
+from farezone.sources.readers import (read_bases, read_mart, read_trips, read_zone_matrix, read_zone_names,
+                                      zone_names)
+from farezone.sources.sinks import extend_mart, publish, shared_dir, splice_history, write_csv
 
 P = fixture_params()
 
@@ -152,14 +156,91 @@ def trips_mart(spark, sf_dir):
     return T.trips_mart(_inputs(spark, sf_dir), P)
 
 
+MART_LAYOUT = ("metric", "year_month")
+
+
+def _fresh(spark, name):
+    """A new folder under the shared checkpoint folder, for a table that a query publishes."""
+    return f"{shared_dir(spark)}/published/{name}-{uuid.uuid4().hex}"
+
+
+def _publish_mart(spark, sf_dir, fmt="parquet"):
+    """The trips mart, published as production does; the path."""
+    path = _fresh(spark, "trips_mart")
+    mart = T.trips_mart(_inputs(spark, sf_dir), P).withColumn("count", F.col("count").cast("double"))
+    publish(mart, path, MART_LAYOUT, fmt, ("id", "company", "Z"))
+    return path
+
+
+def _published_mart(spark, sf_dir, fmt="parquet"):
+    """The published trips mart, read back (counts as integers again)."""
+    mart = read_mart(spark, _publish_mart(spark, sf_dir, fmt), fmt)
+    return mart.withColumn("count", F.col("count").cast("long"))
+
+
 def mart_slice_q(spark, sf_dir):
-    mart = T.trips_mart(_inputs(spark, sf_dir), P)
-    return mart_slice(mart, C.METRIC_TRIPS, zones=["Core", "Midtown"], companies=["YELLOW", "HVFHV", "ALL"],
-                      start=dt.date(1999, 1, 1), end=dt.date(2000, 7, 1))
+    """C8 on the published mart: metric and months prune its partition folders."""
+    return mart_slice(_published_mart(spark, sf_dir), C.METRIC_TRIPS, zones=["Core", "Midtown"],
+                      companies=["YELLOW", "HVFHV", "ALL"], start=dt.date(1999, 1, 1), end=dt.date(2000, 7, 1))
 
 
 def distinct_companies(spark, sf_dir):
-    return A.distinct_companies(T.trips_mart(_inputs(spark, sf_dir), P))
+    return A.distinct_companies(_published_mart(spark, sf_dir))
+
+
+# -- S1-S4, S6, S8-S10: written, then read back --------------------------------------
+
+def read_trips_q(spark, sf_dir):
+    """The yellow trips as files, read with the files' own types."""
+    path = _fresh(spark, "yellow")
+    _inputs(spark, sf_dir).yellow.write.parquet(path)
+    return read_trips(spark, path, "yellow")
+
+
+def read_bases_q(spark, sf_dir):
+    """S2"""
+    path = _fresh(spark, "bases")
+    _inputs(spark, sf_dir).bases.write.parquet(path)
+    return read_bases(spark, path)
+
+
+def read_zone_matrix_q(spark, sf_dir):
+    """S3: the wide matrix as CSV."""
+    path = _fresh(spark, "zone_matrix")
+    write_csv(_inputs(spark, sf_dir).zone_matrix, path)
+    return read_zone_matrix(spark, path)
+
+
+def read_zone_names_q(spark, sf_dir):
+    """S4"""
+    path = _fresh(spark, "zone_lookup")
+    _inputs(spark, sf_dir).zone_lookup.write.parquet(path)
+    return zone_names(read_zone_names(spark, path))
+
+
+def read_mart_q(spark, sf_dir):
+    """The published Parquet mart."""
+    return _published_mart(spark, sf_dir)
+
+
+def mart_csv(spark, sf_dir):
+    """The mart published as CSV, read back."""
+    return _published_mart(spark, sf_dir, "csv")
+
+
+def extend_mart_q(spark, sf_dir):
+    """The trips mart extended by the financials, twice: as if once."""
+    path = _publish_mart(spark, sf_dir)
+    for _ in range(2):
+        extend_mart(zone_financials_mart(_inputs(spark, sf_dir), P), path, MART_LAYOUT)
+    return read_mart(spark, path)
+
+
+def splice_history_q(spark, sf_dir):
+    """Published months before the cutoff, newly computed ones from it on."""
+    cutoff = dt.date(2000, 3, 1)
+    new = T.trips_mart(_inputs(spark, sf_dir), since(P, cutoff))
+    return splice_history(_published_mart(spark, sf_dir), new, cutoff)
 
 
 # -- A7, C5: zone financials ---------------------------------------------------
@@ -228,4 +309,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fares_hvfhv_long": _fares("hvfhv", long=True),
     "fares_shared_long": _fares("shared", long=True),
     "fhv_totals": fhv_totals,
+    "read_trips": read_trips_q,
+    "read_bases": read_bases_q,
+    "read_zone_matrix": read_zone_matrix_q,
+    "read_zone_names": read_zone_names_q,
+    "read_mart": read_mart_q,
+    "mart_csv": mart_csv,
+    "extend_mart": extend_mart_q,
+    "splice_history": splice_history_q,
 }

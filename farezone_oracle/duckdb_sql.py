@@ -412,4 +412,14 @@ ORACLE = {
   FROM daily
   WHERE industry IN ('fhv_black_car', 'fhv_livery', 'fhv_lux_limo') AND period_start < {RUN_END}
   GROUP BY CAST(date_trunc('month', metric_day) AS DATE)""",
+    "read_trips": _with("yellow") + "SELECT * FROM yellow",
+    "read_bases": _with("bases") + "SELECT * FROM bases",
+    "read_zone_matrix": _with("zone_matrix") + "SELECT * FROM zone_matrix",
+    "read_zone_names": _with("names") + "SELECT * FROM names",
 }
+for _q in ("read_mart", "mart_csv", "splice_history"):
+    ORACLE[_q] = ORACLE["trips_mart"]
+ORACLE["extend_mart"] = f"""
+  SELECT year_month, id, company, Z, Zone, metric, CAST(count AS DOUBLE) AS count FROM ({ORACLE["trips_mart"]})
+  UNION ALL
+  SELECT year_month, id, company, Z, Zone, metric, CAST(count AS DOUBLE) AS count FROM ({ORACLE["zone_financials_mart"]})"""
