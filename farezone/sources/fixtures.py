@@ -153,10 +153,13 @@ def zone_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The taxi-zone lookup (``LocationID``, ``Zone``); nation 24 has no entry."""
-    return (table(spark, sf_dir, "nation").filter(F.col("n_nationkey") != 24)
-            .select(F.col("n_nationkey").cast("int").alias("LocationID"),
-                    F.col("n_name").alias("Zone")))
+    """The taxi-zone lookup (``LocationID``, ``Zone``); nation 24 has no entry, 22 a NULL
+    name, and 23 stands in it twice."""
+    k = F.col("n_nationkey")
+    times = F.when(k == 23, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return (table(spark, sf_dir, "nation").filter(k != 24)
+            .select(k.cast("int").alias("LocationID"), F.when(k != 22, F.col("n_name")).alias("Zone"),
+                    F.explode(times).alias("_time")).drop("_time"))
 
 
 def daily_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,8 +49,8 @@ def write_partitions(df: DataFrame, path: str, partition_by, fmt: str = "parquet
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     # published tables are aggregates: one writing task (one file) per partition
     data = df.repartition(*cols)
-    if sort_within:
-        data = data.sortWithinPartitions(*sort_within)
+    if sort_within:  # partition columns first, as the writer wants them: else it sorts again
+        data = data.sortWithinPartitions(*cols, *sort_within)
     w = data.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*cols)
     if fmt == "parquet":
         w.parquet(path)

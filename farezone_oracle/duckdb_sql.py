@@ -86,7 +86,9 @@ VIEWS = {
          CASE WHEN n_nationkey IN (2, 3, 13) THEN 'Yes' ELSE 'No' END AS Airports
   FROM nation""",
     "names": """
-  SELECT CAST(n_nationkey AS INTEGER) AS id, n_name AS zone FROM nation WHERE n_nationkey <> 24""",
+  SELECT CAST(n_nationkey AS INTEGER) AS id, CASE WHEN n_nationkey <> 22 THEN n_name END AS zone
+  FROM nation WHERE n_nationkey <> 24
+  UNION ALL SELECT CAST(n_nationkey AS INTEGER), n_name FROM nation WHERE n_nationkey = 23""",
     "daily": """
   SELECT CAST(o_orderdate AS DATE) AS metric_day,
          CAST(o_custkey % 50 AS BIGINT) AS count_trips,
