@@ -22,16 +22,19 @@ def license_to_company(code, mapping: dict | None = None) -> Column:
     return F.coalesce(F.create_map(*pairs)[c], c)
 
 
-def label_company(company) -> Column:
-    """``no_hv`` -> ``FHV``, then upper-case and strip spaces."""
+def strip_spaces(company) -> Column:
+    return F.replace(_col(company), F.lit(" "), F.lit(""))
+
+
+def upper_label(company) -> Column:
+    """``no_hv`` -> ``FHV``, then upper-case."""
     c = _col(company)
-    c = F.when(c == C.TRADITIONAL_TAG, F.lit(C.TRADITIONAL_LABEL)).otherwise(c)
-    return F.replace(F.upper(c), F.lit(" "), F.lit(""))
+    return F.upper(F.when(c == C.TRADITIONAL_TAG, F.lit(C.TRADITIONAL_LABEL)).otherwise(c))
 
 
-def upper_strip(company) -> Column:
-    """P13 as the zone-financials path applies it: upper-case, strip spaces."""
-    return F.replace(F.upper(_col(company)), F.lit(" "), F.lit(""))
+def label_company(company) -> Column:
+    """:func:`upper_label` without spaces."""
+    return strip_spaces(upper_label(company))
 
 
 def to_sector(company) -> Column:

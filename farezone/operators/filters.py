@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farezone.config import Industry
@@ -65,14 +65,24 @@ def before_month(df: DataFrame, asof: _dt.date, col: str = "year_month") -> Data
     return df.filter(F.col(col) < F.lit(last_month))
 
 
+def is_since(since: _dt.date, col: str = "year_month") -> Column:
+    """F11 as a condition: ``year_month >= since``."""
+    return F.col(col) >= F.lit(since)
+
+
 def since_month(df: DataFrame, since: _dt.date, col: str = "year_month") -> DataFrame:
     """``year_month >= since``."""
-    return df.filter(F.col(col) >= F.lit(since))
+    return df.filter(is_since(since, col))
+
+
+def is_not_company(names, col: str = "company") -> Column:
+    """F12 as a condition: not one of the names; a NULL company is none (pandas ``~isin``)."""
+    return F.coalesce(~F.col(col).isin(*names), F.lit(True))
 
 
 def exclude_company(df: DataFrame, names, col: str = "company") -> DataFrame:
-    """drop the named companies but keep a NULL company (pandas ``~isin``)."""
-    return df.filter(F.coalesce(~F.col(col).isin(*names), F.lit(True)))
+    """drop the named companies but keep a NULL company."""
+    return df.filter(is_not_company(names, col))
 
 
 def before_period_start(df: DataFrame, end: int, col: str = "period_start") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Sorts (O1-O3). Ordering is applied at the sink only: a global sort is a range
+"""Sorts (O1; O2 and O3 are the row order inside the mart's files, see the monthly run). Ordering is applied at the sink only: a global sort is a range
 shuffle, and no operator in between depends on row order."""
 
 from __future__ import annotations
@@ -11,7 +11,3 @@ def sort_desc(df: DataFrame, *cols: str) -> DataFrame:
     """O1 / O2: newest month (and the other keys) first."""
     return df.orderBy(*[F.desc(c) for c in cols])
 
-
-def sort_keys(df: DataFrame, *cols: str) -> DataFrame:
-    """O3: ascending by the key columns, as the published mart is laid out."""
-    return df.orderBy(*[F.asc(c) for c in cols])

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farezone import config as C
 from farezone.functions.timekeys import month_trunc
-from farezone.operators.filters import before_period_start, company_in, drop_null_key, exclude_company, since_month
+from farezone.operators.filters import before_period_start, company_in, drop_null_key, is_not_company, is_since
 
 MART_KEYS = ("year_month", "id", "company", "Z", "Zone", "metric")
 
@@ -32,14 +32,18 @@ def daily_to_monthly(daily: DataFrame, end: int) -> DataFrame:
     )
 
 
+def counts_for_all(since: _dt.date) -> Column:
+    """F11 + F12: the rows that the ALL rollup takes, months from ``since``, SHARED left out."""
+    return is_since(since) & is_not_company(C.ALL_EXCLUDED)
+
+
 def all_companies(df: DataFrame, since: _dt.date, keys=("year_month", "id", "Z", "Zone", "metric"),
                   value: str = "count") -> DataFrame:
     """The ``ALL`` row per key -- sum over companies except SHARED, from ``since``.
 
     Rows with a NULL key (e.g. an id without a zone name) are left out.
     """
-    d = exclude_company(since_month(df, since), C.ALL_EXCLUDED)
-    d = drop_null_key(d, *keys)
+    d = drop_null_key(df.filter(counts_for_all(since)), *keys)
     return (d.groupBy(*keys).agg(F.sum(value).alias(value))
              .withColumn("company", F.lit(C.ALL_LABEL)))
 

@@ -27,8 +27,3 @@ def fares_long(wide: DataFrame) -> DataFrame:
     """R2: every measure column -> ``(year_month, variable, value)``."""
     return to_long(wide, ["year_month"], None, "variable", "value")
 
-
-def monthly_fares_tables(inputs: TripInputs, params: Params, industry: str):
-    """(wide, long) for one industry."""
-    wide = fares_wide(inputs, params, industry)
-    return wide, fares_long(wide)

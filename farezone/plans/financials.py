@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from farezone import config as C
 from farezone.config import Params
-from farezone.functions.labels import upper_strip
+from farezone.functions.labels import label_company
 from farezone.functions.money import exact_avg, to_minutes, total
 from farezone.functions.timekeys import month_date, month_key, run_bounds
 from farezone.operators.fares import fare_expr, financial_trips
@@ -68,7 +68,7 @@ def financials_wide(fin: DataFrame, matrix: DataFrame, names: DataFrame, params:
     d = expand_zones(fin.withColumnRenamed("pulocationid", "id"), zone_members(matrix), zone_col="Z")
     d = with_zone_name(d, names).withColumnRenamed("zone", "Zone")
     d = (d.withColumn("year_month", month_date("year_month"))
-          .withColumn("company", upper_strip("company")))
+          .withColumn("company", label_company("company")))
     return before_month(d, params.asof)
 
 

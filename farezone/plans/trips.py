@@ -23,28 +23,21 @@ from pyspark.sql import functions as F
 
 from farezone import config as C
 from farezone.config import Params
-from farezone.functions.labels import to_sector
+from farezone.functions.labels import strip_spaces, to_sector, upper_label
 from farezone.functions.timekeys import month_date, run_bounds
-from farezone.operators.aggregates import dropoffs, industry_od, pickups
+from farezone.operators.aggregates import industry_od
+from farezone.operators.filters import before_month, drop_null_key, exclude_company
 from farezone.operators.joins import in_zone, with_zone_name
-from farezone.operators.rollups import final_sum
-from farezone.operators.zones import expand_zones, zone_members, zone_metrics, zone_volume
+from farezone.operators.rollups import counts_for_all, final_sum
+from farezone.operators.zones import expand_zones, zone_members, zone_metrics
 from farezone.plans.inputs import TripInputs
 from farezone.sources.readers import zone_names
 from farezone.sources.sinks import write_interim
 
 
-def trips_by_industry(od: DataFrame, matrix: DataFrame):
-    """(zone volume over the zones except Citywide, pickups, drop-offs)."""
-    members = zone_members(matrix, exclude=(C.CITYWIDE,))
-    return zone_volume(od, members), pickups(od), dropoffs(od)
-
-
 def label_rows(df: DataFrame) -> DataFrame:
-    """Month key -> date; ``no_hv`` -> ``FHV``; upper-case (spaces stripped later)."""
-    c = F.col("company")
-    label = F.upper(F.when(c == C.TRADITIONAL_TAG, F.lit(C.TRADITIONAL_LABEL)).otherwise(c))
-    return df.withColumns({"year_month": month_date("year_month"), "company": label})
+    """Month key -> date; company label (P13; spaces are stripped at the mart's end)."""
+    return df.withColumns({"year_month": month_date("year_month"), "company": upper_label("company")})
 
 
 def by_zone(marginal: DataFrame, matrix: DataFrame, names: DataFrame, metric: str) -> DataFrame:
@@ -93,18 +86,13 @@ def finish_mart(combined: DataFrame, names: DataFrame, params: Params) -> DataFr
     drop out, and an id that the lookup holds n times under one name counts n times,
     in one row (A16 sums by ``Zone``, which the lookup repeats).
     """
-    last_month, _ = run_bounds(params.asof)
-    comp = F.col("company")
-    all_ok = (F.coalesce(~comp.isin(*C.ALL_EXCLUDED), F.lit(True))
-              & (F.col("year_month") >= F.lit(params.all_since)))
-    own = to_sector(F.replace(comp, F.lit(" "), F.lit("")))
-    labels = F.array(own, F.when(all_ok, F.lit(C.ALL_LABEL)))
-    rows = (combined.filter((F.col("year_month") < F.lit(last_month))
-                            & F.col("id").isNotNull() & F.col("Z").isNotNull())
+    own = to_sector(strip_spaces("company"))
+    labels = F.array(own, F.when(counts_for_all(params.all_since), F.lit(C.ALL_LABEL)))
+    rows = (drop_null_key(before_month(combined, params.asof), "id", "Z")
                     .select("year_month", "id", "Z", "metric", "count", F.explode(labels).alias("company"))
                     .filter(F.col("company").isNotNull()))
-    summed = (final_sum(rows, keys=("year_month", "id", "company", "Z", "metric"))
-              .filter(~F.col("company").isin(*C.MART_EXCLUDED)))
+    summed = final_sum(rows, keys=("year_month", "id", "company", "Z", "metric"))
+    summed = exclude_company(summed, C.MART_EXCLUDED)
     n = (names.filter(F.col("zone").isNotNull()).groupBy("id", F.col("zone").alias("Zone"))
          .agg(F.count(F.lit(1)).alias("_n")))
     return (summed.join(n, "id", "inner").withColumn("count", F.col("count") * F.col("_n"))
