@@ -13,6 +13,9 @@ from llm.quality import fit_attention, passages, score_documents
 from llm.surrogates import KINDS, collisions, replace_entities
 from llm.url_filters import rules_frame, url_verdicts
 
+from llm.mixing import mix_sources
+
+from test_text_operators import check_packed, encode_ids, plain_groups
 from llm_cases import SF_SMALL, awkward, empty, make_docs  # noqa: F401  fixtures
 
 
@@ -161,23 +164,47 @@ def test_passages_read_whole_texts():
 
 # -- pipeline ----------------------------------------------------------------------
 
-def test_pipeline_stages(spark):
+def test_pipeline_stages_equal_plain_versions(spark):
+    """Each stage, on what the one before kept, against the operator's plain version or SQL."""
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    before = {r.doc_id for r in docs.select("doc_id").collect()}
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "mixing", "packing"]
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs, SF_SMALL)
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality", "line_dedup", "near_dedup", "mixing", "packing"]
+
+    def step(name, docs):
+        out = stages[name](spark, docs, SF_SMALL)
         assert out.columns == corpus_pipeline.COLUMNS
         rows = out.collect()
-        ids = {r.doc_id for r in rows}
-        assert ids <= before
-        if name == "line_dedup":
-            assert ids == before
-        if name == "near_dedup":
-            assert len(rows) == len(ids)
-        before, docs = ids, spark.createDataFrame(rows, docs.schema)
-    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL)
-    assert {r.doc_id for r in packed.collect()} == before
+        return rows, spark.createDataFrame(rows, docs.schema)
+
+    scores = {r.doc_id: r.predicted for r in Q.op10_quality_classifier(spark, SF_SMALL).collect()}
+    before = {r.doc_id: r for r in docs.collect()}
+    rows, docs = step("quality", docs)
+    assert {r.doc_id for r in rows} == {d for d, p in scores.items() if p == 1} and all(r == before[r.doc_id] for r in rows)
+
+    con = duckdb.connect()
+    documents = docs.toPandas()  # noqa: F841  read by the SQL
+    con.register("documents", documents)
+    want = dict(con.execute(f"SELECT doc_id, text FROM ({Q.LINES_SQL})").fetchall())
+    rows, docs = step("line_dedup", docs)
+    assert {r.doc_id: r.text for r in rows} == want and all(r.n_chars == len(r.text) for r in rows)
+
+    groups = plain_groups([(r.doc_id, r.text) for r in rows])
+    rows, docs = step("near_dedup", docs)
+    assert sorted(r.doc_id for r in rows) == sorted(set(groups.values())) and all(r.text == want[r.doc_id] for r in rows)
+
+    texts = {r.doc_id: r.text.split() for r in rows}
+    taken = {r.doc_id: r.taken for r in mix_sources(docs).collect()}
+    rows, docs = step("mixing", docs)
+    for doc_id, n in taken.items():
+        copies = sorted((r.text.split() for r in rows if r.doc_id == doc_id), key=len, reverse=True)
+        whole, part = divmod(n, len(texts[doc_id])) if n else (0, 0)
+        assert copies == [texts[doc_id]] * whole + ([texts[doc_id][:part]] if part else [])
+
+    packed = stages["packing"](spark, docs, SF_SMALL).collect()
+    check_packed(packed)
+    ids = sum(len(encode_ids(r.text)) for r in rows)
+    assert sum(r.length for r in packed) == ids
+    assert corpus_pipeline.run(spark, SF_SMALL).count() == len(packed)
 
 
 def test_pipeline_on_awkward_rows(spark, awkward, empty):

@@ -1,6 +1,7 @@
 """Each operator on awkward rows and empty tables, and against plain versions."""
 
 import collections
+import functools
 import hashlib
 import itertools
 import math
@@ -237,20 +238,30 @@ def check_packed(rows, window=2048):
         assert at <= window
 
 
-def test_packing_round_trip(spark):
+@functools.cache
+def _tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
+    tok = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    tok.encode_special_tokens = True
+    return tok
+
+
+def encode_ids(text):
+    """A text's ids by the tokenizer's own library, with the end id."""
+    return _tokenizer().encode(text, add_special_tokens=False).ids + [1]
+
+
+def test_packing_round_trip(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     rows = pack_documents(docs).collect()
     check_packed(rows)
-    tok = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
-    tok.encode_special_tokens = True
     by = collections.defaultdict(list)
     for r in rows:
         by[r.doc_id].append(r)
     for d in docs.collect():
-        ids = tok.encode(d.text, add_special_tokens=False).ids + [1]
+        ids = encode_ids(d.text)
         pieces = sorted(by[d.doc_id], key=lambda r: r.start)
         assert [p.start for p in pieces] == list(np.cumsum([0] + [p.length for p in pieces])[:-1])
         assert sum(p.length for p in pieces) == len(ids) == pieces[0].doc_tokens
