@@ -33,7 +33,7 @@ from farezone.plans.financials import zone_financials_mart
 from farezone.plans.inputs import TripInputs
 from farezone.plans.trips import trips_mart
 from farezone.sources.readers import read_mart
-from farezone.sources.sinks import existing, publish, write_csv
+from farezone.sources.sinks import existing, interim_scope, publish, write_csv
 
 FARE_INDUSTRIES = ("yellow", "green", "hvfhv")
 
@@ -42,8 +42,14 @@ def run_monthly(inputs: TripInputs, params: Params, out_dir: str, fmt: str = "pa
                 since: _dt.date | None = None) -> dict:
     """Write every output under ``out_dir``; returns the paths written.
 
-    With ``since``, only months from ``since`` on are recomputed and replaced.
+    With ``since``, only months from ``since`` on are recomputed and replaced. Interim
+    tables are deleted when everything is written.
     """
+    with interim_scope(inputs.yellow.sparkSession):
+        return _write_all(inputs, params, out_dir, fmt, since)
+
+
+def _write_all(inputs: TripInputs, params: Params, out_dir: str, fmt: str, since: _dt.date | None) -> dict:
     p = params if since is None else since_params(params, since)
     spark = inputs.yellow.sparkSession
     out = {}

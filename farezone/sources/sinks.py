@@ -8,6 +8,8 @@ instead of recomputing the lineage.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,25 @@ def shared_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/")
 
 
+_SCOPE: ContextVar = ContextVar("interim_scope", default=None)
+
+
+@contextmanager
+def interim_scope(spark: SparkSession):
+    """Interim tables written inside are deleted at the end: for jobs that write all
+    they return before they leave the scope."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def write_interim(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet (the cache of interim results) and read it back.
 
@@ -30,6 +51,8 @@ def write_interim(df: DataFrame, name: str, path: str | None = None) -> DataFram
     """
     spark = df.sparkSession
     out = path or f"{shared_dir(spark)}/interim/{name}-{uuid.uuid4().hex}"
+    if path is None and _SCOPE.get() is not None:
+        _SCOPE.get().append(out)
     df.write.mode("overwrite").parquet(out)
     return spark.read.schema(df.schema).parquet(out)
 

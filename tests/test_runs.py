@@ -2,6 +2,7 @@
 publish fewer months than before."""
 
 import datetime as dt
+import os
 import tempfile
 from dataclasses import replace
 from decimal import Decimal
@@ -16,7 +17,7 @@ from farezone.plans.monthly import run_monthly
 from farezone.plans.trips import finish_mart
 from farezone.sources import fixtures
 from farezone.sources.readers import read_mart, read_trips
-from farezone.sources.sinks import publish
+from farezone.sources.sinks import publish, shared_dir
 
 from conftest import SF_SMALL
 
@@ -115,6 +116,11 @@ def test_monthly_run_as_csv_and_with_an_earlier_date(spark):
     assert last == dt.date(2000, 11, 1) and mart.filter("Zone is null and metric = 'Trips'").count() == 0
     run_monthly(inputs, replace(params, asof=dt.date(2000, 8, 15)), out, fmt="csv")
     assert read_mart(spark, f"{out}/trips_updated", fmt="csv").agg(F.max("year_month")).first()[0] == dt.date(2000, 6, 1)
+    interim = f"{shared_dir(spark)}/interim".removeprefix("file:")
+    before = set(os.listdir(interim))
+    run_monthly(inputs, replace(params, asof=dt.date(2000, 8, 15)), out, fmt="csv", since=dt.date(2000, 5, 1))
+    assert set(os.listdir(interim)) == before  # what the run wrote in between is gone
+    assert read_mart(spark, f"{out}/trips_updated", fmt="csv").agg(F.max("year_month")).first()[0] == dt.date(2000, 6, 1)
     fares = spark.read.option("header", True).csv(f"{out}/yellow_fare")
     assert max(r.year_month for r in fares.collect()) == "2000-06-01"
 
