@@ -8,9 +8,8 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import materialize, ship_code
@@ -139,17 +138,17 @@ def pack_documents(docs: DataFrame, window: int = 2048, piece: int = PIECE_TOKEN
     part = part.withColumn("_batch", F.pmod(F.xxhash64("_rid"), F.lit(batches)))
     columns = pieces.columns
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_rid", ignore_index=True)
-        sizes = pdf["length"].to_numpy()
-        seq, off = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
-        first = int(pdf["_batch"].iloc[0]) << 24
+    def pack(t: pa.Table) -> pa.Table:
+        t = t.sort_by("_rid")
+        sizes = t["length"].to_numpy()
+        seq, off = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+        first = t["_batch"][0].as_py() << 24
         for k, members in enumerate(pack_sizes(sizes.tolist(), window)):
             members.sort()
             seq[members] = (first + k) * 2 + 1
             off[members] = np.cumsum(sizes[members]) - sizes[members]
-        return pdf[columns].assign(sequence_id=seq, offset=off)
+        return t.select(columns).append_column("sequence_id", pa.array(seq)).append_column("offset", pa.array(off))
 
     packed = (part.select("_batch", "_rid", *columns).groupBy("_batch")
-              .applyInPandas(pack, PIECES + ", sequence_id long, offset long"))
+              .applyInArrow(pack, PIECES + ", sequence_id long, offset long"))
     return whole.unionByName(packed)

@@ -279,6 +279,11 @@ def test_packing_awkward(awkward, empty):
     assert pack_documents(empty).count() == 0
 
 
+def test_packing_keeps_large_ids_beside_null_ones(make_docs):
+    rows = pack_documents(make_docs([(2 ** 60 + 1, "a b", "en", "s", 3), (None, "c", "en", "s", 1)])).collect()
+    assert {r.doc_id for r in rows} == {2 ** 60 + 1, None}
+
+
 def test_differencing():
     parts = difference([8, 7, 6, 5, 4], 2)
     assert sorted(sum([8, 7, 6, 5, 4][i] for i in p) for p in parts) == [14, 16]
