@@ -107,21 +107,38 @@ def likeness(a: Column, b: Column) -> Column:
     return F.size(same) / F.lit(float(REGISTERS))
 
 
+def _numbers(values: list[int]) -> Column:
+    """A constant array, folded from one short expression however many numbers there are."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def bounds_below(bounds: list[int], key: Column) -> Column:
+    """How many of the sorted ``bounds`` are less than ``key``, by binary search."""
+    if not bounds:
+        return F.lit(0)
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    table = _numbers(bounds)
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda n, s: F.when(
+        F.get(table, n + s - 1) < key, n + s).otherwise(n))
+
+
 def with_next(docs: DataFrame, key: str, carried: list[str], tie: str, buckets: int) -> DataFrame:
     """Each row with ``_next_c``, the value of c in the next row by descending ``key`` (after the last:
     in the first). Rows are dealt into ranges of the key; the first row of each range also
     goes to the range before it, so every range finds its last row's next one by itself."""
-    bounds = sorted(set(docs.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets)))
-    place = F.size(F.filter(F.array(*[F.lit(int(b)) for b in bounds]).cast("array<bigint>"), lambda b: b < F.col(key)))
+    bounds = sorted({int(b) for b in docs.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets)})
+    place = bounds_below(bounds, F.col(key))
     firsts = dict(docs.groupBy(place.alias("_b")).agg(F.max(key)).collect())  # a row for each range
     used = sorted(firsts)
-    above = {firsts[b]: used[(i + 1) % len(used)] for i, b in enumerate(used)}
-    if not above:
+    if not used:
         return docs.select("*", *[F.col(c).alias(f"_next_{c}") for c in carried])
-    to = F.create_map(*[F.lit(x) for pair in above.items() for x in pair])
-    homes = F.filter(F.array(F.struct(place.alias("b"), F.lit(False).alias("copy")),
-                             F.struct(F.element_at(to, F.col(key)).alias("b"), F.lit(True).alias("copy"))),
-                     lambda h: h["b"].isNotNull())
+    following = dict(zip(used, used[1:] + used[:1]))
+    first = _numbers([firsts.get(b, 0) for b in range(len(bounds) + 1)])  # of unused ranges no row asks
+    above = _numbers([following.get(b, 0) for b in range(len(bounds) + 1)]).cast("array<int>")
+    homes = let(place, lambda p: F.filter(
+        F.array(F.struct(p.alias("b"), F.lit(False).alias("copy")),
+                F.struct(F.when(F.get(first, p) == F.col(key), F.get(above, p)).alias("b"), F.lit(True).alias("copy"))),
+        lambda h: h["b"].isNotNull()))
     rows = docs.withColumn("_home", F.explode(homes)).select("*", "_home.b", "_home.copy").drop("_home")
     order = Window.partitionBy("b").orderBy("copy", F.col(key).desc(), tie)
     rows = rows.select("*", *[F.lead(c).over(order).alias(f"_next_{c}") for c in carried])

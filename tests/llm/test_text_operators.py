@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from llm.fingerprints import DIGITS, REGISTERS, document_fingerprints, fingerprint
+from llm.fingerprints import DIGITS, REGISTERS, bounds_below, document_fingerprints, fingerprint, with_next
 from llm.line_dedup import remove_shared_lines
 from llm.mixing import mix_sources, shard_quotas, source_targets, take_words
 from llm.near_dedup import document_shingles, keep_one_of_each, near_duplicates, prob_minhash, probability_jaccard, shingle_weight
@@ -53,6 +53,19 @@ def test_edited_texts_follow_descending_ids(spark):
         assert got[r.doc_id] == hashlib.sha256(edited.encode()).hexdigest()
 
 
+def test_next_documents_across_ranges(spark):
+    r = random.Random(9)
+    bounds = sorted(r.sample(range(-50, 50), 21))
+    got = [x[0] for x in spark.range(-60, 60).select(bounds_below(bounds, F.col("id"))).collect()]
+    assert got == [sum(b < i for b in bounds) for i in range(-60, 60)]
+    rows = [(i, f"t{n}") for n, i in enumerate([r.choice([-(1 << 63), *range(90)]) for _ in range(150)] + [7] * 80)]
+    ordered = sorted(rows, key=lambda x: (-x[0], x[1]))
+    want = sorted((*x, ordered[(n + 1) % len(ordered)][1]) for n, x in enumerate(ordered))
+    df = spark.createDataFrame(rows, "_id long, text string").repartition(5)
+    for buckets in (2, 7, 300):
+        assert sorted(map(tuple, with_next(df, "_id", ["text"], "text", buckets).collect())) == want
+
+
 def test_fingerprints_see_order_and_edits(spark):
     words = [f"w{i}" for i in range(400)]
     r = random.Random(3)
