@@ -159,13 +159,14 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = TRAIN_DOCUMEN
     hash, with at most ``max_passages`` passages each. Only their passage vectors reach the driver.
 
     Null labels and doc_ids are left out; a document labelled both ways takes the more frequent
-    label (1 in a tie)."""
+    label (1 in a tie), and one that has two texts counts with the smaller."""
     ship_code(docs.sparkSession)
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
               .groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.avg("quality").alias("_y"))
               .orderBy(F.xxhash64("_id"), "_id").limit(max_documents))
     sample = (docs.select(F.col("doc_id").cast("long").alias("_id"), text_or_empty().alias("text"))
-              .join(F.broadcast(chosen), "_id"))  # at most `max_documents` rows of two numbers
+              .join(F.broadcast(chosen), "_id")  # at most `max_documents` rows of two numbers
+              .groupBy("_id", "_y").agg(F.min("text").alias("text")))  # repeated rows of a document are one
 
     def encode(batches):
         for batch in batches:
@@ -182,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = TRAIN_DOCUMEN
 
     got = (sample.select("_id", "_y", "text").mapInArrow(encode, "_id long, _y double, _x array<double>")
            .toArrow().to_pylist())
-    got.sort(key=lambda r: (r["_id"], r["_x"]))
+    got.sort(key=lambda r: r["_id"])
     vectors = [np.array(r["_x"]).reshape(-1, FEATURES) for r in got]
     y = np.array([float(r["_y"] >= 0.5) for r in got])
     owner = np.repeat(np.arange(len(got)), [len(v) for v in vectors]) if got else np.zeros(0, np.int64)

@@ -9,7 +9,7 @@ import pytest
 import corpus_pipeline
 from llm import queries as Q
 from llm.nearest import nearest_vectors
-from llm.quality import fit_attention, passages, score_documents
+from llm.quality import fit_attention, passages, score_documents, train
 from llm.surrogates import KINDS, collisions, replace_entities
 from llm.url_filters import rules_frame, url_verdicts
 
@@ -146,6 +146,14 @@ def test_quality_awkward(spark, awkward, empty):
     assert score_documents(empty, labels).count() == 0
 
 
+def test_training_takes_a_repeated_document_once(spark, make_docs):
+    docs = make_docs([(i, f"words of document {i} " * 9 + "!" * (i % 2), "en", "s", 1) for i in range(12)])
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(12)], "doc_id long, quality int")
+    hot = docs.unionByName(docs.where("doc_id = 3").crossJoin(spark.range(300)).drop("id"))
+    for a, b in zip(train(docs, labels).params.values(), train(hot, labels).params.values()):
+        assert np.array_equal(a, b)
+
+
 def test_attention_finds_the_one_bad_passage():
     rng = np.random.default_rng(1)
     x = rng.normal(0, 1, (200 * 6, 15))
