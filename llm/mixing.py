@@ -57,7 +57,8 @@ def shard_quotas(targets: DataFrame, block_tokens: int = 64, shards: int = 8) ->
     total, n = live.agg(F.coalesce(F.sum("target"), F.lit(0.0)), F.count(F.lit(1))).first()
     blocks = int(round(total / block_tokens))
     houses = [(k, blocks * k // shards) for k in range(1, shards + 1)]
-    t = live.crossJoin(F.broadcast(targets.sparkSession.createDataFrame(houses, "_shard int, _blocks long")))  # `shards` rows
+    rows = F.array(*[F.struct(F.lit(k).alias("_shard"), F.lit(b).cast("long").alias("_blocks")) for k, b in houses])
+    t = live.select("*", F.inline(rows))
     share = F.col("target") / F.lit(total or 1.0)
     low = F.greatest(F.lit(0), F.floor(share * (F.col("_blocks") - n / 2) + 0.5) - 1).cast("long")
     high = (F.floor(share * (F.col("_blocks") + n / 2) + 0.5) + 1).cast("long")
@@ -125,12 +126,15 @@ def take_words(docs: DataFrame, **options) -> DataFrame:
     key = ["_d", "_k", "_crc"]
     taken = (mix_sources(docs, **options).select(d.alias("_d"), k.alias("_k"), F.col("text_crc32").alias("_crc"), "size", "taken")
              .groupBy(*key).agg(F.max("size").alias("_size"), F.sum("taken").alias("_taken")).where("_taken > 0"))
-    rows = docs.withColumns({"_d": d, "_k": k, "_crc": F.crc32(text_or_empty().cast("binary"))})
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(d.alias("_d"), k.alias("_k"), F.crc32(text_or_empty().cast("binary")).alias("_crc"), "text",
+                       F.struct(*others).alias("_rest"))
+    # one row a key, chosen in each task before the shuffle: a document that repeats is no hot key
     one = Window.partitionBy(*key).orderBy(*key)
-    both = rows.join(taken, key).withColumn("_nth", F.row_number().over(one)).where("_nth = 1")
+    both = rows.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").join(taken, key)
     copies = F.expr("sequence(1, cast((_taken + _size - 1) div _size as int))")
     both = both.withColumn("_copy", F.explode(copies))
     left = (F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
     first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), left), " ")
     text = F.when(left >= F.col("_size"), F.col("text")).otherwise(first)
-    return both.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return both.select(*[text.alias("text") if c == "text" else F.col("_rest").getField(c).alias(c) for c in docs.columns])
