@@ -78,9 +78,10 @@ def remove_shared_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words:
         F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))),
         lambda i: F.get(lines, i))), "\n")
     d, t = row_key()
-    joined = docs.withColumns({"_d": d, "_t": t}).join(gone, ["_d", "_t"], "left")
+    others = [c for c in docs.columns if c != "text"]
+    joined = docs.select(d, t, "text", F.struct(*others).alias("_rest")).join(gone, ["_d", "_t"], "left")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest)
     return joined.select(
-        *[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
+        *[text.alias("text") if c == "text" else F.col("_rest").getField(c).alias(c) for c in docs.columns],
         F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).alias("n_lines"),
         F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("removed_lines"))

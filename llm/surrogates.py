@@ -182,7 +182,8 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     def plain(e):
         return surrogate(e["kind"], e["value"], key, F.lit(0))
 
-    one = plain
+    one, columns = plain, docs.columns
+    docs = docs.select("text", F.struct(*[c for c in columns if c != "text"]).alias("_rest"))
     if exceptions.limit(1).count():
         h = F.sha2(text_or_empty(), 256)
         inside = (docs.select(h.alias("_h"), F.explode(F.array_distinct(F.flatten(F.transform(matches(F.col("text")), entity_parts)))).alias("_e"))
@@ -200,10 +201,9 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
             F.get(p, F.lit(0))["kind"].isin("given_m", "given_f", "family"),
             F.concat_ws(" ", title, F.array_join(F.transform(p, one), " "))).otherwise(one(F.get(p, F.lit(0)))))
 
-    names = [c for c in docs.columns if c != "_map"]
     m = docs.withColumn("_matches", matches(F.col("text")))
     between = F.split("text", ANY, -1)
     text = F.when(F.size("_matches") == 0, F.col("text")).otherwise(F.array_join(
         F.zip_with(between, F.concat(F.transform("_matches", new), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), ""))
-    return m.select(*[text.alias("text") if c == "text" else F.col(c) for c in names],
+    return m.select(*[text.alias("text") if c == "text" else F.col("_rest").getField(c).alias(c) for c in columns],
                     F.when(F.col("text").isNull(), 0).otherwise(F.size("_matches")).alias("n_entities"))

@@ -29,7 +29,8 @@ def make_docs(spark):
 def awkward(make_docs):
     # columns whose names the operators use inside, or give back themselves
     from pyspark.sql import functions as F
-    extra = {c: F.lit("clash") for c in ("_k", "_h", "_d", "_t", "size", "shard", "score", "n_lines", "label", "_bands", "b", "copy")}
+    extra = {c: F.lit("clash") for c in ("_k", "_h", "_d", "_t", "size", "shard", "score", "n_lines", "label", "_bands", "b", "copy",
+                                  "_gone", "_map", "_matches", "_rest", "_nth", "_copy", "_size", "_taken", "_crc")}
     return make_docs(awkward_rows()).withColumns(extra)
 
 

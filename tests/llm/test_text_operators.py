@@ -20,6 +20,7 @@ from llm.mixing import mix_sources, shard_quotas, source_targets, take_words
 from llm.near_dedup import document_shingles, keep_one_of_each, near_duplicates, prob_minhash, probability_jaccard, shingle_weight
 from llm.packing import difference, pack_documents, pack_sizes
 from llm.sharding import byte_shards
+from llm.surrogates import replace_entities
 
 from llm_cases import SF_SMALL, awkward, empty, make_docs  # noqa: F401  fixtures
 
@@ -330,3 +331,10 @@ def test_exact_counts_near_the_threshold(make_docs):
     for sites, gone in ((4, 0), (5, 4), (6, 5)):
         rows = [(i, "a line on some sites", "en", f"s{i}", 1) for i in range(sites)]
         assert sum(r.removed_lines for r in remove_shared_lines(make_docs(rows), min_sites=5).collect()) == gone
+
+
+@pytest.mark.parametrize("operator", [remove_shared_lines, take_words, keep_one_of_each, lambda d: replace_entities(d, "k")])
+def test_columns_of_the_input_stay_as_they_are(awkward, operator):
+    same = [c for c in awkward.columns if c not in ("doc_id", "text", "lang", "source", "n_chars", "n_lines")]
+    rows = operator(awkward).select(*same).distinct().collect()
+    assert [set(r) for r in rows] == [{"clash"}]
