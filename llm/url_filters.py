@@ -33,18 +33,18 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def host_suffixes(host: Column) -> Column:
-    """The last label, the last two, and so on up to the whole host."""
+def host_suffixes(host: Column, counts: list[int]) -> Column:
+    """The last ``n`` labels for each n of ``counts``, up to the whole host."""
     labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)),
-                       lambda i: F.array_join(F.slice(labels, -i, i), "."))
+    fitting = F.filter(F.array(*[F.lit(n) for n in counts]).cast("array<int>"), lambda n: n <= F.size(labels))
+    return F.transform(fitting, lambda n: F.array_join(F.slice(labels, -n, n), "."))
 
 
 def url_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """Judge every page's url: page_id, host, path, rule, verdict.
 
-    Each url becomes the expressions host-suffix + path-prefix, with a prefix for every
-    path length that some rule has. Expressions meet rules in an equi-join on the first
+    Each url becomes the expressions host-suffix + path-prefix, with a suffix for every number of
+    labels and a prefix for every path length that some rule has. Expressions meet rules in an equi-join on the first
     hex digits of their SHA-256 digests; a hit counts if the whole digest agrees. The
     longest rule wins, and of equal rules that differ in verdict ``block`` wins; urls
     without a hit get ``default`` and a null rule. The rules are aggregated by expression
@@ -58,9 +58,10 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow") ->
     """
     r = (rules.where(F.col("host").isNotNull() & (F.col("host") != ""))
          .select((F.concat("host", F.coalesce("path", F.lit("")))).alias("_rule"),
-                 F.length(F.coalesce("path", F.lit(""))).alias("_plen"), F.col("verdict").alias("_verdict")))
-    # the path lengths in use: a few numbers, no longer than a url's path
-    lengths = sorted(x[0] for x in r.select("_plen").distinct().collect())
+                 F.length(F.coalesce("path", F.lit(""))).alias("_plen"), F.size(F.split("host", r"\.")).alias("_labels"),
+                 F.col("verdict").alias("_verdict")))
+    # the label counts and path lengths in use: a few numbers, no longer than a url's host and path
+    counts, lengths = map(sorted, r.agg(F.collect_set("_labels"), F.collect_set("_plen")).first())
     r = (r.groupBy("_rule").agg(F.max(F.col("_verdict") == "block").alias("_block"))
          .withColumn("_digest", F.sha2("_rule", 256)))
     r = r.withColumn("_key", F.substring("_digest", 1, PREFIX_DIGITS))
@@ -70,7 +71,7 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, default: str = "allow") ->
     fitting = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"),
                        lambda n: n <= F.length("path"))
     expressions = F.when(F.col("host") != "", F.flatten(F.transform(
-        host_suffixes(F.col("host")),
+        host_suffixes(F.col("host"), counts),
         lambda h: F.transform(fitting, lambda n: F.concat(h, F.substring(F.col("path"), F.lit(1), n))))))
     e = base.select("*", F.explode_outer(expressions).alias("_expr"))
     e = e.withColumn("_hash", F.sha2("_expr", 256)).withColumn("_key", F.substring("_hash", 1, PREFIX_DIGITS))
