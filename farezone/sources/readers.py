@@ -7,6 +7,13 @@ key's filter and column pruning still reach Parquet. The other readers declare t
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,12 +64,35 @@ def read_trips(spark: SparkSession, path: str, industry: str) -> DataFrame:
     """Every monthly Parquet file of one industry (``path`` may be a glob).
 
     ``industry`` is one of ``yellow``, ``green``, ``fhv``, ``hvfhv`` (the shared
-    rides live in the hvfhv files). The files' footers give the physical types (one
-    footer is read); a declared column that they lack is NULL, others are ignored.
-    Money is rounded to cents.
+    rides live in the hvfhv files). Each file's footer gives its physical types; a declared
+    column is NULL only for the files that lack it, others are ignored. Money is rounded
+    to cents.
     """
-    files = spark.read.parquet(path)
-    return files.select(*[checked_cast(files, f) for f in TRIP_SCHEMAS[industry].fields])
+    fields = TRIP_SCHEMAS[industry].fields
+    groups = [files.select(*[checked_cast(files, f) for f in fields]) for files in alike(spark, path, fields)]
+    return reduce(DataFrame.unionByName, groups)
+
+
+def alike(spark: SparkSession, path: str, fields: list) -> list[DataFrame]:
+    """The files of ``path`` as one table if their schemas merge (one job reads all footers),
+    else one for each set of physical types that files have for the declared ``fields``."""
+    try:
+        return [spark.read.option("mergeSchema", True).parquet(path)]
+    except (PySparkException, Py4JJavaError):
+        pass  # types differ; an error of another kind comes again below
+    # an inner folder names its partition columns from the root on; a glob has no root
+    reader = lambda: spark.read if re.search(r"[*?{\[]", path) else spark.read.option("basePath", path)
+    files = [re.sub(r"([*?{}\[\]\\])", r"\\\1", unquote(f)) for f in reader().schema(T.StructType(fields)).parquet(path).inputFiles()]
+    declared = {f.name.lower() for f in fields}
+
+    def footer(file):
+        return T.StructType([f for f in reader().parquet(file).schema.fields if f.name.lower() in declared])
+
+    by_schema: dict = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, schema in zip(files, pool.map(footer, files)):
+            by_schema.setdefault(schema.json(), (schema, []))[1].append(file)
+    return [reader().schema(schema).parquet(*some) for schema, some in by_schema.values()]
 
 
 # integer types from narrow to wide: a cast to a wider one can't fail, and Spark
@@ -73,11 +103,12 @@ _INTEGERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
 def checked_cast(df: DataFrame, field: T.StructField):
     """``field`` of ``df`` in its declared type: NULL where ``df`` lacks it, an error for a
     value that the type can't hold (also where ANSI mode is off)."""
-    if field.name not in df.columns:
+    found = [f for f in df.schema.fields if f.name.lower() == field.name.lower()]  # as Spark resolves names
+    if not found:
         return F.lit(None).cast(field.dataType).alias(field.name)
-    col, have = F.col(field.name), df.schema[field.name].dataType
+    col, have = F.col(field.name), found[0].dataType
     if have == field.dataType:
-        return col
+        return col.alias(field.name)
     if have in _INTEGERS and field.dataType in _INTEGERS and _INTEGERS.index(have) < _INTEGERS.index(field.dataType):
         return col.cast(field.dataType).alias(field.name)
     cast = col.try_cast(field.dataType)

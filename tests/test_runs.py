@@ -54,6 +54,21 @@ def test_a_value_that_does_not_fit_fails_the_read(spark):
             read_trips(spark, path, "yellow").collect()
 
 
+def test_each_month_has_the_columns_and_types_of_its_own_file(spark):
+    for kind in ("int", "bigint"):  # schemas that merge, and that don't
+        path = tempfile.mkdtemp(prefix="months ")
+        spark.createDataFrame([(2018010112, 5)], "datetimeid long, pulocationid int").write.parquet(f"{path}/m=1")
+        spark.createDataFrame([(2019020112, 6, 3.75, 2.5)], f"datetimeid long, pulocationid {kind}, Airport_fee double, congestion_surcharge double"
+                              ).write.parquet(f"{path}/m=2")
+        spark.createDataFrame([(2020030112, 7, 1.25)], f"datetimeid long, pulocationid {kind}, airport_fee double").write.parquet(f"{path}/m=3")
+        for where in (path, f"{path}/m=[123]/*.parquet"):
+            got = sorted((r.datetimeid, r.pulocationid, r.airport_fee, r.congestion_surcharge) for r in read_trips(spark, where, "yellow").collect())
+            assert got == [(2018010112, 5, None, None), (2019020112, 6, Decimal("3.75"), Decimal("2.50")),
+                           (2020030112, 7, Decimal("1.25"), None)]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_trips(spark, f"{path}/none", "yellow")
+
+
 def test_run_bounds_follow_the_run_date():
     p = Params(asof=dt.date(2023, 5, 25))
     assert p.trips_end == 2023040100 and p.industry("yellow").financials_end == 0
