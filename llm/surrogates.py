@@ -68,9 +68,12 @@ def _byte(digest: Column, i: int) -> Column:
 def _name(kind: str, value: Column, digest: Column, attempt: Column) -> Column:
     def build(script):
         table = F.array(*[F.lit(x) for x in SYLLABLES[script]])
-        some = [F.get(table, _byte(digest, i) % 16) for i in range(4)]
-        # a name that collided gets one more syllable
-        return F.concat(*some[:3], F.when(attempt > 0, some[3]).otherwise(""), F.lit(ENDINGS[kind][script]))
+        n = len(SYLLABLES[script])
+        some = [F.get(table, _byte(digest, i) % n) for i in range(3)]
+        # one more syllable for each draw: the names of some draw outnumber any corpus
+        more = F.array_join(F.transform(F.sequence(F.lit(3), attempt + 2), lambda i: F.get(
+            table, F.conv(F.substring(digest, 2 * i + 1, F.lit(2)), 16, 10).cast("int") % n)), "")
+        return F.concat(*some, F.when(attempt > 0, more).otherwise(""), F.lit(ENDINGS[kind][script]))
     return F.initcap(F.when(value.rlike(r"\p{IsCyrillic}"), build("cyrillic")).otherwise(build("latin")))
 
 
@@ -139,7 +142,7 @@ def collisions(entities: DataFrame, key: str) -> DataFrame:
 
     A surrogate counts as taken if another entity of the kind has it (the least value keeps it)
     or if it is itself an entity of the kind in the corpus. Who loses draws again, until nobody
-    does; names get longer from the second draw."""
+    does; a name gets one more syllable with each draw, so names don't run out."""
     t = entities.withColumn("attempt", F.lit(0))
     for turn in range(MAX_ATTEMPTS):
         t = materialize(t.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), key, F.col("attempt"))), "surrogates")

@@ -5,12 +5,13 @@ import re
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from llm import queries as Q
 from llm.nearest import nearest_vectors
 from llm.quality import fit_attention, passages, score_documents, train
-from llm.surrogates import KINDS, collisions, replace_entities
+from llm.surrogates import KINDS, SYLLABLES, collisions, replace_entities, surrogate
 from llm.url_filters import rules_frame, url_verdicts
 
 from llm.mixing import mix_sources
@@ -90,6 +91,15 @@ def test_surrogates_stay_distinct(spark):
     assert len(set(found)) == 26 and not set(found) & set(values)
 
 
+def test_names_outgrow_any_corpus(spark, monkeypatch):
+    # two syllables: 8 names at the first draw, 16 at the second, ...
+    monkeypatch.setitem(SYLLABLES, "latin", ["ba", "de"] * 8)
+    entities = spark.createDataFrame([("family", f"Name{i}") for i in range(60)], "kind string, value string")
+    new = {r.value: r.surrogate for r in collisions(entities, "k").collect()}
+    first = {r.value: r.s for r in entities.select("value", surrogate(F.col("kind"), F.col("value"), "k", F.lit(0)).alias("s")).collect()}
+    assert len({**first, **new}) == len(set({**first, **new}.values())) == 60 and max(map(len, new.values())) > 9
+
+
 def test_registered_surrogates_leave_clean_texts(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     for r in Q.op5_pii_surrogates(spark, SF_SMALL).collect():
