@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import let, materialize, text_or_empty
 
-#: Titles that announce a person's name, by gender.
+#: Titles that announce a person's name, by gender (of no gender: academic ones).
 TITLES_M = ["Mr", "Herr", "Monsieur", "Señor", "Господин"]
-TITLES_F = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа"]
+TITLES_F = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Sra", "Srta", "Dra", "Госпожа"]
+TITLES_N = ["Dr", "Prof", "Doctor", "Professor", "Доктор", "Профессор"]
+TITLE = "(?:" + "|".join(TITLES_M + TITLES_F + TITLES_N) + ")"
+#: A word of a name (Smith, McDonald, O'Brien, d'Arc, Anne-Marie, SMITH), initials, and words between.
+WORD = r"(?:d['’])?(?=\p{Lu}(?:[\p{L}\p{M}]|['’]\p{Lu}))\p{Lu}[\p{L}\p{M}]*+(?:['’-]\p{Lu}[\p{L}\p{M}]*+)*+"
+INITIALS = r"\p{Lu}\.(?:-?\p{Lu}\.)*+"
+PARTICLE = r"(?:de|del|della|da|di|do|dos|das|du|van|von|der|den|ter|zu|la|le|el|al|bin|ibn|y)"
+_NAME = rf"(?:(?:{INITIALS}|{PARTICLE}) )*+{WORD}"
+
+_GROUP = "[0-9A-Fa-f]{1,4}"
+#: National phone numbers, (555) 123-4567, 01 23 45 67 89, 0171 1234567, 020 7946 0958, (030) 123 4567, 912 34 56 78.
+_NATIONAL = [r"(?:1[ .-])?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}", r"0[1-9](?:[ .-]?[0-9]{2}){4}",
+             r"\(0[0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}", r"0[1-9][0-9]{1,3}[ .-][0-9]{3,4}[ .-][0-9]{3,4}",
+             r"0[1-9][0-9]{1,4}[ /.-][0-9]{5,8}", r"0[1-9][0-9]{8,9}", r"[6-9][0-9]{2}(?:[ .-][0-9]{2}){3}"]
 
 #: Patterns of the entity kinds (Java regular expressions). Every pattern
 #: begins where no longer run of its characters does, so matching is linear.
@@ -18,14 +33,19 @@ KINDS = {
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
-    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])",
+    # with "::" only global, local and link-local addresses: a[1::2] and Face::add are code
+    "ipv6": rf"(?<![0-9A-Za-z:.])(?:(?:{_GROUP}:){{7}}{_GROUP}|(?=(?:[23][0-9A-Fa-f]{{3}}|[Ff][CcDdEe][0-9A-Fa-f]{{2}}):)"
+            rf"(?:{_GROUP}:){{1,6}}(?::{_GROUP}){{1,6}})(?![0-9A-Za-z:])",
+    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+             r"|(?:\+|(?<![0-9A-Za-z])00(?=[1-9]))[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ ./-]?[0-9]){6,12}(?![0-9])"
+             r"|(?<![\p{L}0-9])(?<![0-9][.,/-])(?:" + "|".join(_NATIONAL) + r")(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "person": r"(?<!\p{L})(?:" + "|".join(TITLES_M + TITLES_F) + r")\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?(?!\p{L})",
+    "person": rf"(?<!\p{{L}})(?:{TITLE}\.? )++{_NAME}(?: {_NAME}){{0,3}}+",
 }
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: A text without any of these holds no entity; spares the long pattern.
-HINT = r"@|[0-9]{3}|[0-9]\.[0-9]|[0-9a-fA-F]{32}|" + "|".join(TITLES_M + TITLES_F)
+HINT = r"@|[0-9]{3}|[0-9]\.[0-9]|[0-9]{2}[ /-][0-9]{2}|[0-9a-fA-F]{32}|[0-9a-fA-F]:[0-9a-fA-F:]|" + TITLE
 
 #: Syllables and endings of generated names, by script.
 SYLLABLES = {
@@ -33,6 +53,7 @@ SYLLABLES = {
     "cyrillic": ["ба", "де", "ки", "ло", "му", "на", "пе", "ри", "со", "ту", "ва", "зе", "жи", "го", "ху", "ша"],
 }
 ENDINGS = {"given_m": {"latin": "n", "cyrillic": "н"}, "given_f": {"latin": "na", "cyrillic": "на"},
+           "given_n": {"latin": "l", "cyrillic": "л"},
            "family": {"latin": "r", "cyrillic": "р"}}
 MAX_ATTEMPTS = 40
 
@@ -94,19 +115,28 @@ def surrogate(kind: Column, value: Column, key: str, attempt: Column) -> Column:
             c.between("A", "F"), F.upper(F.substring(d, i % F.lit(128) + 1, F.lit(1))))
             .otherwise(F.substring(d, i % F.lit(128) + 1, F.lit(1)))), "")
 
+    def ipv6(d):  # keeps the first group; a draw after the first has all eight groups
+        first = F.substring_index(value, ":", 1)
+        drawn = F.array_join(F.transform(_chars(value), lambda c, i: F.when(c == ":", c).otherwise(
+            F.substring(d, i % F.lit(128) + 1, F.lit(1)))), "")
+        return F.concat(first, F.when(attempt > 0, F.concat(*[F.concat(F.lit(":"), F.substring(d, 4 * i + 1, 4)) for i in range(7)]))
+                        .otherwise(F.substring(drawn, F.length(first) + 1, F.length(value))))
+
     def secret(d):  # upper case stays upper case
         return F.when(value.rlike("[A-F]"), F.upper(hexadecimal(d))).otherwise(hexadecimal(d))
 
     def draw(d):
         tld = F.substring_index(value, ".", -1)
-        code = F.regexp_extract(value, r"^\+[0-9]{1,3}", 0)
+        code = F.regexp_extract(value, r"^(?:(?:\+|00)[0-9]{1,3}|\(?0)", 0)
         return (F.when(kind == "email", F.concat(_reshape(F.substring(value, F.lit(1), F.length(value) - F.length(tld)), d), tld))
                 .when(kind == "secret", secret(d))
                 .when(kind == "ip", F.concat_ws(".", (_byte(d, 0) % 223 + 1).cast("string"), *[_byte(d, i).cast("string") for i in (1, 2, 3)]))
+                .when(kind == "ipv6", ipv6(d))
                 .when(kind == "phone", F.concat(code, _reshape(F.substring(value, F.length(code) + 1, F.length(value)), d)))
                 .when(kind == "iban", F.concat(F.substring(value, 1, 2), _reshape(F.substring(value, F.lit(3), F.length(value)), d)))
                 .when(kind == "card", card(d))
                 .when(kind == "given_m", _name("given_m", value, d, attempt)).when(kind == "given_f", _name("given_f", value, d, attempt))
+                .when(kind == "given_n", _name("given_n", value, d, attempt))
                 .when(kind == "family", _name("family", value, d, attempt))
                 .otherwise(_reshape(value, d)))
 
@@ -121,16 +151,45 @@ def _kind(match: Column) -> Column:
     return out
 
 
+def _titles(match: Column) -> Column:
+    """The titles of a person's match, with the blank after them."""
+    return F.regexp_extract(match, rf"^(?:{TITLE}\.? )+", 0)
+
+
 def entity_parts(match: Column) -> Column:
-    """The entities of a match, (kind, value): the match itself, or the words of a person's name
-    (a lone name, or the second of two, is a family name; the first is given, by the title's gender)."""
-    words = F.split(match, " ")
-    man = F.regexp_replace(F.get(words, F.lit(0)), r"\.$", "").isin(*TITLES_M)
+    """The parts of a match, (kind, value): the match itself, or all words of a person's name
+    (the first of several is given, by the titles' gender, a lone one and all others are family
+    names; initials and particles have kinds of their own, see :func:`is_entity`)."""
     def part(kind, value):
         return F.struct(kind.alias("kind"), value.alias("value"))
-    person = F.when(F.size(words) == 2, F.array(part(F.lit("family"), F.get(words, F.lit(1))))).otherwise(F.array(
-        part(F.when(man, "given_m").otherwise("given_f"), F.get(words, F.lit(1))), part(F.lit("family"), F.get(words, F.lit(2)))))
-    return let(_kind(match), lambda k: F.when(k == "person", person).otherwise(F.array(part(k, match))))
+
+    def has(titles):
+        return _titles(match).rlike("(?:^| )(?:" + "|".join(titles) + r")\.? ")
+
+    given = F.when(has(TITLES_M), "given_m").when(has(TITLES_F), "given_f").otherwise("given_n")
+
+    def kinds(words):
+        plain = F.transform(words, lambda w: F.when(w.rlike(rf"^{INITIALS}$"), "initials").when(w.rlike(rf"^{PARTICLE}$"), "particle").otherwise("family"))
+        def place(at):  # of the first whole word; the last word is always whole
+            return F.zip_with(words, F.transform(at, lambda k, i: F.when(
+                (i + 1 == F.array_position(at, "family")) & (i + 1 < F.size(at)), given).otherwise(k)), lambda w, k: part(k, w))
+        return let(plain, place)
+
+    name = F.split(F.substring(match, F.length(_titles(match)) + 1, F.length(match)), " ")
+    return let(_kind(match), lambda k: F.when(k == "person", let(name, kinds)).otherwise(F.array(part(k, match))))
+
+
+def is_entity(part: Column) -> Column:
+    """Whether a part has a surrogate of its own: not a particle, and not initials, of which there are too few."""
+    return ~part["kind"].isin("initials", "particle")
+
+
+def new_initials(value: Column, key: str) -> Column:
+    """Initials with each letter replaced by the next one of a keyed order of its alphabet."""
+    def order(letters):
+        return "".join(sorted(letters, key=lambda c: hashlib.sha256(f"{key}\x1f{c}".encode()).digest()))
+    orders = [order(x) for x in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝŁŚŠŻŽ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ")]
+    return F.translate(value, "".join(orders), "".join(o[1:] + o[0] for o in orders))
 
 
 def matches(text: Column) -> Column:
@@ -164,22 +223,23 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """Documents with every detected entity replaced: adds n_entities, replaces text, keeps all
     other columns.
 
-    Kinds: e-mail, hexadecimal secrets, IBAN, IPv4, phone, SSN, card numbers, and names after
-    a title. A surrogate depends on the key, kind and value alone, so an entity has the same one in
+    Kinds: e-mail, hexadecimal secrets, IBAN, IPv4 and IPv6, phone (international and national),
+    SSN, card numbers, and names after a title. A surrogate depends on the key, kind and value alone, so an entity has the same one in
     every document (coreference; a name's words are replaced one by one, so "Mr. A B" and "Mr. B"
     agree). It has the format of the value: classes and case of characters, separators, an
-    e-mail's top-level domain, a phone's country code, the validity of a card's check digit,
+    e-mail's top-level domain, a phone's country code or leading 0, the validity of a card's check digit,
     a given name's gender and a name's script. All distinct entities of the corpus are checked:
     no two have the same surrogate and none is another entity; losers draw again. Only where
     that happened are the texts joined with the exceptions (by a hash of the text).
 
     Null texts stay null, empty ones empty, with 0 entities. Equal rows stay equal. An empty
-    table gives no rows. Names without a title aren't detected.
+    table gives no rows. Initials follow a keyed order of the alphabet; particles (von, de la) stay.
+    Names without a title aren't detected, nor what the README lists.
     """
     docs = docs.drop("n_entities")
     found = docs.select(F.explode(F.array_distinct(matches(F.col("text")))).alias("_match"))
     entities = materialize(found.groupBy("_match").agg(F.lit(1).alias("_one")).select(F.explode(entity_parts(F.col("_match"))).alias("_e"))
-                           .select("_e.kind", "_e.value").distinct(), "entities")
+                           .where(is_entity(F.col("_e"))).select("_e.kind", "_e.value").distinct(), "entities")
     exceptions = materialize(collisions(entities, key), "surrogate-exceptions")
 
     def plain(e):
@@ -198,11 +258,11 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
         def one(e):
             return F.coalesce(F.element_at(F.col("_map"), F.concat_ws("\x1f", e["kind"], e["value"])), plain(e))
 
+    def word(e):
+        return F.when(e["kind"] == "initials", new_initials(e["value"], key)).when(e["kind"] == "particle", e["value"]).otherwise(one(e))
+
     def new(match):
-        title = F.substring_index(match, " ", 1)
-        return let(entity_parts(match), lambda p: F.when(
-            F.get(p, F.lit(0))["kind"].isin("given_m", "given_f", "family"),
-            F.concat_ws(" ", title, F.array_join(F.transform(p, one), " "))).otherwise(one(F.get(p, F.lit(0)))))
+        return F.concat(_titles(match), F.array_join(F.transform(entity_parts(match), word), " "))
 
     m = docs.withColumn("_matches", matches(F.col("text")))
     between = F.split("text", ANY, -1)

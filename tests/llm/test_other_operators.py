@@ -100,6 +100,35 @@ def test_names_outgrow_any_corpus(spark, monkeypatch):
     assert len({**first, **new}) == len(set({**first, **new}.values())) == 60 and max(map(len, new.values())) > 9
 
 
+PHONES = ["(555) 123-4567", "555-123-4567", "1-555-123-4567", "01 23 45 67 89", "0612345678", "0171 1234567", "030/1234567", "020 7946 0958", "(030) 123 4567",
+          "+33 1 23 45 67 89", "+34 912 34 56 78", "912 34 56 78", "+49 (0)171 1234567", "0033 1 23 45 67 89", "+1 (017) 555-7713"]
+NAMES = ["Mr. McDonald", "Mr. O'Brien", "Mr. John F. Kennedy", "Mrs. Anne-Marie Stone", "Dr. Ada Lovelace", "Prof. Dr. J.-P. Serre", "Dra. García", "Herr von Stein",
+         "Herr Dr. Müller", "Mr. John Fitzgerald Kennedy", "Ms. D’Angelo", "Mr. SMITH", "Mlle. Jeanne d'Arc"]
+ADDRESSES = ["2001:db8::8a2e:370:7334", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "fe80::1"]
+
+
+def test_surrogates_of_each_form(spark):
+    values = PHONES + NAMES + ADDRESSES
+    df = spark.createDataFrame([(i, f"so <{v}>, see") for i, v in enumerate(values)], "doc_id long, text string")
+    out = {r.doc_id: r for r in replace_entities(df, "k").collect()}
+    for i, v in enumerate(values):
+        new = re.fullmatch("so <(.*)>, see", out[i].text)[1]
+        assert out[i].n_entities == 1 and new != v, v
+        if v in PHONES:
+            assert re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", v) and (new[0] == "0") == (v[0] == "0")
+        elif v in NAMES:
+            kept = {"Mr", "Mrs", "Ms", "Mlle", "Dr", "Prof", "Dra", "Herr", "von"}
+            was, now = ([w for w in re.split(r"[ .]+", x) if w and w not in kept] for x in (v, new))
+            assert not set(was) & set(now) and len(was) == len(now) and new.split()[0] == v.split()[0], new
+        else:
+            assert re.fullmatch("[0-9a-f:]+", new) and new.count(":") >= v.count(":") and new.split(":")[0] == v.split(":")[0]
+    kennedy = {out[len(PHONES) + NAMES.index(n)].text.split()[-2].rstrip(">,") for n in ("Mr. John F. Kennedy", "Mr. John Fitzgerald Kennedy")}
+    assert len(kennedy) == 1
+    clean = ["at 12:30:45 on 2024-01-15, 01.02.2024", "a[1::2], std::add, Face::add", "Mr. T the end", "x 1990-1995, 1 234 567", "see Dr. a", "3.14159265"]
+    plain = spark.createDataFrame([(i, t) for i, t in enumerate(clean)], "doc_id long, text string")
+    assert [r.text for r in replace_entities(plain, "k").orderBy("doc_id").collect()] == clean
+
+
 def test_registered_surrogates_leave_clean_texts(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     for r in Q.op5_pii_surrogates(spark, SF_SMALL).collect():
