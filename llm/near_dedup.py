@@ -71,6 +71,10 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix((parts * mult).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)).view(np.int64)
 
 
+def text_hash() -> Column:
+    return F.md5(text_or_empty().cast("binary"))
+
+
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
     """doc_id, text hash and the band keys of every document (none for a text without words)."""
 
@@ -87,7 +91,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS) -> Da
                     [batch.column(0).slice(first, n), batch.column(1).slice(first, n), lists.cast(kind)],
                     names=["doc_id", "_text_hash", "_bands"])
 
-    return (docs.select(F.col("doc_id").cast("long"), F.md5(text_or_empty().cast("binary")).alias("_text_hash"),
+    return (docs.select(F.col("doc_id").cast("long"), text_hash().alias("_text_hash"),
                         text_or_empty().alias("text"))
             .mapInArrow(run, "doc_id long, _text_hash string, _bands array<long>"))
 
@@ -110,7 +114,8 @@ def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.nda
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, shingle codes and counts of the documents in ``wanted``."""
+    """doc_id (here the class), shingle codes and counts of the classes in ``wanted``: _class, its
+    least doc_id ``_least`` (null: it has none) and _text_hash."""
 
     def shingle(batches):
         for batch in batches:
@@ -122,9 +127,10 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                      pa.ListArray.from_arrays(ends, pa.array(count.astype(np.int32), pa.int32()))],
                     names=["doc_id", "_codes", "_counts"])
 
-    texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).join(wanted, "doc_id", "left_semi")
-    # repeated rows of a document are one; two texts under one doc_id: the smaller stands for it
-    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
+    # of a class's copies only the rows of its least doc_id are read, and rows that repeat are one
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), text_hash().alias("_h"), text_or_empty().alias("text"))
+    texts = texts.join(wanted, (F.col("_h") == F.col("_text_hash")) & F.col("_id").eqNullSafe(F.col("_least")))
+    texts = texts.groupBy(F.col("_class").alias("doc_id")).agg(F.min("text").alias("text"))
     return texts.mapInArrow(shingle, "doc_id long, _codes array<long>, _counts array<int>")
 
 
@@ -202,8 +208,7 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.select("node", "label")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
-                    rows: int = BAND_ROWS, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One row for each document: doc_id, class_id (least doc_id of an equal text), group_id
     (least doc_id of the connected near-duplicates), kept (true for that document).
 
@@ -219,30 +224,41 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     components are all compared. No link between candidates is lost, no cap holds, and pairs
     inside a component, or pairs that the bound excludes, are not made.
 
-    A null text is empty. Texts without words (empty, white space) have no shingles: they are
-    near only to equal texts. Rows that repeat a doc_id are one document (if their texts differ,
-    it is linked to what either equals, and compared by the smaller text). Rows with a null
-    doc_id belong to no class: class_id and group_id are null and kept is true. An empty table
-    gives no rows; other columns are ignored.
+    A text, not a doc_id, is what is compared: rows that share a doc_id but no text are linked
+    only by their own likeness, and rows with a null doc_id link and stand for texts as others do.
+    Of a group, the rows with the least doc_id are kept, of several such texts the one of the least
+    hash. A null text is empty. Texts without words (empty, white space) have no shingles: they
+    are near only to equal texts. For a row with a null doc_id, class_id and group_id are null and
+    kept is true (:func:`keep_one_of_each` drops it where another row stands for its group). An
+    empty table gives no rows; other columns are ignored.
     """
+    sig, groups = _grouped(docs, **options)
+    named = (sig.where(F.col("doc_id").isNotNull()).join(groups, "_text_hash")
+             .select("doc_id", "class_id", "group_id", (F.col("_stands") & (F.col("doc_id") == F.col("group_id"))).alias("kept")))
+    none = F.lit(None).cast("long")
+    return named.unionByName(sig.where(F.col("doc_id").isNull()).select(
+        "doc_id", none.alias("class_id"), none.alias("group_id"), F.lit(True).alias("kept")))
+
+
+def _grouped(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = BAND_ROWS,
+             star_rounds: int = STAR_ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """The rows' doc_id and _text_hash, and for each text its class_id and group_id (null where no
+    row of the class or group has a doc_id) and whether it ``_stands`` for its group."""
     ship_code(docs.sparkSession)
     sig = materialize(signatures(docs, bands, rows), "signatures")
-    named = sig.where(F.col("doc_id").isNotNull())
-    classes = materialize(named.groupBy("_text_hash").agg(F.min("doc_id").alias("_class"), F.first("_bands").alias("_bands")), "classes")
+    classes = materialize(sig.groupBy("_text_hash").agg(F.min("doc_id").alias("_least"), F.first("_bands").alias("_bands"))
+                          .withColumn("_class", F.monotonically_increasing_id()), "classes")
     slots = classes.select("_class", F.posexplode("_bands").alias("_band", "_key"))
     shared = (slots.groupBy("_band", "_key").agg(F.min("_class").alias("_low"), F.max("_class").alias("_high"))
               .where("_low < _high").select("_band", "_key"))
     members = materialize(slots.join(shared, ["_band", "_key"]), "buckets")
-    sets = materialize(shingle_sets(docs, members.select(F.col("_class").alias("doc_id")).distinct()), "shingle-sets")
+    wanted = classes.drop("_bands").join(members.select("_class").distinct(), "_class")
+    sets = materialize(shingle_sets(docs, wanted), "shingle-sets")
     weights = materialize(set_weights(sets), "set-weights")
     members = materialize(members.join(weights, "_class"), "bucket-members")
     least = similarity - 1e-9
 
-    # a document that has two texts links their classes
-    edges = (named.join(classes.drop("_bands"), "_text_hash").where("doc_id <> _class")
-             .join(named.groupBy("doc_id").agg(F.countDistinct("_text_hash").alias("_texts")).where("_texts > 1"), "doc_id")
-             .select(F.col("_class").alias("a"), F.col("doc_id").alias("b")).distinct())
-    tried = labels = None
+    tried = labels = edges = None
     own = ["_class", "_w", "_u", "_m", "_c", "label"]
     cleanest = F.struct((F.col("_u") / F.col("_w")).alias("_own"), *own)
     members = members.withColumn("_c", F.lit(None).cast("double"))
@@ -293,24 +309,25 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         found = found.where(F.col("sim") >= similarity - 1e-12).select("a", "b")
         if turn and not found.limit(1).count():
             continue
-        edges = edges.unionByName(found)
+        edges = found if edges is None else edges.unionByName(found)
         labels = components(edges)
-    keyed = named.select("doc_id", "_text_hash").join(classes.drop("_bands"), "_text_hash")
-    keyed = keyed.join(labels.select(F.col("node").alias("_class"), "label"), "_class", "left")
-    group = F.coalesce("label", "_class")
-    out = keyed.select("doc_id", F.col("_class").alias("class_id"), group.alias("group_id"), (F.col("doc_id") == group).alias("kept"))
-    none = F.lit(None).cast("long")
-    return out.unionByName(sig.where(F.col("doc_id").isNull()).select(
-        "doc_id", none.alias("class_id"), none.alias("group_id"), F.lit(True).alias("kept")))
+    own = classes.select("_text_hash", "_least", "_class").join(labels.withColumnRenamed("node", "_class"), "_class", "left")
+    own = own.withColumn("label", F.coalesce("label", "_class"))
+    stands = own.groupBy("label").agg(F.min(F.struct(F.col("_least").isNull().alias("_none"), "_least", "_text_hash")).alias("_rep"))
+    groups = own.join(stands, "label").select(
+        "_text_hash", F.col("_least").alias("class_id"), F.col("_rep._least").alias("group_id"),
+        (F.col("_rep._text_hash") == F.col("_text_hash")).alias("_stands"))
+    return sig.select("doc_id", "_text_hash"), materialize(groups, "groups")
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The documents without all but one, the least doc_id, of each near-duplicate group; columns
-    as in the input. Of rows that repeat that doc_id one stays (the least in its columns' order);
-    rows with a null doc_id belong to no group and stay."""
-    kept = near_duplicates(docs, **options).where("kept and doc_id is not null").select("doc_id").distinct()
-    chosen = docs.join(kept, "doc_id", "left_semi")
+    as in the input. Of rows that repeat that document one stays (the least in its columns' order).
+    Rows with a null doc_id are members like others; one stays where its group has no doc_id. No
+    row goes whose text isn't in the group of a row that stays."""
+    kept = _grouped(docs, **options)[1].where("_stands").select(F.col("_text_hash").alias("_kh"), F.col("class_id").alias("_kd"))
     others = [c for c in docs.columns if c != "doc_id"]
-    one = chosen.groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_row"))
-    one = one.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row").getField(c).alias(c) for c in docs.columns])
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = docs.select("doc_id", text_hash().alias("_kt"), F.struct(*others).alias("_row"))
+    chosen = rows.join(kept, (F.col("_kt") == F.col("_kh")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_kd")), "left_semi")
+    one = chosen.groupBy("doc_id", "_kt").agg(F.min("_row").alias("_row"))
+    return one.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row").getField(c).alias(c) for c in docs.columns])

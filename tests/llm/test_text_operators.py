@@ -150,6 +150,23 @@ def test_near_duplicates_awkward(awkward, empty):
     assert near_duplicates(empty).count() == 0 and keep_one_of_each(empty).count() == 0
 
 
+def test_near_duplicates_go_by_text_not_by_doc_id(make_docs):
+    r = random.Random(8)
+    def words():
+        return [f"w{r.randrange(10**6)}" for _ in range(90)]
+    a, b, c, d, e = (words() for _ in range(5))
+    def near(w):
+        return " ".join(w[:-1] + ["other"])
+    texts = [(5, a), (5, b), (5, c), (6, b), (7, near(b)), (8, near(c)), (None, d), (None, d), (None, near(d)), (None, near(a)), (4, near(a)), (9, e)]
+    docs = make_docs([(i, t if isinstance(t, str) else " ".join(t), "en", "s", 1) for i, t in texts])
+    rows = near_duplicates(docs).collect()
+    assert sorted((x.doc_id, x.group_id, x.kept) for x in rows if x.doc_id is not None) == [
+        (4, 4, True), (5, 4, False), (5, 5, True), (5, 5, True), (6, 5, False), (7, 5, False), (8, 5, False), (9, 9, True)]
+    kept = keep_one_of_each(docs).collect()
+    assert sorted((x.doc_id or 0) for x in kept) == [0, 4, 5, 5, 9]  # a; b; c; d; e, each once
+    assert {x.text.split()[0] for x in kept} == {w[0] for w in (a, b, c, d, e)}
+
+
 def test_signature_agreement_estimates_probability_jaccard():
     texts = pa.array([" ".join(f"w{i}" for i in range(300)) + " a b c d e" * 4, " ".join(f"w{i}" for i in range(40, 340)) + " a b c d e" * 9])
     (first, n, codes, doc, count), = list(document_shingles(texts))
