@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from llm.common import table
+from pyspark.sql import functions as F
+
+from llm.common import let, table, text_or_empty
 from llm.fingerprints import document_fingerprints
 from llm.line_dedup import MIN_SITES, MIN_WORDS, remove_shared_lines
 from llm.mixing import mix_sources
 from llm.near_dedup import near_duplicates
 from llm.nearest import nearest_vectors
 from llm.packing import pack_documents
+from llm.periodic_runs import periodic_runs
 from llm.quality import score_documents
 from llm.sharding import byte_shards
 from llm.surrogates import replace_entities
@@ -63,6 +66,37 @@ def op10_quality_classifier(spark, sf_dir):
             .select("doc_id", "held_out", "score", "predicted"))
 
 
+def planted_text():
+    """The text of a row, with a periodic tail for every tenth ``crc32`` of a doc_id (op12's input)."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = ((h - h % 10) / 10).cast("long")
+
+    def tail(words):
+        n = F.size(words).cast("long")
+        a = g % n
+        p = F.floor((n - a) / (g % 8 + 3)) + 1
+        places = F.sequence(F.lit(0).cast("long"), n - 1)
+        word = lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))
+        return F.when(n > 0, F.array_join(F.transform(places, word), " ")).otherwise(F.lit(""))
+
+    words = F.filter(F.split(text_or_empty(), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.when(h % 10 == 0, let(words, tail)).otherwise(F.col("text"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted_text().alias("text"))
+    found = periodic_runs(docs)
+    # greatest length, then smallest start, then smallest period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"], r["period"])))
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    best = found.withColumn("_best", best.cast("struct<length:long,s:long,p:long,start:long,period:long>"))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.floor(F.col("_best.length") * 1000 / F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(text_or_empty("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -80,6 +114,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_periodic_runs": op12_periodic_runs,
     "pipeline": pipeline,
 }
 
@@ -150,7 +185,51 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
 FROM cut
 """
 
+RUNS_SQL = r"""
+WITH RECURSIVE bits(n, c, k) AS (
+  SELECT CAST(r.i AS BIGINT), CAST(r.i AS BIGINT), 0 FROM range(256) r(i)
+  UNION ALL
+  SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_transform(regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS bytes
+  FROM documents),
+hashed AS (
+  SELECT rid, doc_id, ws, CAST(len(ws) AS BIGINT) AS n,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) AS h
+  FROM docs, crc_table),
+placed AS (
+  SELECT rid, doc_id, ws, n, coalesce(h % 10 = 0, false) AND n > 0 AS planted, h // 10 AS g,
+         CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM hashed),
+periods AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM placed),
+texts AS (
+  SELECT rid, doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: ws[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE ws END AS ws
+  FROM periods),
+grams AS (  -- a run has five words or more that recur one period later
+  SELECT rid, n, unnest(range(n - 4)) AS i, unnest(list_transform(range(n - 4), lambda i: array_to_string(ws[i + 1:i + 5], ' '))) AS gram
+  FROM texts WHERE n >= 6),
+pairs AS (
+  SELECT x.rid, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.rid = y.rid AND x.gram = y.gram AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT rid, q, min(i) AS start, count(*) + 4 + q AS length FROM islands GROUP BY rid, q, island),
+runs AS (SELECT rid, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY rid, start, length),
+told AS (
+  SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY rid),
+longest AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY length DESC, start, period) AS k FROM runs),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs),
+words AS (SELECT rid, unnest(range(n)) AS i, unnest(ws) AS w FROM texts),
+kept AS (
+  SELECT w.rid, string_agg(w.w, ' ' ORDER BY w.i) AS text FROM words w LEFT JOIN gone g ON w.rid = g.rid AND w.i = g.i
+  WHERE g.rid IS NULL GROUP BY w.rid)
+SELECT d.doc_id, coalesce(t.n_runs, 0) AS n_runs, CAST(l.start AS BIGINT) AS start, CAST(l.length AS BIGINT) AS length,
+       CAST(l.period AS BIGINT) AS period, CAST(1000 * l.length // l.period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(t.lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM texts d LEFT JOIN told t ON d.rid = t.rid LEFT JOIN longest l ON d.rid = l.rid AND l.k = 1 LEFT JOIN kept k ON d.rid = k.rid
+"""
+
 ORACLE = {
+    "op12_periodic_runs": RUNS_SQL,
     "op4_byte_shards": SHARDS_SQL,
     "op8_url_filters": URL_SQL,
     "op9_line_dedup": LINES_SQL,
