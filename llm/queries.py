@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from llm.common import let, table, text_or_empty
 from llm.fingerprints import document_fingerprints
+from llm.language_id import identify_language
 from llm.line_dedup import MIN_SITES, MIN_WORDS, remove_shared_lines
 from llm.mixing import mix_sources
 from llm.near_dedup import near_duplicates
@@ -13,6 +14,7 @@ from llm.nearest import nearest_vectors
 from llm.packing import pack_documents
 from llm.periodic_runs import periodic_runs
 from llm.quality import score_documents
+from llm.ranked_search import ranked_search
 from llm.sharding import byte_shards
 from llm.surrogates import replace_entities
 from llm.url_filters import RULES, rules_frame, url_verdicts
@@ -66,6 +68,11 @@ def op10_quality_classifier(spark, sf_dir):
             .select("doc_id", "held_out", "score", "predicted"))
 
 
+def op11_language_id(spark, sf_dir):
+    return (identify_language(table(spark, sf_dir, "documents"))
+            .select("doc_id", "held_out", "lang_pred", "score", "entropy", "rejected"))
+
+
 def planted_text():
     """The text of a row, with a periodic tail for every tenth ``crc32`` of a doc_id (op12's input)."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -97,6 +104,10 @@ def op12_periodic_runs(spark, sf_dir):
         F.sha2(text_or_empty("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 50)
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -114,7 +125,9 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_language_id": op11_language_id,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_ranked_search": op13_ranked_search,
     "pipeline": pipeline,
 }
 
@@ -228,8 +241,35 @@ SELECT d.doc_id, coalesce(t.n_runs, 0) AS n_runs, CAST(l.start AS BIGINT) AS sta
 FROM texts d LEFT JOIN told t ON d.rid = t.rid LEFT JOIN longest l ON d.rid = l.rid AND l.k = 1 LEFT JOIN kept k ON d.rid = k.rid
 """
 
+SEARCH_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents WHERE text IS NOT NULL),
+sized AS (SELECT *, CAST(len(ts) AS BIGINT) AS n FROM docs WHERE len(ts) > 0),
+total AS (SELECT count(*) AS nn, CAST(coalesce(sum(n), 0) AS BIGINT) AS ll FROM sized),
+lengths AS (SELECT rid, doc_id, 100 - 50 + (50 * n * nn) // ll AS m FROM sized, total),
+items AS (
+  SELECT row_number() OVER () AS qid, item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM benchmark WHERE text IS NOT NULL),
+wanted AS (SELECT DISTINCT qid, item_id, t FROM (SELECT qid, item_id, unnest(ts) AS t FROM items)),
+held AS (SELECT rid, unnest(ts) AS t FROM sized),
+postings AS (SELECT rid, t, count(*) AS tf FROM held WHERE t IN (SELECT t FROM wanted) GROUP BY rid, t),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM postings GROUP BY t), total),
+scores AS (
+  SELECT q.qid, q.item_id, p.rid, l.doc_id, CAST(sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 20 * l.m))) AS BIGINT) AS score
+  FROM wanted q JOIN postings p ON q.t = p.t JOIN weights w ON q.t = w.t JOIN lengths l ON p.rid = l.rid GROUP BY q.qid, q.item_id, p.rid, l.doc_id),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 ORACLE = {
     "op12_periodic_runs": RUNS_SQL,
+    "op13_ranked_search": SEARCH_SQL,
     "op4_byte_shards": SHARDS_SQL,
     "op8_url_filters": URL_SQL,
     "op9_line_dedup": LINES_SQL,
