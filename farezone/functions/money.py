@@ -1,17 +1,21 @@
 """Money and ratio helpers.
 
-Money is carried as decimal and summed exactly; averages and ratios are formed
-as ``double(sum) / count`` at the end, so every engine produces the same double.
+Money has at most two decimals. It is summed exactly, as whole cents in a long, and becomes a
+decimal again once a group's sum is complete; averages and ratios are formed as ``double(sum) /
+count`` at the end, so every engine produces the same double.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+CENT = Decimal("0.01")
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -43,24 +47,42 @@ def exact_avg(c) -> Column:
     return ratio(F.sum(x), F.count(x))
 
 
-def exact_sum(c) -> Column:
-    """``sum(x)`` summed in the column's own (decimal or integral) type, as double."""
-    return F.sum(_col(c)).cast("double")
+def cents_sum(c) -> Column:
+    """Sum of money in cents, a long (NULL without values). A sum that no long holds fails, in
+    any ANSI mode; it is never NULL or wrapped.
+
+    Amounts below a million are summed as ``decimal(8,2)``, which Spark adds up as plain longs; the rest,
+    rare in fares, is turned to cents one by one. Neither needs the wide decimals that a plain sum of
+    ``decimal(12,2)`` keeps in each of its buffers."""
+    x = _col(c)
+    small = x.try_cast("decimal(8,2)")
+    zero = F.lit(0).cast("long")
+    low = F.sum(F.coalesce(small, F.lit(0).cast("decimal(8,2)")))  # decimal(18,2): 10 billion of the greatest amounts
+    high = F.try_sum(F.coalesce(F.when(small.isNull(), (x * 100).cast("long")), zero))
+    both = F.try_add((low * 100).cast("long"), high)  # NULL: one of the three is beyond its range
+    failed = F.raise_error(F.lit("a sum of money is beyond the range of a long in cents")).cast("long")
+    n = F.count(x)
+    return F.when((n > 0) & both.isNull(), failed).when(n > 0, both)
 
 
-def total(c) -> Column:
-    """Sum with NULL as 0 (P6): the plain sum's buffer, 0 where no value is there."""
-    return F.coalesce(F.sum(_col(c)), F.lit(0))
+def money_of(cents: Column) -> Column:
+    """Cents (long) as a decimal amount."""
+    return cents.cast("decimal(19,0)") * F.lit(CENT)
 
 
-def payer_avg(c) -> Column:
-    """Average over non-zero values (P7): zeros don't change the sum, only the count."""
-    return ratio(F.sum(_col(c)), F.count(null_if_zero(c)))
+def money_sum(c) -> Column:
+    """Exact sum of money, NULL without values."""
+    return money_of(cents_sum(c))
 
 
-def filled_avg(c) -> Column:
-    """Average with NULL as 0 (P6), over all rows."""
-    return ratio(total(c), F.count(F.lit(1)))
+def money_avg(c) -> Column:
+    """Average of money over the rows that have a value."""
+    return ratio(money_sum(c), F.count(_col(c)))
+
+
+def total(c) -> Column:
+    """Sum of money with NULL as 0 (P6): the plain sum's buffer, 0 where no value is there."""
+    return F.coalesce(money_sum(c), F.lit(0))
 
 
 def to_minutes(avg_seconds: Column) -> Column:

@@ -21,13 +21,16 @@ from pyspark.sql import functions as F
 
 from farezone import config as C
 from farezone.config import Industry
-from farezone.functions.money import exact_avg, filled_avg, payer_avg, ratio, rider_total, to_minutes, total
+from farezone.functions.money import exact_avg, money_avg, money_sum, null_if_zero, ratio, rider_total, to_minutes, total
 from farezone.functions.timekeys import month_key
 from farezone.operators.filters import in_period, shared_only, valid_trip, within_caps
 
 # Fare parts a high-volume rider pays, in the published order.
 HV_FARE_PARTS = ("base_passenger_fare", "tolls", "bcf", "sales_tax",
                  "congestion_surcharge", "airport_fee", "tips")
+#: Money columns of the hv fare tables, in the published order.
+HV_MONEY = ("base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge",
+            "tips", "driver_pay", "airport_fee")
 
 
 def fare_expr(industry: Industry) -> Column:
@@ -55,7 +58,7 @@ def zone_financials(df: DataFrame, industry: Industry) -> DataFrame:
     """
     fare = fare_expr(industry)
     return (df.groupBy(month_key("datetimeid").alias("year_month"), "pulocationid")
-              .agg(exact_avg(fare).alias("avg_total_fare"),
+              .agg(money_avg(fare).alias("avg_total_fare"),
                    total(fare).cast("double").alias("sum_total_fare"),
                    to_minutes(exact_avg(industry.seconds)).alias("avg_trip_time"),
                    exact_avg(industry.distance).alias("avg_trip_distance")))
@@ -71,77 +74,122 @@ def fare_trips(df: DataFrame, industry: Industry, start: int, end: int,
     return within_caps(df, industry, fare_cap, distance_cap)
 
 
-def _metered_measures(airport_fee: bool, extra_payers_only: bool) -> list[tuple[str, Column]]:
+class TripTerms:
+    """What fare measures are made of, as aggregates over trips."""
+
+    def __init__(self, driver: str):
+        self._driver = driver
+
+    def money(self, c: str) -> Column:
+        return money_sum(c)
+
+    def number(self, c: str) -> Column:
+        return F.sum(c)
+
+    def count(self, c: str) -> Column:
+        return F.count(F.col(c))
+
+    def payers(self, c: str) -> Column:
+        return F.count(null_if_zero(c))
+
+    def rows(self) -> Column:
+        return F.count(F.lit(1))
+
+    def drivers(self) -> Column:
+        return F.count_distinct(F.col(self._driver))
+
+
+def _total(t, c: str) -> Column:
+    """Sum with NULL as 0."""
+    return F.coalesce(t.money(c), F.lit(0))
+
+
+def _avg(t, c: str) -> Column:
+    return ratio(t.money(c), t.count(c))
+
+
+def _payer_avg(t, c: str) -> Column:
+    """Average over non-zero values (P7): zeros don't change the sum, only the count."""
+    return ratio(t.money(c), t.payers(c))
+
+
+def _filled_avg(t, c: str) -> Column:
+    """Average with NULL as 0 (P6), over all rows."""
+    return ratio(_total(t, c), t.rows())
+
+
+def _metered_measures(t, airport_fee: bool, extra_payers_only: bool) -> list[tuple[str, Column]]:
     # one exact sum for each column, whatever the measures made of it
-    s = total
-    drivers = F.count_distinct(F.col("hack_number"))
-    extra_avg = payer_avg("extra") if extra_payers_only else filled_avg("extra")
+    drivers = t.drivers()
     m = [
-        ("avg_total_fare", exact_avg("total_amount")),
-        ("sum_total_fare", s("total_amount").cast("double")),
-        ("avg_fare_amount", exact_avg("fare_amount")),
-        ("sum_fare_amount", s("fare_amount").cast("double")),
-        ("avg_extra", extra_avg),
-        ("sum_extra", s("extra").cast("double")),
+        ("avg_total_fare", _avg(t, "total_amount")),
+        ("sum_total_fare", _total(t, "total_amount").cast("double")),
+        ("avg_fare_amount", _avg(t, "fare_amount")),
+        ("sum_fare_amount", _total(t, "fare_amount").cast("double")),
+        ("avg_extra", (_payer_avg if extra_payers_only else _filled_avg)(t, "extra")),
+        ("sum_extra", _total(t, "extra").cast("double")),
         ("mta_tax", F.lit(C.MTA_TAX).cast("double")),
-        ("total_mta_tax", s("mta_tax").cast("double")),
-        ("avg_tip_amount", payer_avg("tip_amount")),
-        ("sum_tip_amount", s("tip_amount").cast("double")),
-        ("avg_tolls_amount", payer_avg("tolls_amount")),
-        ("sum_tolls_amount", s("tolls_amount").cast("double")),
+        ("total_mta_tax", _total(t, "mta_tax").cast("double")),
+        ("avg_tip_amount", _payer_avg(t, "tip_amount")),
+        ("sum_tip_amount", _total(t, "tip_amount").cast("double")),
+        ("avg_tolls_amount", _payer_avg(t, "tolls_amount")),
+        ("sum_tolls_amount", _total(t, "tolls_amount").cast("double")),
         ("improvement_surcharge", F.lit(C.IMPROVEMENT_SURCHARGE).cast("double")),
-        ("sum_improvement_surcharge", s("improvement_surcharge").cast("double")),
-        ("avg_congestion_surcharge", payer_avg("congestion_surcharge")),
-        ("sum_congestion_surcharge", s("congestion_surcharge").cast("double")),
+        ("sum_improvement_surcharge", _total(t, "improvement_surcharge").cast("double")),
+        ("avg_congestion_surcharge", _payer_avg(t, "congestion_surcharge")),
+        ("sum_congestion_surcharge", _total(t, "congestion_surcharge").cast("double")),
     ]
     if airport_fee:
-        m += [("avg_airport_fee", payer_avg("airport_fee")),
-              ("sum_airport_fee", s("airport_fee").cast("double"))]
+        m += [("avg_airport_fee", _payer_avg(t, "airport_fee")),
+              ("sum_airport_fee", _total(t, "airport_fee").cast("double"))]
+    pay = _total(t, "fare_amount") + _total(t, "extra")
     m += [
-        ("avg_distance", exact_avg("trip_distance")),
+        ("avg_distance", ratio(t.number("trip_distance"), t.count("trip_distance"))),
         ("count_drivers", drivers),
-        ("driver_pay", exact_avg("fare_amount") + filled_avg("extra")),
-        ("total_driver_pay", (s("fare_amount") + s("extra")).cast("double")),
-        ("pay_per_driver", ratio(s("fare_amount") + s("extra"), drivers)),
-        ("tips_per_driver", ratio(s("tip_amount"), drivers)),
-        ("extra_per_driver", ratio(s("extra"), drivers)),
-        ("fare_per_driver", ratio(s("fare_amount"), drivers)),
+        ("driver_pay", _avg(t, "fare_amount") + _filled_avg(t, "extra")),
+        ("total_driver_pay", pay.cast("double")),
+        ("pay_per_driver", ratio(pay, drivers)),
+        ("tips_per_driver", ratio(_total(t, "tip_amount"), drivers)),
+        ("extra_per_driver", ratio(_total(t, "extra"), drivers)),
+        ("fare_per_driver", ratio(_total(t, "fare_amount"), drivers)),
     ]
     return m
 
 
-def _hv_measures() -> list[tuple[str, Column]]:
-    s = total
-    drivers = F.count_distinct(F.col("tlc_driver_license_num"))
+def _hv_measures(t) -> list[tuple[str, Column]]:
+    drivers = t.drivers()
     m = []
-    for p in ("base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge",
-              "tips", "driver_pay", "airport_fee"):
-        m += [(f"avg_{p}", exact_avg(p)), (f"sum_{p}", s(p).cast("double"))]
+    for p in HV_MONEY:
+        m += [(f"avg_{p}", _avg(t, p)), (f"sum_{p}", _total(t, p).cast("double"))]
     m += [
-        ("avg_distance", exact_avg("trip_miles")),
+        ("avg_distance", ratio(t.number("trip_miles"), t.count("trip_miles"))),
         ("count_drivers", drivers),
-        ("driver_pay", exact_avg("driver_pay")),
-        ("total_driver_pay", F.sum("driver_pay").cast("double")),
-        ("pay_per_driver", ratio(F.sum("driver_pay"), drivers)),
-        ("tips_per_driver", ratio(s("tips"), drivers)),
-        ("sum_total_fare", reduce(add, [s(p) for p in HV_FARE_PARTS]).cast("double")),
+        ("driver_pay", _avg(t, "driver_pay")),
+        ("total_driver_pay", t.money("driver_pay").cast("double")),
+        ("pay_per_driver", ratio(t.money("driver_pay"), drivers)),
+        ("tips_per_driver", ratio(_total(t, "tips"), drivers)),
+        ("sum_total_fare", reduce(add, [_total(t, p) for p in HV_FARE_PARTS]).cast("double")),
         # a sum of averages: NULL when any part is NULL for the whole month
-        ("avg_total_fare", reduce(add, [exact_avg(p) for p in HV_FARE_PARTS])),
+        ("avg_total_fare", reduce(add, [_avg(t, p) for p in HV_FARE_PARTS])),
     ]
     return m
 
 
-def fare_measures(industry: Industry) -> list[tuple[str, Column]]:
-    """The measure list of A8 (yellow), A9 (green) or A10/A11 (hv, shared)."""
+def fare_measures(industry: Industry, terms) -> list[tuple[str, Column]]:
+    """The measure list of A8 (yellow), A9 (green) or A10/A11 (hv, shared), made of ``terms``."""
     if industry.name == "yellow":
-        return _metered_measures(airport_fee=True, extra_payers_only=False)
+        return _metered_measures(terms, airport_fee=True, extra_payers_only=False)
     if industry.name == "green":
-        return _metered_measures(airport_fee=False, extra_payers_only=True)
-    return _hv_measures()
+        return _metered_measures(terms, airport_fee=False, extra_payers_only=True)
+    return _hv_measures(terms)
+
+
+def driver_column(industry: Industry) -> str:
+    return "hack_number" if industry.name in ("yellow", "green") else "tlc_driver_license_num"
 
 
 def monthly_fares(df: DataFrame, industry: Industry) -> DataFrame:
     """The monthly fare breakdown, one row per month key (YYYYMM)."""
-    ms = fare_measures(industry)
+    ms = fare_measures(industry, TripTerms(driver_column(industry)))
     return (df.groupBy(month_key("datetimeid").alias("year_month"))
               .agg(*[c.alias(n) for n, c in ms]))

@@ -1,14 +1,17 @@
 """Service zones: membership (R3), expansion (J4), inbound drop-offs (A6), J2.
 
-Service zones overlap (Midtown lies inside Core), so one taxi zone maps to
-several service zones. Membership is a small ``(id, zone)`` table: one row per
-taxi zone and service zone it belongs to. Spark broadcasts it by its size, so every
-zone operator is a map-side join on the trip side -- one pass for all zones.
+Service zones overlap (Midtown lies inside Core), so one taxi zone belongs to several. For
+expansion, membership is a small ``(id, zone)`` table, one row per taxi zone and service zone it
+belongs to. For counts it is one bit mask per taxi zone, a bit for each service zone: "the pickup is outside" is
+``dropoff_mask & ~pickup_mask``, and zones become rows only after everything is summed. Spark
+broadcasts either by its size, so every zone operator is a map-side join on the trip side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,48 +33,84 @@ def expand_zones(df: DataFrame, members: DataFrame, key: str = "id",
     return df.join(m, key, "inner")
 
 
-def zone_sides(od: DataFrame, members: DataFrame) -> DataFrame:
-    """Each OD row once as a pickup and once as a drop-off, per service zone of
-    that end, flagged with whether the *pickup* lies inside that zone.
+#: Service zones in one mask column; a matrix of more zones gets more columns.
+MASK_BITS = 62
+
+
+def _masked_zones(matrix: DataFrame, exclude, id_col: str) -> list[list[str]]:
+    zones = [c for c in matrix.columns if c != id_col and c not in set(exclude)]
+    return [zones[i:i + MASK_BITS] for i in range(0, len(zones), MASK_BITS)]
 
-    Columns: the OD columns, ``id`` (the pickup or drop-off id), ``zone``,
-    ``_pick`` (True for the pickup side), ``_pu_in`` (True, or NULL when the
-    pickup is outside the zone -- a NULL pickup counts as outside). Both joins
-    are broadcast hash joins in the scan's stage: the OD table is read once.
-    """
-    m = members.select("id", "zone")
-    pu_in = members.select(F.col("id").alias("pulocationid"), "zone", F.lit(True).alias("_pu_in"))
-    sides = od.select(*od.columns, F.inline(F.array(
-        F.struct(F.col("pulocationid").alias("id"), F.lit(True).alias("_pick")),
-        F.struct(F.col("dolocationid").alias("id"), F.lit(False).alias("_pick")))))
-    return sides.join(m, "id", "inner").join(pu_in, ["zone", "pulocationid"], "left")
 
+def zone_masks(matrix: DataFrame, exclude=(), id_col: str = "ID") -> DataFrame:
+    """``(id, mask0, mask1, ...)``: bit i of mask w says whether the id lies in the matrix's service zone
+    ``62 w + i`` (``exclude`` left out). Membership is a set: an id on several lines is in the zones of each."""
+    def mask(zones):
+        bits = [F.when(F.col(z) == "Yes", F.lit(1 << i)).otherwise(F.lit(0)) for i, z in enumerate(zones)]
+        return F.bit_or(reduce(Column.bitwiseOR, bits).cast("long"))
 
-def zone_metrics(od: DataFrame, members: DataFrame, keys=("company",)) -> DataFrame:
-    """Per month, taxi zone, company and service zone, in one aggregation:
+    words = _masked_zones(matrix, exclude, id_col)
+    return (matrix.groupBy(F.col(id_col).cast("int").alias("id"))
+                  .agg(F.count(F.lit(1)).alias("_lines"), *[mask(z).alias(f"mask{w}") for w, z in enumerate(words)])
+                  .where(F.col("id").isNotNull()).drop("_lines"))
+
+
+def zone_metrics(od: DataFrame, matrix: DataFrame, exclude=(), keys=("company",), id_col: str = "ID") -> DataFrame:
+    """Per month, taxi zone, company and service zone:
 
     * ``pickups``  -- trips starting at the id (A5 expanded over zones),
     * ``dropoffs`` -- trips ending at the id,
     * ``inbound``  -- trips ending at the id whose pickup is outside the zone (A6).
 
-    A measure is NULL where no trip contributes to it.
+    A measure is NULL where no trip contributes to it; a NULL pickup is outside every zone.
+
+    Plan: one look-up of each end's mask, one aggregation by month, id and company with a sum for the
+    pickups, one for the drop-offs and one for each zone's inbound drop-offs, then the id's set bits
+    become rows. An OD row is two rows into the (partial) aggregation, whatever number of zones
+    its ends lie in, and nothing is expanded before the sums.
     """
     keys = list(keys)
-    r = zone_sides(od, members)
-    pick, c = F.col("_pick"), F.col("count")
-    return (r.groupBy("year_month", "id", *keys, "zone")
-             .agg(F.sum(F.when(pick, c)).alias("pickups"),
-                  F.sum(F.when(~pick, c)).alias("dropoffs"),
-                  F.sum(F.when(~pick & F.col("_pu_in").isNull(), c)).alias("inbound")))
-
-
-def inbound(od: DataFrame, members: DataFrame, keys=("company",)) -> DataFrame:
+    words = _masked_zones(matrix, exclude, id_col)
+    masks = zone_masks(matrix, exclude, id_col)
+    at = range(len(words))
+    start = masks.select(F.col("id").alias("pulocationid"), *[F.col(f"mask{w}").alias(f"_pu{w}") for w in at])
+    end = masks.select(F.col("id").alias("dolocationid"), *[F.col(f"mask{w}").alias(f"_do{w}") for w in at])
+    trips = od.join(start, "pulocationid", "left").join(end, "dolocationid", "left")
+    no_mask, none = F.lit(0).cast("long"), F.lit(None).cast("long")
+
+    def outside(w):
+        return F.col(f"_do{w}").bitwiseAND(F.bitwise_not(F.coalesce(F.col(f"_pu{w}"), no_mask)))
+
+    picked = F.struct(F.col("pulocationid").alias("id"), F.col("count").alias("_pick"), none.alias("_drop"),
+                      *[F.col(f"_pu{w}").alias(f"_in{w}") for w in at], *[no_mask.alias(f"_out{w}") for w in at])
+    dropped = F.struct(F.col("dolocationid").alias("id"), none.alias("_pick"), F.col("count").alias("_drop"),
+                       *[F.col(f"_do{w}").alias(f"_in{w}") for w in at], *[outside(w).alias(f"_out{w}") for w in at])
+    inside = reduce(Column.__or__, [F.col(f"_in{w}") != 0 for w in at], F.lit(False))
+    sides = trips.select("year_month", *keys, F.inline(F.array(picked, dropped))).where(inside)
+
+    def bit(column, i):
+        return F.col(column).bitwiseAND(F.lit(1 << i).cast("long")) != 0
+
+    inbound = [F.sum(F.when(bit(f"_out{w}", i), F.col("_drop"))).alias(f"_inbound{w}_{i}")
+               for w in at for i in range(len(words[w]))]
+    sums = (sides.groupBy("year_month", "id", *keys)
+                 .agg(F.sum("_pick").alias("pickups"), F.sum("_drop").alias("dropoffs"),
+                      *[F.max(f"_in{w}").alias(f"_in{w}") for w in at], *inbound))
+    zones = [F.when(bit(f"_in{w}", i), F.struct(F.lit(z).alias("zone"), F.col(f"_inbound{w}_{i}").alias("inbound")))
+             for w in at for i, z in enumerate(words[w])]
+    if not zones:  # no zone, no rows
+        zones = [F.lit(None).cast("struct<zone:string,inbound:bigint>")]
+    return (sums.select("year_month", "id", *keys, "pickups", "dropoffs", F.inline(F.array_compact(F.array(*zones))))
+                .select("year_month", "id", *keys, "zone", "pickups", "dropoffs", "inbound"))
+
+
+def inbound(od: DataFrame, matrix: DataFrame, exclude=(), keys=("company",)) -> DataFrame:
     """Drop-offs inside a zone from pickups outside it, per month, id, zone."""
-    return (zone_metrics(od, members, keys).filter(F.col("inbound").isNotNull())
+    return (zone_metrics(od, matrix, exclude, keys).filter(F.col("inbound").isNotNull())
             .select("year_month", "id", *keys, "zone", F.col("inbound").alias("count1")))
 
 
-def zone_volume(od: DataFrame, members: DataFrame, keys=("company",)) -> DataFrame:
+def zone_volume(od: DataFrame, matrix: DataFrame, exclude=(), keys=("company",)) -> DataFrame:
     """Trips touching a zone, per month, taxi zone, company and service zone.
 
     A trip counts at its pickup when the pickup is inside the zone, else at its
@@ -79,11 +118,11 @@ def zone_volume(od: DataFrame, members: DataFrame, keys=("company",)) -> DataFra
     from outside, ``volume = count + count1``. A key with inbound drop-offs but no
     pickup that month yields no row (the reference's left join from pickups).
 
-    Plan: a projection of :func:`zone_metrics` -- one read of the OD table, two
-    broadcast joins, one aggregation -- instead of two aggregations and a join.
+    Plan: a projection of :func:`zone_metrics` -- one read of the OD table, one aggregation --
+    instead of two aggregations and a join for every zone.
     """
     keys = list(keys)
-    return (zone_metrics(od, members, keys).filter(F.col("pickups").isNotNull())
+    return (zone_metrics(od, matrix, exclude, keys).filter(F.col("pickups").isNotNull())
             .select("year_month", "id", *keys, "zone",
                     F.col("pickups").alias("count"),
                     F.coalesce(F.col("inbound"), F.lit(0)).cast("long").alias("count1"))

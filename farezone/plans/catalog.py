@@ -23,7 +23,8 @@ from farezone.operators.joins import trips_with_base
 from farezone.operators.rollups import all_companies
 from farezone.operators.zones import inbound, zone_members, zone_volume
 from farezone.plans import trips as T
-from farezone.plans.fares import fares_long, fares_wide
+from farezone.plans.fare_state import add_trips, fares_kept
+from farezone.plans.fares import FARE_SOURCES, fares_long, fares_wide
 from farezone.plans.fhv import traditional_fhv_totals
 from farezone.plans.financials import zone_financials_mart
 from farezone.plans.inputs import TripInputs
@@ -118,12 +119,12 @@ def zone_members_q(spark, sf_dir):
 
 def inbound_all(spark, sf_dir):
     inp, od = _od(spark, sf_dir)
-    return inbound(od, zone_members(inp.zone_matrix, exclude=(C.CITYWIDE,)))
+    return inbound(od, inp.zone_matrix, exclude=(C.CITYWIDE,))
 
 
 def zone_volume_all(spark, sf_dir):
     inp, od = _od(spark, sf_dir)
-    return zone_volume(od, zone_members(inp.zone_matrix, exclude=(C.CITYWIDE,)))
+    return zone_volume(od, inp.zone_matrix, exclude=(C.CITYWIDE,))
 
 
 # -- C2, C3, A15, C4, C8: trips mart ------------------------------------------
@@ -207,8 +208,7 @@ def read_bases_q(spark, sf_dir):
 def read_zone_matrix_q(spark, sf_dir):
     """S3: the wide matrix as CSV."""
     path = _fresh(spark, "zone_matrix")
-    write_csv(_inputs(spark, sf_dir).zone_matrix, path)
-    return read_zone_matrix(spark, path)
+    return read_zone_matrix(spark, write_csv(_inputs(spark, sf_dir).zone_matrix, path))
 
 
 def read_zone_names_q(spark, sf_dir):
@@ -268,6 +268,17 @@ def _fares(name, long=False):
     return q
 
 
+def _fares_late(name):
+    def q(spark, sf_dir):
+        """A8-A12 from kept state: the trips of every other day arrive late and are merged."""
+        trips, out = _inputs(spark, sf_dir).trips()[FARE_SOURCES[name]], _fresh(spark, f"{name}_state")
+        late = F.pmod(F.floor(F.col("datetimeid") / 100), F.lit(2)) == 1
+        add_trips(spark, out, trips.where(~late | late.isNull()), P, name, files=["in time"])
+        add_trips(spark, out, trips.where(late), P, name, files=["late"])
+        return fares_kept(spark, out, P, name)
+    return q
+
+
 # -- A13, A14, C7 ---------------------------------------------------------------
 
 def fhv_totals(spark, sf_dir):
@@ -308,6 +319,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fares_green_long": _fares("green", long=True),
     "fares_hvfhv_long": _fares("hvfhv", long=True),
     "fares_shared_long": _fares("shared", long=True),
+    "fares_yellow_late": _fares_late("yellow"),
+    "fares_green_late": _fares_late("green"),
+    "fares_hvfhv_late": _fares_late("hvfhv"),
     "fhv_totals": fhv_totals,
     "read_trips": read_trips_q,
     "read_bases": read_bases_q,

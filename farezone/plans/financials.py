@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from farezone import config as C
 from farezone.config import Params
 from farezone.functions.labels import label_company
-from farezone.functions.money import exact_avg, to_minutes, total
+from farezone.functions.money import exact_avg, money_avg, to_minutes, total
 from farezone.functions.timekeys import month_date, month_key, run_bounds
 from farezone.operators.fares import fare_expr, financial_trips
 from farezone.operators.filters import before_month
@@ -57,7 +57,7 @@ def industry_financials(inputs: TripInputs, params: Params) -> DataFrame:
     rows = stack(*parts)
     fare = F.col("_fare")
     return (rows.groupBy("year_month", "pulocationid", "company")
-                .agg(exact_avg(fare).alias("avg_total_fare"),
+                .agg(money_avg(fare).alias("avg_total_fare"),
                      total(fare).cast("double").alias("sum_total_fare"),
                      to_minutes(exact_avg("_secs")).alias("avg_trip_time"),
                      exact_avg("_dist").alias("avg_trip_distance")))

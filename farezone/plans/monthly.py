@@ -10,6 +10,9 @@
   store partitioned by month (``_store/``);
 * ``fhv3/`` -- traditional FHV monthly totals as CSV, newest month first.
 
+Each is a table of one publication (:mod:`farezone.sources.published`): files lie in
+``version=…`` folders, and a manifest in the output folder switches all tables in one step.
+
 Every published number is per month, so ``since`` turns the run incremental:
 the trip scans read only months from ``since`` on (pushed-down hour-key bound), and the
 published months before it are kept (S10). Either way the months published are
@@ -33,48 +36,53 @@ from farezone.plans.financials import zone_financials_mart
 from farezone.plans.inputs import TripInputs
 from farezone.plans.trips import trips_mart
 from farezone.sources.readers import read_mart
-from farezone.sources.sinks import existing, interim_scope, publish, write_csv
+from farezone.sources.published import Publication
+from farezone.sources.sinks import existing, interim_scope, stage
 
 FARE_INDUSTRIES = ("yellow", "green", "hvfhv")
 
 
 def run_monthly(inputs: TripInputs, params: Params, out_dir: str, fmt: str = "parquet",
                 since: _dt.date | None = None) -> dict:
-    """Write every output under ``out_dir``; returns the paths written.
+    """Write every output under ``out_dir``; returns the paths written (read them with
+    ``read_mart`` or ``read_published``).
 
-    With ``since``, only months from ``since`` on are recomputed and replaced. Interim
-    tables are deleted when everything is written.
+    With ``since``, only months from ``since`` on are recomputed and replaced. All tables change
+    together, once the last of them is written; if the run fails before, they are as they
+    were. Interim tables are deleted when everything is written.
     """
-    with interim_scope(inputs.yellow.sparkSession):
-        return _write_all(inputs, params, out_dir, fmt, since)
+    spark = inputs.yellow.sparkSession
+    with interim_scope(spark), Publication(spark, out_dir) as publication:
+        return _write_all(inputs, params, publication, fmt, since)
 
 
-def _write_all(inputs: TripInputs, params: Params, out_dir: str, fmt: str, since: _dt.date | None) -> dict:
+def _write_all(inputs: TripInputs, params: Params, publication: Publication, fmt: str, since: _dt.date | None) -> dict:
     p = params if since is None else since_params(params, since)
-    spark = inputs.yellow.sparkSession
-    out = {}
-    mart_path = f"{out_dir}/trips_updated"
+    spark, out_dir = inputs.yellow.sparkSession, publication.root
+    since_month = None if since is None else since.replace(day=1)
+
+    def unversioned(name, read):
+        """What an incremental run must not lose: a table that was published without versions."""
+        return None if since is None or publication.published(name) else existing(read)
+
     mart = trips_mart(inputs, p).withColumn("count", F.col("count").cast("double"))
     financials = zone_financials_mart(inputs, p)
-    since_month = None if since is None else since.replace(day=1)
-    published = None if since is None else existing(lambda: read_mart(spark, mart_path, fmt))
     # O3 for trip metrics (ascending keys); O2 for financials (company, then zone, descending)
     trip_metric = F.col("metric").isin(C.METRIC_TRIPS, C.METRIC_PICKUPS, C.METRIC_DROPOFFS)
     order = [F.when(trip_metric, F.col(c)) for c in ("id", "company", "Z")] + [F.desc("company"), F.desc("Z"), "id"]
-    publish(mart.unionByName(financials.select(*mart.columns)), mart_path, ("metric", "year_month"), fmt,
-            order, since_month, published)
-    out["trips_updated"] = mart_path
+    stage(publication, "trips_updated", mart.unionByName(financials.select(*mart.columns)), ("metric", "year_month"), fmt,
+          order, since_month, unversioned("trips_updated", lambda: read_mart(spark, f"{out_dir}/trips_updated", fmt)))
+    names = ["trips_updated"]
     for ind in FARE_INDUSTRIES:
         wide = fares_wide(inputs, p, ind)
-        store = f"{out_dir}/_store/{ind}_fare"
-        publish(wide, store, "year_month", since=since_month,
-                published=None if since is None else existing(lambda: spark.read.parquet(store).select(*wide.columns)))
-        published = spark.read.parquet(store).select(*wide.columns)
-        write_csv(sort_desc(published, "year_month"), f"{out_dir}/{ind}_fare")
-        write_csv(sort_desc(fares_long(published), "year_month"), f"{out_dir}/{ind}_fare_melt")
-        out[f"{ind}_fare"] = f"{out_dir}/{ind}_fare"
-        out[f"{ind}_fare_melt"] = f"{out_dir}/{ind}_fare_melt"
+        store = f"_store/{ind}_fare"
+        stage(publication, store, wide, "year_month", since=since_month,
+              published=unversioned(store, lambda: spark.read.parquet(f"{out_dir}/{store}").select(*wide.columns)))
+        months = publication.read(store, wide.schema).select(*wide.columns)
+        publication.write(f"{ind}_fare", sort_desc(months, "year_month"), fmt="csv")
+        publication.write(f"{ind}_fare_melt", sort_desc(fares_long(months), "year_month"), fmt="csv")
+        names += [f"{ind}_fare", f"{ind}_fare_melt"]
     if inputs.daily is not None:
-        write_csv(sort_desc(traditional_fhv_totals(inputs.daily, p), "year_month"), f"{out_dir}/fhv3")
-        out["fhv3"] = f"{out_dir}/fhv3"
-    return out
+        publication.write("fhv3", sort_desc(traditional_fhv_totals(inputs.daily, p), "year_month"), fmt="csv")
+        names.append("fhv3")
+    return {name: f"{out_dir}/{name}" for name in names}

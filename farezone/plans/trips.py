@@ -7,9 +7,9 @@ Plan shape (nothing collected; four shuffles in all, each over a partial aggrega
      --union, partial agg--> OD per licence                      [shuffle 0]
      --shared rides as rows, partial agg--> OD                    [shuffle 1]
      --> interim Parquet in the shared checkpoint folder (S7)
-  OD --explode(pickup side, drop-off side), broadcast zone joins-->
-     zone metrics: pickups, drop-offs, inbound per zone         [shuffle 2]
-     --explode(Trips, PickUps, DropOffs)--explode(own label, ALL)-->
+  OD --zone bit mask of each end (broadcast), pickup and drop-off side-->
+     sums per id: pickups, drop-offs, inbound of each zone      [shuffle 2]
+     --set bits to zones--(Trips, PickUps, DropOffs)--(own label, ALL)-->
   final sum                                                     [shuffle 3]
      --broadcast zone names--> mart
 """
@@ -64,7 +64,7 @@ def combined_metrics(od: DataFrame, matrix: DataFrame) -> DataFrame:
     zone but Citywide, and the pickups alone for Citywide (C3). Zone names are
     attached after the mart's final sum.
     """
-    zm = zone_metrics(od, zone_members(matrix))
+    zm = zone_metrics(od, matrix)
     pu, dr, inb = F.col("pickups"), F.col("dropoffs"), F.col("inbound")
     trips = F.when(F.col("zone") == C.CITYWIDE, pu).otherwise(pu + F.coalesce(inb, F.lit(0)))
     metrics = F.inline(F.array(

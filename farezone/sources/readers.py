@@ -8,7 +8,6 @@ key's filter and column pruning still reach Parquet. The other readers declare t
 from __future__ import annotations
 
 import re
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -18,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farezone.sources.published import read_published
+
 _MONEY = T.DecimalType(12, 2)
 _FEE = _MONEY
 
@@ -74,25 +75,85 @@ def read_trips(spark: SparkSession, path: str, industry: str) -> DataFrame:
 
 
 def alike(spark: SparkSession, path: str, fields: list) -> list[DataFrame]:
-    """The files of ``path`` as one table if their schemas merge (one job reads all footers),
-    else one for each set of physical types that files have for the declared ``fields``."""
+    """The files of ``path`` as one table if their schemas merge (one job reads all footers), else
+    one for each set of physical types that agree on the declared ``fields``.
+
+    Types that differ take one more job over all files, which reads their footers in tasks, and one
+    for each set of types found: the number of jobs doesn't grow with the files."""
     try:
         return [spark.read.option("mergeSchema", True).parquet(path)]
-    except (PySparkException, Py4JJavaError):
-        pass  # types differ; an error of another kind comes again below
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" not in str(e):
+            raise
     # an inner folder names its partition columns from the root on; a glob has no root
     reader = lambda: spark.read if re.search(r"[*?{\[]", path) else spark.read.option("basePath", path)
-    files = [re.sub(r"([*?{}\[\]\\])", r"\\\1", unquote(f)) for f in reader().schema(T.StructType(fields)).parquet(path).inputFiles()]
+    files = reader().schema(T.StructType(fields)).parquet(path).inputFiles()
     declared = {f.name.lower() for f in fields}
-
-    def footer(file):
-        return T.StructType([f for f in reader().parquet(file).schema.fields if f.name.lower() in declared])
-
-    by_schema: dict = {}
-    with ThreadPoolExecutor(16) as pool:
-        for file, schema in zip(files, pool.map(footer, files)):
-            by_schema.setdefault(schema.json(), (schema, []))[1].append(file)
-    return [reader().schema(schema).parquet(*some) for schema, some in by_schema.values()]
+    by_types: dict = {}
+    for file, types in footer_types(spark, files, declared):
+        by_types.setdefault(types, []).append(file)
+    unread = by_types.pop(None, [])
+    groups = [(some[:1], some) for some in map(_spark_paths, by_types.values())]  # one file tells of all
+    groups += [(some, some) for some in _that_merge(reader, _spark_paths(unread))]
+    tables: list = []  # declared fields by name, files
+    for telling, some in groups:
+        own = reader().option("mergeSchema", True).parquet(*telling).schema
+        own = {f.name.lower(): f for f in own.fields if f.name.lower() in declared}
+        for known, same in tables:  # files that only lack columns of others go with them
+            if all(f.dataType == known[n].dataType for n, f in own.items() if n in known):
+                known.update({n: f for n, f in own.items() if n not in known})
+                same += some
+                break
+        else:
+            tables.append((own, list(some)))
+    return [reader().schema(T.StructType(list(known.values()))).parquet(*some) for known, some in tables]
+
+
+def _spark_paths(uris: list[str]) -> list[str]:
+    """Paths that Spark's readers take for exactly these files."""
+    return [re.sub(r"([*?{}\[\]\\])", r"\\\1", unquote(u)) for u in uris]
+
+
+def footer_types(spark: SparkSession, files: list[str], names: set[str]) -> list[tuple[str, str | None]]:
+    """Each file (a URI) with the physical types of its columns in ``names`` (lower case), from its
+    footer. Footers are read in tasks; None where Python can't open the file's store."""
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.fs
+        import pyarrow.parquet as pq
+
+        def types(uri):
+            try:
+                store, path = pa.fs.FileSystem.from_uri(uri)
+                with store.open_input_file(path) as f:
+                    columns = [(c.name.lower(), str(c.type)) for c in pq.read_schema(f)]
+            except (OSError, ValueError, NotImplementedError, ImportError):
+                return None
+            return "; ".join(f"{n} {t}" for n, t in sorted(columns) if n in names)
+
+        for batch in batches:
+            uris = batch.column(0)
+            yield pa.RecordBatch.from_arrays([uris, pa.array([types(u) for u in uris.to_pylist()], pa.string())], names=["file", "types"])
+
+    slices = max(1, min(len(files), 4 * spark.sparkContext.defaultParallelism))
+    listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(slices)
+    # names of files and types alone: as much as the driver's own listing of the folder
+    return [tuple(r) for r in listed.mapInArrow(run, "file string, types string").collect()]
+
+
+def _that_merge(reader, files: list[str]) -> list[list[str]]:
+    """``files`` in parts whose schemas merge, for stores that only Spark opens: halves of what doesn't."""
+    if not files:
+        return []
+    try:
+        reader().option("mergeSchema", True).parquet(*files)
+        return [files]
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" not in str(e) or len(files) == 1:
+            raise
+    half = len(files) // 2
+    return _that_merge(reader, files[:half]) + _that_merge(reader, files[half:])
 
 
 # integer types from narrow to wide: a cast to a wider one can't fail, and Spark
@@ -162,9 +223,11 @@ def read_daily_indicators(spark: SparkSession, url: str, table: str, end: int,
 
 
 def read_mart(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Re-read the published mart with its declared schema."""
-    r = spark.read.schema(MART_SCHEMA)
-    df = r.parquet(path) if fmt == "parquet" else r.option("header", True).csv(path)
+    """Re-read the published mart with its declared schema: the version its manifest names,
+    or plain files in ``path`` (in ``fmt``) where no manifest is."""
+    df = read_published(spark, path, MART_SCHEMA)
+    if df is None:
+        df = spark.read.schema(MART_SCHEMA).option("header", True).format(fmt).load(path)
     # a mart written partitioned by metric returns that column last; restore the order
     return df.select(*MART_SCHEMA.fieldNames())
 

@@ -1,5 +1,7 @@
 """Sinks (S7-S10): interim tables, published CSV/Parquet, idempotent mart extension.
 
+What is published changes in one step, after everything is written (:mod:`farezone.sources.published`).
+
 Interim tables go to the shared folder named by ``spark.checkpoint.dir`` (never a
 machine-local temp folder), so a lost executor or a restarted job re-reads them
 instead of recomputing the lineage.
@@ -15,6 +17,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farezone.sources.published import NULL_FOLDER, Publication, published_folder
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``); set a
@@ -29,18 +33,18 @@ _SCOPE: ContextVar = ContextVar("interim_scope", default=None)
 
 @contextmanager
 def interim_scope(spark: SparkSession):
-    """Interim tables written inside are deleted at the end: for jobs that write all
-    they return before they leave the scope."""
+    """Interim tables written inside are deleted at the end, if it succeeds (after a failure they
+    are left to look at): for jobs that write all they return before they leave the scope."""
     paths: list[str] = []
     token = _SCOPE.set(paths)
     try:
         yield
     finally:
         _SCOPE.reset(token)
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for p in paths:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def write_interim(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -57,41 +61,42 @@ def write_interim(df: DataFrame, name: str, path: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(out)
 
 
-def write_csv(df: DataFrame, path: str, order_by: list | None = None) -> None:
-    """Publish a tidy table as CSV with a header and no index column."""
+def write_csv(df: DataFrame, path: str, order_by: list | None = None) -> str:
+    """Publish a tidy table as CSV with a header and no index column; the folder of its files.
+
+    The table that was in ``path`` stays whole until this one is (see :mod:`farezone.sources.published`)."""
     if order_by:
         df = df.orderBy(*order_by)
-    df.write.mode("overwrite").option("header", True).csv(path)
-
-
-def write_partitions(df: DataFrame, path: str, partition_by, fmt: str = "parquet",
-                     sort_within=None, mode: str = "dynamic") -> None:
-    """Write ``df`` partitioned. ``dynamic`` replaces exactly the partitions present in ``df``
-    and leaves the others; ``static`` replaces the whole table. The mode is an option of
-    this write, so writes in one session don't disturb each other."""
-    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    # published tables are aggregates: one writing task (one file) per partition
-    data = df.repartition(*cols)
-    if sort_within:  # partition columns first, as the writer wants them: else it sorts again
-        data = data.sortWithinPartitions(*cols, *sort_within)
-    w = data.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*cols)
-    if fmt == "parquet":
-        w.parquet(path)
-    else:
-        w.option("header", True).csv(path)
+    with Publication(df.sparkSession, path) as publication:
+        publication.write("", df, fmt="csv")
+    return published_folder(df.sparkSession, path)
+
+
+def months_before(since, col: str = "year_month"):
+    """What an incremental publication keeps: the partitions of months before ``since``."""
+    return lambda values: values[col] != NULL_FOLDER and values[col] < since.isoformat()
 
 
 def publish(df: DataFrame, path: str, partition_by, fmt: str = "parquet", sort_within=None,
             since=None, published: DataFrame | None = None, col: str = "year_month") -> None:
     """Replace a published table so that no partition of an earlier run stays behind.
 
-    A full run replaces the table. With ``since``, ``published`` (the table as it is, None
-    if there is none) gives the months before it (S10), kept through an interim table, and
-    all months from it on are those of ``df``, also if there are fewer than before."""
-    if since is not None and published is not None:
-        kept = write_interim(published.filter(F.col(col) < F.lit(since)), "published")
-        df = splice_history(kept, df, since, col)
-    write_partitions(df, path, partition_by, fmt, sort_within, mode="static")
+    A full run replaces the table. With ``since``, the published months before it are kept (S10)
+    where they are, and all months from it on are those of ``df``, also if there are fewer than
+    before. ``published`` gives them as rows instead, for a table that isn't published in versions yet.
+    A failure at any point leaves the table as it was."""
+    with Publication(df.sparkSession, path) as publication:
+        stage(publication, "", df, partition_by, fmt, sort_within, since, published, col)
+
+
+def stage(publication: Publication, name: str, df: DataFrame, partition_by, fmt: str = "parquet", sort_within=None,
+          since=None, published: DataFrame | None = None, col: str = "year_month") -> None:
+    """:func:`publish` as one table of a publication."""
+    keep = None
+    if since is not None:
+        df = df.filter(F.col(col) >= F.lit(since)) if published is None else splice_history(published, df, since, col)
+        keep = months_before(since, col) if published is None else None
+    publication.write(name, df, partition_by, fmt, sort_within, keep)
 
 
 def extend_mart(df: DataFrame, mart_path: str, partition_by=("metric", "year_month"),
@@ -100,10 +105,12 @@ def extend_mart(df: DataFrame, mart_path: str, partition_by=("metric", "year_mon
 
     The mart is partitioned by ``metric`` and ``year_month``; only the partitions
     present in ``df`` are replaced, so running the extension twice gives the same
-    files (the reference re-read and rewrote one CSV, appending the metrics again
-    on every run), and an incremental run replaces only its months.
+    table (the reference re-read and rewrote one CSV, appending the metrics again
+    on every run), and an incremental run replaces only its months. The others are kept without
+    being rewritten, and a failure leaves all as they were.
     """
-    write_partitions(df, mart_path, partition_by, fmt, sort_within)
+    with Publication(df.sparkSession, mart_path) as publication:
+        publication.write("", df, partition_by, fmt, sort_within, keep=lambda values: True)
 
 
 def existing(read) -> DataFrame | None:

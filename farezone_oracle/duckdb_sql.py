@@ -425,3 +425,5 @@ ORACLE["extend_mart"] = f"""
   SELECT year_month, id, company, Z, Zone, metric, CAST(count AS DOUBLE) AS count FROM ({ORACLE["trips_mart"]})
   UNION ALL
   SELECT year_month, id, company, Z, Zone, metric, CAST(count AS DOUBLE) AS count FROM ({ORACLE["zone_financials_mart"]})"""
+for _q in ("yellow", "green", "hvfhv"):
+    ORACLE[f"fares_{_q}_late"] = ORACLE[f"fares_{_q}"]

@@ -14,7 +14,7 @@ from farezone.config import fixture_params
 from farezone.operators import aggregates as A
 from farezone.operators.fares import fare_trips, monthly_fares
 from farezone.operators.joins import duplicate_keys, trips_with_base
-from farezone.operators.zones import inbound, zone_members, zone_volume
+from farezone.operators.zones import inbound, zone_volume
 from farezone.plans import trips as TP
 from farezone.plans.financials import zone_financials_mart
 from farezone.plans.inputs import TripInputs
@@ -107,7 +107,7 @@ def test_base_join_null_company_and_duplicate_licence(spark):
 # -- J2 / A6: zone volume -------------------------------------------------------------
 
 def test_zone_volume_rules(spark):
-    m = zone_members(matrix(spark), exclude=(C.CITYWIDE,))
+    m, city = matrix(spark), (C.CITYWIDE,)
     o = od(spark, [
         (199903, 1, 2, "X", 5),     # inside Core both ends: pickup at 1 only
         (199903, 3, 2, "X", 7),     # Non_Core -> Core: inbound to 2 in Core
@@ -115,7 +115,7 @@ def test_zone_volume_rules(spark):
         (199903, 2, 1, "X", 1),     # pickup at 2 (Core); 1 is in Core too, so not inbound to Core
         (199904, 3, 1, "X", 9),     # drop-off at 1 in April, no pickup at 1 in April
     ])
-    vol = {(r.year_month, r.id, r.zone): (r["count"], r.count1, r.volume) for r in zone_volume(o, m).collect()}
+    vol = {(r.year_month, r.id, r.zone): (r["count"], r.count1, r.volume) for r in zone_volume(o, m, city).collect()}
     assert vol[(199903, 1, "Core")] == (5, 4, 9)          # 5 picked up + 4 unknown-start inbound
     assert vol[(199903, 1, "Midtown")] == (5, 5, 10)      # 4 unknown + 1 from 2 (2 not in Midtown)
     assert vol[(199903, 1, "Airports")] == (5, 5, 10)
@@ -123,14 +123,14 @@ def test_zone_volume_rules(spark):
     assert vol[(199903, 3, "Non_Core")] == (7, 0, 7)
     assert (199904, 1, "Core") not in vol                 # drop-off only: no row
     assert vol[(199904, 3, "Non_Core")] == (9, 0, 9)
-    inb = {(r.year_month, r.id, r.zone): r.count1 for r in inbound(o, m).collect()}
+    inb = {(r.year_month, r.id, r.zone): r.count1 for r in inbound(o, m, city).collect()}
     assert inb[(199904, 1, "Core")] == 9                  # inbound still reported on its own
 
 
 def test_zone_volume_equals_pickups_when_no_inbound(spark):
-    m = zone_members(matrix(spark), exclude=(C.CITYWIDE,))
+    m, city = matrix(spark), (C.CITYWIDE,)
     o = od(spark, [(199903, 1, 1, "X", 3), (199903, 3, 3, "X", 2)])
-    assert rows_set(zone_volume(o, m).select("id", "zone", "volume")) == {
+    assert rows_set(zone_volume(o, m, city).select("id", "zone", "volume")) == {
         (1, "Core", 3), (1, "Midtown", 3), (1, "Airports", 3), (3, "Non_Core", 2)}
 
 

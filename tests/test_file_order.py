@@ -15,7 +15,7 @@ from conftest import SF_SMALL
 
 def _lines(folder):
     rows = []
-    for f in sorted(glob.glob(f"{folder}/part-*.csv")):
+    for f in sorted(glob.glob(f"{folder}/**/part-*.csv", recursive=True)):
         header, *body = open(f).read().splitlines()
         rows += [dict(zip(header.split(","), line.split(","))) for line in body]
     return rows
@@ -27,7 +27,7 @@ def test_published_files_are_sorted(spark):
     for table in ("yellow_fare", "green_fare_melt", "fhv3"):  # O1: newest month first
         months = [r["year_month"] for r in _lines(f"{out}/{table}")]
         assert len(months) > 12 and months == sorted(months, reverse=True)
-    for folder in glob.glob(f"{out}/trips_updated/metric=*/year_month=*"):
+    for folder in glob.glob(f"{out}/trips_updated/version=*/metric=*/year_month=*"):
         rows = [(int(r["id"]), r["company"], r["Z"]) for r in _lines(folder)]
         if re.search("metric=(Trips|PickUps|DropOffs)/", folder):  # O3
             assert rows == sorted(rows)

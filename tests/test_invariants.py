@@ -1,12 +1,14 @@
 """Independent check of J2 and the invariants of SURVEY 5 on the sf0.001 fixtures."""
 
+import random
+
 import pandas as pd
 import pytest
 
 from farezone import config as C
 from farezone.config import fixture_params
 from farezone.operators.aggregates import industry_od
-from farezone.operators.zones import zone_members, zone_volume
+from farezone.operators.zones import zone_metrics, zone_volume
 from farezone.plans import trips as TP
 from farezone.plans.fares import fares_long, fares_wide
 from farezone.plans.inputs import TripInputs
@@ -48,10 +50,9 @@ def test_zone_volume_equals_per_zone_loop(spark, inputs, od_pd):
     loop = pd.concat(out)
     expect = {(int(r.year_month), int(r.id), r.company, r.zone, int(r["count"]), int(r.count1))
               for _, r in loop.iterrows()}
-    members = zone_members(inputs.zone_matrix, exclude=(C.CITYWIDE,))
     od_df = spark.createDataFrame(od_pd)
     got = {(r.year_month, r.id, r.company, r.zone, r["count"], r.count1)
-           for r in zone_volume(od_df, members).collect()}
+           for r in zone_volume(od_df, inputs.zone_matrix, exclude=(C.CITYWIDE,)).collect()}
     assert len(expect) > 100
     assert got == expect
 
@@ -105,3 +106,35 @@ def test_mart_has_no_null_keys_and_no_fhv(mart):
     assert not mart[["year_month", "id", "company", "Z", "Zone", "metric"]].isna().any().any()
     assert "FHV" not in set(mart.company)
     assert {"YELLOW", "GREEN", "HVFHV", "SHARED", "ALL"} <= set(mart.company)
+
+
+@pytest.mark.parametrize("n_zones", [0, 5, 62, 70, 130])
+def test_masks_of_any_number_of_zones(spark, n_zones):
+    """Membership masks against sets, also past one mask column; ids may stand on several lines."""
+    r = random.Random(n_zones)
+    names = [f"Z{i}" for i in range(n_zones)]
+    lines = [(i, *[r.choice(["Yes", "No", None]) for _ in names]) for i in [1, 2, 3, 4, 5, 2, 5]]
+    matrix = spark.createDataFrame(lines, "ID int" + "".join(f", {z} string" for z in names))
+    member = {z: {row[0] for row in lines if row[k + 1] == "Yes"} for k, z in enumerate(names)}
+    od = [(200001, r.choice([1, 2, 3, 4, 5, 6, None]), r.choice([1, 2, 3, 4, 5, 6, None]), "X", r.randrange(1, 9)) for _ in range(60)]
+    want = {}
+    for month, pu, do, company, n in od:
+        for z, ids in member.items():
+            for side, i in (("pickups", pu), ("dropoffs", do), ("inbound", do)):
+                if i in ids and (side != "inbound" or pu not in ids):
+                    key = (month, i, company, z)
+                    want.setdefault(key, {}).setdefault(side, 0)
+                    want[key][side] += n
+    got = zone_metrics(spark.createDataFrame(od, "year_month long, pulocationid int, dolocationid int, company string, count long"), matrix)
+    assert {(x.year_month, x.id, x.company, x.zone): {s: x[s] for s in ("pickups", "dropoffs", "inbound") if x[s] is not None}
+            for x in got.collect()} == want
+
+
+def test_zone_counts_take_one_look_up_an_end(spark, inputs):
+    """No join on (zone, pickup) and no row for a zone before the sums."""
+    df = zone_volume(industry_od(inputs.trips(), inputs.bases, P), inputs.zone_matrix, exclude=(C.CITYWIDE,))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    above_od = plan[:plan.index("sum(count")]
+    joins = [line for line in above_od.splitlines() if " Join " in line or line.lstrip(":+- ").startswith("Join")]
+    assert len(joins) == 2 and all("LeftOuter" in j for j in joins)
+    assert not any("zone#" in j for j in joins)

@@ -11,6 +11,7 @@ from farezone.plans.inputs import TripInputs
 from farezone.plans.monthly import run_monthly
 from farezone.plans.slice import mart_slice
 from farezone.plans.trips import trips_mart
+from farezone.sources.published import read_published
 from farezone.sources.readers import read_mart
 
 from conftest import SF_SMALL
@@ -26,7 +27,7 @@ def test_monthly_run_and_incremental_rerun(spark):
 
     def snapshot():
         mart = sorted(tuple(r) for r in read_mart(spark, paths["trips_updated"]).collect())
-        fares = {t: sorted(tuple(r) for r in spark.read.option("header", True).csv(paths[t]).collect())
+        fares = {t: sorted(tuple(r) for r in read_published(spark, paths[t]).collect())
                  for t in ("yellow_fare", "green_fare_melt", "hvfhv_fare")}
         return mart, fares
 

@@ -44,14 +44,15 @@ def expected(rows, zone_ids):
 @given(rows=od_rows, zone_ids=zones)
 def test_zone_semantics_match_rules(spark, rows, zone_ids):
     od = spark.createDataFrame(rows, OD_SCHEMA)
-    members = spark.createDataFrame([(i, z) for z, s in zone_ids.items() for i in sorted(s)],
-                                    "id int, zone string")
+    names = sorted(zone_ids)
+    matrix = spark.createDataFrame([(i, *["Yes" if i in zone_ids[z] else "No" for z in names]) for i in range(1, 6)],
+                                   "ID int, " + ", ".join(f"{z} string" for z in names))
     vol, inb, pick, drop = expected(rows, zone_ids)
     got_vol = {(r.year_month, r.id, r.company, r.zone): (r["count"], r.count1, r.volume)
-               for r in zone_volume(od, members).collect()}
+               for r in zone_volume(od, matrix).collect()}
     assert got_vol == vol
-    got_inb = {(r.year_month, r.id, r.company, r.zone): r.count1 for r in inbound(od, members).collect()}
+    got_inb = {(r.year_month, r.id, r.company, r.zone): r.count1 for r in inbound(od, matrix).collect()}
     assert got_inb == inb
-    zm = zone_metrics(od, members).collect()
+    zm = zone_metrics(od, matrix).collect()
     assert {(r.year_month, r.id, r.company, r.zone): r.pickups for r in zm if r.pickups is not None} == pick
     assert {(r.year_month, r.id, r.company, r.zone): r.dropoffs for r in zm if r.dropoffs is not None} == drop

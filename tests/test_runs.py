@@ -4,6 +4,7 @@ publish fewer months than before."""
 import datetime as dt
 import os
 import tempfile
+import uuid
 from dataclasses import replace
 from decimal import Decimal
 
@@ -15,7 +16,8 @@ from farezone.operators.aggregates import od_counts_traditional
 from farezone.plans.inputs import TripInputs
 from farezone.plans.monthly import run_monthly
 from farezone.plans.trips import finish_mart
-from farezone.sources import fixtures
+from farezone.sources import fixtures, readers
+from farezone.sources.published import read_published
 from farezone.sources.readers import read_mart, read_trips
 from farezone.sources.sinks import publish, shared_dir
 
@@ -106,19 +108,17 @@ def test_reruns_leave_no_withdrawn_month(spark):
         return spark.createDataFrame([(dt.date(2000, m, 1), "Trips", float(v)) for m, v in months.items()],
                                      "year_month date, metric string, count double")
 
-    def rows(path, fmt):
-        r = spark.read.schema("count double, metric string, year_month date").option("header", True)
-        return sorted((x.year_month.month, x["count"]) for x in r.format(fmt).load(path).collect())
+    def rows(path):
+        return sorted((x.year_month.month, x["count"]) for x in read_published(spark, path, table({}).schema).collect())
 
     for fmt in ("parquet", "csv"):
         path = tempfile.mkdtemp(prefix="rerun-") + "/t"
         publish(table({1: 1, 2: 2, 3: 3}), path, ("metric", "year_month"), fmt)
         publish(table({1: 10, 2: 20}), path, ("metric", "year_month"), fmt)
-        assert rows(path, fmt) == [(1, 10.0), (2, 20.0)]
+        assert rows(path) == [(1, 10.0), (2, 20.0)]
         publish(table({1: 1, 2: 2, 3: 3, 4: 4}), path, ("metric", "year_month"), fmt)
-        old = spark.read.schema("count double, metric string, year_month date").option("header", True).format(fmt).load(path)
-        publish(table({3: 30}), path, ("metric", "year_month"), fmt, since=dt.date(2000, 3, 1), published=old)
-        assert rows(path, fmt) == [(1, 1.0), (2, 2.0), (3, 30.0)]
+        publish(table({3: 30}), path, ("metric", "year_month"), fmt, since=dt.date(2000, 3, 1))
+        assert rows(path) == [(1, 1.0), (2, 2.0), (3, 30.0)]
 
 
 def test_monthly_run_as_csv_and_with_an_earlier_date(spark):
@@ -136,7 +136,7 @@ def test_monthly_run_as_csv_and_with_an_earlier_date(spark):
     run_monthly(inputs, replace(params, asof=dt.date(2000, 8, 15)), out, fmt="csv", since=dt.date(2000, 5, 1))
     assert set(os.listdir(interim)) == before  # what the run wrote in between is gone
     assert read_mart(spark, f"{out}/trips_updated", fmt="csv").agg(F.max("year_month")).first()[0] == dt.date(2000, 6, 1)
-    fares = spark.read.option("header", True).csv(f"{out}/yellow_fare")
+    fares = read_published(spark, f"{out}/yellow_fare")
     assert max(r.year_month for r in fares.collect()) == "2000-06-01"
 
 
@@ -147,3 +147,55 @@ def test_base_join_has_one_shuffle_of_zone_pairs(spark):
     plan = od._jdf.queryExecution().executedPlan().toString()
     above_join = plan.split("BroadcastHashJoin Inner BuildRight")[0]
     assert above_join.count("Exchange hashpartitioning(year_month") <= 1 and "dispatching_base_num" not in above_join.split("Exchange")[0]
+
+
+def _typed_files(spark, n):
+    """Folders of ``n`` files each of four kinds, interleaved by name: ids as int or bigint, money as
+    double or decimal, one kind without a fee."""
+    path = tempfile.mkdtemp(prefix="kinds-")
+    rows = spark.range(4 * n).withColumn("kind", F.col("id") % 4)
+    for kind, (ids, money) in enumerate([("int", "double"), ("bigint", "double"), ("int", "decimal(10,2)"), ("bigint", "double")]):
+        df = (rows.where(F.col("kind") == kind)
+              .select((F.lit(2020010100) + F.col("id") % 24).alias("datetimeid"), (F.col("id") % 265).cast(ids).alias("pulocationid"),
+                      (F.col("id") / 4).cast(money).alias("total_amount"), F.lit(0.25).alias("Airport_Fee")))
+        (df if kind != 3 else df.drop("Airport_Fee")).repartition(n).write.parquet(f"{path}/kind={kind}")
+    return path
+
+
+def _jobs(spark, run):
+    spark.sparkContext.setJobGroup(group := f"jobs-{uuid.uuid4().hex}", "counted")
+    try:
+        out = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_mixed_files_take_a_constant_number_of_jobs(spark):
+    counts = {}
+    for n in (3, 500):
+        path = _typed_files(spark, n)
+        df, counts[n] = _jobs(spark, lambda: read_trips(spark, path, "yellow"))
+        got = df.agg(F.count("*").alias("n"), F.sum("total_amount").alias("t"), F.sum("airport_fee").alias("f"),
+                     F.count_distinct("pulocationid").alias("ids")).first()
+        assert (got.n, got.ids) == (4 * n, min(265, 4 * n))
+        assert float(got.t) == pytest.approx(sum(round(i / 4, 2) for i in range(4 * n))) and float(got.f) == 0.25 * 3 * n
+        scans = df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+        assert scans == 3  # the files without a fee go with those of the same types
+    assert counts[500] == counts[3] <= 8
+
+
+def test_files_that_python_cannot_open_are_grouped_by_spark(spark, monkeypatch):
+    path = _typed_files(spark, 2)
+    want = sorted(map(str, read_trips(spark, path, "yellow").collect()))
+    monkeypatch.setattr(readers, "footer_types", lambda spark, files, names: [(f, None) for f in files])
+    assert sorted(map(str, read_trips(spark, path, "yellow").collect())) == want
+
+
+def test_only_a_conflict_of_types_is_worked_around(spark):
+    path = tempfile.mkdtemp(prefix="broken-")
+    spark.range(1).withColumnRenamed("id", "datetimeid").write.parquet(f"{path}/a")
+    with open(f"{path}/a/part-x.parquet", "wb") as f:
+        f.write(b"not a Parquet file")
+    with pytest.raises(Exception, match="not a Parquet file"):
+        read_trips(spark, f"{path}/a", "yellow")

@@ -58,6 +58,6 @@ def test_zone_matrix_csv_with_crlf(spark):
 
 def test_write_csv_has_header_and_no_index(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="csv-"), "t")
-    write_csv(spark.createDataFrame([(1, "a")], "id int, v string"), out, order_by=["id"])
+    out = write_csv(spark.createDataFrame([(1, "a")], "id int, v string"), out, order_by=["id"])
     text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.endswith(".csv"))
     assert text.splitlines()[0] == "id,v"
