@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.common import materialize, ship_code, text_or_empty
-from llm.textcodes import SLICE_BYTES, mix
+from llm.textcodes import mix
 
 ORDER = 5
 SYMBOL_BITS = 12
@@ -32,7 +32,9 @@ REJECTED_SHARE = 0.002
 #: Numbers (grams times languages) of the models that tasks hold at once; larger models are used slice after slice.
 MODEL_CELLS = 24_000_000
 #: Grams that a task sums before it hands them on.
-TASK_GRAMS = 2_000_000
+TASK_GRAMS = 1_000_000
+#: Texts are worked on in slices of about this many characters; one longer text is a slice.
+SLICE_CHARS = 400_000
 UNDETERMINED = "und"
 
 _SYMBOLS = 1 << SYMBOL_BITS
@@ -92,7 +94,7 @@ def text_slices(texts: pa.Array):
     first = 0
     while first < len(rows):
         end, size = first, 0
-        while end < len(rows) and (end == first or size + len(rows[end] or "") <= SLICE_BYTES):
+        while end < len(rows) and (end == first or size + len(rows[end] or "") <= SLICE_CHARS):
             size += len(rows[end] or "")
             end += 1
         yield first, end, symbols([t or "" for t in rows[first:end]])
