@@ -1,43 +1,33 @@
-"""Company labels (P11-P15) as built-in column expressions."""
+"""Company labels (P11-P15) as SQL text of built-in expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from farezone import config as C
+from farezone.functions.text import literal
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def license_to_company(code, mapping: dict | None = None) -> Column:
+def license_to_company(code: str, mapping: dict | None = None) -> str:
     """Licence code -> company name; unknown codes pass through unchanged."""
     mapping = C.LICENSE_COMPANY if mapping is None else mapping
-    c = _col(code)
-    pairs = []
-    for k, v in mapping.items():
-        pairs += [F.lit(k), F.lit(v)]
-    return F.coalesce(F.create_map(*pairs)[c], c)
+    pairs = ", ".join(f"{literal(k)}, {literal(v)}" for k, v in mapping.items())
+    return f"coalesce(map({pairs})[{code}], {code})"
 
 
-def strip_spaces(company) -> Column:
-    return F.replace(_col(company), F.lit(" "), F.lit(""))
+def strip_spaces(company: str) -> str:
+    return f"replace({company}, ' ', '')"
 
 
-def upper_label(company) -> Column:
+def upper_label(company: str) -> str:
     """``no_hv`` -> ``FHV``, then upper-case."""
-    c = _col(company)
-    return F.upper(F.when(c == C.TRADITIONAL_TAG, F.lit(C.TRADITIONAL_LABEL)).otherwise(c))
+    return f"upper(CASE WHEN {company} = {literal(C.TRADITIONAL_TAG)} THEN {literal(C.TRADITIONAL_LABEL)} ELSE {company} END)"
 
 
-def label_company(company) -> Column:
+def label_company(company: str) -> str:
     """:func:`upper_label` without spaces."""
     return strip_spaces(upper_label(company))
 
 
-def to_sector(company) -> Column:
+def to_sector(company: str) -> str:
     """The four high-volume companies -> ``HVFHV``; others unchanged."""
-    c = _col(company)
-    return F.when(c.isin(*C.HV_COMPANIES), F.lit(C.HV_SECTOR_LABEL)).otherwise(c)
+    hv = ", ".join(map(literal, C.HV_COMPANIES))
+    return f"CASE WHEN {company} IN ({hv}) THEN {literal(C.HV_SECTOR_LABEL)} ELSE {company} END"

@@ -15,11 +15,17 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def hour_key(ts) -> Column:
+#: Timestamp -> YYYYMMDDHH as bigint, as SQL text of a column to fill in.
+HOUR_KEY = "(CAST(year({0}) AS bigint) * 1000000 + month({0}) * 10000 + dayofmonth({0}) * 100 + hour({0}))"
+
+
+def hour_key(ts: str) -> Column:
     """Timestamp -> YYYYMMDDHH as bigint, computed numerically (no string format)."""
-    t = _col(ts)
-    return (F.year(t).cast("long") * 1000000 + F.month(t) * 10000
-            + F.dayofmonth(t) * 100 + F.hour(t))
+    return F.expr(HOUR_KEY.format(ts))
+
+
+#: P1 as SQL text, on the trips' hour key.
+MONTH_KEY = "(datetimeid div 10000)"
 
 
 def month_key(datetimeid: str = "datetimeid") -> Column:
@@ -27,10 +33,9 @@ def month_key(datetimeid: str = "datetimeid") -> Column:
     return F.expr(f"`{datetimeid}` div 10000")
 
 
-def month_date(ym) -> Column:
+def month_date(ym: str) -> Column:
     """YYYYMM (bigint) -> first-of-month date."""
-    c = _col(ym)
-    return F.make_date((c / 100).cast("int"), F.pmod(c, F.lit(100)).cast("int"), F.lit(1))
+    return F.expr(f"make_date(CAST({ym} / 100 AS int), CAST(pmod({ym}, 100) AS int), 1)")
 
 
 def as_date(c) -> Column:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from farezone import config as C
 from farezone.config import Industry, Params
 from farezone.functions.labels import license_to_company
-from farezone.functions.timekeys import month_key
+from farezone.functions.text import literal, sql
+from farezone.functions.timekeys import MONTH_KEY
 from farezone.operators.filters import company_in, company_not_in, in_period, shared_only, valid_trip
 
 OD_KEYS = ("year_month", "pulocationid", "dolocationid")
@@ -25,9 +26,9 @@ def od_counts(trips: DataFrame, *extra_keys: str) -> DataFrame:
 
     NULL ids form their own group, as in SQL. ``count`` counts non-NULL hour keys.
     """
-    return (trips.groupBy(month_key("datetimeid").alias("year_month"), "pulocationid",
-                          "dolocationid", *extra_keys)
-                 .agg(F.count("datetimeid").alias("count")))
+    keys = ", ".join(["pulocationid", "dolocationid", *extra_keys])
+    return sql(trips, f"""
+        SELECT {MONTH_KEY} AS year_month, {keys}, count(datetimeid) AS count FROM {{df}} GROUP BY {MONTH_KEY}, {keys}""")
 
 
 def filtered_trips(trips: DataFrame, industry: Industry, start: int, end: int) -> DataFrame:
@@ -46,23 +47,28 @@ def fhv_rows(fhv: DataFrame, bases: DataFrame, start: int, end: int) -> DataFram
     any list that Spark broadcasts; aggregating per base before it would shuffle nearly every
     trip (a base, month and zone pair rarely recur), so nothing is aggregated before the join.
     """
-    b = bases.groupBy("lic_no", "company").agg(F.count(F.lit(1)).alias("_n"))
-    t = in_period(fhv, start, end)
-    return (t.join(b, t["dispatching_base_num"] == b["lic_no"], "inner")
-             .select(month_key("datetimeid").alias("year_month"), "pulocationid", "dolocationid", "company",
-                     F.when(F.col("datetimeid").isNotNull(), F.col("_n")).otherwise(F.lit(0)).alias("count")))
+    return sql(in_period(fhv, start, end), f"""
+        SELECT {MONTH_KEY} AS year_month, pulocationid, dolocationid, company,
+               CASE WHEN datetimeid IS NOT NULL THEN n ELSE 0L END AS count
+        FROM {{df}} JOIN (SELECT lic_no, company, count(1) AS n FROM {{bases}} GROUP BY lic_no, company)
+             ON dispatching_base_num = lic_no""", bases=bases)
 
 
 def od_counts_traditional(fhv: DataFrame, bases: DataFrame, start: int, end: int) -> DataFrame:
     """A2: fhv OD counts for companies outside the high-volume four (NULL dropped)."""
     j = company_not_in(fhv_rows(fhv, bases, start, end), C.HV_COMPANIES)
-    return j.groupBy(*OD_KEYS).agg(F.sum("count").alias("count"))
+    return _summed(j, *OD_KEYS)
 
 
 def od_counts_old_hv(fhv: DataFrame, bases: DataFrame, start: int, end: int) -> DataFrame:
     """A4: fhv OD counts by company for the high-volume four (before the hv table)."""
     j = company_in(fhv_rows(fhv, bases, start, end), C.HV_COMPANIES)
-    return j.groupBy(*OD_KEYS, "company").agg(F.sum("count").alias("count"))
+    return _summed(j, *OD_KEYS, "company")
+
+
+def _summed(rows: DataFrame, *keys: str) -> DataFrame:
+    listed = ", ".join(keys)
+    return sql(rows, f"SELECT {listed}, sum(count) AS count FROM {{df}} GROUP BY {listed}")
 
 
 def od_counts_by_license(hv: DataFrame, start: int, end: int, industry: Industry = C.HVFHV) -> DataFrame:
@@ -70,15 +76,13 @@ def od_counts_by_license(hv: DataFrame, start: int, end: int, industry: Industry
     return od_counts(filtered_trips(hv, industry, start, end), "hvfhs_license_num")
 
 
-def _trip_rows(trips: DataFrame, industry: Industry, start: int, end: int, company, shared=None) -> DataFrame:
-    """Filtered trips as ``(year_month, pulocationid, dolocationid, company, count, shared)``:
-    ``count`` is 1 for a trip with an hour key (``count(datetimeid)``), and so is ``shared`` if
-    the trip also counts as a shared ride."""
-    t = filtered_trips(trips, industry, start, end)
-    one = F.col("datetimeid").isNotNull()
-    return t.select(month_key("datetimeid").alias("year_month"), "pulocationid", "dolocationid",
-                    company.alias("company"), one.cast("long").alias("count"),
-                    (one & (F.lit(False) if shared is None else shared)).cast("long").alias("shared"))
+def _trip_rows(name: str, company: str, shared: str = "false") -> str:
+    """The filtered trips of frame ``name`` as rows ``(year_month, pulocationid, dolocationid,
+    company, count, shared)``: ``count`` is 1 for a trip with an hour key (``count(datetimeid)``), and
+    so is ``shared`` if the trip also counts as a shared ride."""
+    return f"""SELECT {MONTH_KEY} AS year_month, pulocationid, dolocationid, {company} AS company,
+                      CAST(datetimeid IS NOT NULL AS bigint) AS count,
+                      CAST(datetimeid IS NOT NULL AND {shared} AS bigint) AS shared FROM {{{name}}}"""
 
 
 def industry_rows(trips: dict, bases: DataFrame, params: Params) -> DataFrame:
@@ -89,33 +93,32 @@ def industry_rows(trips: dict, bases: DataFrame, params: Params) -> DataFrame:
     ind = params.industry
     y, g, hv, sh = ind("yellow"), ind("green"), ind("hvfhv"), ind("shared")
     end = params.trips_end
-    trad = company_not_in(fhv_rows(trips["fhv"], bases, ind(C.TRADITIONAL_TAG).trips_start, end), C.HV_COMPANIES)
+    frames = {"yellow": filtered_trips(trips["yellow"], y, y.trips_start, end),
+              "green": filtered_trips(trips["green"], g, g.trips_start, end),
+              "fhv": company_not_in(fhv_rows(trips["fhv"], bases, ind(C.TRADITIONAL_TAG).trips_start, end), C.HV_COMPANIES),
+              "hv": filtered_trips(trips["hvfhv"], hv, hv.trips_start, end)}
+    fhv = f"SELECT {', '.join(OD_KEYS)}, {literal(C.TRADITIONAL_TAG)} AS company, count, 0L AS shared FROM {{fhv}}"
+    parts = [_trip_rows("yellow", "'yellow'"), _trip_rows("green", "'green'"), fhv]
     hv_company = license_to_company("hvfhs_license_num")
-    parts = [
-        _trip_rows(trips["yellow"], y, y.trips_start, end, F.lit("yellow")),
-        _trip_rows(trips["green"], g, g.trips_start, end, F.lit("green")),
-        trad.select(*OD_KEYS, F.lit(C.TRADITIONAL_TAG).alias("company"), "count", F.lit(0).cast("long").alias("shared")),
-    ]
     if hv.trips_start == sh.trips_start and hv.has_measures == sh.has_measures:
-        parts.append(_trip_rows(trips["hvfhv"], hv, hv.trips_start, end, hv_company, F.col("route_id").isNotNull()))
+        parts.append(_trip_rows("hv", hv_company, "route_id IS NOT NULL"))
     else:
-        parts.append(_trip_rows(trips["hvfhv"], hv, hv.trips_start, end, hv_company))
-        parts.append(_trip_rows(trips["hvfhv"], sh, sh.trips_start, end, F.lit("shared")))
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    return union
+        frames["sh"] = filtered_trips(trips["hvfhv"], sh, sh.trips_start, end)
+        parts += [_trip_rows("hv", hv_company), _trip_rows("sh", "'shared'")]
+    return trips["yellow"].sparkSession.sql(" UNION ALL ".join(parts), **frames)
 
 
 def _counted(rows: DataFrame, *keys: str) -> DataFrame:
     """Counts by the keys and company; shared rides as rows of their own, made from the sums.
 
     A licence with shared rides gives one ``shared`` row each, so those are summed once more,
-    over aggregates only, by whoever needs them unique."""
-    per = rows.groupBy(*keys, "company").agg(F.sum("count").alias("_count"), F.sum("shared").alias("_shared"))
-    both = F.array(F.struct(F.col("company").alias("company"), F.col("_count").alias("count")),
-                   F.struct(F.lit("shared").alias("company"), F.col("_shared").alias("count")))
-    return per.select(*keys, F.inline(both)).filter(F.col("count") > 0)
+    over aggregates only."""
+    listed = ", ".join(keys)
+    return sql(rows, f"""
+        SELECT {listed}, company, sum(count) AS count
+        FROM (SELECT {listed}, inline(array(struct(company AS company, counted AS count), struct('shared' AS company, shared AS count)))
+              FROM (SELECT {listed}, company, sum(count) AS counted, sum(shared) AS shared FROM {{df}} GROUP BY {listed}, company))
+        WHERE count > 0 GROUP BY {listed}, company""")
 
 
 def industry_od(trips: dict, bases: DataFrame, params: Params) -> DataFrame:
@@ -125,16 +128,15 @@ def industry_od(trips: dict, bases: DataFrame, params: Params) -> DataFrame:
     Plan: one aggregation over the union of the filtered scans (partial aggregation in every
     scan task), then the shared rides' sums become rows and are summed over the licences.
     """
-    return (_counted(industry_rows(trips, bases, params), *OD_KEYS)
-            .groupBy(*OD_KEYS, "company").agg(F.sum("count").alias("count")))
+    return _counted(industry_rows(trips, bases, params), *OD_KEYS)
 
 
 def industry_marginal(trips: dict, bases: DataFrame, params: Params, side: str) -> DataFrame:
     """A5 straight from the trips: counts per month, company and the id in column ``side``
     (pickup or drop-off), without the OD table in between; NULL ids dropped."""
-    rows = (industry_rows(trips, bases, params).filter(F.col(side).isNotNull())
-            .select("year_month", F.col(side).alias("id"), "company", "count", "shared"))
-    return _counted(rows, "year_month", "id").groupBy("year_month", "id", "company").agg(F.sum("count").alias("count"))
+    rows = sql(industry_rows(trips, bases, params),
+               f"SELECT year_month, {side} AS id, company, count, shared FROM {{df}} WHERE {side} IS NOT NULL")
+    return _counted(rows, "year_month", "id").select("year_month", "id", "company", "count")
 
 
 def pickups(od: DataFrame, keys=("company",)) -> DataFrame:

@@ -1,7 +1,7 @@
 """Money aggregations: zone financials (A7) and monthly fare tables.
 
-Measures are declared as ``(name, Column)`` lists per industry kind and applied in
-one ``groupBy().agg()``; Spark computes every sum and count in a single pass with
+Measures are declared as ``(name, SQL text)`` lists per industry kind and applied in
+one aggregation; Spark computes every sum and count in a single pass with
 map-side partial aggregation. The exact driver count (A12, ``count(distinct)``)
 is planned as a two-level aggregation -- first by (month, driver), then by month
 -- so one hot driver or month never lands whole in one task.
@@ -13,16 +13,13 @@ averages payers only.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from farezone import config as C
 from farezone.config import Industry
-from farezone.functions.money import exact_avg, money_avg, money_sum, null_if_zero, ratio, rider_total, to_minutes, total
-from farezone.functions.timekeys import month_key
+from farezone.functions.money import exact_avg, money_avg, money_sum, null_if_zero, ratio, rider_total, to_minutes, total, zero_if_null
+from farezone.functions.text import sql
+from farezone.functions.timekeys import MONTH_KEY
 from farezone.operators.filters import in_period, shared_only, valid_trip, within_caps
 
 # Fare parts a high-volume rider pays, in the published order.
@@ -33,10 +30,10 @@ HV_MONEY = ("base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surc
             "tips", "driver_pay", "airport_fee")
 
 
-def fare_expr(industry: Industry) -> Column:
+def fare_expr(industry: Industry) -> str:
     if industry.company_col is not None or industry.shared_only:
         return rider_total(HV_FARE_PARTS)
-    return F.col(industry.fare)
+    return industry.fare
 
 
 def financial_trips(df: DataFrame, industry: Industry, start: int, end: int,
@@ -56,12 +53,17 @@ def zone_financials(df: DataFrame, industry: Industry) -> DataFrame:
     (P8). The average fare is the average of the per-trip sum. NULL pickups
     form their own group here (dropped later by the zone expansion).
     """
-    fare = fare_expr(industry)
-    return (df.groupBy(month_key("datetimeid").alias("year_month"), "pulocationid")
-              .agg(money_avg(fare).alias("avg_total_fare"),
-                   total(fare).cast("double").alias("sum_total_fare"),
-                   to_minutes(exact_avg(industry.seconds)).alias("avg_trip_time"),
-                   exact_avg(industry.distance).alias("avg_trip_distance")))
+    return sql(df, f"""
+        SELECT year_month, pulocationid, {", ".join(financial_measures("fare", "seconds", "distance"))}
+        FROM (SELECT {MONTH_KEY} AS year_month, pulocationid, {fare_expr(industry)} AS fare,
+                     {industry.seconds} AS seconds, {industry.distance} AS distance FROM {{df}})
+        GROUP BY year_month, pulocationid""")
+
+
+def financial_measures(fare: str, seconds: str, distance: str) -> list[str]:
+    """The measures of A7, named."""
+    return [f"{money_avg(fare)} AS avg_total_fare", f"CAST({total(fare)} AS double) AS sum_total_fare",
+            f"{to_minutes(exact_avg(seconds))} AS avg_trip_time", f"{exact_avg(distance)} AS avg_trip_distance"]
 
 
 def fare_trips(df: DataFrame, industry: Industry, start: int, end: int,
@@ -80,74 +82,78 @@ class TripTerms:
     def __init__(self, driver: str):
         self._driver = driver
 
-    def money(self, c: str) -> Column:
+    def money(self, c: str) -> str:
         return money_sum(c)
 
-    def number(self, c: str) -> Column:
-        return F.sum(c)
+    def number(self, c: str) -> str:
+        return f"sum({c})"
+
+    def count(self, c: str) -> str:
+        return f"count({c})"
+
+    def payers(self, c: str) -> str:
+        return f"count({null_if_zero(c)})"
 
-    def count(self, c: str) -> Column:
-        return F.count(F.col(c))
+    def rows(self) -> str:
+        return "count(1)"
 
-    def payers(self, c: str) -> Column:
-        return F.count(null_if_zero(c))
+    def drivers(self) -> str:
+        return f"count(DISTINCT {self._driver})"
 
-    def rows(self) -> Column:
-        return F.count(F.lit(1))
 
-    def drivers(self) -> Column:
-        return F.count_distinct(F.col(self._driver))
+def _double(x: str) -> str:
+    return f"CAST({x} AS double)"
 
 
-def _total(t, c: str) -> Column:
+def _total(t, c: str) -> str:
     """Sum with NULL as 0."""
-    return F.coalesce(t.money(c), F.lit(0))
+    return zero_if_null(t.money(c))
 
 
-def _avg(t, c: str) -> Column:
+def _avg(t, c: str) -> str:
     return ratio(t.money(c), t.count(c))
 
 
-def _payer_avg(t, c: str) -> Column:
+def _payer_avg(t, c: str) -> str:
     """Average over non-zero values (P7): zeros don't change the sum, only the count."""
     return ratio(t.money(c), t.payers(c))
 
 
-def _filled_avg(t, c: str) -> Column:
+def _filled_avg(t, c: str) -> str:
     """Average with NULL as 0 (P6), over all rows."""
     return ratio(_total(t, c), t.rows())
 
 
-def _metered_measures(t, airport_fee: bool, extra_payers_only: bool) -> list[tuple[str, Column]]:
+def _metered_measures(t, airport_fee: bool, extra_payers_only: bool) -> list[tuple[str, str]]:
     # one exact sum for each column, whatever the measures made of it
     drivers = t.drivers()
     m = [
         ("avg_total_fare", _avg(t, "total_amount")),
-        ("sum_total_fare", _total(t, "total_amount").cast("double")),
+        ("sum_total_fare", _double(_total(t, "total_amount"))),
         ("avg_fare_amount", _avg(t, "fare_amount")),
-        ("sum_fare_amount", _total(t, "fare_amount").cast("double")),
+        ("sum_fare_amount", _double(_total(t, "fare_amount"))),
         ("avg_extra", (_payer_avg if extra_payers_only else _filled_avg)(t, "extra")),
-        ("sum_extra", _total(t, "extra").cast("double")),
-        ("mta_tax", F.lit(C.MTA_TAX).cast("double")),
-        ("total_mta_tax", _total(t, "mta_tax").cast("double")),
+        ("sum_extra", _double(_total(t, "extra"))),
+        ("mta_tax", f"{C.MTA_TAX}D"),
+        ("total_mta_tax", _double(_total(t, "mta_tax"))),
         ("avg_tip_amount", _payer_avg(t, "tip_amount")),
-        ("sum_tip_amount", _total(t, "tip_amount").cast("double")),
+        ("sum_tip_amount", _double(_total(t, "tip_amount"))),
         ("avg_tolls_amount", _payer_avg(t, "tolls_amount")),
-        ("sum_tolls_amount", _total(t, "tolls_amount").cast("double")),
-        ("improvement_surcharge", F.lit(C.IMPROVEMENT_SURCHARGE).cast("double")),
-        ("sum_improvement_surcharge", _total(t, "improvement_surcharge").cast("double")),
+        ("sum_tolls_amount", _double(_total(t, "tolls_amount"))),
+        ("improvement_surcharge", f"{C.IMPROVEMENT_SURCHARGE}D"),
+        ("sum_improvement_surcharge", _double(_total(t, "improvement_surcharge"))),
         ("avg_congestion_surcharge", _payer_avg(t, "congestion_surcharge")),
-        ("sum_congestion_surcharge", _total(t, "congestion_surcharge").cast("double")),
+        ("sum_congestion_surcharge", _double(_total(t, "congestion_surcharge"))),
     ]
     if airport_fee:
         m += [("avg_airport_fee", _payer_avg(t, "airport_fee")),
-              ("sum_airport_fee", _total(t, "airport_fee").cast("double"))]
-    pay = _total(t, "fare_amount") + _total(t, "extra")
+              ("sum_airport_fee", _double(_total(t, "airport_fee")))]
+    pay = f"({_total(t, 'fare_amount')} + {_total(t, 'extra')})"
     m += [
         ("avg_distance", ratio(t.number("trip_distance"), t.count("trip_distance"))),
         ("count_drivers", drivers),
-        ("driver_pay", _avg(t, "fare_amount") + _filled_avg(t, "extra")),
-        ("total_driver_pay", pay.cast("double")),
+        ("driver_pay", f"{_avg(t, 'fare_amount')} + {_filled_avg(t, 'extra')}"),
+        ("total_driver_pay", _double(pay)),
         ("pay_per_driver", ratio(pay, drivers)),
         ("tips_per_driver", ratio(_total(t, "tip_amount"), drivers)),
         ("extra_per_driver", ratio(_total(t, "extra"), drivers)),
@@ -156,26 +162,26 @@ def _metered_measures(t, airport_fee: bool, extra_payers_only: bool) -> list[tup
     return m
 
 
-def _hv_measures(t) -> list[tuple[str, Column]]:
+def _hv_measures(t) -> list[tuple[str, str]]:
     drivers = t.drivers()
     m = []
     for p in HV_MONEY:
-        m += [(f"avg_{p}", _avg(t, p)), (f"sum_{p}", _total(t, p).cast("double"))]
+        m += [(f"avg_{p}", _avg(t, p)), (f"sum_{p}", _double(_total(t, p)))]
     m += [
         ("avg_distance", ratio(t.number("trip_miles"), t.count("trip_miles"))),
         ("count_drivers", drivers),
         ("driver_pay", _avg(t, "driver_pay")),
-        ("total_driver_pay", t.money("driver_pay").cast("double")),
+        ("total_driver_pay", _double(t.money("driver_pay"))),
         ("pay_per_driver", ratio(t.money("driver_pay"), drivers)),
         ("tips_per_driver", ratio(_total(t, "tips"), drivers)),
-        ("sum_total_fare", reduce(add, [_total(t, p) for p in HV_FARE_PARTS]).cast("double")),
+        ("sum_total_fare", _double(" + ".join(_total(t, p) for p in HV_FARE_PARTS))),
         # a sum of averages: NULL when any part is NULL for the whole month
-        ("avg_total_fare", reduce(add, [_avg(t, p) for p in HV_FARE_PARTS])),
+        ("avg_total_fare", " + ".join(_avg(t, p) for p in HV_FARE_PARTS)),
     ]
     return m
 
 
-def fare_measures(industry: Industry, terms) -> list[tuple[str, Column]]:
+def fare_measures(industry: Industry, terms) -> list[tuple[str, str]]:
     """The measure list of A8 (yellow), A9 (green) or A10/A11 (hv, shared), made of ``terms``."""
     if industry.name == "yellow":
         return _metered_measures(terms, airport_fee=True, extra_payers_only=False)
@@ -190,6 +196,5 @@ def driver_column(industry: Industry) -> str:
 
 def monthly_fares(df: DataFrame, industry: Industry) -> DataFrame:
     """The monthly fare breakdown, one row per month key (YYYYMM)."""
-    ms = fare_measures(industry, TripTerms(driver_column(industry)))
-    return (df.groupBy(month_key("datetimeid").alias("year_month"))
-              .agg(*[c.alias(n) for n, c in ms]))
+    measures = ", ".join(f"{x} AS {n}" for n, x in fare_measures(industry, TripTerms(driver_column(industry))))
+    return sql(df, f"SELECT {MONTH_KEY} AS year_month, {measures} FROM {{df}} GROUP BY {MONTH_KEY}")

@@ -9,65 +9,63 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from farezone.config import Industry
+from farezone.functions.text import literal
 from farezone.functions.timekeys import run_bounds
 
 
 def in_period(df: DataFrame, start: int, end: int, col: str = "datetimeid") -> DataFrame:
     """half-open range on the raw hour key (pushable; never on ``div 10000``)."""
-    c = F.col(col)
-    return df.filter((c >= F.lit(start)) & (c < F.lit(end)))
+    return df.filter(f"{col} >= {literal(start)} AND {col} < {literal(end)}")
 
 
 def valid_trip(df: DataFrame, industry: Industry) -> DataFrame:
     """positive distance and fare; a NULL measure drops the row."""
     if not industry.has_measures:
         return df
-    return df.filter((F.col(industry.distance) > 0) & (F.col(industry.fare) > 0))
+    return df.filter(f"{industry.distance} > 0 AND {industry.fare} > 0")
 
 
 def within_caps(df: DataFrame, industry: Industry, fare_cap, distance_cap,
                 time_cap_secs: int | None = None) -> DataFrame:
     """outlier caps on fare and distance, and optionally ``0 < seconds < cap``."""
-    cond = (F.col(industry.fare) < F.lit(fare_cap)) & (F.col(industry.distance) < F.lit(distance_cap))
+    caps = f"{industry.fare} < {literal(fare_cap)} AND {industry.distance} < {literal(distance_cap)}"
     if time_cap_secs is not None:
-        s = F.col(industry.seconds)
-        cond = cond & (s > 0) & (s < F.lit(time_cap_secs))
-    return df.filter(cond)
+        caps += f" AND {industry.seconds} > 0 AND {industry.seconds} < {literal(time_cap_secs)}"
+    return df.filter(caps)
 
 
 def shared_only(df: DataFrame) -> DataFrame:
     """shared rides carry a route id."""
-    return df.filter(F.col("route_id").isNotNull())
+    return df.filter("route_id IS NOT NULL")
 
 
 def company_not_in(df: DataFrame, names, col: str = "company") -> DataFrame:
     """SQL ``NOT IN`` -- a NULL company is dropped (three-valued logic)."""
-    return df.filter(~F.col(col).isin(*names))
+    return df.filter(f"{col} NOT IN ({', '.join(map(literal, names))})")
 
 
 def company_in(df: DataFrame, names, col: str = "company") -> DataFrame:
     """SQL ``IN`` list."""
-    return df.filter(F.col(col).isin(*names))
+    return df.filter(f"{col} IN ({', '.join(map(literal, names))})")
 
 
 def drop_null_key(df: DataFrame, *keys: str) -> DataFrame:
     """drop rows with a NULL key before grouping (pandas group-by semantics)."""
-    return df.dropna(subset=list(keys))
+    return df.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys))
 
 
 def before_month(df: DataFrame, asof: _dt.date, col: str = "year_month") -> DataFrame:
     """complete months only -- strictly before the month before ``asof``'s."""
     last_month, _ = run_bounds(asof)
-    return df.filter(F.col(col) < F.lit(last_month))
+    return df.filter(f"{col} < DATE '{last_month}'")
 
 
-def is_since(since: _dt.date, col: str = "year_month") -> Column:
-    """F11 as a condition: ``year_month >= since``."""
-    return F.col(col) >= F.lit(since)
+def is_since(since: _dt.date, col: str = "year_month") -> str:
+    """F11 as a condition (SQL text): ``year_month >= since``."""
+    return f"{col} >= DATE '{since}'"
 
 
 def since_month(df: DataFrame, since: _dt.date, col: str = "year_month") -> DataFrame:
@@ -75,9 +73,9 @@ def since_month(df: DataFrame, since: _dt.date, col: str = "year_month") -> Data
     return df.filter(is_since(since, col))
 
 
-def is_not_company(names, col: str = "company") -> Column:
-    """F12 as a condition: not one of the names; a NULL company is none (pandas ``~isin``)."""
-    return F.coalesce(~F.col(col).isin(*names), F.lit(True))
+def is_not_company(names, col: str = "company") -> str:
+    """F12 as a condition (SQL text): not one of the names; a NULL company is none (pandas ``~isin``)."""
+    return f"coalesce({col} NOT IN ({', '.join(map(literal, names))}), true)"
 
 
 def exclude_company(df: DataFrame, names, col: str = "company") -> DataFrame:
@@ -87,4 +85,4 @@ def exclude_company(df: DataFrame, names, col: str = "company") -> DataFrame:
 
 def before_period_start(df: DataFrame, end: int, col: str = "period_start") -> DataFrame:
     """``period_start < end`` on the daily table."""
-    return df.filter(F.col(col) < F.lit(end))
+    return df.filter(f"{col} < {literal(end)}")

@@ -1,6 +1,6 @@
 """Reshape (R1, R2) and set operations (U1). R3 lives in ``operators.zones``.
 
-Wide -> long is ``DataFrame.unpivot``: an Expand node in the same stage, no
+Wide -> long is an ``inline`` of one struct a measure: a Generate node in the same stage, no
 shuffle. NULL measures are kept (like pandas ``melt``; SQL ``UNPIVOT`` needs
 ``INCLUDE NULLS``).
 """
@@ -10,7 +10,8 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from farezone.functions.text import literal, sql
 
 
 def to_long(df: DataFrame, ids, values=None, variable: str = "variable", value: str = "value",
@@ -23,8 +24,8 @@ def to_long(df: DataFrame, ids, values=None, variable: str = "variable", value:
     ids = list(ids)
     values = [c for c in df.columns if c not in ids] if values is None else list(values)
     rename = rename or {}
-    wide = df.select(*ids, *[F.col(c).cast("double").alias(rename.get(c, c)) for c in values])
-    return wide.unpivot(ids, [rename.get(c, c) for c in values], variable, value)
+    rows = ", ".join(f"struct({literal(rename.get(c, c))} AS {variable}, CAST(`{c}` AS double) AS {value})" for c in values)
+    return sql(df, f"SELECT {', '.join(ids)}, inline(array({rows})) FROM {{df}}")
 
 
 def stack(*dfs: DataFrame) -> DataFrame:

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from farezone import config as C
-from farezone.functions.timekeys import month_trunc
+from farezone.functions.text import literal, sql
 from farezone.operators.filters import before_period_start, company_in, drop_null_key, is_not_company, is_since
 
 MART_KEYS = ("year_month", "id", "company", "Z", "Zone", "metric")
@@ -21,20 +20,17 @@ def daily_to_monthly(daily: DataFrame, end: int) -> DataFrame:
     ``fhv``. Every row carries the constant id 999.
     """
     d = before_period_start(company_in(daily, C.FHV_SUBINDUSTRIES, col="industry"), end)
-    d = d.withColumn("year_month", month_trunc("metric_day"))
-    g = (d.groupingSets([["year_month", "industry"], ["year_month"]], "year_month", "industry")
-          .agg(F.sum("count_trips").cast("long").alias("count"), F.grouping("industry").alias("_gi")))
-    return g.select(
-        "year_month",
-        F.lit(C.FHV_TOTAL_ID).cast("int").alias("id"),
-        "count",
-        F.when(F.col("_gi") == 1, F.lit(C.FHV_TOTAL_LABEL)).otherwise(F.col("industry")).alias("industry"),
-    )
+    month = "trunc(CAST(metric_day AS date), 'month')"  # P4
+    return sql(d, f"""
+        SELECT year_month, CAST({C.FHV_TOTAL_ID} AS int) AS id, CAST(sum(count_trips) AS bigint) AS count,
+               CASE WHEN grouping(industry) = 1 THEN {literal(C.FHV_TOTAL_LABEL)} ELSE industry END AS industry
+        FROM (SELECT {month} AS year_month, industry, count_trips FROM {{df}})
+        GROUP BY GROUPING SETS ((year_month, industry), (year_month))""")
 
 
-def counts_for_all(since: _dt.date) -> Column:
-    """F11 + F12: the rows that the ALL rollup takes, months from ``since``, SHARED left out."""
-    return is_since(since) & is_not_company(C.ALL_EXCLUDED)
+def counts_for_all(since: _dt.date) -> str:
+    """F11 + F12 (SQL text): the rows that the ALL rollup takes, months from ``since``, SHARED left out."""
+    return f"{is_since(since)} AND {is_not_company(C.ALL_EXCLUDED)}"
 
 
 def all_companies(df: DataFrame, since: _dt.date, keys=("year_month", "id", "Z", "Zone", "metric"),
@@ -43,11 +39,12 @@ def all_companies(df: DataFrame, since: _dt.date, keys=("year_month", "id", "Z",
 
     Rows with a NULL key (e.g. an id without a zone name) are left out.
     """
-    d = drop_null_key(df.filter(counts_for_all(since)), *keys)
-    return (d.groupBy(*keys).agg(F.sum(value).alias(value))
-             .withColumn("company", F.lit(C.ALL_LABEL)))
+    by = ", ".join(keys)
+    return sql(drop_null_key(df.filter(counts_for_all(since)), *keys), f"""
+        SELECT {by}, sum({value}) AS {value}, {literal(C.ALL_LABEL)} AS company FROM {{df}} GROUP BY {by}""")
 
 
 def final_sum(df: DataFrame, keys=MART_KEYS, value: str = "count") -> DataFrame:
     """Sum by the mart keys; rows with a NULL key vanish (pandas group-by)."""
-    return drop_null_key(df, *keys).groupBy(*keys).agg(F.sum(value).alias(value))
+    by = ", ".join(keys)
+    return sql(drop_null_key(df, *keys), f"SELECT {by}, sum({value}) AS {value} FROM {{df}} GROUP BY {by}")

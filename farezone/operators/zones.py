@@ -9,21 +9,22 @@ broadcasts either by its size, so every zone operator is a map-side join on the
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farezone.functions.text import literal, sql
+
 
 def zone_members(matrix: DataFrame, exclude=(), id_col: str = "ID") -> DataFrame:
     """Wide Yes/No matrix -> ``(id, zone)`` rows where the flag is ``Yes``.
 
     ``exclude`` leaves zones out (the trips metric skips ``Citywide``).
     """
-    zones = [c for c in matrix.columns if c != id_col and c not in set(exclude)]
-    return (matrix.unpivot([id_col], zones, "zone", "flag")
-                  .filter(F.col("flag") == "Yes")
-                  .select(F.col(id_col).cast("int").alias("id"), "zone"))
+    zones = [z for some in _masked_zones(matrix, exclude, id_col) for z in some]
+    flags = ", ".join(f"struct({literal(z)} AS zone, `{z}` AS flag)" for z in zones)
+    return matrix.sparkSession.sql(f"""
+        SELECT id, zone FROM (SELECT CAST(`{id_col}` AS int) AS id, inline(array({flags})) FROM {{matrix}}) WHERE flag = 'Yes'""",
+                                   matrix=matrix)
 
 
 def expand_zones(df: DataFrame, members: DataFrame, key: str = "id",
@@ -42,17 +43,20 @@ def _masked_zones(matrix: DataFrame, exclude, id_col: str) -> list[list[str]]:
     return [zones[i:i + MASK_BITS] for i in range(0, len(zones), MASK_BITS)]
 
 
+def _masks_text(words: list[list[str]], id_col: str) -> str:
+    """The query of :func:`zone_masks` over frame ``matrix``."""
+    def mask(zones):
+        bits = " | ".join(f"CASE WHEN `{z}` = 'Yes' THEN {1 << i}L ELSE 0L END" for i, z in enumerate(zones))
+        return f"bit_or({bits})"
+
+    masks = "".join(f", {mask(z)} AS mask{w}" for w, z in enumerate(words))
+    return f"SELECT CAST(`{id_col}` AS int) AS id{masks} FROM {{matrix}} WHERE `{id_col}` IS NOT NULL GROUP BY CAST(`{id_col}` AS int)"
+
+
 def zone_masks(matrix: DataFrame, exclude=(), id_col: str = "ID") -> DataFrame:
     """``(id, mask0, mask1, ...)``: bit i of mask w says whether the id lies in the matrix's service zone
     ``62 w + i`` (``exclude`` left out). Membership is a set: an id on several lines is in the zones of each."""
-    def mask(zones):
-        bits = [F.when(F.col(z) == "Yes", F.lit(1 << i)).otherwise(F.lit(0)) for i, z in enumerate(zones)]
-        return F.bit_or(reduce(Column.bitwiseOR, bits).cast("long"))
-
-    words = _masked_zones(matrix, exclude, id_col)
-    return (matrix.groupBy(F.col(id_col).cast("int").alias("id"))
-                  .agg(F.count(F.lit(1)).alias("_lines"), *[mask(z).alias(f"mask{w}") for w, z in enumerate(words)])
-                  .where(F.col("id").isNotNull()).drop("_lines"))
+    return matrix.sparkSession.sql(_masks_text(_masked_zones(matrix, exclude, id_col), id_col), matrix=matrix)
 
 
 def zone_metrics(od: DataFrame, matrix: DataFrame, exclude=(), keys=("company",), id_col: str = "ID") -> DataFrame:
@@ -69,45 +73,38 @@ def zone_metrics(od: DataFrame, matrix: DataFrame, exclude=(), keys=("company",)
     become rows. An OD row is two rows into the (partial) aggregation, whatever number of zones
     its ends lie in, and nothing is expanded before the sums.
     """
-    keys = list(keys)
     words = _masked_zones(matrix, exclude, id_col)
-    masks = zone_masks(matrix, exclude, id_col)
     at = range(len(words))
-    start = masks.select(F.col("id").alias("pulocationid"), *[F.col(f"mask{w}").alias(f"_pu{w}") for w in at])
-    end = masks.select(F.col("id").alias("dolocationid"), *[F.col(f"mask{w}").alias(f"_do{w}") for w in at])
-    trips = od.join(start, "pulocationid", "left").join(end, "dolocationid", "left")
-    no_mask, none = F.lit(0).cast("long"), F.lit(None).cast("long")
-
-    def outside(w):
-        return F.col(f"_do{w}").bitwiseAND(F.bitwise_not(F.coalesce(F.col(f"_pu{w}"), no_mask)))
-
-    picked = F.struct(F.col("pulocationid").alias("id"), F.col("count").alias("_pick"), none.alias("_drop"),
-                      *[F.col(f"_pu{w}").alias(f"_in{w}") for w in at], *[no_mask.alias(f"_out{w}") for w in at])
-    dropped = F.struct(F.col("dolocationid").alias("id"), none.alias("_pick"), F.col("count").alias("_drop"),
-                       *[F.col(f"_do{w}").alias(f"_in{w}") for w in at], *[outside(w).alias(f"_out{w}") for w in at])
-    inside = reduce(Column.__or__, [F.col(f"_in{w}") != 0 for w in at], F.lit(False))
-    sides = trips.select("year_month", *keys, F.inline(F.array(picked, dropped))).where(inside)
-
-    def bit(column, i):
-        return F.col(column).bitwiseAND(F.lit(1 << i).cast("long")) != 0
-
-    inbound = [F.sum(F.when(bit(f"_out{w}", i), F.col("_drop"))).alias(f"_inbound{w}_{i}")
-               for w in at for i in range(len(words[w]))]
-    sums = (sides.groupBy("year_month", "id", *keys)
-                 .agg(F.sum("_pick").alias("pickups"), F.sum("_drop").alias("dropoffs"),
-                      *[F.max(f"_in{w}").alias(f"_in{w}") for w in at], *inbound))
-    zones = [F.when(bit(f"_in{w}", i), F.struct(F.lit(z).alias("zone"), F.col(f"_inbound{w}_{i}").alias("inbound")))
-             for w in at for i, z in enumerate(words[w])]
+    by = ", ".join(["year_month", *keys])
+
+    def side(id_, pick, drop, masks, outside):
+        columns = [f"{id_} AS id", f"{pick} AS pick", f"{drop} AS drop"]
+        columns += [f"{masks.format(w)} AS in{w}" for w in at] + [f"{outside.format(w)} AS out{w}" for w in at]
+        return f"struct({', '.join(columns)})"
+
+    start = side("pulocationid", "count", "CAST(NULL AS bigint)", "pu.mask{0}", "0L")
+    end = side("dolocationid", "CAST(NULL AS bigint)", "count", "do.mask{0}", "do.mask{0} & ~coalesce(pu.mask{0}, 0L)")
+    bits = [(w, i, z) for w in at for i, z in enumerate(words[w])]
+    sums = "".join(f", max(in{w}) AS in{w}" for w in at)
+    sums += "".join(f", sum(CASE WHEN out{w} & {1 << i}L != 0 THEN drop END) AS inbound{w}_{i}" for w, i, _ in bits)
+    zones = [f"CASE WHEN in{w} & {1 << i}L != 0 THEN struct({literal(z)} AS zone, inbound{w}_{i} AS inbound) END" for w, i, z in bits]
     if not zones:  # no zone, no rows
-        zones = [F.lit(None).cast("struct<zone:string,inbound:bigint>")]
-    return (sums.select("year_month", "id", *keys, "pickups", "dropoffs", F.inline(F.array_compact(F.array(*zones))))
-                .select("year_month", "id", *keys, "zone", "pickups", "dropoffs", "inbound"))
+        zones = ["CAST(NULL AS struct<zone:string,inbound:bigint>)"]
+    inside = " OR ".join(f"in{w} != 0" for w in at) or "false"
+    masks = _masks_text(words, id_col)
+    return sql(od, f"""
+        SELECT {by}, id, zone, pickups, dropoffs, inbound
+        FROM (SELECT {by}, id, pickups, dropoffs, inline(array_compact(array({', '.join(zones)})))
+              FROM (SELECT {by}, id, sum(pick) AS pickups, sum(drop) AS dropoffs{sums}
+                    FROM (SELECT {by}, inline(array({start}, {end}))
+                          FROM {{df}} LEFT JOIN ({masks}) pu ON pulocationid = pu.id LEFT JOIN ({masks}) do ON dolocationid = do.id)
+                    WHERE {inside} GROUP BY {by}, id))""", matrix=matrix)
 
 
 def inbound(od: DataFrame, matrix: DataFrame, exclude=(), keys=("company",)) -> DataFrame:
     """Drop-offs inside a zone from pickups outside it, per month, id, zone."""
-    return (zone_metrics(od, matrix, exclude, keys).filter(F.col("inbound").isNotNull())
-            .select("year_month", "id", *keys, "zone", F.col("inbound").alias("count1")))
+    by = ", ".join(["year_month", "id", *keys])
+    return sql(zone_metrics(od, matrix, exclude, keys), f"SELECT {by}, zone, inbound AS count1 FROM {{df}} WHERE inbound IS NOT NULL")
 
 
 def zone_volume(od: DataFrame, matrix: DataFrame, exclude=(), keys=("company",)) -> DataFrame:
@@ -121,9 +118,7 @@ def zone_volume(od: DataFrame, matrix: DataFrame, exclude=(), keys=("company",))
     Plan: a projection of :func:`zone_metrics` -- one read of the OD table, one aggregation --
     instead of two aggregations and a join for every zone.
     """
-    keys = list(keys)
-    return (zone_metrics(od, matrix, exclude, keys).filter(F.col("pickups").isNotNull())
-            .select("year_month", "id", *keys, "zone",
-                    F.col("pickups").alias("count"),
-                    F.coalesce(F.col("inbound"), F.lit(0)).cast("long").alias("count1"))
-            .withColumn("volume", F.col("count") + F.col("count1")))
+    by = ", ".join(["year_month", "id", *keys])
+    return sql(zone_metrics(od, matrix, exclude, keys), f"""
+        SELECT {by}, zone, pickups AS count, coalesce(inbound, 0L) AS count1, pickups + coalesce(inbound, 0L) AS volume
+        FROM {{df}} WHERE pickups IS NOT NULL""")

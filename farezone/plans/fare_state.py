@@ -11,12 +11,13 @@ table, of which the months' sums and the driver bitmaps are aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farezone.config import Industry, Params
-from farezone.functions.money import cents_sum, money_of, null_if_zero
-from farezone.functions.timekeys import month_date, month_key, run_bounds
+from farezone.functions.money import cents_sum, checked_sum, money_of, null_if_zero
+from farezone.functions.text import sql
+from farezone.functions.timekeys import MONTH_KEY, month_date, run_bounds
 from farezone.operators.drivers import count_drivers, driver_bitmaps, driver_places, merge_bitmaps
 from farezone.operators.fares import HV_MONEY, driver_column, fare_measures, fare_trips
 from farezone.operators.ordering import sort_desc
@@ -37,53 +38,47 @@ def money_columns(industry: Industry) -> tuple:
 class StateTerms:
     """What fare measures are made of, as columns of a month's state."""
 
-    def money(self, c: str) -> Column:
-        return money_of(F.col(f"cents_{c}"))
+    def money(self, c: str) -> str:
+        return money_of(f"cents_{c}")
 
-    def number(self, c: str) -> Column:
-        return F.col(f"sum_{c}")
+    def number(self, c: str) -> str:
+        return f"sum_{c}"
 
-    def count(self, c: str) -> Column:
-        return F.col(f"n_{c}")
+    def count(self, c: str) -> str:
+        return f"n_{c}"
 
-    def payers(self, c: str) -> Column:
-        return F.col(f"paid_{c}")
+    def payers(self, c: str) -> str:
+        return f"paid_{c}"
 
-    def rows(self) -> Column:
-        return F.col("trips")
+    def rows(self) -> str:
+        return "trips"
 
-    def drivers(self) -> Column:
-        return F.col("drivers")
+    def drivers(self) -> str:
+        return "drivers"
 
 
 def driver_months(trips: DataFrame, industry: Industry) -> DataFrame:
     """The sums of ``trips`` by month key and driver (NULL: trips without one)."""
-    distance = industry.distance
-    terms = [F.count(F.lit(1)).alias("trips"), F.sum(distance).alias(f"sum_{distance}"), F.count(distance).alias(f"n_{distance}")]
+    distance, driver = industry.distance, driver_column(industry)
+    terms = ["count(1) AS trips", f"sum({distance}) AS sum_{distance}", f"count({distance}) AS n_{distance}"]
     for c in money_columns(industry):
-        terms += [cents_sum(c).alias(f"cents_{c}"), F.count(c).alias(f"n_{c}"), F.count(null_if_zero(c)).alias(f"paid_{c}")]
-    return trips.groupBy(month_key("datetimeid").alias("year_month"), F.col(driver_column(industry)).alias("driver")).agg(*terms)
-
-
-def checked_sum(c: str) -> Column:
-    """Sum of longs that fails where no long holds it."""
-    total = F.try_sum(c)
-    failed = F.raise_error(F.lit(f"the sum of {c} is beyond the range of a long")).cast("long")
-    return F.when(total.isNull() & (F.count(c) > 0), failed).otherwise(total)
+        terms += [f"{cents_sum(c)} AS cents_{c}", f"count({c}) AS n_{c}", f"count({null_if_zero(c)}) AS paid_{c}"]
+    return sql(trips, f"""
+        SELECT {MONTH_KEY} AS year_month, {driver} AS driver, {", ".join(terms)} FROM {{df}} GROUP BY {MONTH_KEY}, {driver}""")
 
 
 def merge_sums(parts: DataFrame) -> DataFrame:
     """One row for each month, whatever number of parts it comes in."""
     whole = [c for c in parts.columns if c not in ("year_month", "driver")]
-    return parts.groupBy("year_month").agg(
-        *[(checked_sum(c) if c.startswith("cents_") else F.sum(c)).alias(c) for c in whole])
+    sums = ", ".join(f"{checked_sum(c) if c.startswith('cents_') else f'sum({c})'} AS {c}" for c in whole)
+    return sql(parts, f"SELECT year_month, {sums} FROM {{df}} GROUP BY year_month")
 
 
 def fares_of_state(sums: DataFrame, bitmaps: DataFrame, industry: Industry) -> DataFrame:
     """A8-A11 from the state: the columns of ``fares_wide``, ``year_month`` as a date."""
     d = sums.join(count_drivers(bitmaps), "year_month", "left").withColumn("drivers", F.coalesce("drivers", F.lit(0).cast("long")))
-    measures = [c.alias(n) for n, c in fare_measures(industry, StateTerms())]
-    return d.select("year_month", *measures).withColumn("year_month", month_date("year_month"))
+    measures = ", ".join(f"{x} AS {n}" for n, x in fare_measures(industry, StateTerms()))
+    return sql(d, f"SELECT year_month, {measures} FROM {{df}}").withColumn("year_month", month_date("year_month"))
 
 
 def _tables(industry: str) -> tuple:

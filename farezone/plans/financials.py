@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from farezone import config as C
 from farezone.config import Params
 from farezone.functions.labels import label_company
-from farezone.functions.money import exact_avg, money_avg, to_minutes, total
-from farezone.functions.timekeys import month_date, month_key, run_bounds
+from farezone.functions.money import cents_sum, checked_sum, money_of, ratio, to_minutes, zero_if_null
+from farezone.functions.timekeys import MONTH_KEY, month_date, run_bounds
 from farezone.operators.fares import fare_expr, financial_trips
 from farezone.operators.filters import before_month
 from farezone.operators.joins import with_zone_name
-from farezone.operators.reshape import stack, to_long
+from farezone.operators.reshape import to_long
 from farezone.operators.zones import expand_zones, zone_members
 from farezone.plans.inputs import TripInputs
 from farezone.sources.readers import zone_names
@@ -22,18 +22,12 @@ from farezone.sources.readers import zone_names
 FINANCIAL_SOURCES = (("yellow", "yellow"), ("green", "green"), ("hvfhv", "hvfhv"), ("shared", "hvfhv"))
 
 
-def _measure_rows(t: DataFrame, ind, company) -> DataFrame:
-    return t.select(month_key("datetimeid").alias("year_month"), "pulocationid",
-                    fare_expr(ind).alias("_fare"), F.col(ind.seconds).alias("_secs"),
-                    F.col(ind.distance).alias("_dist"), company.alias("company"))
-
-
 def industry_financials(inputs: TripInputs, params: Params) -> DataFrame:
     """A7 for each industry, tagged with the industry as company, stacked.
 
-    Plan: per-trip (fare, seconds, distance) rows of all industries are unioned
-    and summed by one aggregation; the hv table is read once, each shared ride
-    emitted under ``hvfhv`` and ``shared`` (when their bounds agree).
+    Plan: per-trip (fare, seconds, distance) rows of all industries are unioned and summed by one
+    aggregation; the hv table is read once. A shared ride is summed beside the others, by a flag in the
+    key, and only the sums are counted under both ``hvfhv`` and ``shared`` (when their bounds agree).
     """
     trips = inputs.trips()
     ind = params.industry
@@ -45,22 +39,31 @@ def industry_financials(inputs: TripInputs, params: Params) -> DataFrame:
         return financial_trips(trips[source], i, i.financials_start, min(i.financials_end or cutoff, cutoff),
                                params.fare_cap, params.distance_cap, params.time_cap_secs)
 
-    parts = [_measure_rows(filtered(n, n), ind(n), F.lit(n)) for n in ("yellow", "green")]
+    def rows(frame, i, company, shared="false"):
+        return f"""SELECT {MONTH_KEY} AS year_month, pulocationid, {company} AS company, {shared} AS shared,
+                          CAST({fare_expr(i)} AS decimal(18,2)) AS fare, {i.seconds} AS seconds, {i.distance} AS distance FROM {{{frame}}}"""
+
+    frames = {"yellow": filtered("yellow", "yellow"), "green": filtered("green", "green"), "hv": filtered("hvfhv", "hvfhv")}
+    parts = [rows("yellow", ind("yellow"), "'yellow'"), rows("green", ind("green"), "'green'")]
     hv, sh = ind("hvfhv"), ind("shared")
     if (hv.financials_start, hv.financials_end) == (sh.financials_start, sh.financials_end):
-        labels = F.explode(F.array(F.lit("hvfhv"), F.when(F.col("route_id").isNotNull(), F.lit("shared"))))
-        parts.append(_measure_rows(filtered("hvfhv", "hvfhv"), hv, labels)
-                     .filter(F.col("company").isNotNull()))
+        parts.append(rows("hv", hv, "'hvfhv'", "route_id IS NOT NULL"))
     else:
-        parts += [_measure_rows(filtered("hvfhv", "hvfhv"), hv, F.lit("hvfhv")),
-                  _measure_rows(filtered("shared", "hvfhv"), sh, F.lit("shared"))]
-    rows = stack(*parts)
-    fare = F.col("_fare")
-    return (rows.groupBy("year_month", "pulocationid", "company")
-                .agg(money_avg(fare).alias("avg_total_fare"),
-                     total(fare).cast("double").alias("sum_total_fare"),
-                     to_minutes(exact_avg("_secs")).alias("avg_trip_time"),
-                     exact_avg("_dist").alias("avg_trip_distance")))
+        frames["sh"] = filtered("shared", "hvfhv")
+        parts += [rows("hv", hv, "'hvfhv'"), rows("sh", sh, "'shared'")]
+    keys = "year_month, pulocationid, company"
+    # of each part its cents and counts, which add up; then both labels of what was shared
+    return inputs.yellow.sparkSession.sql(f"""
+        SELECT {keys}, {ratio(money_of(checked_sum("cents")), "sum(fares)")} AS avg_total_fare,
+               CAST({zero_if_null(money_of(checked_sum("cents")))} AS double) AS sum_total_fare,
+               {to_minutes(ratio("sum(seconds)", "sum(n_seconds)"))} AS avg_trip_time,
+               {ratio("sum(distance)", "sum(n_distance)")} AS avg_trip_distance
+        FROM (SELECT year_month, pulocationid, explode(CASE WHEN shared THEN array(company, 'shared') ELSE array(company) END) AS company,
+                     cents, fares, seconds, n_seconds, distance, n_distance
+              FROM (SELECT {keys}, shared, {cents_sum("fare")} AS cents, count(fare) AS fares, sum(seconds) AS seconds,
+                           count(seconds) AS n_seconds, sum(distance) AS distance, count(distance) AS n_distance
+                    FROM ({" UNION ALL ".join(parts)}) GROUP BY {keys}, shared))
+        GROUP BY {keys}""", **frames)
 
 
 def financials_wide(fin: DataFrame, matrix: DataFrame, names: DataFrame, params: Params) -> DataFrame:
@@ -68,7 +71,7 @@ def financials_wide(fin: DataFrame, matrix: DataFrame, names: DataFrame, params:
     d = expand_zones(fin.withColumnRenamed("pulocationid", "id"), zone_members(matrix), zone_col="Z")
     d = with_zone_name(d, names).withColumnRenamed("zone", "Zone")
     d = (d.withColumn("year_month", month_date("year_month"))
-          .withColumn("company", label_company("company")))
+          .withColumn("company", F.expr(label_company("company"))))
     return before_month(d, params.asof)
 
 

@@ -31,9 +31,9 @@ def materialized_trip_views(spark: SparkSession, sf_dir: str) -> dict:
             # time-ordered files, like a folder of monthly trip files: scans run in
             # parallel and hour-key filters skip whole files by their min/max
             n = spark.sparkContext.defaultParallelism
-            for name, (_, shape) in fixtures.VIEW_RULES.items():
+            for name, (_, columns) in fixtures.VIEW_RULES.items():
                 path = f"{root}/{name}"
-                (shape(base.filter(F.col("view") == name)).repartitionByRange(n, "datetimeid")
+                (base.filter(F.col("view") == name).selectExpr(*columns).repartitionByRange(n, "datetimeid")
                  .sortWithinPartitions("datetimeid").write.mode("overwrite").parquet(path))
                 views[name] = readers.read_trips(spark, path, name)
             _MATERIALIZED[key] = views
@@ -73,20 +73,22 @@ class TripInputs:
         trip views are written once per session (see :func:`materialized_trip_views`),
         like production's trip files (for tests of scans and for runs on files); otherwise,
         as in every registered query, they stay lazy joins over the base tables."""
+        tables = fixtures.Tables(spark, sf_dir)
+
         def trip(name):
             if materialize:
                 return lambda: materialized_trip_views(spark, sf_dir)[name]
-            return lambda: fixtures.TRIP_VIEWS[name](spark, sf_dir)
+            return lambda: fixtures.trip_view(name, tables)
 
         return cls(
             yellow=trip("yellow"),
             green=trip("green"),
             fhv=trip("fhv"),
             hvfhv=trip("hvfhv"),
-            bases=lambda: fixtures.bases(spark, sf_dir),
-            zone_matrix=lambda: fixtures.zone_matrix(spark, sf_dir),
-            zone_lookup=lambda: fixtures.zone_lookup(spark, sf_dir),
-            daily=lambda: fixtures.daily_indicators(spark, sf_dir),
+            bases=lambda: fixtures.bases(spark, sf_dir, tables),
+            zone_matrix=lambda: fixtures.zone_matrix(spark, sf_dir, tables),
+            zone_lookup=lambda: fixtures.zone_lookup(spark, sf_dir, tables),
+            daily=lambda: fixtures.daily_indicators(spark, sf_dir, tables),
         )
 
     @classmethod

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from farezone import config as C
 from farezone.config import Params
 from farezone.functions.labels import strip_spaces, to_sector, upper_label
+from farezone.functions.text import literal, sql
 from farezone.functions.timekeys import month_date, run_bounds
 from farezone.operators.aggregates import industry_od
 from farezone.operators.filters import before_month, drop_null_key, exclude_company
@@ -37,7 +38,7 @@ from farezone.sources.sinks import write_interim
 
 def label_rows(df: DataFrame) -> DataFrame:
     """Month key -> date; company label (P13; spaces are stripped at the mart's end)."""
-    return df.withColumns({"year_month": month_date("year_month"), "company": upper_label("company")})
+    return df.withColumns({"year_month": month_date("year_month"), "company": F.expr(upper_label("company"))})
 
 
 def by_zone(marginal: DataFrame, matrix: DataFrame, names: DataFrame, metric: str) -> DataFrame:
@@ -64,15 +65,12 @@ def combined_metrics(od: DataFrame, matrix: DataFrame) -> DataFrame:
     zone but Citywide, and the pickups alone for Citywide (C3). Zone names are
     attached after the mart's final sum.
     """
-    zm = zone_metrics(od, matrix)
-    pu, dr, inb = F.col("pickups"), F.col("dropoffs"), F.col("inbound")
-    trips = F.when(F.col("zone") == C.CITYWIDE, pu).otherwise(pu + F.coalesce(inb, F.lit(0)))
-    metrics = F.inline(F.array(
-        F.struct(F.lit(C.METRIC_TRIPS).alias("metric"), trips.alias("count")),
-        F.struct(F.lit(C.METRIC_PICKUPS).alias("metric"), pu.alias("count")),
-        F.struct(F.lit(C.METRIC_DROPOFFS).alias("metric"), dr.alias("count"))))
-    rows = (zm.select("year_month", "id", "company", F.col("zone").alias("Z"), metrics)
-              .filter(F.col("count").isNotNull()))
+    trips = f"CASE WHEN zone = {literal(C.CITYWIDE)} THEN pickups ELSE pickups + coalesce(inbound, 0L) END"
+    metrics = ", ".join(f"struct({literal(m)} AS metric, {c} AS count)" for m, c in
+                        ((C.METRIC_TRIPS, trips), (C.METRIC_PICKUPS, "pickups"), (C.METRIC_DROPOFFS, "dropoffs")))
+    rows = sql(zone_metrics(od, matrix), f"""
+        SELECT * FROM (SELECT year_month, id, company, zone AS Z, inline(array({metrics})) FROM {{df}})
+        WHERE count IS NOT NULL""")
     return label_rows(rows)
 
 
@@ -86,17 +84,17 @@ def finish_mart(combined: DataFrame, names: DataFrame, params: Params) -> DataFr
     drop out, and an id that the lookup holds n times under one name counts n times,
     in one row (A16 sums by ``Zone``, which the lookup repeats).
     """
-    own = to_sector(strip_spaces("company"))
-    labels = F.array(own, F.when(counts_for_all(params.all_since), F.lit(C.ALL_LABEL)))
-    rows = (drop_null_key(before_month(combined, params.asof), "id", "Z")
-                    .select("year_month", "id", "Z", "metric", "count", F.explode(labels).alias("company"))
-                    .filter(F.col("company").isNotNull()))
-    summed = final_sum(rows, keys=("year_month", "id", "company", "Z", "metric"))
-    summed = exclude_company(summed, C.MART_EXCLUDED)
-    n = (names.filter(F.col("zone").isNotNull()).groupBy("id", F.col("zone").alias("Zone"))
-         .agg(F.count(F.lit(1)).alias("_n")))
-    return (summed.join(n, "id", "inner").withColumn("count", F.col("count") * F.col("_n"))
-                  .select("year_month", "id", "company", "Z", "Zone", "metric", "count"))
+    rows = sql(drop_null_key(before_month(combined, params.asof), "id", "Z"), f"""
+        SELECT * FROM (SELECT year_month, id, Z, metric, count,
+                              explode(array({to_sector(strip_spaces("company"))},
+                                            CASE WHEN {counts_for_all(params.all_since)} THEN {literal(C.ALL_LABEL)} END)) AS company
+                       FROM {{df}})
+        WHERE company IS NOT NULL""")
+    summed = exclude_company(final_sum(rows, keys=("year_month", "id", "company", "Z", "metric")), C.MART_EXCLUDED)
+    return sql(summed, """
+        SELECT year_month, id, company, Z, Zone, metric, count * n AS count
+        FROM {df} JOIN (SELECT id, zone AS Zone, count(1) AS n FROM {names} WHERE zone IS NOT NULL GROUP BY id, zone) USING (id)""",
+               names=names)
 
 
 def published_period(params: Params) -> Params:

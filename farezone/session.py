@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # without a record of the Python line of every Column call, which costs more than the calls
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

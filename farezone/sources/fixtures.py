@@ -13,9 +13,8 @@ at every scale) backs the zone dimensions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from farezone.functions.timekeys import as_date, hour_key
+from farezone.functions.timekeys import HOUR_KEY
 
 # Fixed fixture rules (FIXTURES.md): order priority -> industry view.
 PRIORITY_YELLOW = ("1-URGENT",)
@@ -27,163 +26,127 @@ MONEY = "decimal(12,2)"
 FEE = "decimal(4,2)"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _trip_base(spark: SparkSession, sf_dir: str, priorities) -> DataFrame:
-    """lineitem ⋈ orders ⋈ customer ⋈ supplier for the given order priorities."""
-    li = table(spark, sf_dir, "lineitem")
-    o = (table(spark, sf_dir, "orders")
-         .filter(F.col("o_orderpriority").isin(*priorities))
-         .select("o_orderkey", "o_custkey", "o_orderpriority"))
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(c, F.col("o_custkey") == F.col("c_custkey"))
-              .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
-              .select("o_orderpriority", hour_key("l_shipdate").alias("datetimeid"),
-                      F.nullif(F.col("c_nationkey"), F.lit(7)).alias("pulocationid"),
-                      F.nullif(F.col("s_nationkey"), F.lit(11)).alias("dolocationid"),
-                      "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-                      "l_discount", "l_tax", "l_returnflag", "l_linestatus"))
-
-
-def _metered(base: DataFrame, with_airport_fee: bool) -> DataFrame:
-    cols = [
-        "datetimeid", "pulocationid", "dolocationid",
-        F.col("l_quantity").alias("trip_distance"),
-        (F.col("l_quantity") * 180).cast("int").alias("trip_time_in_secs"),
-        F.col("l_extendedprice").cast(MONEY).alias("total_amount"),
-        F.col("l_extendedprice").cast(MONEY).alias("fare_amount"),
-        F.nullif(F.col("l_tax").cast(FEE), F.lit(0.08).cast(FEE)).alias("extra"),
-        F.col("l_discount").cast(FEE).alias("tip_amount"),
-        F.col("l_tax").cast(FEE).alias("tolls_amount"),
-        F.lit(0.5).cast(FEE).alias("mta_tax"),
-        F.lit(0.3).cast(FEE).alias("improvement_surcharge"),
-        F.when(F.col("l_returnflag") == "R", F.lit(2.5)).cast(FEE).alias("congestion_surcharge"),
-    ]
-    if with_airport_fee:
-        cols.append(F.when(F.col("l_linestatus") == "O", F.lit(1.25)).otherwise(F.lit(0))
-                    .cast(FEE).alias("airport_fee"))
-    cols.append(F.col("l_suppkey").cast("string").alias("hack_number"))
-    return base.select(*cols)
+class Tables:
+    """The given tables of one folder, each opened once (its schema is a job) whatever views read it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self._dir, self._open = spark, sf_dir, {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._open[name]
+
+
+# The views are written as SQL text: see farezone.functions.text.
+_BASE = f"""
+    SELECT o_orderpriority, {HOUR_KEY.format("l_shipdate")} AS datetimeid,
+           nullif(c_nationkey, 7) AS pulocationid, nullif(s_nationkey, 11) AS dolocationid,
+           l_orderkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus
+    FROM {{li}} JOIN {{o}} ON l_orderkey = o_orderkey JOIN {{c}} ON o_custkey = c_custkey JOIN {{s}} ON l_suppkey = s_suppkey
+    WHERE o_orderpriority IN (PRIORITIES)"""
+
+_METERED = ["datetimeid", "pulocationid", "dolocationid", "l_quantity AS trip_distance",
+            "CAST(l_quantity * 180 AS int) AS trip_time_in_secs",
+            f"CAST(l_extendedprice AS {MONEY}) AS total_amount", f"CAST(l_extendedprice AS {MONEY}) AS fare_amount",
+            f"nullif(CAST(l_tax AS {FEE}), CAST(0.08D AS {FEE})) AS extra", f"CAST(l_discount AS {FEE}) AS tip_amount",
+            f"CAST(l_tax AS {FEE}) AS tolls_amount", f"CAST(0.5D AS {FEE}) AS mta_tax",
+            f"CAST(0.3D AS {FEE}) AS improvement_surcharge",
+            f"CAST(CASE WHEN l_returnflag = 'R' THEN 2.5D END AS {FEE}) AS congestion_surcharge"]
+_AIRPORT_FEE = f"CAST(CASE WHEN l_linestatus = 'O' THEN 1.25D ELSE 0 END AS {FEE}) AS airport_fee"
+_HACK = "CAST(l_suppkey AS string) AS hack_number"
+_FHV = ["datetimeid", "pulocationid", "dolocationid", "concat('B', CAST(l_suppkey AS string)) AS dispatching_base_num"]
+_HV = ["datetimeid", "pulocationid", "dolocationid",
+       "concat('HV000', CAST(2 + pmod(l_linenumber, 5) AS string)) AS hvfhs_license_num",
+       "CASE WHEN l_returnflag = 'R' THEN l_orderkey END AS route_id", "l_quantity AS trip_miles",
+       "CAST(l_quantity * 180 AS int) AS trip_time", f"CAST(l_extendedprice AS {MONEY}) AS base_passenger_fare",
+       f"CAST(l_tax AS {FEE}) AS tolls", f"CAST(l_discount AS {FEE}) AS bcf", f"CAST(l_tax AS {FEE}) AS sales_tax",
+       f"CAST(CASE WHEN l_linestatus = 'O' THEN 2.75D END AS {FEE}) AS congestion_surcharge", f"CAST(0 AS {FEE}) AS airport_fee",
+       f"CAST(l_discount AS {FEE}) AS tips", f"CAST(CASE WHEN l_linenumber != 3 THEN l_extendedprice END AS {MONEY}) AS driver_pay",
+       "CAST(l_suppkey AS string) AS tlc_driver_license_num"]
+
+# view -> (order priorities, its columns over the joined base)
+VIEW_RULES = {
+    "yellow": (PRIORITY_YELLOW, [*_METERED, _AIRPORT_FEE, _HACK]),
+    "green": (PRIORITY_GREEN, [*_METERED, _HACK]),
+    "fhv": (PRIORITY_FHV, _FHV),
+    "hvfhv": (PRIORITY_HVFHV, _HV),
+}
+
+
+def _over_base(tables: Tables, columns: list, priorities) -> DataFrame:
+    """``columns`` over lineitem ⋈ orders ⋈ customer ⋈ supplier of the given order priorities."""
+    base = _BASE.replace("PRIORITIES", ", ".join(f"'{p}'" for p in priorities))
+    return tables.spark.sql(f"SELECT {', '.join(columns)} FROM ({base})", li=tables.lineitem, o=tables.orders,
+                            c=tables.customer, s=tables.supplier)
+
+
+def trip_view(name: str, tables: Tables) -> DataFrame:
+    priorities, columns = VIEW_RULES[name]
+    return _over_base(tables, columns, priorities)
 
 
 def yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metered(_trip_base(spark, sf_dir, PRIORITY_YELLOW), with_airport_fee=True)
+    return trip_view("yellow", Tables(spark, sf_dir))
 
 
 def green(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metered(_trip_base(spark, sf_dir, PRIORITY_GREEN), with_airport_fee=False)
+    return trip_view("green", Tables(spark, sf_dir))
 
 
 def fhv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fhv_shape(_trip_base(spark, sf_dir, PRIORITY_FHV))
+    return trip_view("fhv", Tables(spark, sf_dir))
 
 
-def _fhv_shape(base: DataFrame) -> DataFrame:
-    return base.select(
-        "datetimeid", "pulocationid", "dolocationid",
-        F.concat(F.lit("B"), F.col("l_suppkey").cast("string")).alias("dispatching_base_num"))
+def hvfhv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trip_view("hvfhv", Tables(spark, sf_dir))
 
 
-def hvfhv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hv_shape(_trip_base(spark, sf_dir, PRIORITY_HVFHV))
-
-
-def _hv_shape(base: DataFrame) -> DataFrame:
-    return base.select(
-        "datetimeid", "pulocationid", "dolocationid",
-        F.concat(F.lit("HV000"), (F.lit(2) + F.pmod(F.col("l_linenumber"), F.lit(5))).cast("string"))
-         .alias("hvfhs_license_num"),
-        F.when(F.col("l_returnflag") == "R", F.col("l_orderkey")).alias("route_id"),
-        F.col("l_quantity").alias("trip_miles"),
-        (F.col("l_quantity") * 180).cast("int").alias("trip_time"),
-        F.col("l_extendedprice").cast(MONEY).alias("base_passenger_fare"),
-        F.col("l_tax").cast(FEE).alias("tolls"),
-        F.col("l_discount").cast(FEE).alias("bcf"),
-        F.col("l_tax").cast(FEE).alias("sales_tax"),
-        F.when(F.col("l_linestatus") == "O", F.lit(2.75)).cast(FEE).alias("congestion_surcharge"),
-        F.lit(0).cast(FEE).alias("airport_fee"),
-        F.col("l_discount").cast(FEE).alias("tips"),
-        F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice")).cast(MONEY).alias("driver_pay"),
-        F.col("l_suppkey").cast("string").alias("tlc_driver_license_num"),
-    )
-
-
-def bases(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bases(spark: SparkSession, sf_dir: str, tables: Tables | None = None) -> DataFrame:
     """Licensed bases: one per supplier, except ``s_suppkey % 10 = 9``."""
-    k = F.col("s_suppkey")
-    company = (F.when(F.pmod(k, F.lit(7)) == 0, "UBER")
-                .when(F.pmod(k, F.lit(7)) == 1, "LYFT")
-                .when(F.pmod(k, F.lit(7)) == 2, "JUNO")
-                .when(F.pmod(k, F.lit(7)) == 3, "VIA")
-                .when(F.pmod(k, F.lit(7)) == 4, F.lit(None).cast("string"))
-                .otherwise("BASE CO"))
-    return (table(spark, sf_dir, "supplier")
-            .filter(F.pmod(k, F.lit(10)) != 9)
-            .select(F.concat(F.lit("B"), k.cast("string")).alias("lic_no"), company.alias("company")))
-
-
-def zone_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide Yes/No membership matrix with the real file's shape (``ID`` + zones)."""
-    n, r = F.col("n_nationkey"), F.col("n_regionkey")
+    return spark.sql("""
+        SELECT concat('B', CAST(s_suppkey AS string)) AS lic_no,
+               CASE pmod(s_suppkey, 7) WHEN 0 THEN 'UBER' WHEN 1 THEN 'LYFT' WHEN 2 THEN 'JUNO' WHEN 3 THEN 'VIA'
+                                       WHEN 4 THEN NULL ELSE 'BASE CO' END AS company
+        FROM {s} WHERE pmod(s_suppkey, 10) != 9""", s=(tables or Tables(spark, sf_dir)).supplier)
 
-    def yn(cond):
-        return F.when(cond, F.lit("Yes")).otherwise(F.lit("No"))
 
-    core = r.isin(0, 1)
-    return table(spark, sf_dir, "nation").select(
-        n.cast("int").alias("ID"),
-        F.lit("Yes").alias("Citywide"),
-        yn(core).alias("Core"),
-        yn(n.isin(0, 1, 5)).alias("Midtown"),
-        yn(~core & (n != 2)).alias("Non_Core"),
-        yn(n.isin(2, 3, 13)).alias("Airports"),
-    )
+def zone_matrix(spark: SparkSession, sf_dir: str, tables: Tables | None = None) -> DataFrame:
+    """Wide Yes/No membership matrix with the real file's shape (``ID`` + zones)."""
+    return spark.sql("""
+        SELECT CAST(n_nationkey AS int) AS ID, 'Yes' AS Citywide,
+               if(n_regionkey IN (0, 1), 'Yes', 'No') AS Core,
+               if(n_nationkey IN (0, 1, 5), 'Yes', 'No') AS Midtown,
+               if(NOT n_regionkey IN (0, 1) AND n_nationkey != 2, 'Yes', 'No') AS Non_Core,
+               if(n_nationkey IN (2, 3, 13), 'Yes', 'No') AS Airports
+        FROM {n}""", n=(tables or Tables(spark, sf_dir)).nation)
 
 
-def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def zone_lookup(spark: SparkSession, sf_dir: str, tables: Tables | None = None) -> DataFrame:
     """The taxi-zone lookup (``LocationID``, ``Zone``); nation 24 has no entry, 22 a NULL
     name, and 23 stands in it twice."""
-    k = F.col("n_nationkey")
-    times = F.when(k == 23, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return (table(spark, sf_dir, "nation").filter(k != 24)
-            .select(k.cast("int").alias("LocationID"), F.when(k != 22, F.col("n_name")).alias("Zone"),
-                    F.explode(times).alias("_time")).drop("_time"))
-
-
-def daily_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = F.col("o_orderpriority")
-    industry = (F.when(p == "1-URGENT", "fhv_black_car")
-                 .when(p == "2-HIGH", "fhv_livery")
-                 .when(p == "3-MEDIUM", "fhv_lux_limo")
-                 .otherwise("other"))
-    return table(spark, sf_dir, "orders").select(
-        as_date("o_orderdate").alias("metric_day"),
-        F.pmod(F.col("o_custkey"), F.lit(50)).cast("long").alias("count_trips"),
-        industry.alias("industry"),
-        hour_key("o_orderdate").alias("period_start"),
-    )
+    return spark.sql("""
+        SELECT LocationID, Zone
+        FROM (SELECT CAST(n_nationkey AS int) AS LocationID, CASE WHEN n_nationkey != 22 THEN n_name END AS Zone,
+                     explode(if(n_nationkey = 23, array(1, 2), array(1))) AS time
+              FROM {n} WHERE n_nationkey != 24)""", n=(tables or Tables(spark, sf_dir)).nation)
 
 
-TRIP_VIEWS = {"yellow": yellow, "green": green, "fhv": fhv, "hvfhv": hvfhv}
+def daily_indicators(spark: SparkSession, sf_dir: str, tables: Tables | None = None) -> DataFrame:
+    return spark.sql(f"""
+        SELECT CAST(o_orderdate AS date) AS metric_day, CAST(pmod(o_custkey, 50) AS bigint) AS count_trips,
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'fhv_black_car' WHEN '2-HIGH' THEN 'fhv_livery'
+                                    WHEN '3-MEDIUM' THEN 'fhv_lux_limo' ELSE 'other' END AS industry,
+               {HOUR_KEY.format("o_orderdate")} AS period_start
+        FROM {{o}}""", o=(tables or Tables(spark, sf_dir)).orders)
 
-# view -> (order priorities, shape of the view over the joined base)
-VIEW_RULES = {
-    "yellow": (PRIORITY_YELLOW, lambda b: _metered(b, with_airport_fee=True)),
-    "green": (PRIORITY_GREEN, lambda b: _metered(b, with_airport_fee=False)),
-    "fhv": (PRIORITY_FHV, _fhv_shape),
-    "hvfhv": (PRIORITY_HVFHV, _hv_shape),
-}
+
+TRIP_VIEWS = {"yellow": yellow, "green": green, "fhv": fhv, "hvfhv": hvfhv}
 
 
 def joined_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The join behind every trip view, once for all of them, tagged with its view."""
-    view = None
-    for name, (prios, _) in VIEW_RULES.items():
-        cond = F.col("o_orderpriority").isin(*prios)
-        view = F.when(cond, F.lit(name)) if view is None else view.when(cond, F.lit(name))
-    prios = [p for ps, _ in VIEW_RULES.values() for p in ps]
-    return _trip_base(spark, sf_dir, prios).withColumn("view", view)
+    cases = " ".join(f"WHEN o_orderpriority IN ({', '.join(repr(p) for p in ps)}) THEN '{name}'" for name, (ps, _) in VIEW_RULES.items())
+    return _over_base(Tables(spark, sf_dir), ["*", f"CASE {cases} END AS view"], [p for ps, _ in VIEW_RULES.values() for p in ps])

@@ -26,10 +26,10 @@ def test_time_keys(spark):
 
 def test_labels(spark):
     df = spark.createDataFrame([("HV0002",), ("HV0003",), ("HV0006",), (None,)], "c string")
-    got = [r[0] for r in df.select(license_to_company("c")).collect()]
+    got = [r[0] for r in df.selectExpr(license_to_company("c")).collect()]
     assert got == ["JUNO", "UBER", "HV0006", None]
     df = spark.createDataFrame([("no_hv",), ("yellow",), ("base co",), ("LYFT",)], "c string")
-    got = [r[0] for r in df.select(to_sector(label_company("c"))).collect()]
+    got = [r[0] for r in df.selectExpr(to_sector(label_company("c"))).collect()]
     assert got == ["FHV", "YELLOW", "BASECO", "HVFHV"]
 
 
