@@ -9,8 +9,8 @@ from llm.common import let, materialize, text_or_empty
 
 #: A line on this many distinct sites is boilerplate.
 MIN_SITES = 5
-#: Shorter lines recur by chance and stay.
-MIN_WORDS = 3
+#: Lines of fewer words stay; with 1 every line that isn't blank takes part, of any length and script.
+MIN_WORDS = 1
 #: log2 of the sketch's registers; its relative standard error is 1.04 / sqrt(2^LG_K).
 LG_K = 12
 
