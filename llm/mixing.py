@@ -10,15 +10,18 @@ from llm.common import materialize, ordered, text_or_empty
 WORD = r"[^\x20\x09-\x0D]+"
 #: Buckets of the seeded order inside a source, so that a hot source is many groups.
 ORDER_BITS = 10
+#: Blocks are smaller than asked for where the mix would have fewer than so many.
+LEAST_BLOCKS = 256
 
 
 def sized_documents(docs: DataFrame, seed: int) -> DataFrame:
-    """doc_id, source, size in words, and the seeded place ``_h`` of each document."""
+    """doc_id, source, size in words, the seeded place ``_h`` and a 128-bit hash ``_m`` of the text of each document."""
     crc = F.crc32(text_or_empty().cast("binary"))
     # "0" + source, or "1" for null: code-point order with null last
     key = F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1"))
     return docs.select("doc_id", key.alias("_k"), F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
-                       crc.alias("_crc"), F.xxhash64(F.lit(seed), F.col("doc_id"), crc, key).alias("_h"))
+                       crc.alias("_crc"), F.md5(text_or_empty().cast("binary")).alias("_m"),
+                       F.xxhash64(F.lit(seed), F.col("doc_id"), crc, key).alias("_h"))
 
 
 def source_targets(sources: DataFrame, weights=(1, 2, 3), max_repeat: int = 3) -> DataFrame:
@@ -44,6 +47,12 @@ def source_targets(sources: DataFrame, weights=(1, 2, 3), max_repeat: int = 3) -
     return s.withColumn("target", F.least(F.col("_cap"), F.col("_w") * F.lit(level)))
 
 
+def block_size(targets: DataFrame, block_tokens: int) -> int:
+    """``block_tokens``, or what gives a small mix ``LEAST_BLOCKS`` blocks: one of a few words has its share, too."""
+    total = targets.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
+    return max(1, min(block_tokens, int(total / LEAST_BLOCKS)))
+
+
 def shard_quotas(targets: DataFrame, block_tokens: int = 64, shards: int = 8) -> DataFrame:
     """Blocks of each source in each shard: ``_k``, ``mix_shard``, ``quota`` (integers).
 
@@ -82,7 +91,7 @@ def mix_sources(docs: DataFrame, weights=(1, 2, 3), max_repeat: int = 3, block_t
     """Words the mix takes of every document: doc_id, size, source_size, target, taken.
 
     A source's documents stand one after another in a seeded order, and its quota, blocks of
-    ``block_tokens`` words, is read from that stream, again from the start after its end, so
+    ``block_tokens`` words (fewer in a mix too small for ``LEAST_BLOCKS`` of them), is read from that stream, again from the start after its end, so
     the words of a document that the mix takes are its overlap with the blocks read. A source
     is read ``max_repeat`` times at most, hence no document more often. The running sum
     inside a source is taken in 1024 buckets of the seeded order and completed by bucket
@@ -95,6 +104,7 @@ def mix_sources(docs: DataFrame, weights=(1, 2, 3), max_repeat: int = 3, block_t
     base = materialize(sized_documents(docs, seed), "mix-documents")
     sources = base.groupBy("_k").agg(F.sum("size").alias("_s"))
     targets = source_targets(sources, weights, max_repeat)
+    block_tokens = block_size(targets, block_tokens)
     quotas = (shard_quotas(targets, block_tokens, shards).groupBy("_k")
               .agg((F.sum("quota") * block_tokens).alias("_quota")))
     plan = targets.join(quotas, "_k", "left").select(
@@ -103,14 +113,14 @@ def mix_sources(docs: DataFrame, weights=(1, 2, 3), max_repeat: int = 3, block_t
     totals = b.groupBy("_k", "_b").agg(F.sum("size").alias("_t"))
     before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("_k", "_b", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o")).join(plan, "_k")
-    inside = (Window.partitionBy("_k", "_b").orderBy("_h", "doc_id", "_crc", "size")
+    inside = (Window.partitionBy("_k", "_b").orderBy("_h", "doc_id", "_m", "size")
               .rowsBetween(Window.unboundedPreceding, -1))
     t = b.withColumn("_i", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(totals, ["_k", "_b"])
     whole, start = F.expr("if(_s = 0, 0, _take div _s)"), F.col("_i") + F.col("_o")
     rest = F.expr("if(_s = 0, 0, _take % _s)")
     taken = whole * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
     return t.select("doc_id", "size", F.col("_s").alias("source_size"), "target", taken.cast("long").alias("taken"),
-                    F.expr("if(_k = '1', null, substr(_k, 2))").alias("source"), F.col("_crc").alias("text_crc32"))
+                    F.expr("if(_k = '1', null, substr(_k, 2))").alias("source"), F.col("_crc").alias("text_crc32"), F.col("_m").alias("text_md5"))
 
 
 def take_words(docs: DataFrame, **options) -> DataFrame:
@@ -123,14 +133,15 @@ def take_words(docs: DataFrame, **options) -> DataFrame:
     texts are shuffled once, by document.
     """
     d, k = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.coalesce(F.concat(F.lit("0"), "source"), F.lit("1"))
-    key = ["_d", "_k", "_crc"]
-    taken = (mix_sources(docs, **options).select(d.alias("_d"), k.alias("_k"), F.col("text_crc32").alias("_crc"), "size", "taken")
+    key = ["_d", "_k", "_m"]
+    taken = (mix_sources(docs, **options).select(d.alias("_d"), k.alias("_k"), F.col("text_md5").alias("_m"), "size", "taken")
              .groupBy(*key).agg(F.max("size").alias("_size"), F.sum("taken").alias("_taken")).where("_taken > 0"))
     others = [c for c in docs.columns if c != "text"]
-    rows = docs.select(d.alias("_d"), k.alias("_k"), F.crc32(text_or_empty().cast("binary")).alias("_crc"), "text",
+    rows = docs.select(d.alias("_d"), k.alias("_k"), F.md5(text_or_empty().cast("binary")).alias("_m"), "text",
                        F.struct(*others).alias("_rest"))
-    # one row a key, chosen in each task before the shuffle: a document that repeats is no hot key
-    one = Window.partitionBy(*key).orderBy(*key)
+    # one row a key, chosen in each task before the shuffle: a document that repeats is no hot key;
+    # rows that differ in another column only are told apart by a hash of those, so reruns agree
+    one = Window.partitionBy(*key).orderBy(F.col("text").isNull(), F.xxhash64(F.to_json("_rest")))
     both = rows.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").join(taken, key)
     copies = F.expr("sequence(1, cast((_taken + _size - 1) div _size as int))")
     both = both.withColumn("_copy", F.explode(copies))
