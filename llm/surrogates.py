@@ -55,23 +55,32 @@ SYLLABLES = {
 ENDINGS = {"given_m": {"latin": "n", "cyrillic": "н"}, "given_f": {"latin": "na", "cyrillic": "на"},
            "given_n": {"latin": "l", "cyrillic": "л"},
            "family": {"latin": "r", "cyrillic": "р"}}
-MAX_ATTEMPTS = 40
+MAX_ATTEMPTS = 60
+#: Draws in a value's own format before the format grows.
+GROW_AFTER = 6
 
 
 def _chars(s: Column) -> Column:
     return F.split(s, "")
 
 
+def _letters(digest: Column) -> Column:
+    """Some 70 lower-case letters, all 26 alike, of a digest."""
+    return F.regexp_replace(F.lower(F.base64(F.unhex(digest))), "[^a-z]", "")
+
+
 def _reshape(value: Column, digest: Column) -> Column:
     """``value`` with each ASCII digit and letter replaced by one of its class, after the digest."""
     digits = F.translate(digest, "abcdef", "258147")
-    letters = F.translate(digest, "0123456789", "qrstuvwxyz")
-    def one(c, i):
-        at = i % F.lit(128) + 1
-        letter = F.substring(letters, at, F.lit(1))
-        return (F.when(c.between("0", "9"), F.substring(digits, at, F.lit(1))).when(c.between("a", "z"), letter)
-                .when(c.between("A", "Z"), F.upper(letter)).otherwise(c))
-    return F.array_join(F.transform(_chars(value), one), "")
+
+    def drawn(letters):
+        def one(c, i):
+            letter = F.substring(letters, i % F.length(letters) + 1, F.lit(1))
+            return (F.when(c.between("0", "9"), F.substring(digits, i % F.lit(128) + 1, F.lit(1))).when(c.between("a", "z"), letter)
+                    .when(c.between("A", "Z"), F.upper(letter)).otherwise(c))
+        return F.array_join(F.transform(_chars(value), one), "")
+
+    return let(_letters(digest), drawn)
 
 
 def _luhn(digits: Column) -> Column:
@@ -125,20 +134,38 @@ def surrogate(kind: Column, value: Column, key: str, attempt: Column) -> Column:
     def secret(d):  # upper case stays upper case
         return F.when(value.rlike("[A-F]"), F.upper(hexadecimal(d))).otherwise(hexadecimal(d))
 
-    def draw(d):
+    # a format whose surrogates all seem taken grows: by a letter a draw for an address, and by a digit (an
+    # IPv4 address becomes a longer one) for what has GROW_AFTER draws behind it
+    extra = F.greatest(F.lit(0), attempt - GROW_AFTER)
+
+    def more(d, alphabet="digits"):
+        some = F.translate(d, "abcdef", "258147") if alphabet == "digits" else d
+        return F.substring(some, F.lit(65), extra)
+
+    def email(d):
         tld = F.substring_index(value, ".", -1)
+        return F.concat(F.substring(_letters(d), F.lit(41), attempt), _reshape(F.substring(value, F.lit(1), F.length(value) - F.length(tld)), d), tld)
+
+    def ip(d):
+        v4 = F.concat_ws(".", (_byte(d, 0) % 223 + 1).cast("string"), *[_byte(d, i).cast("string") for i in (1, 2, 3)])
+        v6 = F.concat(F.lit("2001:db8"), *[F.concat(F.lit(":"), F.substring(d, 4 * i + 1, 4)) for i in range(6)])
+        return F.when(extra > 0, v6).otherwise(v4)
+
+    def draw(d):
         code = F.regexp_extract(value, r"^(?:(?:\+|00)[0-9]{1,3}|\(?0)", 0)
-        return (F.when(kind == "email", F.concat(_reshape(F.substring(value, F.lit(1), F.length(value) - F.length(tld)), d), tld))
-                .when(kind == "secret", secret(d))
-                .when(kind == "ip", F.concat_ws(".", (_byte(d, 0) % 223 + 1).cast("string"), *[_byte(d, i).cast("string") for i in (1, 2, 3)]))
+        ssn = F.concat(_reshape(value, d), F.when(extra > 0, F.concat(F.lit("-"), more(d))).otherwise(""))
+        return (F.when(kind == "email", email(d))
+                .when(kind == "secret", F.concat(secret(d), F.when(value.rlike("[A-F]"), F.upper(more(d, "hex"))).otherwise(more(d, "hex"))))
+                .when(kind == "ip", ip(d))
                 .when(kind == "ipv6", ipv6(d))
-                .when(kind == "phone", F.concat(code, _reshape(F.substring(value, F.length(code) + 1, F.length(value)), d)))
-                .when(kind == "iban", F.concat(F.substring(value, 1, 2), _reshape(F.substring(value, F.lit(3), F.length(value)), d)))
-                .when(kind == "card", card(d))
+                .when(kind == "phone", F.concat(code, _reshape(F.substring(value, F.length(code) + 1, F.length(value)), d), more(d)))
+                .when(kind == "iban", F.concat(F.substring(value, 1, 2), _reshape(F.substring(value, F.lit(3), F.length(value)), d), more(d)))
+                .when(kind == "card", F.concat(more(d), card(d)))
+                .when(kind == "ssn", ssn)
                 .when(kind == "given_m", _name("given_m", value, d, attempt)).when(kind == "given_f", _name("given_f", value, d, attempt))
                 .when(kind == "given_n", _name("given_n", value, d, attempt))
                 .when(kind == "family", _name("family", value, d, attempt))
-                .otherwise(_reshape(value, d)))
+                .otherwise(F.concat(_reshape(value, d), more(d))))
 
     return let(digest, draw)
 
@@ -201,7 +228,7 @@ def collisions(entities: DataFrame, key: str) -> DataFrame:
 
     A surrogate counts as taken if another entity of the kind has it (the least value keeps it)
     or if it is itself an entity of the kind in the corpus. Who loses draws again, until nobody
-    does; a name gets one more syllable with each draw, so names don't run out."""
+    does; names and addresses grow with each draw, other formats after ``GROW_AFTER``, so none runs out."""
     t = entities.withColumn("attempt", F.lit(0))
     for turn in range(MAX_ATTEMPTS):
         t = materialize(t.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), key, F.col("attempt"))), "surrogates")
