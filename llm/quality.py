@@ -6,17 +6,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from llm.common import ship_code, text_or_empty
+from llm.common import materialize, ship_code, text_or_empty
 from llm.textcodes import slices, span_codes, words
 
 PASSAGE_WORDS = 50
-#: Bounds of the sample that the model is fitted on: documents, and passages of each
-#: (evenly spread over it). Scoring has no bound.
-TRAIN_DOCUMENTS, TRAIN_PASSAGES = 4096, 64
+#: Bounds of the sample that the model is fitted on: documents, and passages of all of them together
+#: (a document is in it with all its passages or not at all). Scoring has no bound.
+TRAIN_DOCUMENTS, TRAIN_PASSAGES = 4096, 150_000
 #: Documents that score less are rejected.
 KEEP_SCORE = 0.3
 FEATURES = 15
@@ -156,7 +156,8 @@ def held_out(doc_id="doc_id"):
 def train(docs: DataFrame, labels: DataFrame, max_documents: int = TRAIN_DOCUMENTS,
           max_passages: int = TRAIN_PASSAGES) -> AttentionModel:
     """Fit on at most ``max_documents`` labelled documents that aren't held out, those of least
-    hash, with at most ``max_passages`` passages each. Only their passage vectors reach the driver.
+    hash, all passages of each; the last of them go if they are more than ``max_passages`` together
+    (the first stays in any case). Only their passage vectors reach the driver.
 
     Null labels and doc_ids are left out; a document labelled both ways takes the more frequent
     label (1 in a tie), and one that has two texts counts with the smaller."""
@@ -172,16 +173,18 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = TRAIN_DOCUMEN
         for batch in batches:
             for first, end, data, offsets in slices(batch.column(2)):
                 x, owner = passages(data, offsets)
-                rows = []
-                for i in range(end - first):
-                    own = np.flatnonzero(owner == i)
-                    rows.append(own[np.unique(np.linspace(0, len(own) - 1, min(len(own), max_passages)).astype(int))])
-                lists = [x[r].ravel().tolist() for r in rows]
+                lists = [x[owner == i].ravel().tolist() for i in range(end - first)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, end - first), batch.column(1).slice(first, end - first),
                      pa.array(lists, pa.list_(pa.float64()))], names=["_id", "_y", "_x"])
 
-    got = (sample.select("_id", "_y", "text").mapInArrow(encode, "_id long, _y double, _x array<double>")
+    n_words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    sample = materialize(sample.withColumn("_n", F.greatest(F.lit(1), F.ceil(n_words / PASSAGE_WORDS))), "quality-sample")
+    # at most max_documents rows of two numbers, in the order they were chosen in
+    in_order = Window.orderBy(F.xxhash64("_id"), "_id")
+    fits = (sample.select("_id", F.sum("_n").over(in_order).alias("_sum"), F.row_number().over(in_order).alias("_nth"))
+            .where((F.col("_sum") <= max_passages) | (F.col("_nth") == 1)).select("_id"))
+    got = (sample.join(F.broadcast(fits), "_id").select("_id", "_y", "text").mapInArrow(encode, "_id long, _y double, _x array<double>")
            .toArrow().to_pylist())
     got.sort(key=lambda r: r["_id"])
     vectors = [np.array(r["_x"]).reshape(-1, FEATURES) for r in got]

@@ -271,3 +271,46 @@ def test_queries_equal_their_sql(spark, name):
     cols = sorted(got.columns)
     want = con.execute(f"SELECT {', '.join(cols)} FROM ({Q.ORACLE[name]})").fetchall()
     assert sorted(map(repr, map(tuple, got.select(*cols).collect()))) == sorted(map(repr, want))
+
+
+def test_short_addresses_never_run_out(spark):
+    """300 addresses of a shape that has 676 values: distinct surrogates, none of them an address of the corpus."""
+    values = [f"{a}@{b}.com" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    docs = spark.createDataFrame([(i, f"write to {v} now") for i, v in enumerate(values)], "doc_id long, text string")
+    rows = {r.doc_id: r.text for r in replace_entities(docs, "k").collect()}
+    got = [rows[i].removeprefix("write to ").removesuffix(" now") for i in range(len(values))]
+    assert len(set(got)) == len(values) and not set(got) & set(values)
+    assert all(g.endswith(".com") and g.count("@") == 1 for g in got)
+
+
+def test_formats_grow_when_they_are_used_up(spark, monkeypatch):
+    """Every surrogate of the values' own format counts as taken: those that grow come out distinct."""
+    from llm import surrogates as S
+
+    monkeypatch.setattr(S, "GROW_AFTER", 0)
+    kinds = {"ssn": "123-45-6789", "card": "4111 1111 1111 1111", "ip": "10.0.0.1", "phone": "+49 30 1234567", "iban": "DE89370400440532013000",
+             "secret": "0123456789abcdef0123456789abcdef", "email": "x@y.com"}
+    rows = [(k, v, a) for k, v in kinds.items() for a in range(1, 12)]
+    df = spark.createDataFrame(rows, "kind string, value string, attempt int")
+    got = df.select("kind", "attempt", S.surrogate(F.col("kind"), F.col("value"), "key", F.col("attempt")).alias("s")).collect()
+    assert len({(r.kind, r.s) for r in got}) == len(rows) and all(r.s for r in got)
+    for k, v in kinds.items():
+        assert max(len(r.s) for r in got if r.kind == k) > len(v)
+
+
+def test_a_long_labelled_text_is_in_the_sample_whole(spark, make_docs, monkeypatch):
+    """The one odd passage of a text of 250 is seen in training, wherever it stands."""
+    from llm import quality as Q
+
+    seen = {}
+    monkeypatch.setattr(Q, "fit_attention", lambda x, owner, y: seen.update(x=x, owner=owner, y=y) or None)
+    plain = " ".join(["plain words of a long text here"] * 2000)  # 14,000 words, 280 passages
+    docs = make_docs([(i, plain, "en", "s", 1) for i in range(1, 6)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 6)], "doc_id long, quality int")
+    kept = [i for i in range(1, 6) if __import__("zlib").crc32(str(i).encode()) % 5]
+    Q.train(docs, labels)
+    assert np.bincount(seen["owner"]).tolist() == [280] * len(kept)
+    Q.train(docs, labels, max_passages=600)  # whole documents, as many as fit
+    assert np.bincount(seen["owner"]).tolist() == [280] * 2
+    Q.train(docs, labels, max_passages=5)
+    assert np.bincount(seen["owner"]).tolist() == [280]

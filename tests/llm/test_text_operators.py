@@ -334,7 +334,7 @@ def test_lines(make_docs, awkward, empty):
             for i in range(12)]
     out = {r.doc_id: r for r in remove_shared_lines(make_docs(rows)).collect()}
     assert out[0].text.split("\n").count("shared line number one") == 1 and out[0].removed_lines == 1
-    assert out[5].text == f"own line of 5 here\nshared  \nlast line with site {5 % 4}" and out[5].n_lines == 5
+    assert out[5].text == f"own line of 5 here\nlast line with site {5 % 4}" and out[5].n_lines == 5
     rows = remove_shared_lines(awkward, min_sites=2).collect()
     assert len(rows) == awkward.count()
     by = {r.doc_id: r for r in rows}
@@ -355,3 +355,37 @@ def test_columns_of_the_input_stay_as_they_are(awkward, operator):
     same = [c for c in awkward.columns if c not in ("doc_id", "text", "lang", "source", "n_chars", "n_lines")]
     rows = operator(awkward).select(*same).distinct().collect()
     assert [set(r) for r in rows] == [{"clash"}]
+
+
+def test_lines_of_any_length_and_script_go(make_docs):
+    """Boilerplate of one or two words, and of a script without spaces, on many sites."""
+    shared = ["Sign in", "Menu", "版权所有 不得转载".replace(" ", ""), "ご利用規約"]
+    docs = make_docs([(i, "\n".join([f"own line {i} of its text", *shared, "", "  "]), "en", f"s{i}", 0) for i in range(6)])
+    got = {r.doc_id: r for r in remove_shared_lines(docs).collect()}
+    assert got[0].text.split("\n")[1:5] == shared and got[0].removed_lines == 0
+    for i in range(1, 6):
+        assert got[i].text == f"own line {i} of its text\n\n  " and got[i].removed_lines == 4
+
+
+def test_texts_of_one_crc_are_told_apart(make_docs):
+    assert zlib.crc32(b"plumless") == zlib.crc32(b"buckeroo")
+    docs = make_docs([(None, "plumless", "en", "s", 0), (None, "buckeroo", "en", "s", 0)])
+    assert sorted(r.text for r in take_words(docs, block_tokens=1).collect()) == ["buckeroo", "plumless"]
+
+
+def test_a_mix_of_a_few_words_has_its_share(make_docs):
+    docs = make_docs([(1, "one", "en", "a", 0), (2, "two", "en", "b", 0)])
+    got = {r.source: (r.target, r.taken) for r in mix_sources(docs).collect()}
+    assert got == {"a": (pytest.approx(2 / 3), 1), "b": (pytest.approx(4 / 3), 1)}
+    ten = make_docs([(i, f"word{i}", "en", "ab"[i % 2], 0) for i in range(10)])
+    rows = mix_sources(ten).collect()
+    for source in "ab":
+        own = [r for r in rows if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1
+    assert sum(r.taken for r in rows) == 10
+
+
+def test_which_row_stands_for_a_repeated_document_is_settled(make_docs):
+    rows = [(1, "some words here", lang, "s", n) for n, lang in enumerate("abcdefgh")]
+    got = {tuple(r for r in take_words(make_docs(x)).collect()) for x in (rows, rows[::-1], rows[3:] + rows[:3])}
+    assert len(got) == 1
