@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 
 def sql(df: DataFrame, text: str, **frames: DataFrame) -> DataFrame:
-    """``text`` with ``{df}`` and the names of ``frames`` standing for the DataFrames."""
+    """``text`` with ``{df}`` and the names of ``frames`` standing for the DataFrames, all of one session."""
     return df.sparkSession.sql(text, df=df, **frames)
 
 

@@ -47,11 +47,12 @@ def fhv_rows(fhv: DataFrame, bases: DataFrame, start: int, end: int) -> DataFram
     any list that Spark broadcasts; aggregating per base before it would shuffle nearly every
     trip (a base, month and zone pair rarely recur), so nothing is aggregated before the join.
     """
-    return sql(in_period(fhv, start, end), f"""
+    b = sql(bases, "SELECT lic_no, company, count(1) AS n FROM {df} GROUP BY lic_no, company")
+    t = in_period(fhv, start, end)
+    # a join of DataFrames: a stream's batch belongs to another session than the base list
+    return sql(t.join(b, t["dispatching_base_num"] == b["lic_no"]), f"""
         SELECT {MONTH_KEY} AS year_month, pulocationid, dolocationid, company,
-               CASE WHEN datetimeid IS NOT NULL THEN n ELSE 0L END AS count
-        FROM {{df}} JOIN (SELECT lic_no, company, count(1) AS n FROM {{bases}} GROUP BY lic_no, company)
-             ON dispatching_base_num = lic_no""", bases=bases)
+               CASE WHEN datetimeid IS NOT NULL THEN n ELSE 0L END AS count FROM {{df}}""")
 
 
 def od_counts_traditional(fhv: DataFrame, bases: DataFrame, start: int, end: int) -> DataFrame:

@@ -12,6 +12,8 @@ at every scale) backs the zone dimensions.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from farezone.functions.timekeys import HOUR_KEY
@@ -35,9 +37,14 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        if name not in self._open:
-            self._open[name] = self.spark.read.parquet(f"{self._dir}/{name}.parquet")
-        return self._open[name]
+        return self.opened(name)[0]
+
+    def opened(self, *names: str) -> list[DataFrame]:
+        """Several tables, opened side by side."""
+        new = [n for n in names if n not in self._open]
+        with ThreadPoolExecutor(max(1, len(new))) as pool:
+            self._open.update(zip(new, pool.map(lambda n: self.spark.read.parquet(f"{self._dir}/{n}.parquet"), new)))
+        return [self._open[n] for n in names]
 
 
 # The views are written as SQL text: see farezone.functions.text.
@@ -79,8 +86,8 @@ VIEW_RULES = {
 def _over_base(tables: Tables, columns: list, priorities) -> DataFrame:
     """``columns`` over lineitem ⋈ orders ⋈ customer ⋈ supplier of the given order priorities."""
     base = _BASE.replace("PRIORITIES", ", ".join(f"'{p}'" for p in priorities))
-    return tables.spark.sql(f"SELECT {', '.join(columns)} FROM ({base})", li=tables.lineitem, o=tables.orders,
-                            c=tables.customer, s=tables.supplier)
+    li, o, c, s = tables.opened("lineitem", "orders", "customer", "supplier")
+    return tables.spark.sql(f"SELECT {', '.join(columns)} FROM ({base})", li=li, o=o, c=c, s=s)
 
 
 def trip_view(name: str, tables: Tables) -> DataFrame:
