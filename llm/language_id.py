@@ -30,7 +30,7 @@ CALIBRATION_SHARE = 4
 #: Of right answers in calibration, at most this share is rejected.
 REJECTED_SHARE = 0.002
 #: Numbers (grams times languages) of the models that tasks hold at once; larger models are used slice after slice.
-MODEL_CELLS = 24_000_000
+MODEL_CELLS = 8_000_000
 #: Grams that a task sums before it hands them on.
 TASK_GRAMS = 1_000_000
 #: Texts are worked on in slices of about this many characters; one longer text is a slice.
