@@ -17,6 +17,7 @@ from dataclasses import replace
 
 from farezone.config import Params
 from farezone.functions.timekeys import run_bounds
+from farezone.operators.checks import Checks
 from farezone.plans.inputs import TripInputs
 from farezone.plans.monthly import run_monthly
 from farezone.session import ensure_checkpoint_dir
@@ -62,7 +63,9 @@ def main(argv=None) -> None:
     inputs = TripInputs.from_paths(
         spark, {"yellow": a.yellow, "green": a.green, "fhv": a.fhv, "hvfhv": a.hvfhv},
         a.bases, a.zone_matrix, a.zone_lookup, daily=daily)
-    print(json.dumps(run_monthly(inputs, params, a.out, fmt=a.fmt, since=a.since)))
+    checks = Checks()
+    print(json.dumps(run_monthly(inputs, params, a.out, fmt=a.fmt, since=a.since, checks=checks)))
+    print(json.dumps(checks.seen()))
 
 
 if __name__ == "__main__":

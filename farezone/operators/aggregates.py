@@ -16,6 +16,7 @@ from farezone.config import Industry, Params
 from farezone.functions.labels import license_to_company
 from farezone.functions.text import literal, sql
 from farezone.functions.timekeys import MONTH_KEY
+from farezone.operators.checks import Checks
 from farezone.operators.filters import company_in, company_not_in, in_period, shared_only, valid_trip
 
 OD_KEYS = ("year_month", "pulocationid", "dolocationid")
@@ -31,9 +32,11 @@ def od_counts(trips: DataFrame, *extra_keys: str) -> DataFrame:
         SELECT {MONTH_KEY} AS year_month, {keys}, count(datetimeid) AS count FROM {{df}} GROUP BY {MONTH_KEY}, {keys}""")
 
 
-def filtered_trips(trips: DataFrame, industry: Industry, start: int, end: int) -> DataFrame:
-    """F1 + F2 (+ F4 for shared rides) as the trip-count queries apply them."""
+def filtered_trips(trips: DataFrame, industry: Industry, start: int, end: int, checks: Checks | None = None) -> DataFrame:
+    """F1 + F2 (+ F4 for shared rides) as the trip-count queries apply them; ``checks`` counts between F1 and F2."""
     df = in_period(trips, start, end)
+    if checks is not None:
+        df = checks.trips(industry.name, df, industry)
     df = valid_trip(df, industry)
     return shared_only(df) if industry.shared_only else df
 
@@ -86,7 +89,7 @@ def _trip_rows(name: str, company: str, shared: str = "false") -> str:
                       CAST(datetimeid IS NOT NULL AND {shared} AS bigint) AS shared FROM {{{name}}}"""
 
 
-def industry_rows(trips: dict, bases: DataFrame, params: Params) -> DataFrame:
+def industry_rows(trips: dict, bases: DataFrame, params: Params, checks: Checks | None = None) -> DataFrame:
     """The trips of all industries as rows, one for each trip (see :func:`_trip_rows`), unioned.
 
     The hv table is read once: a ride with a route id is flagged ``shared`` (when the hv and
@@ -94,10 +97,13 @@ def industry_rows(trips: dict, bases: DataFrame, params: Params) -> DataFrame:
     ind = params.industry
     y, g, hv, sh = ind("yellow"), ind("green"), ind("hvfhv"), ind("shared")
     end = params.trips_end
-    frames = {"yellow": filtered_trips(trips["yellow"], y, y.trips_start, end),
-              "green": filtered_trips(trips["green"], g, g.trips_start, end),
-              "fhv": company_not_in(fhv_rows(trips["fhv"], bases, ind(C.TRADITIONAL_TAG).trips_start, end), C.HV_COMPANIES),
-              "hv": filtered_trips(trips["hvfhv"], hv, hv.trips_start, end)}
+    trad, fhv_trips = ind(C.TRADITIONAL_TAG), trips["fhv"]
+    if checks is not None:
+        fhv_trips = checks.trips(trad.name, in_period(fhv_trips, trad.trips_start, end), trad)
+    frames = {"yellow": filtered_trips(trips["yellow"], y, y.trips_start, end, checks),
+              "green": filtered_trips(trips["green"], g, g.trips_start, end, checks),
+              "fhv": company_not_in(fhv_rows(fhv_trips, bases, trad.trips_start, end), C.HV_COMPANIES),
+              "hv": filtered_trips(trips["hvfhv"], hv, hv.trips_start, end, checks)}
     fhv = f"SELECT {', '.join(OD_KEYS)}, {literal(C.TRADITIONAL_TAG)} AS company, count, 0L AS shared FROM {{fhv}}"
     parts = [_trip_rows("yellow", "'yellow'"), _trip_rows("green", "'green'"), fhv]
     hv_company = license_to_company("hvfhs_license_num")
@@ -122,14 +128,15 @@ def _counted(rows: DataFrame, *keys: str) -> DataFrame:
         WHERE count > 0 GROUP BY {listed}, company""")
 
 
-def industry_od(trips: dict, bases: DataFrame, params: Params) -> DataFrame:
+def industry_od(trips: dict, bases: DataFrame, params: Params, checks: Checks | None = None) -> DataFrame:
     """All five OD tables, each with its company, as one table ``(year_month,
     pulocationid, dolocationid, company, count)``, unique per key.
 
     Plan: one aggregation over the union of the filtered scans (partial aggregation in every
     scan task), then the shared rides' sums become rows and are summed over the licences.
     """
-    return _counted(industry_rows(trips, bases, params), *OD_KEYS)
+    od = _counted(industry_rows(trips, bases, params, checks), *OD_KEYS)
+    return od if checks is None else checks.counts(od)
 
 
 def industry_marginal(trips: dict, bases: DataFrame, params: Params, side: str) -> DataFrame:

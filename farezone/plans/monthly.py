@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from farezone import config as C
 from farezone.config import Params, since as since_params
+from farezone.operators.checks import Checks
 from farezone.operators.ordering import sort_desc
 from farezone.plans.fares import fares_long, fares_wide
 from farezone.plans.fhv import traditional_fhv_totals
@@ -43,20 +44,22 @@ FARE_INDUSTRIES = ("yellow", "green", "hvfhv")
 
 
 def run_monthly(inputs: TripInputs, params: Params, out_dir: str, fmt: str = "parquet",
-                since: _dt.date | None = None) -> dict:
+                since: _dt.date | None = None, checks: Checks | None = None) -> dict:
     """Write every output under ``out_dir``; returns the paths written (read them with
     ``read_mart`` or ``read_published``).
 
     With ``since``, only months from ``since`` on are recomputed and replaced. All tables change
     together, once the last of them is written; if the run fails before, they are as they
-    were. Interim tables are deleted when everything is written.
+    were. Interim tables are deleted when everything is written. ``checks`` takes what the run has
+    seen (rows, NULL ids, dropped trips, companies), observed in the job that reads the trips.
     """
     spark = inputs.yellow.sparkSession
     with interim_scope(spark), Publication(spark, out_dir) as publication:
-        return _write_all(inputs, params, publication, fmt, since)
+        return _write_all(inputs, params, publication, fmt, since, checks)
 
 
-def _write_all(inputs: TripInputs, params: Params, publication: Publication, fmt: str, since: _dt.date | None) -> dict:
+def _write_all(inputs: TripInputs, params: Params, publication: Publication, fmt: str, since: _dt.date | None,
+               checks: Checks | None) -> dict:
     p = params if since is None else since_params(params, since)
     spark, out_dir = inputs.yellow.sparkSession, publication.root
     since_month = None if since is None else since.replace(day=1)
@@ -65,7 +68,7 @@ def _write_all(inputs: TripInputs, params: Params, publication: Publication, fmt
         """What an incremental run must not lose: a table that was published without versions."""
         return None if since is None or publication.published(name) else existing(read)
 
-    mart = trips_mart(inputs, p).withColumn("count", F.col("count").cast("double"))
+    mart = trips_mart(inputs, p, checks=checks).withColumn("count", F.col("count").cast("double"))
     financials = zone_financials_mart(inputs, p)
     # O3 for trip metrics (ascending keys); O2 for financials (company, then zone, descending)
     trip_metric = F.col("metric").isin(C.METRIC_TRIPS, C.METRIC_PICKUPS, C.METRIC_DROPOFFS)

@@ -27,6 +27,7 @@ from farezone.functions.labels import strip_spaces, to_sector, upper_label
 from farezone.functions.text import literal, sql
 from farezone.functions.timekeys import month_date, run_bounds
 from farezone.operators.aggregates import industry_od
+from farezone.operators.checks import Checks
 from farezone.operators.filters import before_month, drop_null_key, exclude_company
 from farezone.operators.joins import in_zone, with_zone_name
 from farezone.operators.rollups import counts_for_all, final_sum
@@ -105,15 +106,15 @@ def published_period(params: Params) -> Params:
     return replace(params, trips_end=min(params.trips_end, end))
 
 
-def trips_mart(inputs: TripInputs, params: Params, interim: bool = True) -> DataFrame:
+def trips_mart(inputs: TripInputs, params: Params, interim: bool = True, checks: Checks | None = None) -> DataFrame:
     """C4: the published trips mart ``(year_month, id, company, Z, Zone, metric, count)``.
 
     With ``interim`` the OD table is written to the shared checkpoint folder (S7)
     and the mart reads it from there: the lineage is cut after the trip scans, so
     a lost executor (or a rerun of the downstream stages) re-reads a small table
-    instead of rescanning the trips.
+    instead of rescanning the trips. ``checks`` is filled by the job that writes it.
     """
-    od = industry_od(inputs.trips(), inputs.bases, published_period(params))
+    od = industry_od(inputs.trips(), inputs.bases, published_period(params), checks)
     if interim:
         od = write_interim(od, "od")
     names = zone_names(inputs.zone_lookup)

@@ -7,6 +7,7 @@ import pytest
 
 from farezone.config import fixture_params
 from farezone.operators.aggregates import industry_od
+from farezone.operators.checks import Checks
 from farezone.plans import trips as TP
 from farezone.plans.fares import fares_wide
 from farezone.plans.financials import industry_financials, zone_financials_mart
@@ -112,3 +113,25 @@ def test_base_join_beyond_the_bound_shuffles_and_agrees(spark, inputs):
             spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         else:
             spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", prev_aqe)
+
+
+def test_checks_come_with_the_od_job_and_leave_the_filters_pushed(spark, inputs):
+    """A17 and the counts of a run as observed metrics: no further job, filters still at the files."""
+    checks = Checks()
+    trips, start, end = inputs.trips(), 1996010100, P.trips_end
+    od = industry_od(trips, inputs.bases, P, checks)
+    scans = [s for s in re.findall(r"FileScan parquet [^\n]*", plan(od)) if "datetimeid" in s]
+    assert len(scans) == 4 and all("GreaterThanOrEqual(datetimeid" in s for s in scans)
+    counted = {tuple(r) for r in od.collect()}
+    seen = checks.seen()
+    assert counted == {tuple(r) for r in industry_od(trips, inputs.bases, P).collect()}
+    for name, source in (("yellow", "yellow"), ("green", "green"), ("no_hv", "fhv"), ("hvfhv", "hvfhv")):
+        t = trips[source].where(f"datetimeid >= {start} AND datetimeid < {end}")
+        assert seen[name]["trips"] == t.count() > 0
+        assert seen[name]["no_pickup"] == t.where("pulocationid IS NULL").count() > 0
+        assert seen[name]["no_dropoff"] == t.where("dolocationid IS NULL").count()
+    hv = trips["hvfhv"].where(f"datetimeid >= {start} AND datetimeid < {end}")
+    assert seen["hvfhv"]["shared"] == hv.where("route_id IS NOT NULL").count() > 0
+    assert seen["hvfhv"]["dropped"] == hv.where("NOT (trip_miles > 0 AND base_passenger_fare > 0)").count()
+    assert "dropped" not in seen["no_hv"]
+    assert seen["od"] == {"rows": len(counted), "trips": sum(r[4] for r in counted), "companies": sorted({r[3] for r in counted})}
