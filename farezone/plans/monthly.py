@@ -44,22 +44,23 @@ FARE_INDUSTRIES = ("yellow", "green", "hvfhv")
 
 
 def run_monthly(inputs: TripInputs, params: Params, out_dir: str, fmt: str = "parquet",
-                since: _dt.date | None = None, checks: Checks | None = None) -> dict:
+                since: _dt.date | None = None, checks: Checks | None = None, spread: int | None = None) -> dict:
     """Write every output under ``out_dir``; returns the paths written (read them with
     ``read_mart`` or ``read_published``).
 
     With ``since``, only months from ``since`` on are recomputed and replaced. All tables change
     together, once the last of them is written; if the run fails before, they are as they
     were. Interim tables are deleted when everything is written. ``checks`` takes what the run has
-    seen (rows, NULL ids, dropped trips, companies), observed in the job that reads the trips.
+    seen (rows, NULL ids, dropped trips, companies), observed in the job that reads the trips. ``spread``
+    writes the mart in so many tasks, in ranges of its order, for partitions too large for one.
     """
     spark = inputs.yellow.sparkSession
     with interim_scope(spark), Publication(spark, out_dir) as publication:
-        return _write_all(inputs, params, publication, fmt, since, checks)
+        return _write_all(inputs, params, publication, fmt, since, checks, spread)
 
 
 def _write_all(inputs: TripInputs, params: Params, publication: Publication, fmt: str, since: _dt.date | None,
-               checks: Checks | None) -> dict:
+               checks: Checks | None, spread: int | None) -> dict:
     p = params if since is None else since_params(params, since)
     spark, out_dir = inputs.yellow.sparkSession, publication.root
     since_month = None if since is None else since.replace(day=1)
@@ -74,7 +75,7 @@ def _write_all(inputs: TripInputs, params: Params, publication: Publication, fmt
     trip_metric = F.col("metric").isin(C.METRIC_TRIPS, C.METRIC_PICKUPS, C.METRIC_DROPOFFS)
     order = [F.when(trip_metric, F.col(c)) for c in ("id", "company", "Z")] + [F.desc("company"), F.desc("Z"), "id"]
     stage(publication, "trips_updated", mart.unionByName(financials.select(*mart.columns)), ("metric", "year_month"), fmt,
-          order, since_month, unversioned("trips_updated", lambda: read_mart(spark, f"{out_dir}/trips_updated", fmt)))
+          order, since_month, unversioned("trips_updated", lambda: read_mart(spark, f"{out_dir}/trips_updated", fmt)), spread=spread)
     names = ["trips_updated"]
     for ind in FARE_INDUSTRIES:
         wide = fares_wide(inputs, p, ind)

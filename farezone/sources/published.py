@@ -182,13 +182,17 @@ def published_folder(spark: SparkSession, path: str) -> str:
     return f"{path.rstrip('/')}/version={found[2].folders['']}"
 
 
-def laid_out(df: DataFrame, partition_by: list, sort_within=None) -> DataFrame:
-    """Published tables are aggregates: one writing task (one file) a partition, sorted."""
+def laid_out(df: DataFrame, partition_by: list, sort_within=None, spread: int | None = None) -> DataFrame:
+    """The rows as they are written. By default published tables are aggregates that take one writing task (one
+    file) a partition, sorted. ``spread`` deals them to so many tasks by ranges of the partition columns and
+    sort keys instead: a large partition is several files, whose names follow the order of the rows
+    (finding the ranges computes ``df`` once more)."""
     if not partition_by:
         return df
-    data = df.repartition(*partition_by)
     # partition columns first, as the writer wants them: else it sorts again
-    return data.sortWithinPartitions(*partition_by, *sort_within) if sort_within else data
+    order = [*partition_by, *(sort_within or ())]
+    data = df.repartitionByRange(spread, *order) if spread else df.repartition(*partition_by)
+    return data.sortWithinPartitions(*order) if sort_within else data
 
 
 class Publication:
@@ -207,15 +211,16 @@ class Publication:
         self._written: list[str] = []
 
     def write(self, name: str, df: DataFrame, partition_by=(), fmt: str = "parquet", sort_within=None,
-              keep: Callable[[dict], bool] | None = None) -> None:
+              keep: Callable[[dict], bool] | None = None, spread: int | None = None) -> None:
         """Write ``df`` as the next state of table ``name``. ``keep`` says by its column values which
-        published partition stays, if ``df`` has no rows for it; without ``keep`` none does."""
+        published partition stays, if ``df`` has no rows for it; without ``keep`` none does.
+        ``spread``: see :func:`laid_out`."""
         columns = [partition_by] if isinstance(partition_by, str) else list(partition_by)
         target = _folder(name, f"version={self.version}").lstrip("/")
         if name.count("/") > DEPTH - 2:
             raise ValueError(f"{name} is too deep below its root")
         self._written.append(target)
-        writer = laid_out(df, columns, sort_within).write.mode("error").partitionBy(*columns)
+        writer = laid_out(df, columns, sort_within, spread).write.mode("error").partitionBy(*columns)
         if fmt == "csv":
             writer = writer.option("header", True)
         writer.format(fmt).save(f"{self.root}/{target}")

@@ -78,25 +78,25 @@ def months_before(since, col: str = "year_month"):
 
 
 def publish(df: DataFrame, path: str, partition_by, fmt: str = "parquet", sort_within=None,
-            since=None, published: DataFrame | None = None, col: str = "year_month") -> None:
+            since=None, published: DataFrame | None = None, col: str = "year_month", spread: int | None = None) -> None:
     """Replace a published table so that no partition of an earlier run stays behind.
 
     A full run replaces the table. With ``since``, the published months before it are kept (S10)
     where they are, and all months from it on are those of ``df``, also if there are fewer than
     before. ``published`` gives them as rows instead, for a table that isn't published in versions yet.
-    A failure at any point leaves the table as it was."""
+    A failure at any point leaves the table as it was. ``spread`` lets a partition be several files."""
     with Publication(df.sparkSession, path) as publication:
-        stage(publication, "", df, partition_by, fmt, sort_within, since, published, col)
+        stage(publication, "", df, partition_by, fmt, sort_within, since, published, col, spread)
 
 
 def stage(publication: Publication, name: str, df: DataFrame, partition_by, fmt: str = "parquet", sort_within=None,
-          since=None, published: DataFrame | None = None, col: str = "year_month") -> None:
+          since=None, published: DataFrame | None = None, col: str = "year_month", spread: int | None = None) -> None:
     """:func:`publish` as one table of a publication."""
     keep = None
     if since is not None:
         df = df.filter(F.col(col) >= F.lit(since)) if published is None else splice_history(published, df, since, col)
         keep = months_before(since, col) if published is None else None
-    publication.write(name, df, partition_by, fmt, sort_within, keep)
+    publication.write(name, df, partition_by, fmt, sort_within, keep, spread)
 
 
 def extend_mart(df: DataFrame, mart_path: str, partition_by=("metric", "year_month"),

@@ -121,8 +121,8 @@ def test_late_files_join_their_months(spark, monkeypatch, industry):
     with monkeypatch.context() as m:  # the last table of the state can't be written
         plain = P.laid_out
         broken = F.raise_error(F.lit("no space left")).cast("double")
-        m.setattr(P, "laid_out", lambda df, by, within=None: plain(df, by, within) if "variable" not in df.columns
-                  else plain(df, by, within).withColumn("value", broken))
+        m.setattr(P, "laid_out", lambda df, *how: plain(df, *how) if "variable" not in df.columns
+                  else plain(df, *how).withColumn("value", broken))
         with pytest.raises(Exception, match="no space left"):
             add("c")
     assert sorted(map(str, fares_kept(spark, out, params, industry).collect())) == before

@@ -40,8 +40,8 @@ def failing(monkeypatch, only=None):
     """Let the writing stage itself fail, behind the last shuffle, with some files written."""
     plain = P.laid_out
 
-    def laid_out(df, partition_by, sort_within=None):
-        out = plain(df, partition_by, sort_within)
+    def laid_out(df, partition_by, *how):
+        out = plain(df, partition_by, *how)
         if only is None or only(df):
             column = out.columns[-1]
             broken = F.raise_error(F.lit("no space left")).cast(out.schema[column].dataType)
