@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farezone.sources import fixtures, readers
-from farezone.sources.sinks import shared_dir
+from farezone.sources.sinks import shared_dir, write_interim
 
 _MATERIALIZED: dict = {}
 _LOCK = threading.Lock()
@@ -40,6 +40,13 @@ def materialized_trip_views(spark: SparkSession, sf_dir: str) -> dict:
     return _MATERIALIZED[key]
 
 
+def joined_trip_views(spark: SparkSession, sf_dir: str) -> dict:
+    """The four derived trip views over their join, which is written once as an interim table: for
+    jobs of several plans over the trips. Each view reads its own folder of it."""
+    base = write_interim(fixtures.joined_base(spark, sf_dir).drop("o_orderpriority"), "joined_trips", partition_by=("view",))
+    return {name: base.filter(F.col("view") == name).selectExpr(*columns) for name, (_, columns) in fixtures.VIEW_RULES.items()}
+
+
 class TripInputs:
     """Trip tables and dimensions of a run.
 
@@ -91,6 +98,10 @@ class TripInputs:
             daily=lambda: fixtures.daily_indicators(spark, sf_dir, tables),
         )
 
+    def with_trips(self, trips: dict) -> "TripInputs":
+        """The same inputs with other trip tables."""
+        return TripInputs(**{**self._sources, **trips})
+
     @classmethod
     def from_paths(cls, spark: SparkSession, trips: dict, bases: str, zone_matrix: str,
                    zone_lookup: str, daily: DataFrame | None = None) -> "TripInputs":

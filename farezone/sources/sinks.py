@@ -47,17 +47,18 @@ def interim_scope(spark: SparkSession):
         path.getFileSystem(conf).delete(path, True)
 
 
-def write_interim(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def write_interim(df: DataFrame, name: str, path: str | None = None, partition_by: tuple = ()) -> DataFrame:
     """Write ``df`` as Parquet (the cache of interim results) and read it back.
 
     The returned DataFrame has no lineage beyond the written files. ``path``
-    defaults to a fresh folder under the shared checkpoint directory.
+    defaults to a fresh folder under the shared checkpoint directory. ``partition_by``
+    names the last columns of ``df``, by which readers can pass over whole folders.
     """
     spark = df.sparkSession
     out = path or f"{shared_dir(spark)}/interim/{name}-{uuid.uuid4().hex}"
     if path is None and _SCOPE.get() is not None:
         _SCOPE.get().append(out)
-    df.write.mode("overwrite").parquet(out)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(out)
     return spark.read.schema(df.schema).parquet(out)
 
 
