@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,14 +91,15 @@ class Symbols:
 
 def text_slices(texts: pa.Array):
     """(first row, end row, Symbols) of slices of a string column; null is empty."""
-    rows = texts.to_pylist()
+    # only a slice's texts become Python's, not those of the whole column
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).tolist()
     first = 0
-    while first < len(rows):
+    while first < len(sizes):
         end, size = first, 0
-        while end < len(rows) and (end == first or size + len(rows[end] or "") <= SLICE_CHARS):
-            size += len(rows[end] or "")
+        while end < len(sizes) and (end == first or size + sizes[end] <= SLICE_CHARS):
+            size += sizes[end]
             end += 1
-        yield first, end, symbols([t or "" for t in rows[first:end]])
+        yield first, end, symbols([t or "" for t in texts.slice(first, end - first).to_pylist()])
         first = end
 
 
@@ -173,17 +175,22 @@ def _tail(gram: Column, symbols: int) -> Column:
 
 def kneser_ney_counts(grams: DataFrame, order: int = ORDER) -> DataFrame:
     """size, lang, gram, n: the counts of the full grams, and for each shorter one in how many
-    different grams one symbol longer it is the end."""
-    longer = grams.select(F.lit(order).alias("size"), "lang", "gram", "n")
-    tables = [longer]
-    for size in range(order - 1, 0, -1):
-        longer = (longer.groupBy("lang", _tail(F.col("gram"), size).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-                  .select(F.lit(size).alias("size"), "lang", "gram", "n"))
-        tables.append(longer)
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
+    different grams one symbol longer it is the end.
+
+    All shorter sizes are one table, so that two shuffles make them, not one more for each size."""
+    full = grams.select(F.lit(order).alias("size"), "lang", "gram", "n")
+    if order == 1:
+        return full
+    size = F.col("size")
+    tails = lambda sizes: F.explode(F.array(*[F.struct(F.lit(k).alias("size"), _tail(F.col("gram"), k).alias("gram")) for k in sizes]))
+    # the different grams of sizes 2 to order - 1, and those of size order; each counts for its end one symbol shorter
+    longer = full.select("size", "lang", "gram")
+    if order > 2:
+        shorter = grams.select("lang", tails(range(2, order)).alias("t")).select("t.size", "lang", "t.gram").distinct()
+        longer = longer.unionByName(shorter)
+    end = F.element_at(F.array(*[_tail(F.col("gram"), k) for k in range(1, order)]), size - 1)
+    ends = longer.groupBy((size - 1).alias("size"), "lang", end.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+    return full.unionByName(ends)
 
 
 class HashArrays:
