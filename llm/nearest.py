@@ -16,6 +16,8 @@ PROJECTIONS, WIDTH, GROWTH, FIRST_RADIUS = 96, 1.5, 1.15, 0.4
 #: An object at the radius is a candidate unless its collisions fall this many standard
 #: deviations under their mean (97.7 %).
 DEVIATIONS = 2.0
+#: Errors of single precision cosines of unit vectors, by component.
+SLACK = 1e-6
 #: Vectors and queries that one task holds.
 BLOCK_VECTORS, BLOCK_QUERIES = 8192, 2048
 
@@ -27,22 +29,16 @@ def collision_threshold(m: int, width: float, deviations: float) -> int:
 
 
 class BlockIndex:
-    """One sorted array of projections for each hash function over a block of vectors."""
+    """The projections of a block of vectors, those of each hash function side by side."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, m: int = PROJECTIONS, seed: int = 11):
         self.ids, self.vectors = ids, vectors
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
         self.hashes = np.random.default_rng(seed).standard_normal((vectors.shape[1], m))
-        values = (vectors / self.norms[:, None]) @ self.hashes
-        self.order = np.ascontiguousarray(np.argsort(values, axis=0, kind="stable").T)
-        # the arrays one after another, each moved by its own offset: one sorted array to search
-        self.offsets = np.arange(m) * 64.0
-        self.values = (np.take_along_axis(values.T, self.order, axis=1) + self.offsets[:, None]).ravel()
-
-    def places(self, at: np.ndarray, side: str = "left") -> np.ndarray:
-        """Where each function's value ``at`` lies in its sorted array."""
-        m, n = self.order.shape
-        return np.searchsorted(self.values, at + self.offsets, side=side) - np.arange(m) * n
+        unit = vectors / self.norms[:, None]
+        self.values = np.ascontiguousarray((unit @ self.hashes).T, dtype=np.float32)
+        # for a first look at candidates, within SLACK of their cosines
+        self.unit = unit.astype(np.float32) if np.isfinite(unit).all() and np.isfinite(self.norms).all() else None
 
     def cosines(self, at: np.ndarray, query: np.ndarray) -> np.ndarray:
         return (self.vectors[at] * query).sum(axis=1) / (self.norms[at] * np.sqrt((query * query).sum()))
@@ -50,41 +46,42 @@ class BlockIndex:
     def nearest(self, query_id: int, query: np.ndarray, k: int, width: float = WIDTH) -> tuple[np.ndarray, np.ndarray]:
         """Indices and cosines of the ``k`` nearest found, the query's own id left out.
 
-        The radius grows; at each the windows around the query's projections widen (virtual
-        rehashing: only what they gain is read), and objects whose collisions reach the
-        threshold are verified. It ends when k verified objects lie within the radius, or with
-        all objects verified."""
-        m, n = self.order.shape
+        The radius grows; at each the windows around the query's projections widen, and objects whose
+        collisions (projections within the window) reach the threshold are verified. It ends when k
+        verified objects lie within the radius, or with all objects verified."""
+        m, n = self.values.shape
         need = collision_threshold(m, width, DEVIATIONS)
-        center = (query / np.sqrt((query * query).sum())) @ self.hashes
-        counts = np.zeros(n, dtype=np.int64)
+        unit = query / np.sqrt((query * query).sum())
+        gaps = np.abs(self.values - (unit @ self.hashes).astype(np.float32)[:, None])
         open_ = self.ids != query_id
         found, scores = np.zeros(0, np.int64), np.zeros(0)
-        low = self.places(center)
-        high = low.copy()
         radius = FIRST_RADIUS
         while open_.any():
             if radius > 2:  # every unit vector lies within
                 new = np.flatnonzero(open_)
             else:
-                half = width * radius / 2
-                l2, h2 = self.places(center - half), self.places(center + half, "right")
-                gained = [self.order[i, a:b] for i in range(m) for a, b in ((l2[i], low[i]), (high[i], h2[i])) if a < b]
-                low, high = np.minimum(low, l2), np.maximum(high, h2)
-                if gained:
-                    counts += np.bincount(np.concatenate(gained), minlength=n)
-                new = np.flatnonzero(open_ & (counts >= need))
+                within = (gaps <= np.float32(width * radius / 2)).view(np.uint8)
+                new = np.flatnonzero(open_ & (within.sum(axis=0, dtype=np.uint8 if m < 256 else np.int64) >= need))
             open_[new] = False
+            new = self.promising(new, unit, scores, k)
             found = np.concatenate([found, new])
             scores = np.concatenate([scores, self.cosines(new, query)])
-            if len(found) > k:
-                best = np.lexsort((self.ids[found], -scores))[:k]
-                found, scores = found[best], scores[best]
+            best = np.lexsort((self.ids[found], -scores))[:k]
+            found, scores = found[best], scores[best]
             if len(found) == k and sqrt(max(0.0, 2 - 2 * scores.min())) <= radius:
                 break
             radius *= GROWTH
         return found, scores
 
+    def promising(self, new: np.ndarray, unit: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+        """Those of the candidates ``new`` that can be among the k best of them and of what has ``scores``:
+        in single precision the cosines of all are cheap, and only what comes near the k-th needs the exact one."""
+        if self.unit is None or len(new) + len(scores) <= k or not np.isfinite(unit).all():
+            return new
+        rough = self.unit[new] @ unit.astype(np.float32)
+        both = np.concatenate([scores, rough])
+        return new[rough >= np.partition(both, len(both) - k)[len(both) - k] - SLACK * (1 + len(unit))]
+
 
 def usable_vectors(embeddings: DataFrame) -> DataFrame:
     """vec_id and embedding (doubles) of the rows that take part; the least of a repeated vec_id."""
