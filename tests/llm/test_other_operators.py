@@ -265,7 +265,7 @@ def test_pipeline_on_awkward_rows(spark, awkward, empty):
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     got = Q.QUERIES[name](spark, SF_SMALL)
     cols = sorted(got.columns)
